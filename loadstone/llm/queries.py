@@ -14,6 +14,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadstone.llm.near import jaccard_components
+
+    return jaccard_components(_read(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.warc import round_trip
 
@@ -35,7 +41,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_token_counts, op7_warc, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op5_token_counts, op7_warc, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -20,12 +20,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: the pattern of byte-level pre-tokenizers.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-REMEMBERED = 200_000  # pre-tokens outside the proved set whose counts are kept
+REMEMBERED = 400_000  # pre-tokens outside the proved set whose counts are kept
 LONGEST = 256  # characters of a pre-token that is remembered
 
 
@@ -48,22 +49,31 @@ class Counter:
         pre = spec["pre_tokenizer"]
         if spec["model"]["type"] != "BPE" or pre["type"] != "ByteLevel" or pre["add_prefix_space"] or not pre["use_regex"] or spec["normalizer"]:
             raise ValueError("only byte-level BPE without normalizer is counted here")
-        self.tokenizer = Tokenizer.from_file(path)
-        added = sorted((x["content"] for x in spec["added_tokens"]), key=len, reverse=True)
+        tokenizer = Tokenizer.from_file(path)
+        letters = byte_letters()
+        added = {x["content"] for x in spec["added_tokens"]}
+        ranks = {bytes(letters[c] for c in word): n for word, n in spec["model"]["vocab"].items() if word not in added}
+        if any(spec["model"]["vocab"]["".join(pair)] <= spec["model"]["vocab"][last] for pair, last in zip(spec["model"]["merges"][1:], map("".join, spec["model"]["merges"]), strict=False)):
+            raise ValueError("ids do not follow the order of the merges")
+        # ids follow the merges, so merging the pair of lowest id is the same procedure
+        self.ranks = tiktoken.Encoding("loadstone", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        added = sorted(added, key=len, reverse=True)
         self.added = regex.compile("|".join(map(regex.escape, added))) if added else None
         self.find = regex.compile(PATTERN).findall
-        self.counts: dict[str, int] = dict.fromkeys(whole_tokens(self.tokenizer, spec), 1)
+        self.counts: dict[str, int] = dict.fromkeys(whole_tokens(tokenizer, spec), 1)
         self.room = REMEMBERED
 
     def _merge(self, pieces: list[str]) -> int:
-        """Counts of pre-tokens outside the proved set, merged by the library."""
+        """Counts of pre-tokens outside the proved set, by the merges."""
         total = 0
-        for piece, ids in zip(pieces, self.tokenizer.encode_batch(pieces, add_special_tokens=False), strict=True):
-            n = len(ids.ids)
+        for piece in pieces:
+            n = self.counts.get(piece)  # it may have come before in this text
+            if n is None:
+                n = len(self.ranks._encode_single_piece(piece.encode()))
+                if self.room > 0 and len(piece) <= LONGEST:
+                    self.counts[piece] = n
+                    self.room -= 1
             total += n
-            if self.room > 0 and len(piece) <= LONGEST:
-                self.counts[piece] = n
-                self.room -= 1
         return total
 
     def __call__(self, text: str) -> int:
