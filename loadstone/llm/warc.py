@@ -197,7 +197,8 @@ def captured_pages(records: DataFrame) -> DataFrame:
     own = rows.where(F.col("record_type") == "response").select("record_id", "_page", "payload_bytes", "payload")
     named = own.select(F.col("record_id").alias("_named"), F.col("_page").alias("_of"), F.col("payload_bytes").alias("_bytes"), F.col("payload").alias("_sha"))
     is_revisit = F.col("record_type") == "revisit"
-    rows = rows.join(named, F.when(is_revisit, F.col("refers_to")) == F.col("_named"), "left")
+    # a response names itself, so that no key stands for all of them
+    rows = rows.join(named, F.when(is_revisit, F.col("refers_to")).otherwise(F.col("record_id")) == F.col("_named"), "left")
     sha = F.lower(F.hex(F.when(is_revisit, F.col("_sha")).otherwise(F.col("payload"))))
     parts = [F.lpad(F.conv(F.substring(sha, 5 * k + 1, 5), 16, 32), 4, "0") for k in range(8)]
     number = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
