@@ -26,6 +26,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_read(spark, sf_dir, "pages"), new_path(spark, "warc"), min_bytes=0)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadstone.llm.toxicity import fit, held_out, score_toxicity
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = fit(docs, _read(spark, sf_dir, "labels"))
+    return score_toxicity(docs, machine).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -34,6 +42,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadstone.llm.htmltext import extract, fit
+
+    pages = _read(spark, sf_dir, "pages")
+    return extract(pages, fit(pages))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.mixing import mix_sources
 
@@ -41,7 +56,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op5_token_counts, op7_warc, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op4_toxicity, op5_token_counts, op7_warc, op9_main_text, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
