@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 400  # pages with one article element that train, at most
-TAG, BORDER, FLOOR = 0.02, 12.0, 0.002
+TAG, BORDER, LINK, FLOOR = 0.02, 12.0, 2.0, 0.002  # LINK stands for BORDER on inline tags
 
 #: Elements whose content is not markup, inline elements, containers without an end tag.
 RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea")
@@ -161,7 +161,7 @@ def main_text(page: str | None, rates: dict[str, float]) -> str:
                 best, best_from, best_to = total, start, len(pieces)
             continue
         own = rates.get(f"{kind} {name}", 0.5 if name not in INLINE else 0.9)
-        total -= TAG + BORDER * (1 - own) ** 2
+        total -= TAG + (LINK if name in INLINE else BORDER) * (1 - own) ** 2
         if name not in INLINE:
             pieces.append((" ", True))
         if total <= 0:

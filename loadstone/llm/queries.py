@@ -42,6 +42,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that lose a repeated passage, with what is left of them."""
+    from loadstone.llm.substrings import dedup_substrings
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(docs).where("removed_bytes > 0").select("doc_id", "held_by", "removed_spans", "removed_bytes", "text")
+
+
 def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.htmltext import extract, fit
 
@@ -56,7 +64,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op4_toxicity, op5_token_counts, op7_warc, op9_main_text, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op4_toxicity, op5_token_counts, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -79,18 +79,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z folded: eight bytes at a time."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True, long: int = _LONG) -> np.ndarray:
+    """A 64-bit hash of each span of bytes, A-Z folded unless told otherwise:
+    eight bytes at a time, and spans over ``long`` one by one."""
     if not len(starts):
         return np.zeros(0, _U)
     text = np.zeros(len(data) + 8, dtype=np.uint8)
-    text[: len(data)] = _LOWER[data]
+    text[: len(data)] = _LOWER[data] if fold else data
     eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=text, strides=(1,))
     lengths = ends - starts
     out = mix((eight[starts] & _MASKS[np.minimum(lengths, 8)]) + lengths.astype(_U) * _U(0x9FB21C651E98DF25))
     more = np.flatnonzero(lengths > 8)
     done = 8
-    while len(more) and done < _LONG:
+    while len(more) and done < long:
         out[more] = mix(out[more] * _U(0x9E3779B97F4A7C15) + (eight[starts[more] + done] & _MASKS[np.minimum(lengths[more] - done, 8)]))
         done += 8
         more = more[lengths[more] > done]
