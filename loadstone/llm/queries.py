@@ -26,6 +26,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_read(spark, sf_dir, "pages"), new_path(spark, "warc"), min_bytes=0)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadstone.llm.decontam import find_leaks
+
+    return find_leaks(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.toxicity import fit, held_out, score_toxicity
 
@@ -64,7 +70,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op4_toxicity, op5_token_counts, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op3_decontamination, op4_toxicity, op5_token_counts, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
