@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loadstone.llm._io import new_path
+from loadstone.llm._io import new_path, stored
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_read(spark, sf_dir, "pages"), new_path(spark, "warc"), min_bytes=0)
 
 
+def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores every text as a progressive JPEG, reads the files back."""
+    from loadstone.llm.media import decode_media, encode_media
+
+    media = stored(encode_media(_read(spark, sf_dir, "documents").select("doc_id", "text")), "media")
+    return decode_media(media, tensor=False)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.decontam import find_leaks
 
@@ -70,7 +78,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op3_decontamination, op4_toxicity, op5_token_counts, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
