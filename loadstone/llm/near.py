@@ -20,8 +20,11 @@ different ``l`` for A and B they share the smaller number.
    list against one pivot; links found are joined into components; then only
    candidates whose ends are in different components are verified.
 4. *Dense nodes*, whose prefix has ``l`` or more heavy tokens even so, are not
-   found by (2).  Their heavy lists are paired across components until no pair
-   is left, so results are whole.
+   found by (2).  The nodes that could be their partners are counted again with
+   all their tokens, rarest first: a member of a large group that is not in its
+   component has enough tokens of its own to fill the prefix.  Pairs across
+   components that share enough of these prefixes are verified, so results are
+   whole.
 
 Tokens that are common inside one Arrow batch are counted there and only one
 entry goes on, so a bucket never gets all entries of a token that a third of
@@ -49,6 +52,7 @@ from loadstone.llm.textnum import mix, shingle_sets
 HEAVY = 48  # a token of more nodes makes no pairs by itself
 LOCAL = 64  # a token of more nodes of one batch is heavy, and is thinned there
 TIERS = (0.10, 0.25, 0.50, 0.75)
+RARE = 0.05  # l of the rarest-first prefixes, as a part of the size
 
 
 def at_least(n):
@@ -282,22 +286,100 @@ def _candidates(table: pa.Table) -> pa.Table:
     return pa.table({c: pa.array(np.concatenate([f[c] for f in found]) if found else [], t) for c, t in zip(names, kinds, strict=True)})
 
 
-def _across(table: pa.Table) -> Iterator[pa.Table] | pa.Table:
-    """Pairs of heavy lists with one dense end at least and ends in different components."""
+def _keys(values: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and low 32 bits: the identity of a token in a bucket."""
+    return ((values >> np.uint64(33)) % np.uint64(buckets)) << np.uint64(32) | (values & np.uint64(0xFFFFFFFF))
+
+
+def _send_all(buckets: int, width: int):
+    """mapInArrow function over (node, text): all tokens to their buckets."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2048):
+                part = batch.slice(first, 2048)
+                tokens = list(shingle_sets(part.column(1), width))
+                flat = np.concatenate(tokens)
+                entries = np.zeros(len(flat), dtype=_SHORT)
+                entries["token"] = flat.astype(np.uint32)
+                entries["node"] = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(t) for t in tokens])
+                yield _deal(flat, entries, buckets)
+
+    return send
+
+
+_COUNT = np.dtype([("token", "<u4"), ("df", "<i4")])
+
+
+def _frequencies(table: pa.Table) -> pa.Table:
+    """Per node of a bucket: its tokens that other nodes have, with their counts."""
+    entries = np.concatenate([_from_columns(x.as_py(), _SHORT) for x in table.column("entries")])
+    entries = entries[np.argsort(entries["token"], kind="stable")]
+    _, sizes = _runs(entries["token"])
+    df = np.repeat(sizes, sizes)
+    keep = df > 1
+    nodes, out = entries["node"][keep], np.empty(int(keep.sum()), dtype=_COUNT)
+    out["token"], out["df"] = entries["token"][keep], df[keep]
+    order = np.argsort(nodes, kind="stable")
+    nodes, out = nodes[order], out[order]
+    cuts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1], [True]])) if len(nodes) else np.zeros(1, np.int64)
+    packed = [_columns(out[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+    bucket = table.column("bucket")[0].as_py()
+    return pa.table({"node": pa.array(nodes[cuts[:-1]], pa.int64()), "bucket": pa.array([bucket] * len(packed), pa.int32()), "counts": pa.array(packed, pa.binary())})
+
+
+def _send_rarest(buckets: int, width: int):
+    """mapInArrow function over (node, text, n, part, dense, counts): rarest-first prefixes."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2048):
+                part = batch.slice(first, 2048)
+                node, n, comp, dense = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
+                l = matches(n, RARE)
+                tokens = []
+                for values, k, counts in zip(shingle_sets(part.column(1), width), prefix_length(n, l), part.column(5), strict=True):
+                    df = np.ones(len(values), dtype=np.int64)
+                    known, number = [], []
+                    for one in counts.as_py() or []:
+                        got = _from_columns(one["counts"], _COUNT)
+                        known.append(np.uint64(one["bucket"]) << np.uint64(32) | got["token"].astype(np.uint64))
+                        number.append(got["df"])
+                    if known:
+                        known, number = np.concatenate(known), np.concatenate(number)
+                        order = np.argsort(known)
+                        known, number = known[order], number[order]
+                        keys = _keys(values, buckets)
+                        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+                        df = np.where(known[at] == keys, number[at], 1)
+                    tokens.append(values[np.lexsort((_keys(values, buckets), df))[: int(k)]])
+                sizes = [len(t) for t in tokens]
+                flat = np.concatenate(tokens)
+                entries = np.zeros(len(flat), dtype=_ENTRY)
+                entries["token"] = flat.astype(np.uint32)
+                for name, column in (("node", node), ("n", n), ("l", l), ("part", comp), ("dense", dense)):
+                    entries[name] = np.repeat(column, sizes)
+                yield _deal(flat, entries, buckets)
+
+    return send
+
+
+def _across(table: pa.Table) -> pa.Table:
+    """Pairs of a list with one dense end at least and ends in different components."""
     entries, starts, sizes = _open(table)
+    part = entries["part"]
+    mixed = (np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)) & (np.maximum.reduceat(entries["dense"], starts) > 0)
     found = []
-    for k in np.flatnonzero(sizes > HEAVY):
-        part = entries[starts[k] : starts[k] + sizes[k]]
-        if (part["part"] == part["part"][0]).all():
-            continue
-        for z in np.flatnonzero(part["dense"]):
-            one = part[z : z + 1]
-            ok = (part["part"] != one["part"]) & _close_in_size(part, one) & ((part["dense"] == 0) | (part["node"] > one["node"]))
+    for k in np.flatnonzero(mixed):
+        own = entries[starts[k] : starts[k] + sizes[k]]
+        for z in np.flatnonzero(own["dense"]):
+            one = own[z : z + 1]
+            ok = (own["part"] != one["part"]) & _close_in_size(own, one) & ((own["dense"] == 0) | (own["node"] > one["node"]))
             if ok.any():
-                found.append(_pairs(part[ok], np.repeat(one, int(ok.sum())), 0))
-    names = ("a", "b", "hits", "need", "kind")
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-    return pa.table({c: pa.array(np.concatenate([f[c] for f in found]) if found else [], t) for c, t in zip(names, kinds, strict=True)})
+                found.append(np.stack([np.flatnonzero(ok) + starts[k], np.full(int(ok.sum()), z + starts[k])]))
+    at = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+    kinds = {"a": pa.int64(), "b": pa.int64(), "hits": pa.int64(), "need": pa.int64(), "kind": pa.int32()}
+    return pa.table({c: pa.array(x, kinds[c]) for c, x in _pairs(entries[at[0]], entries[at[1]], 0).items()})
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = 5) -> DataFrame:
@@ -374,16 +456,20 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
         links = links.union(more)
         parts = stored(components(links), "parts")
 
-    # 4: dense nodes
+    # 4: dense nodes, with the nodes that could be their partners: those with as
+    # many heavy tokens as the fewest matches asked of any size near theirs
     lengths = texts.select("node", "n", F.col("heavy").alias("_est"))
-    dense = heavy.join(lengths, F.col("_node") == F.col("node")).where(F.col("_heavy") >= _l_column(F.col("n"), F.col("_est"))).select("node", F.lit(1).alias("dense"))
+    known = heavy.join(lengths, F.col("_node") == F.col("node"))
+    fewest_any = F.least(first_l(F.col("n")), first_l(F.floor((3 * F.col("n") + 3) / 4)))
+    dense = known.where(F.col("_heavy") >= fewest_any).select("node", (F.col("_heavy") >= _l_column(F.col("n"), F.col("_est"))).cast("int").alias("dense"))
     dense = stored(dense, "dense")
-    if not dense.isEmpty():
-        marked = texts.join(dense, "node", "left").join(parts, "node", "left")
-        marked = marked.select("node", "text", "n", "heavy", F.coalesce("root", "node").alias("part"), F.coalesce("dense", F.lit(0)).alias("dense"))
-        sent = marked.mapInArrow(_send_prefixes(buckets, width), "bucket int, entries binary")
-        left = sent.groupBy("bucket").applyInArrow(_across, _PAIRS).select("a", "b").distinct()
-        more = stored(verified(left, texts, width), "links")
+    if not dense.where("dense = 1").isEmpty():
+        near = texts.join(dense, "node").join(parts, "node", "left").select("node", "text", "n", F.coalesce("root", "node").alias("part"), "dense")
+        counts = near.select("node", "text").mapInArrow(_send_all(buckets, width), "bucket int, entries binary").groupBy("bucket").applyInArrow(_frequencies, "node long, bucket int, counts binary")
+        counts = counts.groupBy("node").agg(F.collect_list(F.struct("bucket", "counts")).alias("counts"))
+        sent = near.join(counts, "node", "left").select("node", "text", "n", "part", "dense", "counts").mapInArrow(_send_rarest(buckets, width), "bucket int, entries binary")
+        left = sent.groupBy("bucket").applyInArrow(_across, _PAIRS).groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.first("need").alias("need"))
+        more = stored(verified(left.where("hits >= need"), texts, width), "links")
         if not more.isEmpty():
             parts = stored(components(links.union(more)), "parts")
 

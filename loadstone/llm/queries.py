@@ -20,6 +20,12 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_read(spark, sf_dir, "documents"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadstone.llm.licenses import scan_licenses
+
+    return scan_licenses(_read(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.warc import round_trip
 
@@ -78,7 +84,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op6_license_scan, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:
