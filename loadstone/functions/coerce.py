@@ -9,6 +9,8 @@ Everything stays inside whole-stage code generation: there is no Python UDF.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +43,12 @@ def result(value: Column, kind: Column, kinds: tuple[str, ...], what: str, reaso
     return F.struct(F.when(code.isNull() & given, value).alias("value"), code.alias("code"), told.alias("reason"))
 
 
+def let(x: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once: keeps expressions that use an
+    intermediate many times from growing with every use."""
+    return F.transform(F.array(x), body)[0]
+
+
 # --- booleans and numbers --------------------------------------------------
 
 
@@ -143,22 +151,24 @@ def instant(text: Column, zone: str = DEFAULT_ZONE) -> Column:
     """
     s = trimmed(text)
     valid, local, nanos = _local(s)
-    mark = _parts(s, _DATE_TIME, 6)
-    sign = F.when(F.substring(mark, 1, 1) == "-", -1).otherwise(1)
-    offset = F.when(F.upper(mark) == "Z", 0).otherwise(sign * (_number(F.substring(mark, 2, 2)) * 3600 + _number(F.substring(mark, 5, 2)) * 60))
-    wall = F.timestamp_seconds(local)
-    in_zone = F.unix_seconds(F.to_utc_timestamp(wall, zone))
-    epoch = F.when(mark != "", local - offset).otherwise(in_zone)
-    written = F.struct(epoch.alias("epoch_s"), F.coalesce(nanos, F.lit(0)).alias("nanos"), F.floor((local - epoch) / 60).cast("int").alias("offset_min"), local.alias("local_s"))
-    guess = epoch_guess(s)
-    stored = F.struct(guess["epoch_s"].alias("epoch_s"), guess["nanos"].alias("nanos"), F.lit(0).alias("offset_min"), guess["epoch_s"].alias("local_s"))
-    return F.when(valid, written).when(s.rlike(_INTEGER) & guess.isNotNull(), stored)
+    parts = F.struct(valid.alias("valid"), local.alias("local"), F.coalesce(nanos, F.lit(0)).alias("nanos"), F.upper(_parts(s, _DATE_TIME, 6)).alias("mark"), s.rlike(_INTEGER).alias("integer"), s.alias("text"))
+
+    def read(p: Column) -> Column:
+        mark, wall = p["mark"], p["local"]
+        sign = F.when(F.substring(mark, 1, 1) == "-", -1).otherwise(1)
+        offset = F.when(mark == "Z", 0).otherwise(sign * (_number(F.substring(mark, 2, 2)) * 3600 + _number(F.substring(mark, 5, 2)) * 60))
+        in_zone = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(wall), zone))
+        epoch = F.when(mark != "", wall - offset).otherwise(in_zone)
+        written = let(epoch, lambda e: F.struct(e.alias("epoch_s"), p["nanos"].alias("nanos"), F.floor((wall - e) / 60).cast("int").alias("offset_min"), wall.alias("local_s")))
+        stored = let(epoch_guess(p["text"]), lambda g: F.when(g.isNotNull(), F.struct(g["epoch_s"].alias("epoch_s"), g["nanos"].alias("nanos"), F.lit(0).alias("offset_min"), g["epoch_s"].alias("local_s"))))
+        return F.when(p["valid"], written).when(p["integer"], stored)
+
+    return let(parts, read)
 
 
 def date(text: Column, kind: Column) -> Column:
     """COER13: the local date as written; integers in UTC."""
-    found = instant(text, "UTC")
-    return result(F.date_from_unix_date(F.floor(found["local_s"] / 86400).cast("int")), kind, ("string",), "date")
+    return let(instant(text, "UTC"), lambda found: result(F.date_from_unix_date(F.floor(found["local_s"] / 86400).cast("int")), kind, ("string",), "date"))
 
 
 def time(text: Column, kind: Column, scale: int = 9) -> Column:
@@ -171,25 +181,27 @@ def time(text: Column, kind: Column, scale: int = 9) -> Column:
     guess = epoch_guess(s)
     stored = F.pmod(guess["epoch_s"], F.lit(86400)) * unit + F.floor(guess["nanos"] / per)
     value = F.when(s.rlike(_TIME) & (h < 24) & (m < 60) & (sec < 60), written).when(s.rlike(_INTEGER), stored)
-    return result(value.cast("bigint"), kind, ("string",), "time")
+    return let(value.cast("bigint"), lambda v: result(v, kind, ("string",), "time"))
 
 
 def timestamp(text: Column, kind: Column, logical: str = "TIMESTAMP_NTZ", scale: int = 6, zone: str = DEFAULT_ZONE) -> Column:
     """COER15: NTZ keeps the wall clock and drops the offset; LTZ is the instant;
     TZ, and any scale over 6, is struct (epoch_s, nanos, offset_min)."""
-    found = instant(text, zone)
-    seconds = found["local_s"] if logical == "TIMESTAMP_NTZ" else found["epoch_s"]
     per = 10 ** (9 - scale)
-    nanos = (F.floor(found["nanos"] / per) * per).cast("int")
-    year_ok = seconds.between(-62135596800, 253402300799)
-    if scale > 6 or logical == "TIMESTAMP_TZ":
-        offset = found["offset_min"] if logical == "TIMESTAMP_TZ" else F.lit(0)
-        value = F.when(found.isNotNull() & year_ok, F.struct(seconds.alias("epoch_s"), nanos.alias("nanos"), offset.alias("offset_min")))
-    else:
-        value = F.when(found.isNotNull() & year_ok, F.timestamp_micros(seconds * 1_000_000 + F.floor(nanos / 1000)))
-        if logical == "TIMESTAMP_NTZ":
-            value = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
-    return result(value, kind, ("string",), logical.lower())
+
+    def read(found: Column) -> Column:
+        seconds = found["local_s"] if logical == "TIMESTAMP_NTZ" else found["epoch_s"]
+        fits = found.isNotNull() & seconds.between(-62135596800, 253402300799)
+        if scale > 6 or logical == "TIMESTAMP_TZ":
+            offset = found["offset_min"] if logical == "TIMESTAMP_TZ" else F.lit(0)
+            value = F.struct(seconds.alias("epoch_s"), (F.floor(found["nanos"] / per) * per).cast("int").alias("nanos"), offset.alias("offset_min"))
+        else:
+            value = F.timestamp_micros(seconds * 1_000_000 + F.floor(F.floor(found["nanos"] / per) * per / 1000))
+            if logical == "TIMESTAMP_NTZ":
+                value = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
+        return let(F.when(fits, value), lambda v: result(v, kind, ("string",), logical.lower()))
+
+    return let(instant(text, zone), read)
 
 
 def scaled_timestamp(epoch_s: Column, nanos: Column, scale: int) -> Column:
