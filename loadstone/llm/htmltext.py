@@ -112,7 +112,7 @@ class Rates:
 
     def table(self) -> dict[str, float]:
         out = {k: (self.inside[k] + 0.05) / (self.total[k] + 0.1) for k in self.total}
-        for key in ("html", "body"):  # they hold all there is, and say nothing
+        for key in ("html", "body", "div", "section"):  # they hold all kinds of things, and say nothing by name
             out[f"words {key}"] = 1.0
         for kind in ("open", "close"):  # where content may begin or end
             for name in ("article", "main"):

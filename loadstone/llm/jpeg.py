@@ -57,11 +57,13 @@ def table_of(lengths: dict[int, int]) -> tuple[bytes, np.ndarray, np.ndarray]:
         code <<= lengths[s] - last
         codes[s], sizes[s], last = code, lengths[s], lengths[s]
         code += 1
+        if code >= 1 << last:
+            raise ValueError("the code lengths leave no room")
     return bytes(counts) + bytes(symbols), codes, sizes
 
 
 DC_TABLE = table_of(dict.fromkeys(range(12), 4))
-AC_TABLE = table_of({1: 2, 2: 2, 3: 2, 4: 3, 5: 4, 6: 5, 7: 6, 8: 7, 0x00: 8, 0xF0: 9} | {16 * r + s: 12 for r in range(16) for s in range(1, 11) if r or s > 8})
+AC_TABLE = table_of({1: 3, 2: 3, 3: 3, 4: 4, 5: 5, 6: 6, 7: 7, 8: 8, 0x00: 4, 0xF0: 9} | {16 * r + s: 9 for r in range(16) for s in range(1, 11) if r or s > 8})
 # enough for blocks without any zero, or of nothing but zeros, of 8-bit values
 SHORT_TABLE = table_of({1: 2, 2: 2, 3: 2, 4: 3, 5: 4, 6: 5, 7: 6, 8: 7, 0x00: 8})
 SHORT_LOW = table_of({16 * r + s: 6 for r in range(6) for s in range(1, 8)} | {0x00: 2})

@@ -1,0 +1,328 @@
+"""The numbered operators against brute force, libraries and exact round trips."""
+
+import base64
+import collections
+import hashlib
+import html
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from loadstone.llm import decontam, htmltext, jpeg, licenses, media, mixing, near, substrings, textnum, toxicity, warc
+from loadstone.llm._io import new_path
+from loadstone.llm.components import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def shingle_set(text):
+    w = WORD.findall(lower(text))
+    if not w:
+        return frozenset()
+    return frozenset([tuple(w)]) if len(w) < 5 else frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4))
+
+
+def brute_components(rows):
+    sets = {i: shingle_set(t) for i, t in rows if i is not None}
+    root = {i: i for i in sets}
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    ids = sorted(i for i in sets if sets[i])
+    for n, i in enumerate(ids):
+        for j in ids[:n]:
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def dense_rows(seed=3):
+    rng = random.Random(seed)
+    base, rows = [f"w{k}" for k in range(100)], []
+    for _ in range(120):  # one large group of near copies
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            w[rng.randrange(100)] = f"x{rng.random()}"
+        rows.append(" ".join(w))
+    common = " ".join(f"b{k}" for k in range(50))
+    rows += [common + " " + " ".join(f"y{rng.random()}" for _ in range(rng.choice([3, 8, 15, 90]))) for _ in range(120)]
+    rows += [" ".join(f"z{rng.randrange(3)}" for _ in range(rng.choice([1, 2, 4, 5, 6, 8]))) for _ in range(60)]
+    rows += [None, "", "  \t ", "a b", "A B", base[0] * 5000, "q " * 3000]
+    return list(enumerate(rows))
+
+
+def test_shingles_match_brute_force():
+    texts = [t for _, t in dense_rows()] + ["one two three four five SIX", "é É ñ\tx\x0by z"]
+    got = list(textnum.shingle_sets(pa.array(texts, pa.string())))
+    assert [len(g) for g in got] == [len(shingle_set(t)) for t in texts]
+    for i in range(100, 140):
+        assert len(np.intersect1d(got[i], got[i - 100])) == len(shingle_set(texts[i]) & shingle_set(texts[i - 100]))
+
+
+def test_op1_components(spark):
+    rows = dense_rows()
+    df = spark.createDataFrame([(i, t, "a") for i, t in rows] + [rows[0] + ("a",), (None, "w0 w1", "a")], "doc_id long, text string, node string")
+    got = near.jaccard_components(df).collect()
+    assert len(got) == len(rows) + 2
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got if r.doc_id is not None} == brute_components(rows)
+    assert near.jaccard_components(df.limit(0)).count() == 0
+
+
+def test_components_of_chains(spark):
+    links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(40)}
+
+
+def test_op2_round_trip(spark):
+    texts = ["", None, "a", "é" * 100, "x" * 192, "Hello, world. " * 300, "\x00\x7f" * 700, "日本🍞" * 500]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(99, texts[5])], "doc_id long, text string").withColumn("media_note", F.lit(1))
+    got = {r.doc_id: r for r in media.decode_media(media.encode_media(df)).collect()}
+    for i, t in enumerate(texts):
+        raw = (t or "").encode()
+        payload = raw + b" " * (max(-(-len(raw) // 192), 1) * 192 - len(raw))
+        r = got[i]
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
+        assert len(r.tensor.data) == r.tensor.height * r.tensor.width * 3
+    assert (got[99].media_sha256, got[99].feature) == (got[5].media_sha256, got[5].feature)
+    assert media.decode_media(media.encode_media(df.limit(0))).count() == 0
+
+
+def test_op2_file_is_a_jpeg_that_others_read(spark, tmp_path):
+    """The JVM's reader gives the same luma (its chroma is interpolated, ours replicated)."""
+    file = media.to_files(*textnum.buffers(pa.array(["some text to draw " * 90])))[0]
+    (tmp_path / "a.jpg").write_bytes(file)
+    io = spark._jvm.javax.imageio.ImageIO
+    reader = io.getImageReadersByFormatName("jpeg").next()
+    reader.setInput(io.createImageInputStream(spark._jvm.java.io.File(str(tmp_path / "a.jpg"))))
+    raster = reader.readRaster(0, None)
+    w, h = raster.getWidth(), raster.getHeight()
+    array = spark.sparkContext._gateway.new_array(spark._jvm.int, w * h)
+    luma = np.array(list(raster.getSamples(0, 0, w, h, 0, array))).reshape(h, w)
+    images, coefs = jpeg.decode([file])
+    y = images[0].components[0]
+    plane = jpeg._samples(coefs[y.base : y.base + y.stride * images[0].mcu_rows * 2], images[0].quants[0])
+    plane = plane.reshape(-1, y.stride, 8, 8).swapaxes(1, 2).reshape(8 * images[0].mcu_rows * 2, 8 * y.stride)
+    assert np.abs(plane - luma).max() <= 2
+
+
+def test_op2_general_coefficients():
+    """Zeros, long runs and large values through the other tables."""
+    rng = np.random.default_rng(5)
+    counts = np.array([3, 40])
+    cols, rows = jpeg.grid(counts)
+    blocks = (rng.integers(-300, 300, (int((cols * rows).sum()), 6, 64)) * (rng.random((int((cols * rows).sum()), 6, 64)) < 0.2)).astype(np.int32)
+    files = jpeg.encode(blocks, cols * rows, [b"bytes=0"] * 2)
+    images, coefs = jpeg.decode(files)
+    image, chroma, luma = jpeg.raster(cols, rows)
+    first = (np.cumsum(cols * rows) - cols * rows)[image]
+    y, cb, cr = (np.array([im.components[k].base for im in images])[image] for k in range(3))
+    order = np.stack([*(y + a - 4 * first for a in luma), cb + chroma - first, cr + chroma - first], axis=1)
+    assert (coefs[order] == blocks).all()
+
+
+def edited(rng, words, k, vocabulary):
+    words = list(words)
+    for _ in range(k):
+        p = rng.randrange(len(words))
+        kind = rng.randrange(3)
+        if kind == 0:
+            words[p] = rng.choice(vocabulary)
+        elif kind == 1:
+            words.insert(p, rng.choice(vocabulary))
+        elif len(words) > 1:
+            del words[p]
+    return words
+
+
+@pytest.mark.parametrize(("rate", "least"), [(0.0, 1.0), (0.1, 0.97), (0.2, 0.9)])
+def test_op3_recall(spark, sf, rate, least):
+    rng = random.Random(2)
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").collect()
+    vocabulary = " ".join(r.text for r in spark.read.parquet(f"{sf}/documents.parquet").limit(50).collect()).split()
+    rows, expected = [], set()
+    for n, r in enumerate(items * 3):
+        w = r.text.split()
+        rows.append((n, " ".join(rng.choices(vocabulary, k=60) + edited(rng, w, int(rate * len(w)), vocabulary) + rng.choices(vocabulary, k=40))))
+        expected.add((n, r.item_id))
+    index = decontam.Index([r.item_id for r in items], [r.text for r in items])
+    batch = pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows]), pa.array([t for _, t in rows])], names=["doc_id", "text"])
+    found = {(i, index.items[k][0]) for i, k, *_ in decontam._search(index, batch, 5)}
+    assert len(found & expected) / len(expected) >= least and not found - expected
+
+
+def test_op3_edit_distance_is_exact():
+    rng = random.Random(1)
+
+    def brute(a, b):
+        row = [0] * (len(b) + 1)
+        for i, x in enumerate(a):
+            last, row[0] = row[0], i + 1
+            for j, y in enumerate(b):
+                last, row[j + 1] = row[j + 1], min(last + (x != y), row[j] + 1, row[j + 1] + 1)
+        return min(row)
+
+    for _ in range(200):
+        a, b = [rng.randrange(4) for _ in range(rng.randrange(1, 9))], [rng.randrange(4) for _ in range(rng.randrange(0, 12))]
+        bits = decontam.Index._positions(np.array(a, dtype=np.uint64))
+        assert decontam._least(bits, len(a), b, True)[0] == brute(a, b)
+
+
+def test_op3_edges(spark):
+    docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "x " * 5000 + "alpha beta gamma delta epsilon zeta eta theta", 0), (3, "x", 0)], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame([(7, "Alpha beta, gamma delta epsilon zeta eta theta."), (8, "x"), (9, None), (10, "")], "item_id long, text string")
+    got = decontam.find_leaks(docs, bench).collect()
+    assert [(r.doc_id, r.item_id, r.distance, r.start_word) for r in got] == [(3, 7, 0, 5000)]
+    assert decontam.find_leaks(docs.limit(0), bench).count() == decontam.find_leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_op4_held_out(spark):
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(200)]
+    docs, labels = [], []
+    for i in range(1200):
+        text = [rng.choice(words) for _ in range(30)]
+        insult, group = rng.random() < 0.4, rng.random() < 0.4
+        text += ["jerk"] * insult + ["folk"] * group
+        rng.shuffle(text)
+        docs.append((i, " ".join(text)))
+        labels.append((i, 0, int(insult and group)))  # only the pair is toxic
+    docs += [(5000, None), (5001, ""), (5002, "jerk " * 4000)]
+    d, l = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    scored = toxicity.score_toxicity(d, toxicity.fit(d, l)).withColumn("held", toxicity.held_out(F.col("doc_id")))
+    rows = scored.join(l, "doc_id").where("held").collect()
+    assert sum(r.predicted == r.toxic for r in rows) / len(rows) > 0.95
+    assert all(0 <= r.score <= 1 for r in scored.collect())
+    one = toxicity.score_toxicity(d, toxicity.fit(d, l.limit(0))).first()
+    assert one.predicted == 0
+    assert toxicity.score_toxicity(d.limit(0), toxicity.fit(d, l)).count() == 0
+
+
+def test_op5_counts(spark):
+    tokens = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    from loadstone.llm.tokens import count_tokens
+
+    path = tokens.path("byte_bpe_50k.json")
+    texts = ["", None, "Hello world", "<|endoftext|>", "a<|endoftext|>b <|endoftext", "   a \n\n b", "it's don't 12345", "日本🍞 ñandú", "x" * 3000, "\x1c\x85᠎ z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_tokens", F.lit(1))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in count_tokens(df, path).collect()}
+    library = Tokenizer.from_file(path)
+    for i, t in enumerate(texts):
+        n = len(library.encode(t or "", add_special_tokens=False).ids)
+        assert got[i] == (len((t or "").encode()), n, n > 512)
+
+
+def test_op6_licenses(spark):
+    mit = licenses.TEMPLATES["MIT"][2]
+    texts = ["words " * 40 + mit.replace("merge", "blend") + " more" * 90, "Licensed under CC BY-NC 4.0.", "licensed under cc", None, "", "x " * 9000]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(9, texts[1])], "doc_id long, text string").withColumn("license", F.lit("?"))
+    got = {(r.doc_id, r.license): r for r in licenses.scan_licenses(df).collect()}
+    assert set(got) == {(0, "MIT"), (1, "CC-BY-NC-4.0"), (9, "CC-BY-NC-4.0")}
+    assert got[0, "MIT"].start_word == 40 and got[0, "MIT"].containment < 1
+    assert licenses.scan_licenses(df.limit(0)).count() == 0
+
+
+def test_op7_round_trip(spark, sf):
+    rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    rows += [(1000, "http://a.b/c", "x\r\n\r\nWARC/1.1\r\n\r\n"), (1001, None, None), (1002, "u", ""), (1003, "u", rows[0][2]), (1003, "u", rows[0][2]), (None, "u", "no id")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("record_type", F.lit("?"))
+    got = warc.round_trip(df, new_path(spark, "warc")).collect()
+    by = collections.defaultdict(list)
+    for p, _, h in rows:
+        by[h or ""].append(p)
+    expected = collections.Counter()
+    for h, pages in by.items():
+        top = max(pages, key=lambda p: -1 if p is None else p)
+        facts = (len(h.encode()), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode())
+        for n, p in enumerate(sorted(pages, key=lambda p: -1 if p is None else -p)):
+            expected[(p, *facts, "revisit" if n else "response", top if n else None)] += 1
+    assert collections.Counter(map(tuple, got)) == expected
+    assert warc.round_trip(df.limit(0), new_path(spark, "warc")).count() == 0
+
+
+def test_op7_nested_rows(spark):
+    df = spark.createDataFrame([(1, "http://h/p", "body"), (2, "http://h/q", "body")], "page_id long, url string, html string")
+    path = new_path(spark, "warc")
+    warc.write_archives(df, path)
+    rows = {r.answer.record_type: r for r in warc.assemble(warc.read_records(spark, path)).collect()}
+    assert bytes(rows["response"].answer.payload) == b"body" and rows["revisit"].answer.refers_to == rows["response"].record_id
+    assert bytes(rows["response"].request.content) == b"" and bytes(rows["response"].metadata.content) == b"page-id: 2\r\n"
+
+
+def test_op8_passages(spark):
+    rng = random.Random(1)
+    fresh = lambda n: " ".join(f"r{rng.randrange(10**9)}é" for _ in range(n))
+    passage, line = " ".join(f"pass{rng.randrange(10**6)}" for _ in range(55)), " ".join(f"s{k}" for k in range(12))
+    rows = [(1, fresh(40) + " " + passage + " " + fresh(30)), (2, fresh(11) + "\n" + passage + "\n" + fresh(60)), (3, passage), (4, line + " " + fresh(40)), (5, fresh(9) + " " + line), (6, None), (7, ""), (None, passage), (8, fresh(50)), (9, (fresh(30) + "\n") * 2), (10, "x" * 5000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("packed", F.lit(1))
+    got = {r.doc_id: r for r in substrings.dedup_substrings(df).collect()}
+    assert len(got) == len(rows)
+    changed = {i for i, r in got.items() if r.removed_bytes}
+    assert changed == {2, 3} and got[2].held_by == [1] and passage not in got[2].text
+    for i, t in rows:
+        if i not in changed:
+            assert got[i].text == t
+    assert substrings.dedup_substrings(df.limit(0)).count() == 0
+
+
+def test_op9_pages(spark, sf):
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    rates = htmltext.fit(pages)
+    for r in htmltext.extract(pages, rates).join(pages.select("page_id", "html"), "page_id").collect():
+        inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        text = " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", re.sub(r"</?b>", "", inside))).split())
+        assert (r.text, r.n_chars) == (text, len(text))
+
+
+def test_op9_edges(spark):
+    rows = [(1, "u", None), (2, "u", ""), (3, "u", "<html><nav>x y</nav></html>"), (4, "u", "<body><div class='comments'>one two</div><div class='content'><p>Fish &amp; chips &lt;now&gt;</p><p>a<b>b</b>c &nbsp; d<script>var x;</script></p><div class=\"comment\">me too</div></div><footer>end</footer>"), (5, "u", "<p>" * 3000 + "deep")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
+    got = {r.page_id: r.text for r in htmltext.extract(df, htmltext.fit(df.limit(0))).collect()}
+    assert got[1] == got[2] == "" and got[4] == "Fish & chips <now> abc d" and got[5] == "deep"
+
+
+def test_op10_targets(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join("w" * rng.randrange(1, 4) for _ in range(rng.randrange(0, 60))), s) for i, s in enumerate(rng.choices(["a", "b", "c", "d", None], [60, 10, 10, 18, 2], k=3000))]
+    rows += [(9001, None, "e"), (9002, "", "e"), rows[5]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit(-1)).withColumn("target", F.lit(-1))
+    got = mixing.mix_sources(df).collect()
+    assert len(got) == len(rows)
+    source = {i: s for i, _, s in rows}
+    sizes, targets, taken = collections.Counter(), {}, collections.Counter()
+    for r in got:
+        assert 0 <= r.taken <= 2 * r["size"]
+        sizes[source[r.doc_id]] += r["size"]
+        targets[source[r.doc_id]] = r.target
+        taken[source[r.doc_id]] += r.taken
+    assert abs(sum(targets.values()) - 1.5 * sum(sizes.values())) < 1e-6 * sum(sizes.values())
+    for s, t in targets.items():
+        assert t <= 2 * sizes[s] + 1e-6 and abs(taken[s] - t) <= 60
+    assert [r.position for r in got if r.position is not None] == sorted(r.position for r in got if r.position is not None)
+    assert mixing.mix_sources(df.limit(0)).count() == 0
+
+
+def test_op10_schedule_is_inverted(spark):
+    for slope in (0.6, -0.6, 0.0):
+        t = np.linspace(0, 1, 11)
+        part = (1 + slope) * t - slope * t**2
+        df = spark.createDataFrame([(float(p),) for p in part], "p double")
+        got = [r[0] for r in df.select(mixing.due_time(F.col("p"), F.lit(slope))).collect()]
+        assert np.allclose(got, t)
