@@ -20,11 +20,11 @@ different ``l`` for A and B they share the smaller number.
    list against one pivot; links found are joined into components; then only
    candidates whose ends are in different components are verified.
 4. *Dense nodes*, whose prefix has ``l`` or more heavy tokens even so, are not
-   found by (2).  The nodes that could be their partners are counted again with
-   all their tokens, rarest first: a member of a large group that is not in its
-   component has enough tokens of its own to fill the prefix.  Pairs across
-   components that share enough of these prefixes are verified, so results are
-   whole.
+   found by (2).  Each shared token is owned by the least node that has it; a
+   node goes to the few owners that own most of its tokens, so a large group of
+   near copies meets at one owner, block against block.  There shared tokens
+   are counted in memory, and only pairs that join components are told, never
+   the pairs of a group.
 
 Tokens that are common inside one Arrow batch are counted there and only one
 entry goes on, so a bucket never gets all entries of a token that a third of
@@ -52,7 +52,8 @@ from loadstone.llm.textnum import mix, shingle_sets
 HEAVY = 48  # a token of more nodes makes no pairs by itself
 LOCAL = 64  # a token of more nodes of one batch is heavy, and is thinned there
 TIERS = (0.10, 0.25, 0.50, 0.75)
-RARE = 0.05  # l of the rarest-first prefixes, as a part of the size
+LEFT = 0.37  # of a set's size, at most, outside the families a dense node is sent to
+FAMILY = 10_000  # members of a family that are compared in one task; larger families are cut in blocks
 
 
 def at_least(n):
@@ -286,11 +287,6 @@ def _candidates(table: pa.Table) -> pa.Table:
     return pa.table({c: pa.array(np.concatenate([f[c] for f in found]) if found else [], t) for c, t in zip(names, kinds, strict=True)})
 
 
-def _keys(values: np.ndarray, buckets: int) -> np.ndarray:
-    """Bucket and low 32 bits: the identity of a token in a bucket."""
-    return ((values >> np.uint64(33)) % np.uint64(buckets)) << np.uint64(32) | (values & np.uint64(0xFFFFFFFF))
-
-
 def _send_all(buckets: int, width: int):
     """mapInArrow function over (node, text): all tokens to their buckets."""
 
@@ -308,78 +304,79 @@ def _send_all(buckets: int, width: int):
     return send
 
 
-_COUNT = np.dtype([("token", "<u4"), ("df", "<i4")])
+_OWNED = np.dtype([("token", "<u4"), ("owner", "<i8")])
 
 
-def _frequencies(table: pa.Table) -> pa.Table:
-    """Per node of a bucket: its tokens that other nodes have, with their counts."""
+def _owners(table: pa.Table) -> pa.Table:
+    """Per node of a bucket: its tokens that other nodes have, each with its
+    owner, the least node that has it."""
     entries = np.concatenate([_from_columns(x.as_py(), _SHORT) for x in table.column("entries")])
-    entries = entries[np.argsort(entries["token"], kind="stable")]
-    _, sizes = _runs(entries["token"])
-    df = np.repeat(sizes, sizes)
-    keep = df > 1
-    nodes, out = entries["node"][keep], np.empty(int(keep.sum()), dtype=_COUNT)
-    out["token"], out["df"] = entries["token"][keep], df[keep]
+    entries = entries[np.lexsort((entries["node"], entries["token"]))]
+    starts, sizes = _runs(entries["token"])
+    keep = np.repeat(sizes, sizes) > 1
+    nodes, out = entries["node"][keep], np.empty(int(keep.sum()), dtype=_OWNED)
+    out["token"], out["owner"] = entries["token"][keep], np.repeat(entries["node"][starts], sizes)[keep]
     order = np.argsort(nodes, kind="stable")
     nodes, out = nodes[order], out[order]
     cuts = np.flatnonzero(np.concatenate([[True], nodes[1:] != nodes[:-1], [True]])) if len(nodes) else np.zeros(1, np.int64)
     packed = [_columns(out[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
-    bucket = table.column("bucket")[0].as_py()
-    return pa.table({"node": pa.array(nodes[cuts[:-1]], pa.int64()), "bucket": pa.array([bucket] * len(packed), pa.int32()), "counts": pa.array(packed, pa.binary())})
-
-
-def _send_rarest(buckets: int, width: int):
-    """mapInArrow function over (node, text, n, part, dense, counts): rarest-first prefixes."""
-
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, batch.num_rows, 2048):
-                part = batch.slice(first, 2048)
-                node, n, comp, dense = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3, 4))
-                l = matches(n, RARE)
-                tokens = []
-                for values, k, counts in zip(shingle_sets(part.column(1), width), prefix_length(n, l), part.column(5), strict=True):
-                    df = np.ones(len(values), dtype=np.int64)
-                    known, number = [], []
-                    for one in counts.as_py() or []:
-                        got = _from_columns(one["counts"], _COUNT)
-                        known.append(np.uint64(one["bucket"]) << np.uint64(32) | got["token"].astype(np.uint64))
-                        number.append(got["df"])
-                    if known:
-                        known, number = np.concatenate(known), np.concatenate(number)
-                        order = np.argsort(known)
-                        known, number = known[order], number[order]
-                        keys = _keys(values, buckets)
-                        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                        df = np.where(known[at] == keys, number[at], 1)
-                    tokens.append(values[np.lexsort((_keys(values, buckets), df))[: int(k)]])
-                sizes = [len(t) for t in tokens]
-                flat = np.concatenate(tokens)
-                entries = np.zeros(len(flat), dtype=_ENTRY)
-                entries["token"] = flat.astype(np.uint32)
-                for name, column in (("node", node), ("n", n), ("l", l), ("part", comp), ("dense", dense)):
-                    entries[name] = np.repeat(column, sizes)
-                yield _deal(flat, entries, buckets)
+    return pa.table({"node": pa.array(nodes[cuts[:-1]], pa.int64()), "owned": pa.array(packed, pa.binary())})
 
-    return send
 
+def _to_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """mapInArrow function over (node, n, part, dense, owned): the node, with
+    its shared tokens, for each of the owners that it needs.
 
-def _across(table: pa.Table) -> pa.Table:
-    """Pairs of a list with one dense end at least and ends in different components."""
-    entries, starts, sizes = _open(table)
-    part = entries["part"]
-    mixed = (np.minimum.reduceat(part, starts) != np.maximum.reduceat(part, starts)) & (np.maximum.reduceat(entries["dense"], starts) > 0)
-    found = []
-    for k in np.flatnonzero(mixed):
-        own = entries[starts[k] : starts[k] + sizes[k]]
-        for z in np.flatnonzero(own["dense"]):
-            one = own[z : z + 1]
-            ok = (own["part"] != one["part"]) & _close_in_size(own, one) & ((own["dense"] == 0) | (own["node"] > one["node"]))
-            if ok.any():
-                found.append(np.stack([np.flatnonzero(ok) + starts[k], np.full(int(ok.sum()), z + starts[k])]))
-    at = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-    kinds = {"a": pa.int64(), "b": pa.int64(), "hits": pa.int64(), "need": pa.int64(), "kind": pa.int32()}
-    return pa.table({c: pa.array(x, kinds[c]) for c, x in _pairs(entries[at[0]], entries[at[1]], 0).items()})
+    Owners are taken by their number of tokens until at most ``LEFT`` of the
+    set's size is outside.  A pair that links shares three quarters of the
+    larger set; less than that is outside for the two together, so they meet.
+    """
+    for batch in batches:
+        rows = []
+        for node, n, part, dense, owned in zip(*batch.columns, strict=True):
+            parts = [_from_columns(x.as_py(), _OWNED) for x in owned] if owned.is_valid else []
+            if not parts:
+                continue
+            own = np.concatenate(parts)
+            owners, counts = np.unique(own["owner"], return_counts=True)
+            order = np.argsort(-counts, kind="stable")
+            outside = len(own) - np.cumsum(counts[order])
+            need = int(np.argmax(outside <= LEFT * n.as_py())) + 1
+            tokens = np.sort(own["token"]).tobytes()
+            rows += [(int(f), node.as_py(), n.as_py(), part.as_py(), dense.as_py(), tokens) for f in owners[order[:need]]]
+        for first in range(0, len(rows), 4096):
+            columns = zip(*rows[first : first + 4096], strict=True)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["family", "node", "n", "part", "dense", "tokens"])
+
+
+def _link_family(table: pa.Table) -> pa.Table:
+    """Pairs of members, one dense and in different components, that link by
+    their shared tokens: as many as join the components, and no more.
+
+    Shared tokens are counted through an index in memory; 32-bit tokens can
+    only add to the count, and the pairs told are verified again.
+    """
+    node, n, part, dense = (table.column(c).to_numpy() for c in ("node", "n", "part", "dense"))
+    _, part = np.unique(part, return_inverse=True)
+    found: list[tuple[int, int]] = []
+    if part.max(initial=0) > 0 and dense.any():
+        sets = [np.frombuffer(x.as_py(), dtype=np.uint32) for x in table.column("tokens")]
+        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        for z in np.flatnonzero(dense):
+            begin, end = np.searchsorted(flat, sets[z], "left"), np.searchsorted(flat, sets[z], "right")
+            reps = end - begin
+            at = np.repeat(begin, reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+            shared = np.bincount(owner[at], minlength=len(sets))
+            links = (100 * shared >= 75 * (n + n[z] - shared)) & (part != part[z])
+            for y in np.flatnonzero(links):
+                if part[y] != part[z]:
+                    found.append((int(node[z]), int(node[y])))
+                    part[part == part[y]] = part[z]
+    a, b = np.array(found, dtype=np.int64).reshape(-1, 2).T
+    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int = 5) -> DataFrame:
@@ -465,11 +462,16 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     dense = stored(dense, "dense")
     if not dense.where("dense = 1").isEmpty():
         near = texts.join(dense, "node").join(parts, "node", "left").select("node", "text", "n", F.coalesce("root", "node").alias("part"), "dense")
-        counts = near.select("node", "text").mapInArrow(_send_all(buckets, width), "bucket int, entries binary").groupBy("bucket").applyInArrow(_frequencies, "node long, bucket int, counts binary")
-        counts = counts.groupBy("node").agg(F.collect_list(F.struct("bucket", "counts")).alias("counts"))
-        sent = near.join(counts, "node", "left").select("node", "text", "n", "part", "dense", "counts").mapInArrow(_send_rarest(buckets, width), "bucket int, entries binary")
-        left = sent.groupBy("bucket").applyInArrow(_across, _PAIRS).groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.first("need").alias("need"))
-        more = stored(verified(left.where("hits >= need"), texts, width), "links")
+        owned = near.select("node", "text").mapInArrow(_send_all(max(16, buckets // 16), width), "bucket int, entries binary").groupBy("bucket").applyInArrow(_owners, "node long, owned binary")
+        owned = owned.groupBy("node").agg(F.collect_list("owned").alias("owned"))
+        members = near.drop("text").join(owned, "node").select("node", "n", "part", "dense", "owned").mapInArrow(_to_families, "family long, node long, n long, part long, dense int, tokens binary")
+        members = stored(members, "members")
+        blocks = members.groupBy("family").agg((F.ceil(F.count("*") / FAMILY)).cast("int").alias("_blocks"), F.max("dense").alias("_dense")).where("_dense = 1").drop("_dense")
+        dealt = members.join(blocks, "family").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+        dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        dealt = dealt.withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")})
+        left = dealt.select("family", "_i", "_j", "node", "n", "part", "dense", "tokens").groupBy("family", "_i", "_j").applyInArrow(_link_family, "a long, b long").distinct()
+        more = stored(verified(left, texts, width), "links")
         if not more.isEmpty():
             parts = stored(components(links.union(more)), "parts")
 
