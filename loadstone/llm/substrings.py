@@ -3,20 +3,29 @@
 A gear rolling hash over the last ``WINDOW`` bytes cuts a text where it falls
 under a threshold, so cuts depend on content alone: text inserted before a
 passage moves its chunks but does not change them, and the same passage in two
-documents has the same chunks from its first cut on.  Chunks are compared by
-64-bit digest; the occurrence at the least (doc_id, position) stays, and in
-other places runs of repeated chunks of ``min_words`` words or more are cut
-out, at the white space inside the run.  A wrong cut needs digests of several
-neighbouring chunks to collide.
-
-Occurrences of a chunk inside one Arrow batch are settled there and only the
-first goes on, so a chunk that a third of all documents share is one entry per
+documents has the same chunks from its first cut on.  What is compared is not
+the chunk but the *group*: consecutive chunks with ``min_words`` whole words
+between them, the shortest from each chunk on and the shortest up to each
+chunk.  A word is whole in a group if white space or an end of the text bounds
+it there, so groups too depend on content alone.  Groups are compared by a
+64-bit digest of their chunks; the occurrence at the least (doc_id, position)
+stays, and groups in other documents are cut out, at the white space inside.
+
+Every group that is cut is a passage of one earlier document, unless two
+digests collide.  A group carries its position in the holder: groups that
+follow each other there as they do here are one span, others are spans of their
+own, so that one earlier document, as it was given, holds the whole of each
+span.  Passages of little more than ``min_words`` words may have no group
+between their cuts; they stay.
+
+Occurrences of a group inside one Arrow batch are settled there and only the
+first goes on, so a group that a third of all documents share is one entry per
 batch.
 
-A document that repeats itself is not cut for that: the least holder of a chunk
+A document that repeats itself is not cut for that: the least holder of a group
 keeps all its occurrences.
 
-Defined results: null and empty texts, and documents without a long enough run,
+Defined results: null and empty texts, and documents without a repeated group,
 stay as they are; rows with one doc_id are one document; rows without doc_id
 are neither compared nor changed; among equal texts the least doc_id keeps its
 text; other columns are passed on whatever their names.
@@ -33,16 +42,17 @@ from pyspark.sql import functions as F
 
 from loadstone.llm._io import n_buckets
 from loadstone.llm.near import _from_columns, _columns, _runs
-from loadstone.llm.textnum import _WS, buffers, mix, slices, word_hashes
+from loadstone.llm.textnum import _WS, buffers, mix, slices, word_hashes, words
 
 MEAN = 20  # bytes of a chunk, on average
 WINDOW = 16  # bytes that decide a cut
 LONGEST = 256  # bytes of a chunk, at most
-MIN_WORDS = 20  # words of a run of repeated chunks that is cut out
+MIN_WORDS = 20  # whole words of a group, and so of a passage that is cut out
 
 _GEAR = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)).astype(np.uint32)
 _ENTRY = np.dtype([("digest", "<u8"), ("doc", "<i8"), ("at", "<i4")])
-_FOUND = np.dtype([("at", "<i4"), ("owner", "<i8")])
+_FOUND = np.dtype([("digest", "<u8"), ("owner", "<i8"), ("place", "<i4")])
+_BASE = 0x9E3779B97F4A7C1B  # 3 modulo 8: powers of it differ in all but a few low bits
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -69,32 +79,52 @@ def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _send(buckets: int):
+def groups(data: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, ...]:
+    """(starts, ends, first, head, tail, digest, at): chunks as of :func:`chunks`;
+    group k is chunks head[k] to tail[k], and text i has at[i]:at[i + 1]."""
+    starts, ends, first = chunks(data, offsets)
+    begin, end, word_first = words(data, offsets)
+    n = len(starts)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    left, right = offsets[:-1][text], offsets[1:][text]
+    # the shortest from each chunk on
+    k = np.searchsorted(begin, starts + (starts > left)) + min_words - 1
+    head = np.flatnonzero(k < word_first[1:][text])
+    tail = np.searchsorted(ends, np.minimum(end[k[head]] + 1, right[head]))
+    # the shortest up to each chunk
+    k = np.searchsorted(end, ends - (ends < right), side="right") - min_words
+    last = np.flatnonzero(k >= word_first[:-1][text])
+    back = np.searchsorted(starts, np.maximum(begin[k[last]] - 1, left[last]), side="right") - 1
+    both = np.unique(np.concatenate([head * n + tail, back * n + last]))
+    head, tail = both // max(n, 1), both % max(n, 1)
+    up, down = (np.cumprod(np.full(n + 1, x, dtype=np.uint64)) for x in (_BASE, pow(_BASE, -1, 1 << 64)))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word_hashes(data, starts, ends, fold=False, long=LONGEST) * up[:n], dtype=np.uint64)])
+    digest = mix((sums[tail + 1] - sums[head]) * down[head] + (tail - head).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
+    return starts, ends, first, head, tail, digest, np.searchsorted(head, first)
+
+
+def _send(buckets: int, min_words: int):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column(1))
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             parts = []
             for a, b in slices(offsets):
-                part = data[offsets[a] : offsets[b]]
-                starts, ends, first = chunks(part, offsets[a : b + 1] - offsets[a])
-                one = np.zeros(len(starts), dtype=_ENTRY)
-                one["digest"] = word_hashes(part, starts, ends, fold=False, long=LONGEST)
-                counts = np.diff(first)
+                _, _, first, head, _, digest, at = groups(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], min_words)
+                one = np.zeros(len(head), dtype=_ENTRY)
+                one["digest"] = digest
+                counts = np.diff(at)
                 one["doc"] = np.repeat(ids[a:b], counts)
-                one["at"] = np.arange(len(starts)) - np.repeat(first[:-1], counts)
+                one["at"] = head - np.repeat(first[:-1], counts)
                 parts.append(one)
             entries = np.concatenate(parts) if parts else np.zeros(0, _ENTRY)
             if not len(entries):
                 continue
             entries = entries[np.lexsort((entries["at"], entries["doc"], entries["digest"]))]
             starts, sizes = _runs(entries["digest"])
-            later = np.ones(len(entries), dtype=bool)
-            owner = np.repeat(entries["doc"][starts], sizes)
-            # later ones of this batch are settled here; their owner is at least a holder
-            later &= entries["doc"] != owner
-            yield from _found_rows(entries[later], owner[later])
             heads = entries[starts]
+            # later ones of this batch are settled here; their owner is at least a holder
+            yield from _found_rows(entries, np.repeat(heads, sizes))
             home = ((heads["digest"] >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
             order = np.argsort(home, kind="stable")
             heads, home = heads[order], home[order]
@@ -105,13 +135,21 @@ def _send(buckets: int):
     return send
 
 
-def _found_rows(entries: np.ndarray, owner: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row per document with its repeated chunks, packed."""
+def _found_rows(entries: np.ndarray, holders: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """One row per document with its groups that another document holds, packed.
+
+    ``entries`` are in order of digest and doc; of a document that has a group
+    several times one is enough, as it is found again by its digest.
+    """
+    new = np.ones(len(entries), dtype=bool)
+    new[1:] = (entries["digest"][1:] != entries["digest"][:-1]) | (entries["doc"][1:] != entries["doc"][:-1])
+    new &= entries["doc"] != holders["doc"]
+    entries, holders = entries[new], holders[new]
     if not len(entries):
         return
     order = np.argsort(entries["doc"], kind="stable")
     out = np.empty(len(entries), dtype=_FOUND)
-    out["at"], out["owner"] = entries["at"][order], owner[order]
+    out["digest"], out["owner"], out["place"] = entries["digest"][order], holders["doc"][order], holders["at"][order]
     docs = entries["doc"][order]
     cuts = np.concatenate([[0], np.flatnonzero(np.diff(docs)) + 1, [len(docs)]])
     packed = [_columns(out[i:j]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -123,55 +161,73 @@ def _settle(table: pa.Table) -> pa.Table:
     entries = np.concatenate([_from_columns(x.as_py(), _ENTRY) for x in table.column("packed")])
     entries = entries[np.lexsort((entries["at"], entries["doc"], entries["digest"]))]
     starts, sizes = _runs(entries["digest"])
-    head = np.repeat(entries[starts], sizes)
-    later = entries["doc"] != head["doc"]
-    rows = list(_found_rows(entries[later], head["doc"][later]))
+    rows = list(_found_rows(entries, np.repeat(entries[starts], sizes)))
     kind = pa.schema([("doc_id", pa.int64()), ("packed", pa.binary())])
     return pa.Table.from_batches([r.select(["doc_id", "packed"]) for r in rows], schema=kind)
 
 
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """(doc_id, packed list): chunks of each document that occur before."""
-    sent = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(n_buckets(docs.sparkSession)), "bucket int, doc_id long, packed binary")
+def repeated_groups(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, packed list): groups of each document that an earlier one holds."""
+    sent = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(n_buckets(docs.sparkSession), min_words), "bucket int, doc_id long, packed binary")
     across = sent.where(F.col("bucket").isNotNull()).groupBy("bucket").applyInArrow(_settle, "doc_id long, packed binary")
     return across.union(sent.where(F.col("bucket").isNull()).select("doc_id", "packed")).groupBy("doc_id").agg(F.collect_list("packed").alias("packed"))
 
 
-def cut_runs(text: str, found: np.ndarray, min_words: int) -> tuple[bytes, list[tuple[int, int]], np.ndarray]:
-    """(text left, spans cut out, documents that hold them)."""
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
-    starts, ends, _ = chunks(data, np.array([0, len(data)]))
-    at, first = np.unique(found["at"], return_index=True)
-    owner = found["owner"][first]
-    known = at < len(starts)
-    at, owner = at[known], owner[known]
-    spans, holders = [], []
-    breaks = np.concatenate([[0], np.flatnonzero(np.diff(at) > 1) + 1, [len(at)]])
+def held_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray, found: np.ndarray) -> list[tuple[int, int, int]]:
+    """(start, end, holder) of spans to cut out of one text, in order and apart.
+
+    Groups that another document holds are chunks begin[k] to end[k] of
+    ``found`` with their bytes in ``data``: one row (head, tail, owner, place) each.
+    """
+    head, tail, owner, place = found
+    order = np.lexsort((tail, head, place - head, owner))
+    head, tail, owner, place = (x[order] for x in (head, tail, owner, place))
+    # in the holder too the next group follows or overlaps: same distance, no chunk between
+    apart = (np.diff(owner) != 0) | (np.diff(place - head) != 0) | (head[1:] > tail[:-1] + 1)
+    cuts = np.concatenate([[0], np.flatnonzero(apart) + 1, [len(head)]])
     blank = _WS[data]
-    for i, j in zip(breaks[:-1], breaks[1:], strict=True):
-        if i == j:
-            continue
-        a, b = int(starts[at[i]]), int(ends[at[j - 1]])
+    spans = []
+    for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        a, b = int(begin[head[i]]), int(end[tail[j - 1]])
         if a > 0 and not blank[a - 1]:  # whole words only
             a += int(np.argmax(blank[a:b])) if blank[a:b].any() else b - a
         if b < len(data) and not blank[b] and b > a:
             b -= int(np.argmax(blank[a:b][::-1])) if blank[a:b].any() else b - a
-        if b > a and len(data[a:b].tobytes().split()) >= min_words:
-            spans.append((a, b))
-            holders.append(owner[i:j])
-    if not spans:
-        return data.tobytes(), [], np.zeros(0, np.int64)
-    keep = np.ones(len(data), dtype=bool)
-    for a, b in spans:
-        keep[a:b] = False
-    return data[keep].tobytes(), spans, np.unique(np.concatenate(holders))
+        spans.append((a, -b, int(owner[i])))
+    out, done = [], 0
+    for a, b, holder in sorted(spans):
+        if -b > max(a, done):
+            out.append((max(a, done), -b, holder))
+            done = -b
+    return out
+
+
+def _spans(texts: pa.Array, packed: pa.Array, min_words: int) -> Iterator[list[tuple[int, int, int]]]:
+    """:func:`held_spans` of each text, given the packed finds of its document."""
+    data, offsets = buffers(texts)
+    for a, b in slices(offsets):
+        part, edge = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        starts, ends, first, head, tail, digest, at = groups(part, edge, min_words)
+        for i in range(b - a):
+            found = np.concatenate([_from_columns(x.as_py(), _FOUND) for x in packed[a + i]])
+            found = found[np.argsort(found["digest"], kind="stable")]
+            mine = slice(at[i], at[i + 1])
+            where = np.minimum(np.searchsorted(found["digest"], digest[mine]), len(found) - 1)
+            hit = np.flatnonzero(found["digest"][where] == digest[mine])
+            if not len(hit):
+                yield []
+                continue
+            held = found[where[hit]]
+            chunk = slice(first[i], first[i + 1])
+            yield held_spans(part[edge[i] : edge[i + 1]], starts[chunk] - edge[i], ends[chunk] - edge[i], (head[mine][hit] - first[i], tail[mine][hit] - first[i], held["owner"], held["place"].astype(np.int64)))
 
 
 def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs with text cut, and removed_spans (byte offsets in the old text),
-    removed_bytes and held_by (doc_ids that keep the passages) appended."""
+    """docs with text cut, and removed_spans (byte offsets in the old text, each
+    span held whole by one document of held_by), removed_bytes and held_by
+    (doc_ids of the earlier documents) appended."""
     columns = [c for c in docs.columns if c not in ("removed_spans", "removed_bytes", "held_by")]
-    found = repeated_chunks(docs).select(F.col("doc_id").alias("_found_id"), F.col("packed").alias("_found"))
+    found = repeated_groups(docs, min_words).select(F.col("doc_id").alias("_found_id"), F.col("packed").alias("_found"))
     joined = docs.select(*columns).join(found, F.col("doc_id") == F.col("_found_id"), "left").drop("_found_id")
     place = columns.index("text")
 
@@ -179,18 +235,20 @@ def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
+                old, packed = part.column(place), part.column(len(columns))
+                some = pa.array(np.flatnonzero(np.array([t.is_valid and p.is_valid for t, p in zip(old, packed, strict=True)], dtype=bool)))
+                removed = dict(zip(some.to_pylist(), _spans(old.take(some), packed.take(some), min_words), strict=True))
                 texts, spans, sizes, holders = [], [], [], []
-                for text, packed in zip(part.column(place), part.column(len(columns)), strict=True):
-                    text = text.as_py()
-                    out, removed, held = text, [], []
-                    if text and packed.is_valid:
-                        found = np.concatenate([_from_columns(x.as_py(), _FOUND) for x in packed])
-                        left, removed, owners = cut_runs(text, found, min_words)
-                        out, held = (left.decode(), owners.tolist()) if removed else (text, [])
-                    texts.append(out)
-                    spans.append([{"start": a, "end": b} for a, b in removed])
-                    sizes.append(sum(b - a for a, b in removed))
-                    holders.append(held)
+                for i, text in enumerate(old.to_pylist()):
+                    out = removed.get(i, [])
+                    if out:
+                        raw = text.encode()
+                        edges = [0, *(x for a, b, _ in out for x in (a, b)), len(raw)]
+                        text = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)).decode()
+                    texts.append(text)
+                    spans.append([{"start": a, "end": b} for a, b, _ in out])
+                    sizes.append(sum(b - a for a, b, _ in out))
+                    holders.append(sorted({x for _, _, x in out}))
                 arrays = list(part.columns[: len(columns)])
                 arrays[place] = pa.array(texts, pa.string())
                 span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))

@@ -282,6 +282,24 @@ def test_op8_passages(spark):
     assert substrings.dedup_substrings(df.limit(0)).count() == 0
 
 
+def test_op8_spans_are_in_one_earlier_document(spark, sf):
+    """On a real table, and with a text of passages that different documents hold."""
+    docs = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
+    rng = random.Random(4)
+    pieces = [" ".join(rng.choice("abcdefghij") * 3 + str(rng.randrange(40)) for _ in range(9)) for _ in range(400)]
+    made = [(-1000 + i, f"{x} m{i}") for i, x in enumerate(pieces)] + [(10**9, " ".join(pieces[:60]))]
+    docs = docs.union(spark.createDataFrame(made, "doc_id long, text string"))
+    old = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    n = 0
+    for r in substrings.dedup_substrings(docs).where("removed_bytes > 0").collect():
+        for s in r.removed_spans:
+            passage = old[r.doc_id][s.start : s.end]
+            assert any(h < r.doc_id and passage in old[h] for h in r.held_by)
+            n += 1
+        assert r.doc_id != 10**9  # no piece of nine words is a passage
+    assert n > 50
+
+
 def test_op9_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     rates = htmltext.fit(pages)
