@@ -8,6 +8,8 @@ Unused blocks are zero.  The number of unpadded bytes is the file's comment.
 
 Reading parses the file, accumulates its scans into coefficient arrays, takes
 the payload from these, and inverse-transforms them to full-resolution RGB.
+The feature of an image, its size and the mean and spread of each channel, can
+be taken while decoding or from stored tensors, with the same result.
 
 Defined results: null and empty texts are a payload of 192 spaces with 0
 unpadded bytes; equal texts give equal files and features; a text of any length
@@ -105,11 +107,18 @@ def encode_media(rows: DataFrame, text: str = "text", to: str = "media") -> Data
 DECODED = "n_bytes bigint, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
 
 
-def decode_media(rows: DataFrame, media: str = "media", tensor: bool = True) -> DataFrame:
-    """All columns of rows but ``media``, then :data:`DECODED` and, with
-    ``tensor``, struct ``tensor`` (height, width, channels, data): RGB samples."""
+def _feature(height: int, width: int, sums: np.ndarray, squares: np.ndarray) -> str:
+    mean = sums / (height * width)
+    spread = np.sqrt(np.maximum(squares / (height * width) - mean**2, 0))
+    return f"{height}x{width}x3;" + ",".join(f"{x:.3f}" for x in [*mean, *spread])
+
+
+def decode_media(rows: DataFrame, media: str = "media", tensor: bool = True, feature: bool = True) -> DataFrame:
+    """All columns of rows but ``media``, then :data:`DECODED` (without
+    ``feature`` if not wanted) and, with ``tensor``, struct ``tensor`` (height,
+    width, channels, data): RGB samples."""
     keep = [c for c in rows.columns if c != media]
-    decoded = T._parse_datatype_string(DECODED)
+    decoded = T._parse_datatype_string(DECODED if feature else DECODED.removesuffix(", feature string"))
     kind = T._parse_datatype_string("tensor struct<height: int, width: int, channels: int, data: binary>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,17 +129,17 @@ def decode_media(rows: DataFrame, media: str = "media", tensor: bool = True) ->
                 files = batch.column(len(keep)).slice(first, last - first).to_pylist()
                 images, counts, blocks, found, lengths = from_files(files)
                 samples = jpeg.mcu_rgb(blocks, images[0].quants[0])
-                flat = samples.reshape(len(samples), 256, 3)
                 ends = np.cumsum(counts)
-                sums = np.add.reduceat(flat.sum(axis=1, dtype=np.int64), ends - counts)
-                squares = np.add.reduceat(np.einsum("mpc,mpc->mc", flat, flat, dtype=np.int64), ends - counts)
-                mean = sums / (256 * counts[:, None])
-                spread = np.sqrt(np.maximum(squares / (256 * counts[:, None]) - mean**2, 0))
+                if feature:
+                    flat = samples.reshape(len(samples), 256, 3)
+                    sums = np.add.reduceat(flat.sum(axis=1, dtype=np.int64), ends - counts)
+                    squares = np.add.reduceat(np.einsum("mpc,mpc->mc", flat, flat, dtype=np.int64), ends - counts)
                 out: list[list] = [[] for _ in decoded.fields]
                 tensors = []
                 for i, (image, raw, payload, n) in enumerate(zip(images, files, found, lengths, strict=True)):
-                    feature = f"{image.height}x{image.width}x3;" + ",".join(f"{x:.3f}" for x in [*mean[i], *spread[i]])
-                    values = (n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(raw), hashlib.sha256(raw).hexdigest(), feature)
+                    values = (n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(raw), hashlib.sha256(raw).hexdigest())
+                    if feature:
+                        values += (_feature(image.height, image.width, sums[i], squares[i]),)
                     for column, value in zip(out, values, strict=True):
                         column.append(value)
                     if tensor:
@@ -145,3 +154,24 @@ def decode_media(rows: DataFrame, media: str = "media", tensor: bool = True) ->
 
     schema = T.StructType([*(rows.schema[c] for c in keep), *decoded.fields, *(kind.fields if tensor else [])])
     return rows.select(*keep, F.col(media)).mapInArrow(run, schema)
+
+
+def tensor_features(rows: DataFrame, tensor: str = "tensor") -> DataFrame:
+    """All columns of rows but ``tensor``, and ``feature`` of the samples in it."""
+    keep = [c for c in rows.columns if c not in (tensor, "feature")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            height, width, _, data = batch.column(len(keep)).flatten()
+            sizes = height.to_numpy().astype(np.int64) * width.to_numpy()
+            features = []
+            for a, b in slices(np.concatenate([[0], np.cumsum(3 * sizes)]), STEP):
+                flat = np.frombuffer(b"".join(data.slice(a, b - a).to_pylist()), dtype=np.uint8).reshape(-1, 3)
+                first = np.cumsum(sizes[a:b]) - sizes[a:b]
+                sums = np.add.reduceat(flat, first, axis=0, dtype=np.int64)
+                squares = np.add.reduceat(np.square(flat, dtype=np.int64), first, axis=0)
+                features += [_feature(height[i].as_py(), width[i].as_py(), sums[i - a], squares[i - a]) for i in range(a, b)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(features, pa.string())], names=[*keep, "feature"])
+
+    schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("feature", T.StringType())])
+    return rows.select(*keep, tensor).mapInArrow(run, schema)

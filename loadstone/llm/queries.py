@@ -33,11 +33,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stores every text as a progressive JPEG, reads the files back."""
-    from loadstone.llm.media import decode_media, encode_media
+    """Stores every text as a progressive JPEG, reads the files back, stores
+    their RGB tensors and takes the feature from the tensors read back."""
+    from loadstone.llm.media import decode_media, encode_media, tensor_features
 
     media = stored(encode_media(_read(spark, sf_dir, "documents").select("doc_id", "text")), "media")
-    return decode_media(media, tensor=False)
+    return tensor_features(stored(decode_media(media, feature=False), "tensors"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,14 +7,15 @@ import html
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from loadstone.llm import decontam, htmltext, jpeg, licenses, media, mixing, near, substrings, textnum, toxicity, warc
-from loadstone.llm._io import new_path
+from loadstone.llm import decontam, htmltext, jpeg, licenses, media, mixing, near, queries, substrings, textnum, toxicity, warc
+from loadstone.llm._io import new_path, shared_dir
 from loadstone.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -103,6 +104,23 @@ def test_op2_round_trip(spark):
     assert media.decode_media(media.encode_media(df.limit(0))).count() == 0
 
 
+def test_op2_query_stores_tensors(spark, sf):
+    """The registered query stores every row's tensor and takes its feature from there."""
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.glob("tensors-*"))
+    got = queries.op2_media(spark, sf)
+    (path,) = set(folder.glob("tensors-*")) - before
+    tensors = {r.doc_id: r.tensor for r in spark.read.parquet(f"file://{path}").select("doc_id", "tensor").collect()}
+    direct = media.decode_media(media.encode_media(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")))
+    assert got.columns == direct.drop("tensor").columns
+    expected = {r.doc_id: r for r in direct.collect()}
+    rows = got.collect()
+    assert len(rows) == len(expected) == len(tensors)
+    for r in rows:
+        e = expected[r.doc_id]
+        assert tuple(r) == tuple(e)[:-1] and tensors[r.doc_id] == e.tensor
+
+
 def test_op2_file_is_a_jpeg_that_others_read(spark, tmp_path):
     """The JVM's reader gives the same luma (its chroma is interpolated, ours replicated)."""
     file = media.to_files(*textnum.buffers(pa.array(["some text to draw " * 90])))[0]
