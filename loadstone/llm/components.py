@@ -18,7 +18,8 @@ from loadstone.llm._io import stored
 
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b), root the least node of
-    its component.  Loops and repeated links are ignored; nulls are dropped."""
+    its component.  Loops and repeated links are ignored; nulls are dropped.
+    Links that still change after ``rounds`` are an error."""
     edges = links.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, told = _written(edges, links.count())
     for _ in range(rounds):
@@ -31,6 +32,8 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
         edges, told = _written(small.distinct(), before[0])
         if told == before:
             break
+    else:
+        raise RuntimeError(f"components have not settled in {rounds} rounds")
     tops = edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
     return tops.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).groupBy("node").agg(F.min("root").alias("root"))
 

@@ -90,6 +90,11 @@ def test_components_of_chains(spark):
     assert got == {i: 0 for i in range(61)} | {100 + i: 100 for i in range(40)}
 
 
+def test_components_that_do_not_settle_are_an_error(spark):
+    with pytest.raises(RuntimeError):
+        components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"), rounds=1)
+
+
 def test_op2_round_trip(spark):
     texts = ["", None, "a", "é" * 100, "x" * 192, "Hello, world. " * 300, "\x00\x7f" * 700, "日本🍞" * 500]
     df = spark.createDataFrame(list(enumerate(texts)) + [(99, texts[5])], "doc_id long, text string").withColumn("media_note", F.lit(1))
