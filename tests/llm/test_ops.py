@@ -367,3 +367,30 @@ def test_op10_schedule_is_inverted(spark):
         df = spark.createDataFrame([(float(p),) for p in part], "p double")
         got = [r[0] for r in df.select(mixing.due_time(F.col("p"), F.lit(slope))).collect()]
         assert np.allclose(got, t)
+
+
+def test_op10_query_gives_positions(spark, sf):
+    """First and last reading of each document, by bisection of its source's integrated schedule."""
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source").collect()}
+    rows = queries.op10_mixing(spark, sf).collect()
+    rank = {s: k for k, s in enumerate(sorted(set(source.values()), key=lambda s: (s is None, s)))}
+    start, before = {}, collections.Counter()
+    for r in sorted(rows, key=lambda r: hashlib.md5(str(r.doc_id).encode()).hexdigest()):
+        start[r.doc_id] = before[source[r.doc_id]]
+        before[source[r.doc_id]] += r["size"]
+
+    def time_of(part, slope):
+        low, high = 0.0, 1.0
+        for _ in range(60):
+            t = (low + high) / 2
+            low, high = (t, high) if (1 + slope) * t - slope * t * t < part else (low, t)
+        return low
+
+    assert len(rows) == len(source)
+    for r in rows:
+        if not r.taken:
+            assert r["size"] == 0 or r.position is r.last_position is None
+            continue
+        slope, reads = mixing.SLOPES[rank[source[r.doc_id]] % 3], r.taken // r["size"]
+        assert abs(r.position - time_of(start[r.doc_id] / r.target, slope)) < 1e-6
+        assert abs(r.last_position - time_of(((reads - 1) * r.source_size + start[r.doc_id]) / r.target, slope)) < 1e-6
