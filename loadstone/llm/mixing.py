@@ -17,7 +17,8 @@ ranges of the MD5's first 12 bits, then the order inside each range.
 
 Defined results: a null text has size 0; a null source is a source, sorted
 last; repeated rows each count; a source whose documents are all empty has
-target 0; an empty table gives an empty frame.
+target 0; a document that is not read has no positions; an empty table gives an
+empty frame.
 """
 
 from __future__ import annotations
@@ -63,12 +64,13 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, slopes: tuple[float, ...] = SLOPES) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text, source): doc_id, size,
-    source_size, target, taken, position, last_position; range-sorted by position.
+    source_size, target, taken, positions, position, last_position; range-sorted by position.
 
     A source is read in whole passes of its order and one partial pass: a
     document is read again if the words before it, plus half its own, are
     within the words still wanted.  ``taken`` is size times the passes,
-    ``position`` the time of its first reading (null if none).
+    ``positions`` the times of its readings, ``position`` and ``last_position``
+    the first and last of them (null if none).
     """
     key = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     sized = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.alias("_key"))
@@ -89,10 +91,19 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: fl
     again = F.when(F.col("_start") + F.col("size") / 2 < F.col("_rest"), 1).otherwise(0)
     out = out.withColumns({"_start": start, "_passes": passes}).withColumn("_rest", rest).withColumn("_reads", F.col("_passes") + again)
     out = out.withColumn("taken", (F.col("size") * F.col("_reads")).cast("long"))
-    first = F.when((F.col("_reads") > 0) & (F.col("target") > 0), due_time(F.col("_start") / F.col("target"), F.col("slope")))
-    last = F.when((F.col("_reads") > 0) & (F.col("target") > 0), due_time(((F.col("_reads") - 1) * F.col("source_size") + F.col("_start")) / F.col("target"), F.col("slope")))
-    out = out.withColumns({"position": first, "last_position": last})
-    return out.select("doc_id", "size", "source_size", "target", "taken", "position", "last_position").orderBy("position", "doc_id")
+    times = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("_reads").cast("long") - 1),
+        lambda k: due_time((k * F.col("source_size") + F.col("_start")) / F.col("target"), F.col("slope")),
+    )
+    out = out.withColumn("positions", F.when((F.col("_reads") > 0) & (F.col("target") > 0), times).otherwise(F.array().cast("array<double>")))
+    out = out.withColumns({"position": F.get("positions", F.lit(0)), "last_position": F.try_element_at("positions", F.lit(-1))})
+    return out.select("doc_id", "size", "source_size", "target", "taken", "positions", "position", "last_position").orderBy("position", "doc_id")
+
+
+def training_order(mixed: DataFrame) -> DataFrame:
+    """One row per reading of a mix: doc_id, size, position, reading (0, 1, ...), range-sorted by position."""
+    readings = mixed.select("doc_id", "size", F.posexplode("positions").alias("reading", "position"))
+    return readings.select("doc_id", "size", "position", "reading").orderBy("position", "doc_id", "reading")
 
 
 def due_time(part: F.Column, slope: F.Column) -> F.Column:
@@ -103,27 +114,35 @@ def due_time(part: F.Column, slope: F.Column) -> F.Column:
     return F.least(2 * p / ((1 + slope) + root), F.lit(1.0))
 
 
-#: The rows of op10 as DuckDB SQL: doc_id, size, source_size, target, taken.
+#: The rows of op10 as DuckDB SQL; positions are in billionths of the training time.
 ORACLE = r"""
 WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size, md5(doc_id::VARCHAR) AS k FROM documents),
 per AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS r FROM sized GROUP BY source),
 weighed AS (
-  SELECT source, source_size, 2.0::DOUBLE * source_size AS cap, [5.0::DOUBLE, 2.0, 1.0][(r % 3 + 1)::INT] AS w FROM per),
+  SELECT source, source_size, 2.0::DOUBLE * source_size AS cap, [5.0::DOUBLE, 2.0, 1.0][(r % 3 + 1)::INT] AS w, [0.6::DOUBLE, -0.6::DOUBLE, 0.0::DOUBLE][(r % 3 + 1)::INT] AS slope FROM per),
 fill AS (
-  SELECT 0 AS step, source, source_size, cap, w, false AS capped, 1.5::DOUBLE * sum(source_size) OVER () AS need FROM weighed
+  SELECT 0 AS step, source, source_size, cap, w, slope, false AS capped, 1.5::DOUBLE * sum(source_size) OVER () AS need FROM weighed
   UNION ALL
-  SELECT step + 1, source, source_size, cap, w, capped OR level * w > cap, need FROM (
+  SELECT step + 1, source, source_size, cap, w, slope, capped OR level * w > cap, need FROM (
     SELECT *, (need - coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0)) / sum(w) FILTER (WHERE NOT capped) OVER () AS level FROM fill) x
   WHERE step < 30),
 final AS (
-  SELECT source, source_size, CASE WHEN capped THEN cap ELSE w * (need - coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0)) / sum(w) FILTER (WHERE NOT capped) OVER () END AS target
+  SELECT source, source_size, slope, CASE WHEN capped THEN cap ELSE w * (need - coalesce(sum(cap) FILTER (WHERE capped) OVER (), 0)) / sum(w) FILTER (WHERE NOT capped) OVER () END AS target
   FROM fill WHERE step = 30),
 placed AS (
-  SELECT s.*, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM sized s),
+  SELECT s.*, coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized s),
 joined AS (
-  SELECT p.doc_id, p.size, f.source_size, f.target, p.start, CASE WHEN f.source_size > 0 THEN floor(f.target / f.source_size) ELSE 0 END AS passes
-  FROM placed p JOIN final f ON p.source IS NOT DISTINCT FROM f.source)
-SELECT doc_id, size, source_size, round(target, 4) AS target, (size * (passes + CASE WHEN start + size / 2.0 < target - passes * source_size THEN 1 ELSE 0 END))::BIGINT AS taken FROM joined
+  SELECT p.doc_id, p.size, f.source_size, f.target, f.slope, p.start, CASE WHEN f.source_size > 0 THEN floor(f.target / f.source_size) ELSE 0 END AS passes
+  FROM placed p JOIN final f ON p.source IS NOT DISTINCT FROM f.source),
+chosen AS (
+  SELECT *, (passes + CASE WHEN start + size / 2.0 < target - passes * source_size THEN 1 ELSE 0 END)::BIGINT AS reads FROM joined),
+timed AS (
+  SELECT *, list_transform(range(CASE WHEN target > 0 THEN reads ELSE 0 END),
+    lambda i: least(greatest((i * source_size + start)::DOUBLE / target, 0.0::DOUBLE), 1.0::DOUBLE)) AS parts FROM chosen),
+due AS (
+  SELECT *, list_transform(parts, lambda p: least(2 * p / ((1 + slope) + sqrt(greatest((1 + slope) * (1 + slope) - 4 * slope * p, 0.0::DOUBLE))), 1.0::DOUBLE)) AS times FROM timed)
+SELECT doc_id, size, source_size, round(target, 4) AS target, size * reads AS taken, round(times[1], 9) AS position, round(times[-1], 9) AS last_position,
+  coalesce(array_to_string(list_transform(times, lambda t: round(t * 1e9::DOUBLE)::BIGINT), ','), '') AS positions FROM due
 """

@@ -81,7 +81,12 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loadstone.llm.mixing import mix_sources
 
-    return mix_sources(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 4).alias("target"), "taken", F.round("position", 9).alias("position"), F.round("last_position", 9).alias("last_position"))
+    mixed = mix_sources(_read(spark, sf_dir, "documents"))
+    listed = F.array_join(F.transform("positions", lambda p: F.round(p * 1e9).cast("long").cast("string")), ",")
+    return mixed.select(
+        "doc_id", "size", "source_size", F.round("target", 4).alias("target"), "taken", F.round("position", 9).alias("position"),
+        F.round("last_position", 9).alias("last_position"), listed.alias("positions"),
+    )
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -357,6 +357,12 @@ def test_op10_targets(spark):
     for s, t in targets.items():
         assert t <= 2 * sizes[s] + 1e-6 and abs(taken[s] - t) <= 60
     assert [r.position for r in got if r.position is not None] == sorted(r.position for r in got if r.position is not None)
+    for r in got:
+        reads = len(r.positions)
+        assert (r.position, r.last_position) == ((r.positions[0], r.positions[-1]) if reads else (None, None))
+        assert r.taken == r["size"] * reads or r["size"] == 0
+    read = mixing.training_order(mixing.mix_sources(df, most=4.0, share=3.0)).collect()
+    assert [r.position for r in read] == sorted(r.position for r in read) and max(r.reading for r in read) >= 2
     assert mixing.mix_sources(df.limit(0)).count() == 0
 
 
