@@ -2,8 +2,9 @@
 
 Intermediate tables that several steps read are written as Parquet to the
 folder in ``spark.checkpoint.dir``: every executor sees it, so a lost executor
-costs only the tasks it was running.  The setting is read from the session;
-only where it is unset (tests, a laptop) a temporary folder takes its place.
+costs only the tasks it was running.  The setting is read from the session.
+Where it is unset a temporary folder takes its place if Spark runs in this
+process alone (tests, a laptop); on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
         found = conf.get("spark.checkpoint.dir", None)
         if found:
             return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = "file://" + tempfile.mkdtemp(prefix="loadstone-shared-")
     spark.conf.set("spark.checkpoint.dir", own)
     return own
@@ -38,13 +41,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a path made by :func:`new_path`."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+BUCKET_BYTES = 32 << 20  # of stored input to one packed bucket
 
 
-def n_buckets(spark: SparkSession) -> int:
-    """Buckets for packed hash partitioning; grows with the shuffle setting."""
-    return max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files below ``df`` as the planner estimates them; None if it cannot tell."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 55 else None
+
+
+def n_buckets(df: DataFrame) -> int:
+    """Buckets for packed hash partitioning of ``df``: one for ``BUCKET_BYTES``
+    of input, so what one group holds does not grow with the data; two for each
+    shuffle partition at least."""
+    least = max(64, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(least, -(-(input_bytes(df) or 0) // BUCKET_BYTES))

@@ -22,17 +22,22 @@ different ``l`` for A and B they share the smaller number.
 4. *Dense nodes*, whose prefix has ``l`` or more heavy tokens even so, are not
    found by (2).  Each shared token is owned by the least node that has it; a
    node goes to the few owners that own most of its tokens, so a large group of
-   near copies meets at one owner, block against block.  There shared tokens
-   are counted in memory, and only pairs that join components are told, never
-   the pairs of a group.
+   near copies meets at one owner.  A group that is one component already is
+   done; of another only the members outside its largest component are compared,
+   with blocks of all members.  There shared tokens are counted in memory, by
+   all 64 bits, and only pairs that join components are told, never the pairs
+   of a group.
 
-Tokens that are common inside one Arrow batch are counted there and only one
-entry goes on, so a bucket never gets all entries of a token that a third of
-all documents share.
+Tokens that are common inside one Arrow batch are counted there, and against a
+pivot of the batch, and only one entry goes on, so in passes 1 and 2 a bucket
+never gets all entries of a token that a third of all documents share.
 
 Defined results: null, empty and blank texts have an empty set, link with
 nothing and are their own component; repeated rows give repeated output rows;
-a null doc_id is kept, as a component by itself; extra columns are ignored.
+rows of one doc_id with different texts are one component only if links join
+them, and each has the least doc_id it reaches; a row without doc_id is kept,
+with null as its component, and is linked with nothing; extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -53,7 +58,7 @@ HEAVY = 48  # a token of more nodes makes no pairs by itself
 LOCAL = 64  # a token of more nodes of one batch is heavy, and is thinned there
 TIERS = (0.10, 0.25, 0.50, 0.75)
 LEFT = 0.37  # of a set's size, at most, outside the families a dense node is sent to
-FAMILY = 10_000  # members of a family that are compared in one task; larger families are cut in blocks
+FAMILY = 512  # members of a block: a family is compared block by block
 
 
 def at_least(n):
@@ -80,22 +85,23 @@ def node_id(values: np.ndarray) -> int:
 
 
 def document_nodes(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, node) of each row of docs (doc_id, text)."""
+    """(doc_id, text_hash, n_shingles, node) of each row of docs (doc_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, nodes = [], []
-            for values in shingle_sets(batch.column(1), width):
+            for values in shingle_sets(batch.column(2), width):
                 sizes.append(len(values))
                 nodes.append(node_id(values))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=["doc_id", "n_shingles", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], names=["doc_id", "text_hash", "n_shingles", "node"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
+    return docs.select("doc_id", F.xxhash64("text"), "text").mapInArrow(run, f"doc_id {kind}, text_hash long, n_shingles long, node long")
 
 
 _ENTRY = np.dtype([("token", "<u4"), ("node", "<i8"), ("n", "<i4"), ("l", "<i4"), ("heat", "<u2"), ("hot", "<u1"), ("dense", "<u1"), ("part", "<i8")])
 _SHORT = np.dtype([("token", "<u4"), ("node", "<i8"), ("hot", "<u1")])
+_FULL = np.dtype([("token", "<u8"), ("node", "<i8")])
 
 
 def _columns(entries: np.ndarray) -> bytes:
@@ -213,7 +219,11 @@ def _choose(n: np.ndarray, heavy: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _send_prefixes(buckets: int, width: int):
-    """mapInArrow function over (node, text, n, heavy, part, dense)."""
+    """mapInArrow function over (node, text, n, heavy, part, dense).
+
+    A token of more than LOCAL nodes of the batch is heavy for certain: its
+    pairs with a pivot are made here, and only the pivot's entry goes on.
+    """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,11 +238,53 @@ def _send_prefixes(buckets: int, width: int):
             entries["token"] = flat.astype(np.uint32)
             for name, column in (("node", node), ("n", n), ("l", l), ("heat", heat), ("part", part), ("dense", dense)):
                 entries[name] = np.repeat(column, sizes)
-            yield _deal(flat, entries, buckets)
+            order = np.argsort(flat, kind="stable")
+            flat, entries = flat[order], entries[order]
+            starts, sizes = _runs(flat)
+            hot = sizes > LOCAL
+            keep, local = np.repeat(~hot, sizes), []
+            for at, size in zip(starts[hot], sizes[hot], strict=True):
+                pivot = at + int(np.lexsort((entries["node"][at : at + size], -entries["heat"][at : at + size].astype(np.int32)))[0])
+                keep[pivot] = True
+                entries["hot"][pivot] = 1
+                mine = entries[at : at + size]
+                others = mine[_close_in_size(mine, entries[pivot]) & (mine["node"] != entries["node"][pivot])]
+                local += [_pairs(np.repeat(entries[pivot : pivot + 1], len(others)), others, 1), _heavy_counts(mine["node"][mine["node"] != entries["node"][pivot]])]
+            out = _deal(flat[keep], entries[keep], buckets)
+            held = _pack_pairs(local)
+            packed = [held if k == int(node[0]) % out.num_rows else b"" for k in range(out.num_rows)]
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(packed, pa.binary())], names=["bucket", "entries", "pairs"])
 
     return send
 
 
+def _heavy_counts(nodes: np.ndarray) -> dict[str, np.ndarray]:
+    """Pairs of kind 2: (node, node) with its number of heavy tokens."""
+    keys, count = _sum_by(nodes, np.ones(len(nodes)))
+    return {"a": keys, "b": keys, "hits": count, "need": np.zeros(len(keys), np.int64), "kind": np.full(len(keys), 2, np.int32)}
+
+
+_PAIR_FIELDS = (("a", pa.int64()), ("b", pa.int64()), ("hits", pa.int64()), ("need", pa.int64()), ("kind", pa.int32()))
+
+
+def _summed(found: list[dict[str, np.ndarray]]) -> np.ndarray:
+    """Pairs as rows (a, b, hits, need, kind), one for each (a, b, kind)."""
+    rows = np.stack([np.concatenate([f[c] for f in found]).astype(np.int64) for c, _ in _PAIR_FIELDS]) if found else np.zeros((5, 0), np.int64)
+    rows = rows[:, np.lexsort((rows[4], rows[1], rows[0]))]
+    new = np.ones(rows.shape[1], dtype=bool)
+    new[1:] = (rows[[0, 1, 4], 1:] != rows[[0, 1, 4], :-1]).any(axis=0)
+    at = np.flatnonzero(new)
+    if len(at):
+        hits = np.add.reduceat(rows[2], at)
+        rows = rows[:, at]
+        rows[2] = hits
+    return rows
+
+
+def _pack_pairs(found: list[dict[str, np.ndarray]]) -> bytes:
+    return _summed(found).tobytes()
+
+
 def _open(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     entries = np.concatenate([_from_columns(x.as_py(), _ENTRY) for x in table.column("entries")])
     entries = entries[np.argsort(entries["token"], kind="stable")]
@@ -263,8 +315,9 @@ def _candidates(table: pa.Table) -> pa.Table:
     """kind 0: pairs of light lists; 1: heavy lists against their pivot;
     2: (node, node) with the heavy tokens of the node as hits."""
     entries, starts, sizes = _open(table)
+    hot = np.maximum.reduceat(entries["hot"], starts) > 0 if len(starts) else np.zeros(0, dtype=bool)
     found = []
-    light = (sizes > 1) & (sizes <= HEAVY)
+    light = (sizes > 1) & (sizes <= HEAVY) & ~hot
     for size in np.unique(sizes[light]):
         at = starts[light & (sizes == size)]
         i, j = np.triu_indices(size, 1)
@@ -273,18 +326,18 @@ def _candidates(table: pa.Table) -> pa.Table:
             a, b = entries[(at[k : k + step, None] + i).ravel()], entries[(at[k : k + step, None] + j).ravel()]
             ok = _close_in_size(a, b)
             found.append(_pairs(a[ok], b[ok], 0))
-    heavy = np.flatnonzero(sizes > HEAVY)
-    for k in heavy:
+    for k in np.flatnonzero((sizes > HEAVY) | hot):
         part = entries[starts[k] : starts[k] + sizes[k]]
         pivot = part[np.lexsort((part["node"], -part["heat"].astype(np.int32)))[:1]]
         others = part[_close_in_size(part, pivot) & (part["node"] != pivot["node"])]
         found.append(_pairs(np.repeat(pivot, len(others)), others, 1))
-    if len(heavy):
-        nodes, count = _sum_by(entries["node"][np.repeat(sizes > HEAVY, sizes)], np.ones(int(sizes[heavy].sum())))
-        found.append({"a": nodes, "b": nodes, "hits": count, "need": np.zeros(len(nodes), np.int64), "kind": np.full(len(nodes), 2, np.int32)})
-    names = ("a", "b", "hits", "need", "kind")
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32())
-    return pa.table({c: pa.array(np.concatenate([f[c] for f in found]) if found else [], t) for c, t in zip(names, kinds, strict=True)})
+        found.append(_heavy_counts(part["node"]))
+    for raw in (x.as_py() for x in table.column("pairs")):
+        if raw:
+            rows = np.frombuffer(raw, dtype=np.int64).reshape(5, -1)
+            found.append({c: rows[i] for i, (c, _) in enumerate(_PAIR_FIELDS)})
+    rows = _summed(found)
+    return pa.table({c: pa.array(rows[i], t) if t == pa.int64() else pa.array(rows[i].astype(np.int32), t) for i, (c, t) in enumerate(_PAIR_FIELDS)})
 
 
 def _send_all(buckets: int, width: int):
@@ -296,21 +349,21 @@ def _send_all(buckets: int, width: int):
                 part = batch.slice(first, 2048)
                 tokens = list(shingle_sets(part.column(1), width))
                 flat = np.concatenate(tokens)
-                entries = np.zeros(len(flat), dtype=_SHORT)
-                entries["token"] = flat.astype(np.uint32)
+                entries = np.zeros(len(flat), dtype=_FULL)
+                entries["token"] = flat
                 entries["node"] = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(t) for t in tokens])
                 yield _deal(flat, entries, buckets)
 
     return send
 
 
-_OWNED = np.dtype([("token", "<u4"), ("owner", "<i8")])
+_OWNED = np.dtype([("token", "<u8"), ("owner", "<i8")])
 
 
 def _owners(table: pa.Table) -> pa.Table:
     """Per node of a bucket: its tokens that other nodes have, each with its
     owner, the least node that has it."""
-    entries = np.concatenate([_from_columns(x.as_py(), _SHORT) for x in table.column("entries")])
+    entries = np.concatenate([_from_columns(x.as_py(), _FULL) for x in table.column("entries")])
     entries = entries[np.lexsort((entries["node"], entries["token"]))]
     starts, sizes = _runs(entries["token"])
     keep = np.repeat(sizes, sizes) > 1
@@ -351,26 +404,29 @@ def _to_families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _link_family(table: pa.Table) -> pa.Table:
-    """Pairs of members, one dense and in different components, that link by
-    their shared tokens: as many as join the components, and no more.
+    """Pairs (member, other) of a block, one dense and in different components, that
+    link by their shared tokens: as many as join the components, and no more.
 
-    Shared tokens are counted through an index in memory; 32-bit tokens can
-    only add to the count, and the pairs told are verified again.
+    Rows with ``other`` are what is compared with the rest.  Shared tokens are
+    counted exactly, so a merge here is a link and hides none.
     """
-    node, n, part, dense = (table.column(c).to_numpy() for c in ("node", "n", "part", "dense"))
+    node, n, part, dense, other = (table.column(c).to_numpy() for c in ("node", "n", "part", "dense", "other"))
     _, part = np.unique(part, return_inverse=True)
     found: list[tuple[int, int]] = []
-    if part.max(initial=0) > 0 and dense.any():
-        sets = [np.frombuffer(x.as_py(), dtype=np.uint32) for x in table.column("tokens")]
-        flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    rest, ask = np.flatnonzero(other == 0), np.flatnonzero(other == 1)
+    if len(rest) and len(ask) and part.max() > 0 and dense.any():
+        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in table.column("tokens")]
+        flat, owner = np.concatenate([sets[i] for i in rest]), np.repeat(rest, [len(sets[i]) for i in rest])
         order = np.argsort(flat, kind="stable")
         flat, owner = flat[order], owner[order]
-        for z in np.flatnonzero(dense):
+        for z in ask:
+            if (part[rest] == part[z]).all():
+                continue
             begin, end = np.searchsorted(flat, sets[z], "left"), np.searchsorted(flat, sets[z], "right")
             reps = end - begin
             at = np.repeat(begin, reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
             shared = np.bincount(owner[at], minlength=len(sets))
-            links = (100 * shared >= 75 * (n + n[z] - shared)) & (part != part[z])
+            links = (other == 0) & ((dense > 0) | (dense[z] > 0)) & (100 * shared >= 75 * (n + n[z] - shared)) & (part != part[z])
             for y in np.flatnonzero(links):
                 if part[y] != part[z]:
                     found.append((int(node[z]), int(node[y])))
@@ -379,6 +435,29 @@ def _link_family(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
 
 
+def dealt_families(members: DataFrame) -> DataFrame:
+    """Members of families in blocks: columns of members, ``other`` and ``block``.
+
+    Every pair of which one member is outside the family's largest component
+    meets in one block.  A family of one component is left out; where few
+    members are outside, every other member is in one block only.
+    """
+    parts = members.groupBy("family", "part").agg(F.count("*").alias("_size"), F.max("dense").alias("_dense"))
+    families = parts.groupBy("family").agg(F.sum("_size").alias("_all"), F.max(F.struct("_size", "part")).alias("_top"), F.max("_dense").alias("_dense"), F.count("*").alias("_parts"))
+    families = families.where("_parts > 1 and _dense = 1").select(
+        "family", F.col("_top.part").alias("_main"), F.ceil(F.col("_all") / FAMILY).cast("int").alias("_blocks"),
+        F.ceil((F.col("_all") - F.col("_top._size")) / FAMILY).cast("int").alias("_asks"),
+    )
+    joined = members.join(families, "family")
+    own = lambda count: F.pmod(F.xxhash64("node"), F.col(count)).cast("int")
+    each = lambda count, f: F.transform(F.sequence(F.lit(0), F.col(count) - 1), f)
+    place = lambda other, i, j: F.struct(F.lit(other).alias("other"), F.xxhash64("family", i, j).alias("block"))
+    asked = F.when(F.col("part") != F.col("_main"), each("_blocks", lambda j: place(1, own("_asks"), j)))
+    held = each("_asks", lambda i: place(0, i, own("_blocks")))
+    places = F.concat(held, F.coalesce(asked, F.slice(held, 1, 0)))
+    return joined.withColumn("_at", F.explode(places)).select("node", "n", "part", "dense", "tokens", "_at.other", "_at.block")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, width: int = 5) -> DataFrame:
     """The pairs (a, b) whose sets link, by their exact shared and joint sizes."""
 
@@ -416,24 +495,24 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     component_id is the least doc_id reachable by links; class_id the least
     doc_id of documents with the same set.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    buckets = n_buckets(spark)
+    buckets = n_buckets(docs)
     nodes = stored(document_nodes(docs, width), "nodes")
-    classes = nodes.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"))
+    classes = nodes.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("_least"), F.first("n_shingles").alias("n"))
+    classes = classes.select("node", F.col("_least.doc_id").alias("class_id"), F.col("_least.text_hash").alias("text_hash"), "n")
 
     # 1: what can have a partner at all
     n = F.col("n")
     first_l = lambda x: F.greatest(F.ceil(x * TIERS[0] - 1e-9), F.lit(1))
     fewest = F.least(first_l(n), first_l(F.floor((3 * n + 3) / 4)))
-    alive = shared_tokens(docs, buckets, width).join(classes, "node").where(F.col("shared") >= fewest)
-    alive = alive.where(F.col("class_id").isNotNull()).select("node", "class_id", "n", "heavy")
-    texts = docs.join(alive, docs["doc_id"] == alive["class_id"]).select("node", "text", "n", "heavy")
-    texts = stored(texts.dropDuplicates(["node"]), "texts")
+    named = docs.where(F.col("doc_id").isNotNull())
+    alive = shared_tokens(named, buckets, width).join(classes, "node").where(F.col("shared") >= fewest)
+    texts = named.withColumn("text_hash", F.xxhash64("text")).join(alive.withColumnRenamed("class_id", "doc_id"), ["doc_id", "text_hash"])
+    texts = stored(texts.select("node", "text", "n", "heavy").dropDuplicates(["node"]), "texts")
 
     # 2: candidates
     plain = texts.select("node", "text", "n", "heavy", F.lit(0).cast("long").alias("part"), F.lit(0).alias("dense"))
-    sent = plain.mapInArrow(_send_prefixes(buckets, width), "bucket int, entries binary")
+    sent = plain.mapInArrow(_send_prefixes(buckets, width), "bucket int, entries binary, pairs binary")
     raw = sent.groupBy("bucket").applyInArrow(_candidates, _PAIRS).groupBy("a", "b", "kind").agg(F.sum("hits").alias("hits"), F.first("need").alias("need"))
     raw = stored(raw, "candidates")
     heavy = raw.where("kind = 2").select(F.col("a").alias("_node"), F.col("hits").alias("_heavy"))
@@ -466,11 +545,7 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
         owned = owned.groupBy("node").agg(F.collect_list("owned").alias("owned"))
         members = near.drop("text").join(owned, "node").select("node", "n", "part", "dense", "owned").mapInArrow(_to_families, "family long, node long, n long, part long, dense int, tokens binary")
         members = stored(members, "members")
-        blocks = members.groupBy("family").agg((F.ceil(F.count("*") / FAMILY)).cast("int").alias("_blocks"), F.max("dense").alias("_dense")).where("_dense = 1").drop("_dense")
-        dealt = members.join(blocks, "family").withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
-        dealt = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-        dealt = dealt.withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")})
-        left = dealt.select("family", "_i", "_j", "node", "n", "part", "dense", "tokens").groupBy("family", "_i", "_j").applyInArrow(_link_family, "a long, b long").distinct()
+        left = dealt_families(members).groupBy("block").applyInArrow(_link_family, "a long, b long").distinct()
         more = stored(verified(left, texts, width), "links")
         if not more.isEmpty():
             parts = stored(components(links.union(more)), "parts")
@@ -478,8 +553,11 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     least = parts.join(classes.select("node", "class_id"), "node").groupBy("root").agg(F.min("class_id").alias("_least"))
     named = parts.join(least, "root").select("node", "_least")
     out = nodes.join(classes.select("node", "class_id"), "node", "left").join(named, "node", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("_least", "class_id", "doc_id")).alias("component_id"),
-                      F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.coalesce("class_id", "doc_id")).alias("class_id"))
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    return out.select(
+        "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.coalesce("_least", "class_id", "doc_id")).alias("component_id"),
+        F.when(alone, F.col("doc_id")).otherwise(F.coalesce("class_id", "doc_id")).alias("class_id"),
+    )
 
 
 def _l_column(n, heavy):

@@ -84,6 +84,56 @@ def test_op1_components(spark):
     assert near.jaccard_components(df.limit(0)).count() == 0
 
 
+def near_rows(rng, n):
+    """Rows of few words with clashing and null ids, copies and near copies."""
+    base = [[f"{c}{k}" for k in range(rng.choice([4, 7, 20, 40]))] for c in "abcdefgh"]
+    rows = []
+    for i in range(n):
+        w = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2])):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(30)}"
+        rows.append((rng.choice([i, i, i, rng.randrange(n), None]), rng.choice([str, str.upper])(" ".join(w[: rng.choice([3, 50, 50])]))))
+    return rows
+
+
+def brute_rows(rows):
+    """(doc_id, shingles, component) of each row; rows, not ids, are what links join."""
+    found = brute_components([(k, t) if i is not None else (None, t) for k, (i, t) in enumerate(rows)])
+    least = {}
+    for k, (_, top) in found.items():
+        least[top] = min(least.get(top, rows[k][0]), rows[k][0])
+    return sorted(((i, len(shingle_set(t)), None if i is None else i if not shingle_set(t) else least[found[k][1]]) for k, (i, t) in enumerate(rows)), key=str)
+
+
+def test_op1_clashing_and_null_ids(spark):
+    word = lambda c, n: " ".join(f"{c}{k}" for k in range(n))
+    rows = [(7, word("a", 40)), (7, word("b", 40)), (8, word("a", 41)), (9, word("b", 41)), (5, word("c", 9)), (None, word("c", 9)), (None, word("c", 9))]
+    for seed in (None, 1, 2):
+        made = rows if seed is None else near_rows(random.Random(seed), 150)
+        got = near.jaccard_components(spark.createDataFrame(made, "doc_id long, text string").repartition(3)).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_rows(made)
+
+
+def test_op1_hot_tokens_and_families(spark, monkeypatch):
+    """With small limits all paths are taken: thinned tokens, dense nodes, families in blocks."""
+    for name, value in (("HEAVY", 6), ("LOCAL", 9), ("FAMILY", 25)):
+        monkeypatch.setattr(near, name, value)
+    rows = dense_rows(5)
+    got = near.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
+def test_op1_families_are_dealt_in_blocks(spark):
+    """Pairs with a member outside the largest component meet once; a family of one component is left out."""
+    rows = [(1, k, 10, 0 if k < 700 else k, 1, b"") for k in range(703)] + [(2, k, 10, 5, 1, b"") for k in range(900)]
+    members = spark.createDataFrame(rows, "family long, node long, n long, part long, dense int, tokens binary")
+    blocks = collections.defaultdict(lambda: ([], []))
+    for r in near.dealt_families(members).collect():
+        blocks[r.block][r.other].append(r.node)
+    met = collections.Counter((z, y) for held, asked in blocks.values() for z in asked for y in held)
+    assert met == {(z, y): 1 for z in (700, 701, 702) for y in range(703)}
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -298,7 +348,10 @@ def test_op8_passages(spark):
     got = {r.doc_id: r for r in substrings.dedup_substrings(df).collect()}
     assert len(got) == len(rows)
     changed = {i for i, r in got.items() if r.removed_bytes}
-    assert changed == {2, 3} and got[2].held_by == [1] and passage not in got[2].text
+    assert changed == {2, 3, 9} and got[2].held_by == [1] and passage not in got[2].text
+    words = dict(rows)[9].split()
+    assert got[9].held_by == [9] and got[9].text.split()[:30] == words[:30]  # it repeats itself
+    assert all(set(got[i].text.split()) <= set(dict(rows)[i].split()) for i in changed)  # no word is cut, no two are joined
     for i, t in rows:
         if i not in changed:
             assert got[i].text == t
@@ -317,12 +370,63 @@ def test_op8_spans_are_in_one_earlier_document(spark, sf):
     for r in substrings.dedup_substrings(docs).where("removed_bytes > 0").collect():
         for s in r.removed_spans:
             passage = old[r.doc_id][s.start : s.end]
-            assert any(h < r.doc_id and passage in old[h] for h in r.held_by)
+            assert any(h < r.doc_id and passage in old[h] for h in r.held_by) or (r.doc_id in r.held_by and old[r.doc_id].find(passage) < s.start)
             n += 1
         assert r.doc_id != 10**9  # no piece of nine words is a passage
     assert n > 50
 
 
+def repeating_rows(rng):
+    """Documents with passages that others hold, and that they hold several times themselves."""
+    fresh = lambda n: [f"r{rng.randrange(10**9)}é" for _ in range(n)]
+    passages = [[f"p{k}x{rng.randrange(10**6)}" for _ in range(rng.choice([55, 60, 90]))] for k in range(12)]
+    rows, planted = [], []
+    for i in range(150):
+        words = fresh(rng.randrange(5, 60))
+        for _ in range(rng.choice([0, 0, 1, 2, 4])):
+            k = rng.randrange(12)
+            planted.append((i, k))
+            words += passages[k] + fresh(rng.randrange(4, 30))
+        rows.append((i, " ".join(words)))
+    rows += [(200, rows[7][1]), (201, rows[7][1]), (7, rows[7][1])]
+    return rows, passages, planted
+
+
+def test_op8_does_not_depend_on_partitions(spark):
+    """One result for any layout: that of a table of all groups in one dictionary."""
+    rng = random.Random(8)
+    rows, passages, planted = repeating_rows(rng)
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    facts = [sorted((r.doc_id, r.text, tuple(r.held_by), tuple(map(tuple, r.removed_spans))) for r in substrings.dedup_substrings(df.repartition(n)).collect()) for n in (1, 2, 7, 50)]
+    assert facts[0] == facts[1] == facts[2] == facts[3]
+
+    cut, owner = {}, {}
+    for i, t in sorted(rows):
+        data, offsets = textnum.buffers(pa.array([t]))
+        starts, ends, first, head, tail, digest, _ = substrings.groups(data, offsets, substrings.MIN_WORDS)
+        cut[i, t] = (data, starts, ends, list(zip(digest.tolist(), head.tolist(), tail.tolist(), strict=True)))
+        for d, h, _ in cut[i, t][3]:
+            owner[d] = min(owner.get(d, (i, h)), (i, h))
+    for (i, t, held, spans) in facts[0]:
+        text = next(x for j, x in rows if j == i)
+        data, starts, ends, found = cut[i, text]
+        kept = [(h, e, *owner[d]) for d, h, e in found if owner[d][0] != i or h > owner[d][1] + e - h]
+        expected = substrings.held_spans(data, starts, ends, tuple(np.array(x) for x in zip(*kept, strict=True))) if kept else []
+        assert [(a, b) for a, b, _ in expected] == list(spans) and sorted({o for _, _, o in expected}) == list(held)
+
+    # by words alone: all but the first copy of each passage lose 97 % of it
+    left = collections.Counter()
+    for _, t, _, _ in facts[0]:
+        w = t.split()
+        left.update({x: w.count(x) for x in set(w) if x.startswith("p")})
+    copies = sum(len(passages[k]) for i, k in planted for _ in range({7: 4}.get(i, 1)))
+    once = sum(len(passages[k]) for k in {k for _, k in planted})
+    # rows (7, ...) twice are one document; 200 and 201 are copies
+    gone = 1 - (sum(left.values()) - once) / (copies - once)
+    assert gone > 0.9 and all(left[x] >= 1 for _, k in planted for x in passages[k])
+
+
 def test_op9_pages(spark, sf):
     pages = spark.read.parquet(f"{sf}/pages.parquet")
     rates = htmltext.fit(pages)
