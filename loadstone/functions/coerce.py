@@ -4,14 +4,22 @@ Every function takes the value's text and its JSON kind (``string``,
 ``number``, ``boolean``, ``object``, ``array`` or ``null``) and gives a struct
 ``(value, code, reason)``: code 0004 if the kind does not fit the type, 0030 if
 the text does not, null if all is well.  A null value is null without error.
-Everything stays inside whole-stage code generation: there is no Python UDF.
+
+There is no Python UDF.  A rule yields what it uses more than once and goes on
+with the value it is given back, so nothing is computed twice.  Called as a
+function it is one expression, in which such parts are bound by lambdas, which
+Spark interprets; that is for values inside arrays and maps.  For columns there
+is :func:`coerced`: each part is a column of a projection of its own, level by
+level for all rules at once, so there is no lambda, methods stay small and all
+is generated code.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Generator
+from functools import wraps
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,63 +31,105 @@ TRUE_WORDS = ("1", "yes", "y", "t", "true", "on")
 FALSE_WORDS = ("0", "no", "n", "f", "false", "off")
 YEARS_1000 = 31_536_000_000
 
-_SPACE = r"^[\x00-\x20]+|[\x00-\x20]+$"
-_DATE_TIME = r"^(\d{4}-\d{2}-\d{2})(?:[Tt](\d{2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?(Z|z|[+-]\d{2}:\d{2})?(?:\[[^\]]+\])?)?$"
-_TIME = r"^(\d{2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?(?:Z|z|[+-]\d{2}:\d{2})?$"
+_BLANKS = "".join(map(chr, range(33)))
+_DATE_TIME = r"^\d{4}-\d{2}-\d{2}(?:[Tt]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|z|[+-]\d{2}:\d{2})?(?:\[[^\]]+\])?)?$"
+_OFFSET = r"(?:Z|z|[+-]\d{2}:\d{2})?(?:\[[^\]]+\])?$"
+_TIME = r"^\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|z|[+-]\d{2}:\d{2})?$"
 _INTEGER = r"^[+-]?\d+$"
 
+Parts = Generator[Column, Column, Column]
+
+
+def rule(parts: Callable[..., Parts]) -> Callable[..., Column]:
+    """A rule as a function of columns; its generator of parts is ``.parts``."""
+
+    @wraps(parts)
+    def whole(*args, **kwargs) -> Column:
+        steps = parts(*args, **kwargs)
+
+        def go_on(value: Column | None) -> Column:
+            try:
+                part = steps.send(value)
+            except StopIteration as end:
+                return end.value
+            return F.transform(F.array(part), go_on)[0]
+
+        return go_on(None)
+
+    whole.parts = parts
+    return whole
+
+
+def coerced(df: DataFrame, rules: dict[str, Parts], prefix: str = "_b") -> DataFrame:
+    """df with a column per rule (``C.date.parts(text, kind)`` and so on)."""
+    last, names = {}, []
+    live = [(name, steps, None) for name, steps in rules.items()]
+    while live:
+        level, going = {}, []
+        for name, steps, value in live:
+            try:
+                part = steps.send(value)
+            except StopIteration as end:
+                last[name] = end.value
+                continue
+            own = f"{prefix}{len(names) + len(level)}"
+            level[own] = part
+            going.append((name, steps, F.col(own)))
+        if level:
+            df = df.withColumns(level)
+        names += level
+        live = going
+    return df.withColumns(last).drop(*names)
+
 
 def trimmed(text: Column) -> Column:
     """Without blanks and control characters at the ends (F.trim keeps tabs)."""
-    return F.regexp_replace(text, _SPACE, "")
+    return F.btrim(text, F.lit(_BLANKS))
 
 
 def result(value: Column, kind: Column, kinds: tuple[str, ...], what: str, reason: Column | None = None) -> Column:
     """(value, code, reason): an error where a value of a fitting kind came to nothing."""
-    fits = kind.isin(*kinds)
     given = kind.isNotNull() & (kind != "null")
-    code = F.when(given & ~fits, F.lit(BAD_TYPE)).when(given & (value.isNull() if reason is None else reason.isNotNull()), F.lit(BAD_VALUE))
-    told = F.when(given & ~fits, F.concat(F.lit(f"{what} cannot be made from "), kind)).when(given & (value.isNull() if reason is None else reason.isNotNull()), F.lit(f"not a valid {what}") if reason is None else reason)
-    return F.struct(F.when(code.isNull() & given, value).alias("value"), code.alias("code"), told.alias("reason"))
-
-
-def let(x: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of a value that is computed once: keeps expressions that use an
-    intermediate many times from growing with every use."""
-    return F.transform(F.array(x), body)[0]
+    unfit = given & ~kind.isin(*kinds)
+    wrong = given & (value.isNull() if reason is None else reason.isNotNull())
+    told = F.when(unfit, F.concat(F.lit(f"{what} cannot be made from "), kind)).when(wrong, F.lit(f"not a valid {what}") if reason is None else reason)
+    return F.struct(F.when(given & ~unfit & ~wrong, value).alias("value"), F.when(unfit, F.lit(BAD_TYPE)).when(wrong, F.lit(BAD_VALUE)).alias("code"), told.alias("reason"))
 
 
 # --- booleans and numbers --------------------------------------------------
 
 
-def boolean(text: Column, kind: Column) -> Column:
-    """COER1: words case-free and trimmed; numbers are true unless zero."""
-    word = F.lower(trimmed(text))
+@rule
+def boolean(text: Column, kind: Column) -> Parts:
+    """COER1: twelve words, case-free and trimmed; numbers are true unless they are zero, however small."""
+    word = yield F.lower(trimmed(text))
     from_text = F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
-    number = text.try_cast("double") != 0
-    value = F.when(kind == "boolean", word == "true").when(kind == "number", number).otherwise(
-        F.coalesce(from_text, F.when(trimmed(text).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), trimmed(text).try_cast("double") != 0)))
+    value = yield F.when(kind == "boolean", word == "true").when(kind == "number", word.rlike("^[^e]*[1-9]")).otherwise(from_text)
     return result(value, kind, ("boolean", "number", "string"), "boolean")
 
 
-def decimal(text: Column, kind: Column, precision: int = 38, scale: int = 0) -> Column:
+@rule
+def decimal(text: Column, kind: Column, precision: int = 38, scale: int = 0) -> Parts:
     """COER2, COER3: rounded half up to the scale first, then checked against the range."""
-    return result(trimmed(text).try_cast(T.DecimalType(precision, scale)), kind, ("number", "string"), f"number({precision},{scale})")
+    return result((yield trimmed(text).try_cast(T.DecimalType(precision, scale))), kind, ("number", "string"), f"number({precision},{scale})")
 
 
-def double(text: Column, kind: Column) -> Column:
+@rule
+def double(text: Column, kind: Column) -> Parts:
     """COER4: also nan, inf and -inf in any case."""
-    return result(trimmed(text).try_cast("double"), kind, ("number", "string"), "double")
+    return result((yield trimmed(text).try_cast("double")), kind, ("number", "string"), "double")
 
 
-def float32(text: Column, kind: Column) -> Column:
+@rule
+def float32(text: Column, kind: Column) -> Parts:
     """COER5: as double, then narrowed."""
-    return result(trimmed(text).try_cast("double").cast("float"), kind, ("number", "string"), "float")
+    return result((yield trimmed(text).try_cast("double").cast("float")), kind, ("number", "string"), "float")
 
 
-def integer(text: Column, kind: Column, to: str = "int") -> Column:
+@rule
+def integer(text: Column, kind: Column, to: str = "int") -> Parts:
     """COER6, COER7: one rounding half up to an integer, then the exact range of ``int`` or ``bigint``."""
-    return result(trimmed(text).try_cast("decimal(38,0)").try_cast(to), kind, ("number", "string"), to)
+    return result((yield trimmed(text).try_cast("decimal(38,0)").try_cast(to)), kind, ("number", "string"), to)
 
 
 # --- text and bytes ----------------------------------------------------------
@@ -92,19 +142,21 @@ def plain_number(text: Column) -> Column:
     return F.coalesce(F.when(text.rlike(r"[eE.]"), F.coalesce(plain, F.when(text.rlike("[eE]"), trimmed(text).try_cast("decimal(38,0)").cast("string")))), text)
 
 
-def string(text: Column, kind: Column, max_chars: int | None = None, max_bytes: int = 16 * 1024 * 1024) -> Column:
+@rule
+def string(text: Column, kind: Column, max_chars: int | None = None, max_bytes: int = 16 * 1024 * 1024) -> Parts:
     """COER8, COER9, COER10: not trimmed; numbers plain; limits in code points and UTF-8 bytes."""
-    value = F.when(kind == "number", plain_number(text)).when(kind == "boolean", F.lower(text)).otherwise(text)
+    value = yield F.when(kind == "number", plain_number(text)).when(kind == "boolean", F.lower(text)).otherwise(text)
     reason = F.when(~F.is_valid_utf8(value), F.lit("not valid UTF-8")).when(F.octet_length(value) > max_bytes, F.lit(f"longer than {max_bytes} bytes"))
     if max_chars is not None:
         reason = reason.when(F.length(value) > max_chars, F.lit(f"longer than {max_chars} characters"))
     return result(value, kind, ("string", "number", "boolean"), "string", reason)
 
 
-def binary(text: Column, kind: Column, max_bytes: int = 8 * 1024 * 1024, exact_bytes: int | None = None) -> Column:
+@rule
+def binary(text: Column, kind: Column, max_bytes: int = 8 * 1024 * 1024, exact_bytes: int | None = None) -> Parts:
     """COER11, COER12: hexadecimal with an even number of digits."""
-    digits = trimmed(text)
-    value = F.when(digits.rlike("^([0-9A-Fa-f]{2})*$"), F.unhex(digits))
+    digits = yield trimmed(text)
+    value = yield F.when(digits.rlike("^([0-9A-Fa-f]{2})*$"), F.unhex(digits))
     reason = F.when(value.isNull(), F.lit("not hexadecimal")).when(F.octet_length(value) > max_bytes, F.lit(f"longer than {max_bytes} bytes"))
     if exact_bytes is not None:
         reason = reason.when(F.octet_length(value) != exact_bytes, F.lit(f"not {exact_bytes} bytes long"))
@@ -114,94 +166,89 @@ def binary(text: Column, kind: Column, max_bytes: int = 8 * 1024 * 1024, exact_b
 # --- dates and times ----------------------------------------------------------
 
 
-def epoch_guess(text: Column) -> Column:
+@rule
+def epoch_guess(text: Column) -> Parts:
     """COER17: (epoch_s, nanos) of an integer: seconds under a thousand years, else ms, µs, ns."""
-    v = trimmed(text).try_cast("decimal(38,0)")
+    v = yield F.when(text.rlike(r"^[\x00-\x20]*[+-]?\d+[\x00-\x20]*$"), trimmed(text).try_cast("decimal(38,0)"))
     bound = lambda k: F.abs(v) < F.lit(YEARS_1000 * 10**k).cast("decimal(38,0)")
+    # 10**9 parts of a unit: the whole seconds are what is left after the digits below them
+    unit = yield F.when(bound(0), 0).when(bound(3), 3).when(bound(6), 6).otherwise(9)
+    per = F.element_at(F.array(*[F.lit(10**k).cast("decimal(10,0)") for k in (0, 3, 6, 9)]), (unit / 3).cast("int") + 1)
+    rest = yield F.pmod(v, per)
+    seconds = ((v - rest).cast("decimal(28,0)") / per).cast("bigint")
+    nanos = (rest * F.element_at(F.array(*[F.lit(10**k).cast("decimal(10,0)") for k in (9, 6, 3, 0)]), (unit / 3).cast("int") + 1)).cast("int")
+    return (yield F.when(v.isNotNull(), F.struct(seconds.alias("epoch_s"), nanos.alias("nanos"))))
 
-    def split(unit: int) -> Column:
-        per = F.lit(10**unit).cast("decimal(38,0)")
-        whole = F.floor(v / per) if unit == 0 else F.floor(v.cast("decimal(28,0)") / per.cast("decimal(10,0)"))
-        rest = v - whole.cast("decimal(38,0)") * per
-        return F.struct(whole.cast("bigint").alias("epoch_s"), (rest * F.lit(10 ** (9 - unit))).cast("int").alias("nanos"))
-
-    return F.when(v.isNull(), None).when(bound(0), split(0)).when(bound(3), split(3)).when(bound(6), split(6)).otherwise(split(9))
 
-
-def _parts(text: Column, pattern: str, at: int) -> Column:
-    return F.regexp_extract(text, pattern, at)
-
-
-def _number(text: Column) -> Column:
-    return F.when(text == "", 0).otherwise(text.cast("bigint"))
-
-
-def _local(s: Column) -> tuple[Column, Column, Column]:
-    """(valid, local seconds, nanos) of an ISO date or date-time."""
-    day = _parts(s, _DATE_TIME, 1).try_cast("date")
-    h, m, sec = (_number(_parts(s, _DATE_TIME, k)) for k in (2, 3, 4))
-    valid = s.rlike(_DATE_TIME) & day.isNotNull() & (h < 24) & (m < 60) & (sec < 60)
-    return valid, F.unix_date(day).cast("bigint") * 86400 + h * 3600 + m * 60 + sec, F.rpad(_parts(s, _DATE_TIME, 5), 9, "0").cast("int")
-
-
-def instant(text: Column, zone: str = DEFAULT_ZONE) -> Column:
+@rule
+def instant(text: Column, zone: str = DEFAULT_ZONE) -> Parts:
     """COER16: struct (epoch_s, nanos, offset_min, local_s) of an ISO form or an integer; null if neither.
 
     Text with an offset is an instant; text without one is read in ``zone``.
+    Wall clocks are kept as seconds of UTC, so the session's zone has no part
+    in it, nor has a change of clocks.
     """
-    s = trimmed(text)
-    valid, local, nanos = _local(s)
-    parts = F.struct(valid.alias("valid"), local.alias("local"), F.coalesce(nanos, F.lit(0)).alias("nanos"), F.upper(_parts(s, _DATE_TIME, 6)).alias("mark"), s.rlike(_INTEGER).alias("integer"), s.alias("text"))
-
-    def read(p: Column) -> Column:
-        mark, wall = p["mark"], p["local"]
-        sign = F.when(F.substring(mark, 1, 1) == "-", -1).otherwise(1)
-        offset = F.when(mark == "Z", 0).otherwise(sign * (_number(F.substring(mark, 2, 2)) * 3600 + _number(F.substring(mark, 5, 2)) * 60))
-        in_zone = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(wall), zone))
-        epoch = F.when(mark != "", wall - offset).otherwise(in_zone)
-        written = let(epoch, lambda e: F.struct(e.alias("epoch_s"), p["nanos"].alias("nanos"), F.floor((wall - e) / 60).cast("int").alias("offset_min"), wall.alias("local_s")))
-        stored = let(epoch_guess(p["text"]), lambda g: F.when(g.isNotNull(), F.struct(g["epoch_s"].alias("epoch_s"), g["nanos"].alias("nanos"), F.lit(0).alias("offset_min"), g["epoch_s"].alias("local_s"))))
-        return F.when(p["valid"], written).when(p["integer"], stored)
-
-    return let(parts, read)
-
-
-def date(text: Column, kind: Column) -> Column:
+    s = yield trimmed(text)
+    # without offset and zone; null for other forms
+    head = yield F.when(s.rlike(_DATE_TIME), F.upper(F.regexp_replace(s, _OFFSET, "")))
+    wall = yield F.concat(head, F.when(F.length(head) == 10, "T00:00:00Z").when(F.length(head) == 16, ":00Z").otherwise("Z")).try_cast("timestamp")
+    mark = yield F.when(F.length(head) > 10, F.upper(F.substr(s, F.length(head) + 1, F.lit(6))))
+    local = yield F.unix_seconds(wall)
+    nanos = F.when(F.length(head) > 20, F.rpad(F.substr(head, F.lit(21)), 9, "0").cast("int")).otherwise(0)
+    clock = (F.substr(mark, F.lit(2), F.lit(2)).cast("int") * 60 + F.substr(mark, F.lit(5), F.lit(2)).cast("int")) * 60
+    sign = F.substr(mark, F.lit(1), F.lit(1))
+    epoch = yield F.when(sign == "Z", local).when(sign == "+", local - clock).when(sign == "-", local + clock).otherwise(F.unix_seconds(F.to_utc_timestamp(wall, zone)))
+    stored = yield from epoch_guess.parts(F.when(head.isNull(), s))
+    written = F.struct(epoch.alias("epoch_s"), nanos.alias("nanos"), F.floor((local - epoch) / 60).cast("int").alias("offset_min"), local.alias("local_s"))
+    counted = F.struct(stored["epoch_s"].alias("epoch_s"), stored["nanos"].alias("nanos"), F.lit(0).alias("offset_min"), stored["epoch_s"].alias("local_s"))
+    return (yield F.when(local.isNotNull(), written).when(head.isNull() & stored.isNotNull(), counted))
+
+
+@rule
+def date(text: Column, kind: Column) -> Parts:
     """COER13: the local date as written; integers in UTC."""
-    return let(instant(text, "UTC"), lambda found: result(F.date_from_unix_date(F.floor(found["local_s"] / 86400).cast("int")), kind, ("string",), "date"))
+    found = yield from instant.parts(text, "UTC")
+    return result((yield F.date_from_unix_date(F.floor(found["local_s"] / 86400).cast("int"))), kind, ("string",), "date")
 
 
-def time(text: Column, kind: Column, scale: int = 9) -> Column:
+@rule
+def time(text: Column, kind: Column, scale: int = 9) -> Parts:
     """COER14: integer count of 10**-scale seconds since midnight, cut to the scale."""
-    s = trimmed(text)
-    h, m, sec = (_number(_parts(s, _TIME, k)) for k in (1, 2, 3))
-    nanos = F.coalesce(F.rpad(_parts(s, _TIME, 4), 9, "0").cast("bigint"), F.lit(0))
+    s = yield trimmed(text)
+    clock = yield F.when(s.rlike(_TIME), F.upper(F.regexp_replace(s, _OFFSET, "")))
+    h, m, sec = (F.coalesce(F.substr(clock, F.lit(k), F.lit(2)).try_cast("bigint"), F.lit(0)) for k in (1, 4, 7))
+    seconds = yield F.when(clock.isNotNull() & (h < 24) & (m < 60) & (sec < 60), h * 3600 + m * 60 + sec)
+    nanos = F.when(F.length(clock) > 9, F.rpad(F.substr(clock, F.lit(10)), 9, "0").cast("bigint")).otherwise(0)
     unit, per = 10**scale, 10 ** (9 - scale)
-    written = (h * 3600 + m * 60 + sec) * unit + F.floor(nanos / per)
-    guess = epoch_guess(s)
+    guess = yield from epoch_guess.parts(F.when(clock.isNull(), s))
     stored = F.pmod(guess["epoch_s"], F.lit(86400)) * unit + F.floor(guess["nanos"] / per)
-    value = F.when(s.rlike(_TIME) & (h < 24) & (m < 60) & (sec < 60), written).when(s.rlike(_INTEGER), stored)
-    return let(value.cast("bigint"), lambda v: result(v, kind, ("string",), "time"))
+    value = yield F.when(clock.isNotNull(), seconds * unit + F.floor(nanos / per)).otherwise(stored).cast("bigint")
+    return result(value, kind, ("string",), "time")
 
 
-def timestamp(text: Column, kind: Column, logical: str = "TIMESTAMP_NTZ", scale: int = 6, zone: str = DEFAULT_ZONE) -> Column:
+@rule
+def timestamp(text: Column, kind: Column, logical: str = "TIMESTAMP_NTZ", scale: int = 6, zone: str = DEFAULT_ZONE) -> Parts:
     """COER15: NTZ keeps the wall clock and drops the offset; LTZ is the instant;
     TZ, and any scale over 6, is struct (epoch_s, nanos, offset_min)."""
     per = 10 ** (9 - scale)
-
-    def read(found: Column) -> Column:
-        seconds = found["local_s"] if logical == "TIMESTAMP_NTZ" else found["epoch_s"]
-        fits = found.isNotNull() & seconds.between(-62135596800, 253402300799)
-        if scale > 6 or logical == "TIMESTAMP_TZ":
-            offset = found["offset_min"] if logical == "TIMESTAMP_TZ" else F.lit(0)
-            value = F.struct(seconds.alias("epoch_s"), (F.floor(found["nanos"] / per) * per).cast("int").alias("nanos"), offset.alias("offset_min"))
-        else:
-            value = F.timestamp_micros(seconds * 1_000_000 + F.floor(F.floor(found["nanos"] / per) * per / 1000))
-            if logical == "TIMESTAMP_NTZ":
-                value = F.convert_timezone(F.current_timezone(), F.lit("UTC"), value.cast("timestamp_ntz"))
-        return let(F.when(fits, value), lambda v: result(v, kind, ("string",), logical.lower()))
-
-    return let(instant(text, zone), read)
+    found = yield from instant.parts(text, zone)
+    seconds = yield found["local_s"] if logical == "TIMESTAMP_NTZ" else found["epoch_s"]
+    nanos = F.floor(found["nanos"] / per) * per
+    if scale > 6 or logical == "TIMESTAMP_TZ":
+        offset = found["offset_min"] if logical == "TIMESTAMP_TZ" else F.lit(0)
+        value = F.struct(seconds.alias("epoch_s"), nanos.cast("int").alias("nanos"), offset.alias("offset_min"))
+    elif logical == "TIMESTAMP_NTZ":
+        value = ntz(seconds, nanos)
+    else:
+        value = F.timestamp_micros(seconds * 1_000_000 + F.floor(nanos / 1000))
+    return result((yield F.when(seconds.between(-62135596800, 253402300799), value)), kind, ("string",), logical.lower())
+
+
+def ntz(seconds: Column, nanos: Column) -> Column:
+    """The wall clock so many seconds after 1970, whatever the session's zone."""
+    day = F.floor(seconds / 86400)
+    rest = (seconds - day * 86400).cast("decimal(18,6)") + (F.floor(nanos / 1000).cast("decimal(18,6)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(days=day.cast("int"), secs=rest.cast("decimal(18,6)"))
 
 
 def scaled_timestamp(epoch_s: Column, nanos: Column, scale: int) -> Column:
@@ -238,26 +285,29 @@ def _json_reason(text: Column, small: Column, limit: int) -> Column:
 _ALL = ("string", "number", "boolean", "object", "array")
 
 
-def variant(text: Column, kind: Column, limit: int = 16 * 1024 * 1024 - 64) -> Column:
+@rule
+def variant(text: Column, kind: Column, limit: int = 16 * 1024 * 1024 - 64) -> Parts:
     """COER20, COER23: minified JSON text; empty and blank are null."""
-    small = minified(text)
+    small = yield minified(text)
     blank = small == ""
-    reason = F.when(blank, None).otherwise(_json_reason(text, small, limit))
+    reason = yield F.when(blank, None).otherwise(_json_reason(text, small, limit))
     return result(F.when(~blank, small), kind, _ALL, "variant", reason)
 
 
-def array(text: Column, kind: Column, limit: int = 16 * 1024 * 1024 - 64) -> Column:
+@rule
+def array(text: Column, kind: Column, limit: int = 16 * 1024 * 1024 - 64) -> Parts:
     """COER21: a value that is no array becomes one of itself; empty is ``[null]``."""
-    small = minified(text)
+    small = yield minified(text)
     filled = F.when(small == "", F.lit("null")).otherwise(small)
     wrapped = F.when(F.startswith(filled, F.lit("[")), filled).otherwise(F.concat(F.lit("["), filled, F.lit("]")))
-    return result(wrapped, kind, _ALL, "array", _json_reason(F.when(small == "", F.lit("null")).otherwise(text), filled, limit))
+    return result(wrapped, kind, _ALL, "array", (yield _json_reason(F.when(small == "", F.lit("null")).otherwise(text), filled, limit)))
 
 
-def object_(text: Column, kind: Column, limit: int = 16 * 1024 * 1024 - 64) -> Column:
+@rule
+def object_(text: Column, kind: Column, limit: int = 16 * 1024 * 1024 - 64) -> Parts:
     """COER22: an object, or an error."""
-    small = minified(text)
-    reason = F.when(~F.startswith(small, F.lit("{")), F.lit("not an object")).otherwise(_json_reason(text, small, limit))
+    small = yield minified(text)
+    reason = yield F.when(~F.startswith(small, F.lit("{")), F.lit("not an object")).otherwise(_json_reason(text, small, limit))
     return result(small, kind, _ALL, "object", reason)
 
 
@@ -287,33 +337,34 @@ def _json_ready(column: Column, kind: T.DataType) -> Column:
 # --- by field --------------------------------------------------------------------
 
 
-def coerce(field: T.StructField, text: Column, kind: Column, zone: str = DEFAULT_ZONE) -> Column:
+@rule
+def coerce(field: T.StructField, text: Column, kind: Column, zone: str = DEFAULT_ZONE) -> Parts:
     """(value, code, reason) of a value for a column of a table."""
     t, m = field.dataType, field.metadata
     if semi := m.get("semi_structured"):
-        return {"VARIANT": variant, "ARRAY": array, "OBJECT": object_}[semi](text, kind)
+        return (yield from {"VARIANT": variant, "ARRAY": array, "OBJECT": object_}[semi].parts(text, kind))
     if m.get("logical") in ("TIMESTAMP_NTZ", "TIMESTAMP_LTZ", "TIMESTAMP_TZ"):
-        return timestamp(text, kind, m["logical"], m["ts_scale"], zone)
+        return (yield from timestamp.parts(text, kind, m["logical"], m["ts_scale"], zone))
     if "time_scale" in m:
-        return time(text, kind, m["time_scale"])
+        return (yield from time.parts(text, kind, m["time_scale"]))
     if isinstance(t, T.BooleanType):
-        return boolean(text, kind)
+        return (yield from boolean.parts(text, kind))
     if isinstance(t, T.DecimalType):
-        return decimal(text, kind, t.precision, t.scale)
+        return (yield from decimal.parts(text, kind, t.precision, t.scale))
     if isinstance(t, T.DoubleType):
-        return double(text, kind)
+        return (yield from double.parts(text, kind))
     if isinstance(t, T.FloatType):
-        return float32(text, kind)
+        return (yield from float32.parts(text, kind))
     if isinstance(t, (T.IntegerType, T.LongType)):
-        return integer(text, kind, t.simpleString())
+        return (yield from integer.parts(text, kind, t.simpleString()))
     if isinstance(t, T.StringType):
-        return string(text, kind, m.get("max_chars"), m.get("max_bytes", 16 * 1024 * 1024))
+        return (yield from string.parts(text, kind, m.get("max_chars"), m.get("max_bytes", 16 * 1024 * 1024)))
     if isinstance(t, T.BinaryType):
-        return binary(text, kind, m.get("max_bytes", 8 * 1024 * 1024), m.get("exact_bytes"))
+        return (yield from binary.parts(text, kind, m.get("max_bytes", 8 * 1024 * 1024), m.get("exact_bytes")))
     if isinstance(t, T.DateType):
-        return date(text, kind)
+        return (yield from date.parts(text, kind))
     if isinstance(t, T.TimestampNTZType):
-        return timestamp(text, kind, "TIMESTAMP_NTZ", 6, zone)
+        return (yield from timestamp.parts(text, kind, "TIMESTAMP_NTZ", 6, zone))
     if isinstance(t, T.TimestampType):
-        return timestamp(text, kind, "TIMESTAMP_LTZ", 6, zone)
+        return (yield from timestamp.parts(text, kind, "TIMESTAMP_LTZ", 6, zone))
     raise TypeError(f"no coercion to {t.simpleString()}")

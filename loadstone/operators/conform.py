@@ -46,9 +46,9 @@ class BatchAborted(ValueError):
 def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """df with columns added, each computed once.
 
-    Filters and projections above are not folded into these expressions, as
-    they would be through a plain projection: the generator of one row is a
-    border for both rules, and has generated code.
+    Filters above are not folded into these expressions, as they would be
+    through a plain projection: the generator of one row is a border for the
+    rule, and has generated code.
     """
     keep = [c for c in df.columns if c not in columns]
     return df.withColumns(columns).select(*keep, F.inline(F.array(F.struct(*columns))))
@@ -62,39 +62,53 @@ def unquote_name(name: Column) -> Column:
 
 def kind_of(v: Column) -> Column:
     """JSON kind of a variant value."""
-    s = F.schema_of_variant(v)
+    return kind_of_schema(F.when(v.isNotNull(), F.schema_of_variant(v)))
+
+
+def kind_of_schema(s: Column) -> Column:
+    """JSON kind by the text of a variant's schema."""
     return (
-        F.when(v.isNull() | (s == "VOID"), "null").when(s == "STRING", "string").when(s == "BOOLEAN", "boolean")
+        F.when(s == "STRING", "string").when(s.isNull() | (s == "VOID"), "null").when(s == "BOOLEAN", "boolean")
         .when(F.startswith(s, F.lit("OBJECT")), "object").when(F.startswith(s, F.lit("ARRAY")), "array").otherwise("number")
     )
 
 
 def parsed_rows(raw: DataFrame, row: str = "row_json") -> DataFrame:
-    """SRC5: adds ``_names`` (as written), ``_texts`` and ``_kinds`` by normalised name, and ``_values`` (variants).
+    """SRC5: adds ``_keys`` (names as written), ``_names`` (normalised), ``_values`` (texts), all in
+    one order, and ``_fields`` (variants by name as written; null for rows of maps).
 
     A JSON row keeps the spelling of numbers and nested values; a
-    ``map<string,string>`` row has only strings.  Of two spellings of one name
-    the last wins.
+    ``map<string,string>`` row has only strings.  ``_names`` is null for what is
+    not an object of unique names.
     """
     if isinstance(raw.schema[row].dataType, T.MapType):
-        texts, kinds = F.col(row), F.transform_values(F.col(row), lambda _, v: F.when(v.isNull(), "null").otherwise("string"))
-        raw = raw.withColumns({"_raw_texts": texts, "_raw_kinds": kinds, "_values": F.lit(None).cast("map<string,string>")})
+        raw = raw.withColumns({"_texts": F.col(row), "_fields": F.lit(None).cast("map<string,string>")})
+        told = F.col("_texts").isNotNull()
     else:
-        raw = raw.withColumn("_variant", F.try_parse_json(F.col(row)))
-        fields = F.expr("try_cast(_variant as map<string,variant>)")
-        raw = raw.withColumns({"_raw_texts": F.from_json(F.col(row), "map<string,string>"), "_values": fields})
-        raw = raw.withColumn("_raw_kinds", F.transform_values("_values", lambda _, v: kind_of(v)))
-
-    def by_name(column: str) -> Column:
-        renamed = F.transform(F.map_entries(F.col(column)), lambda e: F.struct(unquote_name(e["key"]).alias("key"), e["value"].alias("value")))
-        names = F.transform(renamed, lambda e: e["key"])
-        last = F.filter(renamed, lambda e, i: F.array_position(F.slice(names, i + 2, F.size(names)), e["key"]) == 0)
-        return F.map_from_entries(F.when(F.size(F.array_distinct(names)) == F.size(names), renamed).otherwise(last))
-
-    found = {"_names": F.map_keys("_raw_kinds"), "_texts": by_name("_raw_texts"), "_kinds": by_name("_raw_kinds")}
-    if not isinstance(raw.schema[row].dataType, T.MapType):
-        found["_variants"] = by_name("_values")
-    return once(raw, found).drop("_raw_texts", "_raw_kinds", "_values", "_variant")
+        raw = raw.withColumns({"_texts": F.from_json(F.col(row), "map<string,string>"), "_fields": F.expr(f"try_cast(try_parse_json(`{row}`) AS map<string,variant>)")})
+        told = F.col("_fields").isNotNull() & F.col("_texts").isNotNull()
+    raw = raw.withColumns({"_keys": F.when(told, F.map_keys("_texts")), "_values": F.map_values("_texts")})
+    return raw.withColumn("_names", F.transform("_keys", unquote_name)).drop("_texts")
+
+
+def found_values(rows: DataFrame, schema: T.StructType, row: str = "row_json") -> DataFrame:
+    """Adds, for column i of the schema, ``_t{i}`` (text), ``_k{i}`` (kind; null
+    if the row has no such name) and ``_v{i}`` (variant, for nested columns).
+    Of two spellings of one name the last wins."""
+    fields = list(enumerate(schema.fields))
+    rows = rows.withColumn("_back", F.reverse("_names"))
+    rows = rows.withColumns({f"_p{i}": F.size("_back") - F.array_position("_back", f.name).cast("int") for i, f in fields})
+    at = lambda column, i: F.get(F.col(column), F.col(f"_p{i}"))  # noqa: E731  # null beyond the end
+    texts = {f"_t{i}": at("_values", i) for i, _ in fields}
+    if isinstance(rows.schema[row].dataType, T.MapType):
+        rows = rows.withColumns(texts)
+        kinds = {f"_k{i}": F.when(F.col(f"_p{i}") < F.size("_names"), F.when(F.col(f"_t{i}").isNull(), "null").otherwise("string")) for i, _ in fields}
+        kinds |= {f"_v{i}": F.try_parse_json(F.col(f"_t{i}")) for i, f in fields if is_nested(f)}
+        return rows.withColumns(kinds).drop("_back", *[f"_p{i}" for i, _ in fields])
+    rows = rows.withColumns(texts | {f"_v{i}": F.try_element_at("_fields", at("_keys", i)) for i, _ in fields})
+    rows = rows.withColumns({f"_s{i}": F.schema_of_variant(f"_v{i}") for i, _ in fields})
+    rows = rows.withColumns({f"_k{i}": F.when(F.col(f"_p{i}") < F.size("_names"), kind_of_schema(F.col(f"_s{i}"))) for i, _ in fields})
+    return rows.drop("_back", *[f"{c}{i}" for i, _ in fields for c in ("_p", "_s")])
 
 
 # --- nested columns ---------------------------------------------------------------
@@ -192,36 +206,38 @@ def row_bytes(schema: T.StructType, columns: dict[str, Column]) -> Column:
 
 def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZONE, max_row_bytes: int = MAX_ROW_BYTES, row: str = "row_json") -> DataFrame:
     """CONF1-9: raw with ``_row`` (typed struct in table order), ``_bytes`` and ``_error``."""
-    rows = parsed_rows(raw, row)
+    fields = list(enumerate(schema.fields))
     names = [f.name for f in schema.fields]
     declared = {f.name: f.metadata.get("declared", f.name) for f in schema.fields}
     required = [f.name for f in schema.fields if not f.nullable]
-    spelled = F.create_map(*[x for n in required for x in (F.lit(n), F.lit(declared[n]))]) if required else None
-    have = F.map_keys("_kinds")
-
-    coerced = {}
-    for i, f in enumerate(schema.fields):
-        if is_nested(f):
-            value, errors = nested(F.col("_variants")[f.name], f.dataType, F.lit(dot_path(f.name)), f.nullable, zone, f.metadata)
-            first = F.when(F.map_contains_key("_kinds", f.name) & (F.size(errors) > 0), F.concat_ws("; ", F.transform(errors, lambda e: F.concat(e["path"], F.lit(": "), e["what"]))))
-            coerced[f"_c{i}"] = F.struct(value.alias("value"), F.when(first.isNotNull(), F.coalesce(F.try_element_at(errors, F.lit(1))["code"], F.lit(C.BAD_TYPE))).alias("code"), first.alias("reason"))
-        else:
-            coerced[f"_c{i}"] = C.coerce(f, F.col("_texts")[f.name], F.col("_kinds")[f.name], zone)
-    rows = once(rows, coerced)
+    rows = found_values(parsed_rows(raw, row), schema, row)
+
+    def parts(i: int, f: T.StructField) -> C.Parts:
+        if not is_nested(f):
+            return (yield from C.coerce.parts(f, F.col(f"_t{i}"), F.col(f"_k{i}"), zone))
+        value, errors = nested(F.col(f"_v{i}"), f.dataType, F.lit(dot_path(f.name)), f.nullable, zone, f.metadata)
+        value, errors = (yield value), (yield errors)
+        first = yield F.when(F.col(f"_k{i}").isNotNull() & (F.size(errors) > 0), F.concat_ws("; ", F.transform(errors, lambda e: F.concat(e["path"], F.lit(": "), e["what"]))))
+        code = F.when(first.isNotNull(), F.coalesce(F.get(errors, F.lit(0))["code"], F.lit(C.BAD_TYPE)))
+        return F.struct(value.alias("value"), code.alias("code"), first.alias("reason"))
+
+    rows = C.coerced(rows, {f"_c{i}": parts(i, f) for i, f in fields})
     value_errors = F.array_compact(F.array(*[
         F.when(F.col(f"_c{i}.code").isNotNull(), F.struct(F.col(f"_c{i}.code").alias("code"), F.concat(F.lit(declared[f.name] + ": "), F.col(f"_c{i}.reason")).alias("message")))
         # CONF6: what became null by parsing
-        .when(F.lit(not f.nullable) & F.col(f"_c{i}.value").isNull() & F.map_contains_key("_kinds", f.name), F.struct(F.lit(C.BAD_VALUE).alias("code"), F.lit(f"{declared[f.name]}: null in a required column").alias("message")))
-        for i, f in enumerate(schema.fields)
+        .when(F.lit(not f.nullable) & F.col(f"_c{i}.value").isNull() & F.col(f"_k{i}").isNotNull(), F.struct(F.lit(C.BAD_VALUE).alias("code"), F.lit(f"{declared[f.name]}: null in a required column").alias("message")))
+        for i, f in fields
     ]))
     no_names = F.lit(None).cast(_NO_NAMES)
-    rows = once(rows, {
-        "_row": F.struct(*[F.col(f"_c{i}.value").alias(f.name) for i, f in enumerate(schema.fields)]),
-        "_extra": F.filter("_names", lambda k: ~F.array_contains(F.array(*map(F.lit, names)), unquote_name(k))),
-        "_missing": F.transform(F.array_except(F.array(*map(F.lit, required)), have), lambda k: spelled[k]) if required else F.array().cast(_NO_NAMES),
-        "_nulls": F.transform(F.filter(F.array(*map(F.lit, required)), lambda k: F.col("_kinds")[k] == "null"), lambda k: spelled[k]) if required else F.array().cast(_NO_NAMES),
+    strange = F.array_except("_names", F.array(*map(F.lit, names)))
+    lacking = lambda wanted: F.array_compact(F.array(*[F.when(wanted(F.col(f"_k{i}")), F.lit(declared[f.name])) for i, f in fields if not f.nullable])) if required else F.array().cast(_NO_NAMES)
+    rows = rows.withColumns({
+        "_row": F.struct(*[F.col(f"_c{i}.value").alias(f.name) for i, f in fields]),
+        "_extra": F.when(F.size(strange) > 0, F.filter("_keys", lambda k: ~unquote_name(k).isin(*names))),
+        "_missing": lacking(lambda k: k.isNull()),
+        "_nulls": lacking(lambda k: k == "null"),
         "_bad": value_errors,
-        "_bytes": row_bytes(schema, {f.name: F.col(f"_c{i}.value") for i, f in enumerate(schema.fields)}),
+        "_bytes": row_bytes(schema, {f.name: F.col(f"_c{i}.value") for i, f in fields}),
     })
 
     def error(code: Column | str, message: Column, extra=no_names, missing=no_names, nulls=no_names) -> Column:
@@ -238,7 +254,8 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
         .when(F.col("_bytes") > max_row_bytes, error("0031", F.concat(F.lit(f"row over {max_row_bytes} bytes: "), F.col("_bytes").cast("string"))))
         .otherwise(F.lit(None).cast(ERROR_TYPE))
     )
-    return once(rows, {"_error": found})
+    kept = [*raw.columns, "_row", "_bytes"]
+    return once(rows.select(*kept, "_names", "_extra", "_missing", "_nulls", "_bad"), {"_error": found}).select(*kept, "_error")
 
 
 def conform(
@@ -250,7 +267,11 @@ def conform(
     ``on_error`` is one policy, or a frame (table, channel, on_error) of one
     per channel (POL4), joined to the batch counts and to the rows.
     """
-    rows = checked_rows(raw, schema, zone, max_row_bytes, row)
+    return by_policy(checked_rows(raw, schema, zone, max_row_bytes, row), schema, on_error, row, raise_on_abort)
+
+
+def by_policy(rows: DataFrame, schema: T.StructType, on_error: str | DataFrame = CONTINUE, row: str = "row_json", raise_on_abort: bool = False) -> Conformed:
+    """POL1-4: :func:`conform` from the checked rows on; all three frames read ``rows``, which a caller may store."""
     names = [f.name for f in schema.fields]
     keep = [*KEYS, "row_index"]
     checked = rows.select(*keep, F.col(row).alias("_content"), "_row", "_bytes", "_error")

@@ -54,7 +54,7 @@ def oracle_sql() -> dict[str, str]:
 def coerce_decimal_half_up(spark, sf_dir):
     """COER2, COER3"""
     text = F.when(F.col("l_orderkey") % 13 == 0, F.lit("0x22")).otherwise(F.col("l_extendedprice").cast("string"))
-    rows = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", C.decimal(text, F.lit("string"), 10, 1).alias("r"))
+    rows = C.coerced(_read(spark, sf_dir, "lineitem"), {"r": C.decimal.parts(text, F.lit("string"), 10, 1)})
     return rows.select("l_orderkey", "l_linenumber", F.col("r.value").cast("double").alias("price"), "r.code")
 
 
@@ -63,7 +63,7 @@ def coerce_decimal_half_up(spark, sf_dir):
 def coerce_boolean_words(spark, sf_dir):
     """COER1"""
     words = F.array(*map(F.lit, ["on", " Off ", "YES", "x", "f", "TruE", ""]))
-    rows = _read(spark, sf_dir, "orders").select("o_orderkey", C.boolean(words[(F.col("o_orderkey") % 7).cast("int")], F.lit("string")).alias("r"))
+    rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.boolean.parts(words[(F.col("o_orderkey") % 7).cast("int")], F.lit("string"))})
     return rows.select("o_orderkey", F.col("r.value").alias("flag"), "r.code")
 
 
@@ -72,7 +72,7 @@ def coerce_epoch_guess(spark, sf_dir):
     """COER17"""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     text = F.when(F.col("event_id") % 3 == 0, F.floor(micros / 1_000_000)).when(F.col("event_id") % 3 == 1, F.floor(micros / 1000)).otherwise(micros).cast("string")
-    rows = _utc(spark, sf_dir, "events", "ts").select("event_id", C.epoch_guess(text).alias("g"))
+    rows = C.coerced(_utc(spark, sf_dir, "events", "ts"), {"g": C.epoch_guess.parts(text)})
     return rows.select("event_id", "g.epoch_s", F.col("g.nanos").cast("bigint").alias("nanos"))
 
 
@@ -84,56 +84,69 @@ def _utc(spark, sf_dir, table, column):
 @query("SELECT o_orderkey, o_orderdate::DATE + TIME '13:45:10.25' AS at FROM orders")
 def coerce_timestamp_ntz(spark, sf_dir):
     """COER15, COER16"""
-    return _read(spark, sf_dir, "orders").select("o_orderkey", C.timestamp(_iso(), F.lit("string"), "TIMESTAMP_NTZ", 6)["value"].alias("at"))
+    rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.timestamp.parts(_iso(), F.lit("string"), "TIMESTAMP_NTZ", 6)})
+    return rows.select("o_orderkey", F.col("r.value").alias("at"))
 
 
 def _iso():
     return F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T13:45:10.25"), F.when(F.col("o_orderkey") % 2 == 0, "+09:00").otherwise("-07:00[America/Los_Angeles]"))
 
 
-@query("""SELECT o_orderkey, (epoch_us(o_orderdate::DATE::TIMESTAMP) // 1000000 + 49510 + CASE WHEN o_orderkey % 2 = 0 THEN -32400 ELSE 25200 END)::BIGINT AS epoch_s, 250000000 AS nanos,
-  CASE WHEN o_orderkey % 2 = 0 THEN 540 ELSE -420 END AS offset_min FROM orders""")
+@query("""WITH x AS (SELECT o_orderkey, (epoch_us(o_orderdate::DATE::TIMESTAMP) // 1000000 + 49510 + CASE WHEN o_orderkey % 2 = 0 THEN -32400 ELSE 25200 END)::BIGINT AS epoch_s,
+    CASE WHEN o_orderkey % 2 = 0 THEN 540 ELSE -420 END AS offset_min FROM orders)
+  SELECT o_orderkey, epoch_s, 250000000 AS nanos, offset_min, (epoch_s::HUGEINT * 1000 + 250)::VARCHAR AS scaled, ((epoch_s::HUGEINT * 1000 + 250) * 16384 + offset_min + 1440)::VARCHAR AS zoned FROM x""")
 def coerce_timestamp_tz(spark, sf_dir):
-    """COER15, COER18, COER19"""
-    rows = _read(spark, sf_dir, "orders").select("o_orderkey", C.timestamp(_iso(), F.lit("string"), "TIMESTAMP_TZ", 9)["value"].alias("v"))
-    return rows.select("o_orderkey", "v.epoch_s", "v.nanos", "v.offset_min")
+    """COER15, COER18, COER19: the zoned timestamp, and the integers it is kept as at scale 3."""
+    rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.timestamp.parts(_iso(), F.lit("string"), "TIMESTAMP_TZ", 9)}).select("o_orderkey", "r.value.*")
+    at = (F.col("epoch_s"), F.col("nanos"))
+    return rows.select("o_orderkey", "epoch_s", "nanos", "offset_min", C.scaled_timestamp(*at, 3).cast("string").alias("scaled"), C.zoned_timestamp(*at, F.col("offset_min"), 3).cast("string").alias("zoned"))
 
 
 @query("SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS day, NULL::VARCHAR AS code FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT o_orderkey, NULL, '0030' FROM orders WHERE o_orderkey % 5 = 0")
 def coerce_date_local(spark, sf_dir):
     """COER13"""
     text = F.when(F.col("o_orderkey") % 5 == 0, F.lit("2023-02-30")).otherwise(_iso())
-    rows = _read(spark, sf_dir, "orders").select("o_orderkey", C.date(text, F.lit("string")).alias("r"))
+    rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.date.parts(text, F.lit("string"))})
     return rows.select("o_orderkey", F.col("r.value").cast("string").alias("day"), "r.code")
 
 
 @query("SELECT event_id, (epoch_us(ts) // 1000 % 86400000)::BIGINT AS ms FROM events")
 def coerce_time_of_day(spark, sf_dir):
     """COER14"""
-    return _read(spark, sf_dir, "events").select("event_id", C.time(F.date_format("ts", "HH:mm:ss.SSSSSS"), F.lit("string"), 3)["value"].alias("ms"))
+    rows = C.coerced(_read(spark, sf_dir, "events"), {"r": C.time.parts(F.date_format("ts", "HH:mm:ss.SSSSSS"), F.lit("string"), 3)})
+    return rows.select("event_id", F.col("r.value").alias("ms"))
 
 
-@query("SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN octet_length(encode(p_name)) END AS n, CASE WHEN p_partkey % 7 <> 0 THEN lower(hex(encode(p_name))) END AS digits, CASE WHEN p_partkey % 7 = 0 THEN '0030' END AS code FROM part")
+@query("""SELECT p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN octet_length(encode(p_name)) END AS n, CASE WHEN p_partkey % 7 <> 0 THEN lower(hex(encode(p_name))) END AS digits, CASE WHEN p_partkey % 7 = 0 THEN '0030' END AS code,
+  CASE WHEN p_partkey % 7 = 0 OR octet_length(encode(p_name)) <> 22 THEN '0030' END AS fixed_code FROM part""")
 def coerce_binary_hex(spark, sf_dir):
-    """COER11"""
+    """COER11, COER12: any length, and exactly 22 bytes"""
     text = F.concat(F.hex(F.encode("p_name", "utf-8")), F.when(F.col("p_partkey") % 7 == 0, "0").otherwise(""))
-    rows = _read(spark, sf_dir, "part").select("p_partkey", C.binary(text, F.lit("string")).alias("r"))
-    return rows.select("p_partkey", F.octet_length("r.value").cast("bigint").alias("n"), F.lower(F.hex("r.value")).alias("digits"), "r.code")
+    rows = C.coerced(_read(spark, sf_dir, "part"), {"r": C.binary.parts(text, F.lit("string")), "x": C.binary.parts(text, F.lit("string"), exact_bytes=22)})
+    return rows.select("p_partkey", F.octet_length("r.value").cast("bigint").alias("n"), F.lower(F.hex("r.value")).alias("digits"), "r.code", F.col("x.code").alias("fixed_code"))
 
 
 @query("SELECT p_partkey, CASE WHEN length(p_name) <= 20 THEN p_name END AS name, CASE WHEN length(p_name) > 20 THEN '0030' END AS code FROM part")
 def coerce_string_limit(spark, sf_dir):
     """COER8-10"""
-    rows = _read(spark, sf_dir, "part").select("p_partkey", C.string(F.col("p_name"), F.lit("string"), 20).alias("r"))
+    rows = C.coerced(_read(spark, sf_dir, "part"), {"r": C.string.parts(F.col("p_name"), F.lit("string"), 20)})
     return rows.select("p_partkey", F.col("r.value").alias("name"), "r.code")
 
 
-@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 4 THEN NULL ELSE floor(l_quantity / 2 + 0.5)::INTEGER END AS half, CASE WHEN l_linenumber = 4 THEN 'nan' ELSE (l_quantity / 2)::VARCHAR END AS as_double FROM lineitem""")
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber = 4 THEN NULL ELSE floor(l_quantity / 2 + 0.5)::INTEGER END AS half, CASE WHEN l_linenumber = 4 THEN 'nan' ELSE (l_quantity / 2)::VARCHAR END AS as_double,
+  CASE WHEN l_linenumber <> 4 THEN floor(l_quantity / 2 + 0.5)::BIGINT * 4000000000 END AS wide, CASE WHEN l_linenumber = 4 THEN '0030' END AS code,
+  CASE WHEN l_linenumber <> 4 THEN (l_quantity / 2)::FLOAT::DOUBLE END AS single FROM lineitem""")
 def coerce_integer_double(spark, sf_dir):
-    """COER4-7"""
-    text = F.when(F.col("l_linenumber") == 4, F.lit("Nan")).otherwise((F.col("l_quantity") / 2).cast("string"))
-    rows = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", C.integer(text, F.lit("string"))["value"].alias("half"), C.double(text, F.lit("string"))["value"].alias("d"))
-    return rows.select("l_orderkey", "l_linenumber", "half", F.lower(F.col("d").cast("string")).alias("as_double"))
+    """COER4-7: double, float, int and bigint; what is over the range of int is for bigint only"""
+    given = F.col("l_linenumber") == 4
+    text = F.when(given, F.lit("Nan")).otherwise((F.col("l_quantity") / 2).cast("string"))
+    wide = F.when(given, F.lit("1e19")).otherwise((F.floor(F.col("l_quantity") / 2 + 0.5) * 4_000_000_000).cast("string"))
+    rows = C.coerced(_read(spark, sf_dir, "lineitem"), {
+        "i": C.integer.parts(text, F.lit("string")), "d": C.double.parts(text, F.lit("string")), "w": C.integer.parts(wide, F.lit("string"), "bigint"),
+        "f": C.float32.parts(text, F.lit("string")),
+    })
+    single = F.when(~F.isnan("f.value"), F.col("f.value").cast("double"))
+    return rows.select("l_orderkey", "l_linenumber", F.col("i.value").alias("half"), F.lower(F.col("d.value").cast("string")).alias("as_double"), F.col("w.value").alias("wide"), "w.code", single.alias("single"))
 
 
 _MINIFY = r"""regexp_replace(props, '("(?:\\.|[^"\\])*")|\s+', '\1', 'g')"""
@@ -143,8 +156,8 @@ _MINIFY = r"""regexp_replace(props, '("(?:\\.|[^"\\])*")|\s+', '\1', 'g')"""
 def variant_minify(spark, sf_dir):
     """COER20-23"""
     broken = F.when(F.col("event_id") % 9 == 0, F.concat(F.lit('{"a":1,"a":'), F.col("props"), F.lit("}"))).otherwise(F.col("props"))
-    rows = _read(spark, sf_dir, "events").select("event_id", C.variant(F.col("props"), F.lit("string"))["value"].alias("small"), C.array(F.col("props"), F.lit("string"))["value"].alias("wrapped"), C.object_(broken, F.lit("string"))["code"].alias("code"))
-    return rows.select("event_id", "small", "wrapped", "code")
+    rows = C.coerced(_read(spark, sf_dir, "events"), {"v": C.variant.parts(F.col("props"), F.lit("string")), "a": C.array.parts(F.col("props"), F.lit("string")), "o": C.object_.parts(broken, F.lit("string"))})
+    return rows.select("event_id", F.col("v.value").alias("small"), F.col("a.value").alias("wrapped"), F.col("o.code").alias("code"))
 
 
 @query("""SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name || '"' ELSE upper(p_name) END AS name FROM part""")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from loadstone.operators.conform import CONTINUE, Conformed, conform
+from loadstone.operators.conform import CONTINUE, Conformed, by_policy, checked_rows
 
 LAG_DEFAULT, LAG_DEFAULT_ICEBERG, LAG_LEAST, LAG_MOST = 1.0, 30.0, 1.0, 600.0
 CHANNEL_BYTES = 64 * 1024 * 1024
@@ -54,29 +54,31 @@ def csv_stream(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.readStream.schema(schema).option("mode", "PERMISSIVE").csv(path)
 
 
-def committed_batches(spark: SparkSession, path: str) -> DataFrame | None:
-    """The channel states that are committed under ``path``."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/state")
-    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        return None
-    return spark.read.parquet(f"{path}/state")
+def is_committed(spark: SparkSession, path: str, number: int) -> bool:
+    """Whether the state of a batch is there: one look at its own folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/state/stream_batch_dir={number}/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def load_batch(path: str, schema, on_error: str | DataFrame = CONTINUE, prepare: Callable[[DataFrame], DataFrame] | None = None, zone: str = "America/Los_Angeles") -> Callable[[DataFrame, int], None]:
-    """STR4, STR15: a ``foreachBatch`` function: data, errors and report under the batch number, then the state."""
+    """STR4, STR15: a ``foreachBatch`` function: data, errors and report under the batch number, then the state.
+
+    A batch is checked once and stored; its three outputs are read from that.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        done = committed_batches(spark, path)
-        if done is not None and not done.where(F.col("stream_batch") == number).isEmpty():
+        if is_committed(spark, path, number):
             return
-        result: Conformed = conform(prepare(batch) if prepare else batch, schema, on_error, zone)
+        folder = lambda name: f"{path}/{name}/stream_batch_dir={number}"
+        rows = checked_rows(prepare(batch) if prepare else batch, schema, zone)
+        rows.write.mode("overwrite").parquet(folder("checked"))
+        result: Conformed = by_policy(spark.read.schema(rows.schema).parquet(folder("checked")), schema, on_error)
         for name, frame in (("data", result.good), ("errors", result.errors), ("report", result.report)):
-            frame.withColumn("stream_batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/{name}/stream_batch_dir={number}")
-        report = spark.read.parquet(f"{path}/report/stream_batch_dir={number}")
+            frame.withColumn("stream_batch", F.lit(number)).write.mode("overwrite").parquet(folder(name))
+        report = spark.read.parquet(folder("report"))
         state = report.groupBy("table", "channel").agg(F.max("batch_id").alias("last_batch"), F.sum("loaded_rows").alias("loaded_rows"), F.sum("error_rows").alias("error_rows"))
-        state.withColumn("stream_batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/state/stream_batch_dir={number}")
+        state.withColumn("stream_batch", F.lit(number)).coalesce(1).write.mode("overwrite").parquet(folder("state"))
 
     return write
 
