@@ -293,7 +293,9 @@ def test_op5_counts(spark):
     from loadstone.llm.tokens import count_tokens
 
     path = tokens.path("byte_bpe_50k.json")
-    texts = ["", None, "Hello world", "<|endoftext|>", "a<|endoftext|>b <|endoftext", "   a \n\n b", "it's don't 12345", "日本🍞 ñandú", "x" * 3000, "\x1c\x85᠎ z"]
+    texts = ["", None, "Hello world", "<|endoftext|>", "a<|endoftext|>b <|endoftext", "   a \n\n b", "it's don't 12345", "日本🍞 ñandú", "x" * 3000, "\x1c\x85᠎ z", " ", "  ", " a", "a ", "a  b", "a \n b", "a\n b", "a \nb", "a\n \nb", "a\xa0 \u3000 b", "\x1c a \x1c b", "don't 's  't", "a <|endoftext|> b", " <|endoftext|> "]
+    rng = random.Random(3)
+    texts += ["".join(rng.choices(["a", "the", "'s", ".", "9", " ", "  ", "\n", "\t", "é", "\x85", "\x1d", "\u2003", "<|endoftext|>"], k=rng.randrange(1, 12))) for _ in range(1500)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("n_tokens", F.lit(1))
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in count_tokens(df, path).collect()}
     library = Tokenizer.from_file(path)
