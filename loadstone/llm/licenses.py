@@ -1,20 +1,23 @@
 """License scan: MinHash bands over text windows, exact shingle containment.
 
-Templates are license statements and texts.  For each template length, texts
-are read in overlapping windows of that many words, an eighth of it apart.
-``BANDS`` bands of ``ROWS`` MinHash values retrieve templates.  A passage that
-contains 75 % of a template's five-word shingles has, in the window nearest to
-it, a Jaccard similarity of at least 0.68 / 1.32 = 0.51 with the template, so
-some band agrees with probability ``1 - (1 - 0.51**2)**32 > 0.9999``.
-Retrieved pairs are verified by the exact share of the template's shingles in
-the window and its margins.
-
-Only windows with shingles of a template are hashed: in any other, no minimum
+Templates are license statements and texts.  Texts are read in overlapping
+windows of a few widths, an eighth of the width apart; the widths grow by a
+fifth, and a template belongs to the least width that holds it.  ``BANDS`` bands
+of ``ROWS`` MinHash values are the keys of one table of all templates; the bands
+of a window that are in that table under its width retrieve the templates to
+verify, whatever their number.  A passage that contains 75 % of a template's
+five-word shingles has, in the window nearest to it, a Jaccard similarity of at
+least 0.68 / 1.52 = 0.44 with the template, so some band agrees with probability
+``1 - (1 - 0.44**2)**48 > 0.9999``.  Retrieved pairs are verified by the exact
+share of the template's shingles in the window and its margins.
+
+Only windows with a shingle of a template are hashed: in any other, no minimum
 can be a template's.
 
 Defined results: null and empty texts and texts shorter than five words match
 nothing; of overlapping windows of one template the best, then the first,
-stands; repeated rows each give their rows; extra columns are ignored.
+stands; of templates of one license a match inside a longer one is told once;
+repeated rows each give their rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +31,8 @@ from pyspark.sql import DataFrame
 from loadstone.llm.decontam import trimmed_words
 from loadstone.llm.textnum import buffers, mix, shingles, slices
 
-BANDS, ROWS = 32, 2
+BANDS, ROWS = 48, 2
+GROWTH = 1.2  # from one width of windows to the next
 SHARE = 0.75
 WIDTH = 5
 
@@ -80,18 +84,50 @@ def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return values, at, np.diff(first)
 
 
+def width_class(size: int) -> int:
+    """The width of windows for templates of so many shingles."""
+    width = 1
+    while width < size:
+        width = max(width + 1, int(width * GROWTH))
+    return width
+
+
 class Templates:
     def __init__(self, templates: dict[str, list[str]] | None = None):
-        pairs = [(name, text) for name, texts in (templates or TEMPLATES).items() for text in texts]
+        pairs = [(name, text) for name, texts in (TEMPLATES if templates is None else templates).items() for text in texts]
         values, at, n_words = _words([t for _, t in pairs])
         chosen = [i for i, n in enumerate(n_words) if n >= WIDTH]
         self.names = [pairs[i][0] for i in chosen]
         self.sets = [np.unique(values[at[i] : at[i + 1]]) for i in chosen]
-        self.sizes = np.array([at[i + 1] - at[i] for i in chosen])  # shingles, repeats counted
-        self.all = np.unique(np.concatenate(self.sets))
+        self.all = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.sets]))
         self.low = np.zeros(1 << 16, dtype=bool)
         self.low[(self.all & np.uint64(0xFFFF)).astype(np.int64)] = True
-        self.bands = [_signature(values[at[i] : at[i + 1]][None, :])[0] for i in chosen]
+        # by width: the sorted band keys of its templates, and whose each is
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        widths = np.array([width_class(at[i + 1] - at[i]) for i in chosen], dtype=np.int64)
+        for width in np.unique(widths).tolist():
+            own = np.flatnonzero(widths == width)
+            keys = np.concatenate([_signature(values[at[chosen[t]] : at[chosen[t] + 1]][None, :])[0] for t in own])
+            owner = np.repeat(own, BANDS)
+            order = np.argsort(keys, kind="stable")
+            self.tables[width] = (keys[order], owner[order])
+
+    def retrieved(self, values: np.ndarray, hit: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(template, start, width, step) of windows that share a band with a template."""
+        for width, (keys, owner) in self.tables.items():
+            step = max(1, width // 8)
+            size = min(width, len(values))
+            # windows of the grid that touch a hit; the last window ends with the text
+            starts = np.unique((hit[:, None] // step - np.arange(-(-size // step) + 1)[None, :]) * step)
+            starts = np.unique(np.clip(starts, 0, len(values) - size))
+            for k in range(0, len(starts), 4096):
+                some = starts[k : k + 4096]
+                bands = _signature(values[some[:, None] + np.arange(size)])
+                a, b = np.searchsorted(keys, bands, "left"), np.searchsorted(keys, bands, "right")
+                window, band = np.nonzero(b > a)
+                found = {(int(t), int(some[w])) for w, j in zip(window, band, strict=True) for t in owner[a[w, j] : b[w, j]]}
+                for t, s in sorted(found):
+                    yield t, s, size, step
 
     def scan(self, values: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
         """(template, first shingle, last shingle + 1, share) in one text's shingles."""
@@ -99,39 +135,25 @@ class Templates:
         hit = hit[np.isin(values[hit], self.all)]
         if not len(hit):
             return
-        present = np.unique(values[hit])
-        for t, own in enumerate(self.sets):
-            need = SHARE * len(own)
-            if np.isin(own, present, assume_unique=True).sum() < need:
-                continue
-            size = int(self.sizes[t])
-            step = max(1, size // 8)
-            width = min(size, len(values))
-            mine = hit[np.isin(values[hit], own)]
-            # windows that touch a hit
-            starts = np.unique(np.concatenate([np.arange(0, size + step, step)[None, :] * -1 + (mine[:, None] // step) * step]))
-            starts = np.unique(np.clip(starts, 0, len(values) - width))
-            agree = np.zeros(len(starts), dtype=bool)
-            for k in range(0, len(starts), 4096):
-                rows = values[starts[k : k + 4096, None] + np.arange(width)]
-                agree[k : k + 4096] = (_signature(rows) == self.bands[t]).any(axis=1)
-            last, best = -1, None
-            for s in starts[agree].tolist():
-                a, b = max(0, s - step), min(len(values), s + width + step)
-                inside = mine[np.searchsorted(mine, a) : np.searchsorted(mine, b)]
-                share = len(np.unique(values[inside])) / len(own)
-                if share < SHARE:
-                    continue
-                span = (int(inside[0]), int(inside[-1]) + 1, share)
+        spans: dict[int, list[tuple[int, int, float]]] = {}
+        mine: dict[int, np.ndarray] = {}
+        for t, s, size, step in self.retrieved(values, hit):
+            own = mine[t] = mine[t] if t in mine else hit[np.isin(values[hit], self.sets[t])]
+            a, b = np.searchsorted(own, (s - step, s + size + step))
+            share = len(np.unique(values[own[a:b]])) / len(self.sets[t])
+            if share >= SHARE:
+                spans.setdefault(t, []).append((int(own[a]), int(own[b - 1]) + 1, share))
+        for t, found in sorted(spans.items()):
+            best = None
+            for span in sorted(set(found)):
                 if best and span[0] < last:
                     best = span if span[2] > best[2] else best
                 else:
                     if best:
                         yield t, *best
-                    best = span
-                last = max(best[1], span[1])
-            if best:
-                yield t, *best
+                    best, last = span, 0
+                last = max(last, span[1])
+            yield t, *best
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:

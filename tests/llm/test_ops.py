@@ -314,6 +314,45 @@ def test_op6_licenses(spark):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_op6_recall_against_every_window(spark):
+    """Of passages that hold 75 % of a template, by counting shingles at every place, 0.99 are found, and no other."""
+    rng = random.Random(6)
+    pairs = [(name, text) for name, texts in licenses.TEMPLATES.items() for text in texts]
+    trim = lambda w: w.strip("".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))) or w
+    grams = lambda w: [tuple(w[k : k + 5]) for k in range(len(w) - 4)]
+    rows, expected = [], set()
+    for i in range(400):
+        name, text = rng.choice(pairs)
+        w = edited(rng, text.split(), rng.choice([0, 0, 1, 2, 4, 6]) * len(text.split()) // 60, ["foo", "bar"])
+        words = [f"u{rng.randrange(999)}" for _ in range(rng.randrange(50))] + w + [f"v{rng.randrange(999)}" for _ in range(rng.randrange(50))]
+        rows.append((i, " ".join(words)))
+        mine = grams([trim(lower(x)) for x in words])
+        for other, t in pairs:
+            own = set(grams([trim(lower(x)) for x in t.split()]))
+            width = licenses.width_class(len(grams(t.split())))
+            if any(len(own & set(mine[k : k + width])) >= 0.75 * len(own) for k in range(max(1, len(mine) - width + 1))):
+                expected.add((i, other))
+    assert len(expected) > 350
+    got = {(r.doc_id, r.license) for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got & expected) >= 0.99 * len(expected)
+    for i, name in got - expected:  # the margins of a window may hold what no window does
+        mine = set(grams([trim(lower(x)) for x in rows[i][1].split()]))
+        assert any(len(set(grams([trim(lower(x)) for x in t.split()])) & mine) >= 0.75 * len(set(grams([trim(lower(x)) for x in t.split()]))) for n, t in pairs if n == name)
+
+
+def test_op6_bands_retrieve(spark):
+    """Without its band keys a template is not found; with a thousand others it is."""
+    known = licenses.Templates()
+    values, at, _ = licenses._words([licenses.TEMPLATES["MIT"][2]])
+    assert [known.names[t] for t, *_ in known.scan(values)] == ["MIT"]
+    known.tables = {w: (k[:0], o[:0]) for w, (k, o) in known.tables.items()}
+    assert not list(known.scan(values))
+    rng = random.Random(1)
+    many = {f"L{k}": [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(5, 120)))] for k in range(1000)}
+    got = licenses.scan_licenses(spark.createDataFrame([(1, "x y z " + many["L77"][0])], "doc_id long, text string"), many).collect()
+    assert [r.license for r in got] == ["L77"]
+
+
 def test_op7_round_trip(spark, sf):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
     rows += [(1000, "http://a.b/c", "x\r\n\r\nWARC/1.1\r\n\r\n"), (1001, None, None), (1002, "u", ""), (1003, "u", rows[0][2]), (1003, "u", rows[0][2]), (None, "u", "no id")]
