@@ -11,19 +11,24 @@ an edit, so edit distance becomes Hamming distance.  LSH samples ``SAMPLED``
 of the steps as one key.  Each of the ``REPEATS`` repetitions has its own walk,
 its own steps and its own start in the item (one of its long words, so that few
 document positions share its first word); windows start at every word of every
-document, and steps reach over what is left of the item.  A walk goes on only
+document, and steps reach over what is left of the item, to its end in classes
+of two to one.  In long items edits pull walks apart before they end; these have
+``REPEATS`` windows of ``LOCAL`` words besides.  A walk goes on only
 while the words sampled so far are those of some item, which changes no key.
 
-Recall is measured in ``tests/llm/test_decontam.py``: 1 for exact passages and
-above 0.9 at the largest distance.  Every candidate is then verified by the
-exact edit distance (bit-parallel, free ends), so precision is 1.
+Recall is measured in ``test_op3_recall`` and ``test_op3_long_items`` of
+``tests/llm/test_ops.py``: 1 for exact passages and above 0.9 at the largest
+distance.  Every candidate is then verified by the exact edit distance
+(bit-parallel, free ends), so precision is 1.  Items of fewer than
+``MIN_WORDS`` words allow no edit, and are looked up exactly, as the hash of so
+many words in a row.
 
 The items are a stated query set: they are broadcast in blocks of ``BLOCK``,
 and each block is searched against all documents.
 
-Defined results: null and empty texts and items match nothing; items of fewer
-than ``MIN_WORDS`` words are not searched; repeated rows each give a row; of
-several places of one item the nearest, then the first, is told.
+Defined results: null and empty texts and items match nothing; repeated rows
+each give a row; of several places of one item the nearest, then the first, is
+told.
 """
 
 from __future__ import annotations
@@ -39,9 +44,9 @@ from loadstone.llm.textnum import buffers, mix, slices, word_hashes, words
 
 REPEATS = 16
 SAMPLED = 4  # steps in a key, the first included
-MIN_WORDS = 5
+MIN_WORDS = 5  # of an item that is searched by LSH
+LOCAL = 24  # words of the further windows of long items
 BLOCK = 20_000
-CLASSES = (2, 4, 8, 16, 32, 64)  # words left in the item: windows of a class sample the same steps
 
 _U = np.uint64
 _MARK = np.zeros(256, dtype=bool)
@@ -82,25 +87,45 @@ def _join(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix(key * _U(0x9E3779B97F4A7C15) + symbol)
 
 
+def width_class(left: int) -> int:
+    """Words left in an item, to a power of two: windows of a class sample the same steps."""
+    return max(2, 1 << (int(left).bit_length() - 1))
+
+
 class Index:
-    """LSH tables over a block of items."""
+    """LSH tables over a block of items, and the hashes of its short items."""
 
     def __init__(self, item_ids: list, texts: list[str | None]):
         data, offsets = buffers(pa.array(texts, pa.string()))
         hashes, lengths, first = trimmed_words(data, offsets)
-        self.items = [(i, hashes[a:b]) for i, a, b in zip(item_ids, first[:-1], first[1:], strict=True) if b - a >= MIN_WORDS]
-        sizes = [lengths[a:b] for a, b in zip(first[:-1], first[1:], strict=True) if b - a >= MIN_WORDS]
+        spans = list(zip(item_ids, first[:-1].tolist(), first[1:].tolist(), strict=True))
+        long = [x for x in spans if x[2] - x[1] >= MIN_WORDS]
+        short = [x for x in spans if 0 < x[2] - x[1] < MIN_WORDS]
+        self.items = [(i, hashes[a:b]) for i, a, b in [*long, *short]]
+        sizes = [lengths[a:b] for _, a, b in long]
+        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for m in sorted({b - a for _, a, b in short}):
+            own = [len(long) + k for k, (_, a, b) in enumerate(short) if b - a == m]
+            keys = np.array([runs_of(self.items[k][1], m)[0] for k in own])
+            order = np.argsort(keys, kind="stable")
+            self.short[m] = (keys[order], np.array(own)[order])
+        self.widest = 2
         self.tables = []
-        for seed in range(REPEATS):
+        # windows of the item's size first; in long items edits pull the walks apart, so as many windows of LOCAL words more
+        for seed in range(2 * REPEATS):
             by_class: dict[int, list[tuple[int, int]]] = {}
-            for k, ((_, seq), size) in enumerate(zip(self.items, sizes, strict=True)):
+            for k, ((_, seq), size) in enumerate(zip(self.items, sizes, strict=False)):
                 usable = max(1, (3 * len(seq)) // 4)
+                if seed >= REPEATS and len(seq) <= 2 * LOCAL:
+                    continue
                 # the long words first; each repetition takes another
                 order = np.lexsort((np.arange(usable), -size[:usable]))
                 at = int(order[seed % min(usable, 12)])
-                by_class.setdefault(max((c for c in CLASSES if c <= len(seq) - at), default=CLASSES[0]), []).append((k, at))
+                width = width_class(len(seq) - at)
+                by_class.setdefault(width if seed < REPEATS else min(width, LOCAL), []).append((k, at))
             for width, members in sorted(by_class.items()):
                 steps = steps_of(seed, width)
+                self.widest = max(self.widest, width)
                 padded = [np.concatenate([self.items[k][1][s:], np.zeros(2 * width + 1, _U)]) for k, s in members]
                 keys = [np.array([p[0] for p in padded])]
                 for n, step in enumerate(steps):
@@ -127,7 +152,7 @@ class Index:
 
     def candidates(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """(position, item, start in the item) of windows that share a key."""
-        padded = np.concatenate([symbols, np.zeros(2 * CLASSES[-1] + 1, _U)])
+        padded = np.concatenate([symbols, np.zeros(2 * self.widest + 1, _U)])
         low = (symbols & _U(0xFFFF)).astype(np.uint16)
         for seed, steps, table, partial, keys, members in self.tables:
             at = np.flatnonzero(table[low])
@@ -149,6 +174,15 @@ class Index:
                 which = np.repeat(a, reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
                 yield np.repeat(start, reps), members[which, 0], members[which, 1]
 
+    def exact(self, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(position, item) of short items."""
+        for m, (keys, own) in self.short.items():
+            found = runs_of(symbols, m)
+            a, b = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+            reps = b - a
+            which = np.repeat(a, reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+            yield np.repeat(np.arange(len(found)), reps), own[which]
+
     def nearest(self, item: int, window: list[int], most: int) -> tuple[int, int, int] | None:
         """(distance, start, end) of the nearest part of ``window`` (bit-parallel),
         if within ``most`` edits."""
@@ -162,6 +196,15 @@ class Index:
         return distance, end - back, end
 
 
+def runs_of(symbols: np.ndarray, m: int) -> np.ndarray:
+    """A hash of each m words in a row."""
+    n = max(len(symbols) - m + 1, 0)
+    key = np.zeros(n, dtype=_U)
+    for k in range(m):
+        key = _join(key, symbols[k : k + n])
+    return key
+
+
 def _least(bits: dict[int, int], m: int, window: list[int], anywhere: bool) -> tuple[int, int]:
     """(distance, end): the least edit distance of a pattern to a part of
     ``window`` that starts anywhere (or at its start), and where it first ends."""
@@ -193,25 +236,34 @@ def _search(index: Index, batch: pa.RecordBatch, tolerance: int) -> Iterator[tup
     for a, b in slices(offsets):
         part = data[offsets[a] : offsets[b]]
         symbols, _, first = trimmed_words(part, offsets[a : b + 1] - offsets[a])
-        found = list(index.candidates(symbols)) if len(symbols) else []
-        if not found:
+        if not len(symbols):
             continue
-        at, item, start = (np.concatenate(x) for x in zip(*found, strict=True))
-        row = np.searchsorted(first, at, side="right") - 1
-        begin = at - start  # where the item would begin
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for r, k, p in sorted({(int(r), int(k), int(p)) for r, k, p in zip(row, item, begin, strict=True)}):
-            m = len(index.items[k][1])
-            slack = m // tolerance
-            if (old := best.get((r, k))) and (old[0] == 0 or first[r] + old[1] - slack <= p <= first[r] + old[1] + slack):
-                continue
-            lo, hi = max(p - slack, first[r]), min(p + m + slack, first[r + 1])
-            if hi <= lo:
-                continue
-            if near := index.nearest(k, symbols[lo:hi].tolist(), slack):
-                distance, s, e = near
-                place = (distance, int(lo - first[r] + s), int(lo - first[r] + e))
-                best[r, k] = min(best.get((r, k), place), place)
+        for at, item in index.exact(symbols):
+            row = np.searchsorted(first, at, side="right") - 1
+            for r, k, p in zip(row.tolist(), item.tolist(), (at - first[row]).tolist(), strict=True):
+                m = len(index.items[k][1])
+                if p + m <= first[r + 1] - first[r]:  # all of it is in this text
+                    best[r, k] = min(best.get((r, k), (0, p, p + m)), (0, p, p + m))
+        if found := list(index.candidates(symbols)):
+            at, item, start = (np.concatenate(x) for x in zip(*found, strict=True))
+            row = np.searchsorted(first, at, side="right") - 1
+            begin = at - start  # where the item would begin
+            # windows of one item that meet are one stretch, read once from end to end
+            stretches: list[list[int]] = []
+            for r, k, p in sorted(set(zip(row.tolist(), item.tolist(), begin.tolist(), strict=True))):
+                m = len(index.items[k][1])
+                slack = m // tolerance
+                lo, hi = max(p - slack, int(first[r])), min(p + m + slack, int(first[r + 1]))
+                if stretches and stretches[-1][:2] == [r, k] and lo <= stretches[-1][3]:
+                    stretches[-1][3] = max(hi, stretches[-1][3])
+                elif hi > lo:
+                    stretches.append([r, k, lo, hi])
+            for r, k, lo, hi in stretches:
+                if near := index.nearest(k, symbols[lo:hi].tolist(), len(index.items[k][1]) // tolerance):
+                    distance, s, e = near
+                    place = (distance, int(lo - first[r] + s), int(lo - first[r] + e))
+                    best[r, k] = min(best.get((r, k), place), place)
         for (r, k), (distance, s, e) in sorted(best.items()):
             yield a + r, k, distance, s, e
 

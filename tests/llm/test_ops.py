@@ -239,6 +239,57 @@ def test_op3_recall(spark, sf, rate, least):
     assert len(found & expected) / len(expected) >= least and not found - expected
 
 
+def edit_search(pattern, text):
+    """(least distance, first end) of a pattern to a part of text, by the plain table."""
+    column = list(range(len(pattern) + 1))
+    best, end = len(pattern), 0
+    for j, y in enumerate(text):
+        last, column[0] = column[0], 0
+        for i, x in enumerate(pattern):
+            last, column[i + 1] = column[i + 1], min(last + (x != y), column[i + 1] + 1, column[i] + 1)
+        if column[-1] < best:
+            best, end = column[-1], j + 1
+    return best, end
+
+
+def test_op3_against_every_pair():
+    """Items of any length in texts of few words: distances are those of the plain table, short items are all found."""
+    rng = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(60)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.choice([1, 2, 3, 4, 5, 9, 20]))] for _ in range(60)]
+    rows = []
+    for i in range(80):
+        w = [rng.choice(vocabulary) for _ in range(rng.randrange(3, 80))]
+        for _ in range(rng.randrange(3)):
+            item = rng.choice(items)
+            w += edited(rng, item, rng.randrange(len(item) // 5 + 1), vocabulary) + [rng.choice(vocabulary)] * rng.randrange(4)
+        rows.append(w)
+    index = decontam.Index(list(range(len(items))), [" ".join(x) for x in items])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([" ".join(w) for w in rows])], names=["doc_id", "text"])
+    got = {(i, index.items[k][0]): (d, s, e) for i, k, d, s, e in decontam._search(index, batch, 5)}
+    expected = {(i, k): edit_search(item, w) for i, w in enumerate(rows) for k, item in enumerate(items)}
+    expected = {pair: x for pair, x in expected.items() if x[0] <= len(items[pair[1]]) // 5}
+    assert set(got) <= set(expected)
+    short = {pair for pair in expected if len(items[pair[1]]) < 5}
+    assert short <= set(got) and len(set(got) - short) >= 0.9 * len(set(expected) - short)
+    exact = {pair for pair in expected if expected[pair][0] == 0}
+    assert exact <= set(got) and all(got[pair][0] == 0 for pair in exact)
+    assert all(got[pair][0] >= expected[pair][0] for pair in got)
+
+
+def test_op3_long_items():
+    """Items of hundreds of words, edited at the far end too."""
+    rng = random.Random(5)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    items = [[rng.choice(vocabulary) for _ in range(rng.choice([130, 300, 700]))] for _ in range(30)]
+    rows = [rng.choices(vocabulary, k=30) + edited(rng, x, len(x) // 5, vocabulary) + rng.choices(vocabulary, k=9) for x in items]
+    index = decontam.Index(list(range(len(items))), [" ".join(x) for x in items])
+    assert index.widest > 128
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(rows))), pa.array([" ".join(w) for w in rows])], names=["doc_id", "text"])
+    found = {(i, index.items[k][0]) for i, k, *_ in decontam._search(index, batch, 5)}
+    assert len(found) >= 0.9 * len(items) and all(i == k for i, k in found)
+
+
 def test_op3_edit_distance_is_exact():
     rng = random.Random(1)
 
@@ -260,7 +311,7 @@ def test_op3_edges(spark):
     docs = spark.createDataFrame([(1, None, 0), (2, "", 0), (3, "x " * 5000 + "alpha beta gamma delta epsilon zeta eta theta", 0), (3, "x", 0)], "doc_id long, text string, item_id int")
     bench = spark.createDataFrame([(7, "Alpha beta, gamma delta epsilon zeta eta theta."), (8, "x"), (9, None), (10, "")], "item_id long, text string")
     got = decontam.find_leaks(docs, bench).collect()
-    assert [(r.doc_id, r.item_id, r.distance, r.start_word) for r in got] == [(3, 7, 0, 5000)]
+    assert {(r.doc_id, r.item_id, r.distance, r.start_word, r.end_word) for r in got} == {(3, 7, 0, 5000, 5008), (3, 8, 0, 0, 1)} and len(got) == 3
     assert decontam.find_leaks(docs.limit(0), bench).count() == decontam.find_leaks(docs, bench.limit(0)).count() == 0
 
 
