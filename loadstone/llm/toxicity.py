@@ -5,14 +5,19 @@ A text is the set of its distinct words, hashed; the machine scores
 pair such as an insult and a group mention has a weight of its own that no sum
 of single weights can give.  It is fitted by Adagrad on a bounded sample of
 labelled rows (``SAMPLE``, drawn by hash of the id) and has at most ``TERMS``
-terms, those that tell the classes apart best; the model is a few hundred KB
-whatever the corpus.  Only the texts are inputs: label, language, source and id
+terms: those of the ``PAIRS`` pairs whose joint presence tells the classes apart
+most beyond what the two tell alone (counted for the ``PAIR_TERMS`` most usable
+terms of the sample), then those that tell the classes apart best by themselves.
+So terms that say nothing alone are there if they say something together.  The
+model is a few hundred KB whatever the corpus.  Only the texts are inputs: label, language, source and id
 never are.
 
 Defined results: null, empty and unknown-only texts get the score of a text
 without known terms; without labelled rows of both classes every score is the
-share of label 1 (0 without rows); several labels of one id all train; repeated
-rows are each scored; extra columns are ignored.
+share of label 1 (0 without rows); different labels of one id each train, rows
+that repeat an id and a label train once; a row without doc_id is not held out
+and has no label; repeated rows are each scored; extra columns are passed on,
+but for ``score`` and ``predicted``, which are replaced.
 """
 
 from __future__ import annotations
@@ -24,11 +29,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadstone.llm.textnum import buffers, slices, word_hashes, words
 
 SAMPLE = 12_000  # labelled rows that train, at most
 TERMS = 4096  # terms of the model, at most
+PAIR_TERMS, PAIRS = 1500, 256  # terms whose pairs are counted in the sample, and pairs whose terms are kept
+PAIR_SIGNAL = 18.0  # of a pair beyond its two terms, in nats: chance makes none of a million
 FACTORS = 4
 POSITIVE = 3.0  # weight of a row of label 1: missing one costs more
 EPOCHS = 12
@@ -71,18 +79,18 @@ _MARK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
 def held_out(doc_id: F.Column) -> F.Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == TEST_REMAINDER
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == TEST_REMAINDER, F.lit(False))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
-    """(text, toxic) of at most ``limit`` labelled rows outside the held-out part.
+    """(_id, text, toxic) of at most ``limit`` labels outside the held-out part.
 
     The labels are cut to the sample first: what is broadcast to find its
     texts is ``limit`` short rows.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(limit)
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Machine:
@@ -92,18 +100,54 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Machine:
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [b""] * batch.num_rows
-            for a, b, text, hashes in _terms(batch.column(0)):
+            for a, b, text, hashes in _terms(batch.column(1)):
                 cuts = np.searchsorted(text, np.arange(b - a + 1))
                 for i in range(b - a):
                     out[a + i] = np.unique(hashes[cuts[i] : cuts[i + 1]]).tobytes()
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), batch.column(1)], names=["terms", "toxic"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), batch.column(2)], names=["_id", "terms", "toxic"])
 
-    rows = labelled_sample(docs, labels, limit).mapInArrow(take, "terms binary, toxic int").toArrow()
+    sample = labelled_sample(docs, labels, limit)
+    rows = sample.mapInArrow(take, f"_id {sample.schema['_id'].dataType.simpleString()}, terms binary, toxic int")
+    # one row for an id and a label, so no more than ``limit`` come here however often a document repeats
+    rows = rows.groupBy("_id", "toxic").agg(F.min("terms").alias("terms")).toArrow()
     # the order of collected rows is not fixed; that of their contents is
     listed = sorted(zip(rows.column("terms").to_pylist(), rows.column("toxic").to_pylist(), strict=True))
     return fit_machine([np.frombuffer(t, dtype=np.uint64) for t, _ in listed], np.array([y for _, y in listed], dtype=float))
 
 
+def strong_pairs(flat: np.ndarray, owner: np.ndarray, labels: np.ndarray, one: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, sign) of at most PAIRS pairs of terms, strongest first, whose joint
+    presence departs from what the two say alone (their log odds added up).
+
+    ``flat`` are term numbers, ``owner`` the rows they are in, one entry each.
+    """
+    n, p = len(labels), labels.mean()
+    usable = np.minimum(total, n - total)
+    chosen = np.flatnonzero(usable >= 8)
+    chosen = np.sort(chosen[np.argsort(-usable[chosen], kind="stable")[:PAIR_TERMS]])
+    place = np.full(len(total), -1)
+    place[chosen] = np.arange(len(chosen))
+    known = place[flat] >= 0
+    at, row = place[flat[known]], owner[known]
+    both = np.zeros((2, len(chosen), len(chosen)), dtype=np.float32)
+    for first in range(0, n, 2000):
+        a, b = np.searchsorted(row, (first, first + 2000))
+        for label in (0, 1):
+            mine = labels[row[a:b]] == label
+            x = np.zeros((2000, len(chosen)), dtype=np.float32)
+            x[row[a:b][mine] - first, at[a:b][mine]] = 1
+            both[label] += x.T @ x
+    odds = np.log((one[chosen] + 0.5 * p + 1e-3) / (total[chosen] - one[chosen] + 0.5 * (1 - p) + 1e-3))
+    i, j = np.nonzero(np.triu(both[0] + both[1] >= 8, 1))
+    zero_ij, one_ij = both[0][i, j].astype(float), both[1][i, j].astype(float)
+    rate = 1 / (1 + np.exp(-np.clip(odds[i] + odds[j] - np.log(p / (1 - p)), -30, 30)))
+    count = zero_ij + one_ij
+    g = one_ij * np.log(np.maximum(one_ij, 1e-9) / (count * rate + 1e-9)) + zero_ij * np.log(np.maximum(zero_ij, 1e-9) / (count * (1 - rate) + 1e-9))
+    order = np.flatnonzero(g > PAIR_SIGNAL)
+    order = order[np.argsort(-g[order], kind="stable")[:PAIRS]]
+    return chosen[i[order]], chosen[j[order]], np.where(one_ij[order] > count[order] * rate[order], 1.0, -1.0)
+
+
 def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
     n, positive = len(labels), float(labels.sum())
     if not 0 < positive < n:
@@ -117,8 +161,10 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> M
     total, p = one + zero, positive / n
     expected = total * p
     g = one * np.log(np.maximum(one, 1e-9) / expected) + zero * np.log(np.maximum(zero, 1e-9) / (total - expected))
+    pair_a, pair_b, pair_sign = strong_pairs(at, owner, labels, one, total)
+    paired = np.unique(np.concatenate([pair_a, pair_b]))
     keep = np.flatnonzero((total >= 4) & (g > 4.0))
-    keep = np.sort(keep[np.argsort(-g[keep], kind="stable")[:TERMS]])
+    keep = np.union1d(keep[np.argsort(-g[keep], kind="stable")[: TERMS - len(paired)]], paired)
     place = np.full(len(terms), -1)
     place[keep] = np.arange(len(keep))
     known = place[at] >= 0
@@ -128,6 +174,9 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> M
     rng = np.random.default_rng(seed)
     bias, w = float(np.log(p / (1 - p))), np.zeros(len(keep))
     v = rng.normal(0, 0.02, (len(keep), FACTORS))
+    for f, (a, b, sign) in enumerate(zip(place[pair_a[:FACTORS]], place[pair_b[:FACTORS]], pair_sign, strict=False)):
+        v[a, f] += 0.3  # each of the strongest pairs begins on a factor of its own
+        v[b, f] += 0.3 * sign
     gw, gv, gb = np.full(len(keep), 1e-2), np.full(v.shape, 1e-2), 1e-2
     rate, decay = 0.15, 2e-4
     for _ in range(EPOCHS):
@@ -151,6 +200,7 @@ def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> M
 
 def score_toxicity(docs: DataFrame, machine: Machine, threshold: float = 0.3) -> DataFrame:
     """All columns of docs with score (double) and predicted (int) appended."""
+    docs = docs.drop("score", "predicted")
     held = docs.sparkSession.sparkContext.broadcast(machine)
     columns = docs.columns
 
@@ -166,7 +216,5 @@ def score_toxicity(docs: DataFrame, machine: Machine, threshold: float = 0.3) ->
                 out[a:b] = model.score(pair // max(len(model.terms), 1), pair % max(len(model.terms), 1), b - a)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out), pa.array((out >= threshold).astype(np.int32))], names=[*columns, "score", "predicted"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*(f for f in docs.schema), T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return docs.mapInArrow(run, schema)

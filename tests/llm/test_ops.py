@@ -337,6 +337,55 @@ def test_op4_held_out(spark):
     assert toxicity.score_toxicity(d.limit(0), toxicity.fit(d, l)).count() == 0
 
 
+def auc(scores, labels):
+    order = np.argsort(np.argsort(scores)) + 1
+    positive = np.array(labels) == 1
+    return (order[positive].sum() - positive.sum() * (positive.sum() + 1) / 2) / (positive.sum() * (~positive).sum())
+
+
+@pytest.mark.parametrize("rule", [lambda a, b: a != b, lambda a, b: a and b, lambda a, b: a and not b])
+def test_op4_pairs_that_say_nothing_alone(spark, rule):
+    """Exactly one of two terms, both, one without the other: held-out AUC."""
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(300)]
+    docs, labels = [], []
+    for i in range(1600):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        text = rng.sample(words, 25) + ["jerk"] * a + ["folk"] * b
+        rng.shuffle(text)
+        docs.append((i, " ".join(text)))
+        labels.append((i, int(rule(a, b))))
+    d, l = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    rows = toxicity.score_toxicity(d, toxicity.fit(d, l)).join(l, "doc_id").where(toxicity.held_out(F.col("doc_id"))).collect()
+    assert auc([r.score for r in rows], [r.toxic for r in rows]) >= 0.95
+
+
+def test_op4_score_is_the_sum_over_pairs(spark):
+    """Against loops over the terms and pairs of terms of each text."""
+    rng = np.random.default_rng(3)
+    words = [f"t{k}" for k in range(12)]
+    hashes = {w: int(h) for w in words for *_, hs in toxicity._terms(pa.array([w])) for h in hs}
+    terms = np.array(sorted(hashes.values()), dtype=np.uint64)
+    machine = toxicity.Machine(terms, -0.4, rng.normal(0, 1, 12), rng.normal(0, 1, (12, toxicity.FACTORS)))
+    texts = [" ".join(rng.choice([*words, "other"], rng.integers(0, 9))) for _ in range(40)] + ["T3, (t4) t4!", None, ""]
+    df = spark.createDataFrame([(i, t, 7.0, "x") for i, t in enumerate(texts)] + [(None, "t1", 1.0, "y")], "doc_id long, text string, score double, predicted string")
+    got = toxicity.score_toxicity(df, machine)
+    assert got.columns == ["doc_id", "text", "score", "predicted"]
+    for r in got.collect():
+        held = sorted({w.strip("(),!").lower() for w in (r.text or "").split()} & set(words))
+        at = [int(np.searchsorted(terms, np.uint64(hashes[w]))) for w in held]
+        z = machine.bias + sum(machine.weights[i] for i in at) + sum(float(machine.factors[i] @ machine.factors[j]) for n, i in enumerate(at) for j in at[:n])
+        assert abs(r.score - 1 / (1 + np.exp(-z))) < 1e-9 and r.predicted == int(r.score >= 0.3)
+    assert got.where(toxicity.held_out(F.col("doc_id")).isNull()).count() == 0
+
+
+def test_op4_repeated_documents_are_one_sample(spark):
+    docs = spark.createDataFrame([(1, "bad word", 0)] * 500 + [(3, "good word", 0)], "doc_id long, text string, x int")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (3, 0)], "doc_id long, toxic int")
+    machine = toxicity.fit(docs, labels)
+    assert abs(machine.bias) < 5 and toxicity.score_toxicity(docs, machine).count() == 501
+
+
 def test_op5_counts(spark):
     tokens = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
