@@ -656,7 +656,7 @@ def _colours(y: np.ndarray, cb: np.ndarray, cr: np.ndarray) -> np.ndarray:
 
 
 def _samples(coefs: np.ndarray, quant: np.ndarray) -> np.ndarray:
-    out = (coefs.astype(np.float32) * quant) @ IDCT
+    out = (coefs.astype(np.float32) * quant).reshape(-1, 64) @ IDCT
     out += np.float32(128)
     return np.clip(np.rint(out, out=out), 0, 255, out=out)
 
@@ -675,10 +675,11 @@ def rgb(image: Image, coefs: np.ndarray) -> np.ndarray:
     return _colours(*planes)
 
 
-def mcu_rgb(blocks: np.ndarray, quant: np.ndarray) -> np.ndarray:
-    """(mcus, 16, 16, 3) samples of 4:2:0 MCUs (mcus, 6, 64) of many images."""
+def mcu_rgb(blocks: np.ndarray, quants: np.ndarray) -> np.ndarray:
+    """(mcus, 16, 16, 3) samples of 4:2:0 MCUs (mcus, 6, 64) of many images;
+    ``quants`` are the tables of the six blocks, of all MCUs or of each."""
     n = len(blocks)
-    samples = _samples(blocks.reshape(-1, 64), quant).reshape(n, 6, 8, 8)
+    samples = _samples(blocks, quants).reshape(n, 6, 8, 8)
     luma = samples[:, :4].reshape(n, 2, 2, 8, 8).swapaxes(2, 3).reshape(n, 16, 16)
     cb, cr = (samples[:, j].repeat(2, axis=1).repeat(2, axis=2) for j in (4, 5))
     return _colours(luma, cb, cr)

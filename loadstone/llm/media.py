@@ -11,9 +11,15 @@ the payload from these, and inverse-transforms them to full-resolution RGB.
 The feature of an image, its size and the mean and spread of each channel, can
 be taken while decoding or from stored tensors, with the same result.
 
+Any progressive Huffman JPEG is read, each component with its own table and
+sampling; one that is not of :func:`encode_media` has a tensor and a feature, and
+no payload.
+
 Defined results: null and empty texts are a payload of 192 spaces with 0
 unpadded bytes; equal texts give equal files and features; a text of any length
-is one image of up to 65,520 samples a side; repeated rows are each stored.
+is one image of up to 65,520 samples a side; a null media value has nulls and no
+tensor, bytes that are no such JPEG are an error; repeated rows are each stored;
+columns with the names of results are replaced by these.
 """
 
 from __future__ import annotations
@@ -66,9 +72,14 @@ def to_files(data: np.ndarray, offsets: np.ndarray) -> list[bytes]:
     return jpeg.encode(coefs.reshape(-1, 6, 64), counts, [b"bytes=%d" % n for n in np.diff(offsets).tolist()])
 
 
-def from_files(files: list[bytes]) -> tuple[list[jpeg.Image], np.ndarray, np.ndarray, list[bytes], list[int]]:
-    """(images, MCUs of each, coefficients by MCU, payloads, unpadded bytes)."""
-    images, coefs = jpeg.decode(files)
+def is_ours(image: jpeg.Image) -> bool:
+    """Whether a file is of :func:`to_files`: its comment and its 4:2:0 MCUs."""
+    layout = [(c.h, c.v) for c in image.components] == [(2, 2), (1, 1), (1, 1)]
+    return layout and image.width % 16 == image.height % 16 == 0 and any(c.startswith(b"bytes=") for c in image.comments)
+
+
+def from_images(images: list[jpeg.Image], coefs: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes], list[int]]:
+    """(MCUs of each, coefficients by MCU, payloads, unpadded bytes) of our own files."""
     lengths = [int(next(c for c in image.comments if c.startswith(b"bytes="))[6:]) for image in images]
     cols, rows = (np.array([getattr(x, f) for x in images], dtype=np.int64) for f in ("mcu_cols", "mcu_rows"))
     counts = cols * rows
@@ -84,7 +95,13 @@ def from_files(files: list[bytes]) -> tuple[list[jpeg.Image], np.ndarray, np.nda
         if size > 384 * count:
             raise ValueError("the image is smaller than its payload")
         found.append(raw[384 * start : 384 * start + size])
-    return images, counts, blocks, found, lengths
+    return counts, blocks, found, lengths
+
+
+def samples_of(images: list[jpeg.Image], counts: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    """RGB samples by MCU of our own files, by each component's table."""
+    tables = np.stack([np.stack([x.quants[c.quant] for c in x.components]) for x in images])[:, [0, 0, 0, 0, 1, 2]]
+    return jpeg.mcu_rgb(blocks, tables[0] if (tables == tables[0]).all() else np.repeat(tables, counts, axis=0))
 
 
 def encode_media(rows: DataFrame, text: str = "text", to: str = "media") -> DataFrame:
@@ -117,42 +134,49 @@ def decode_media(rows: DataFrame, media: str = "media", tensor: bool = True, fea
     """All columns of rows but ``media``, then :data:`DECODED` (without
     ``feature`` if not wanted) and, with ``tensor``, struct ``tensor`` (height,
     width, channels, data): RGB samples."""
-    keep = [c for c in rows.columns if c != media]
     decoded = T._parse_datatype_string(DECODED if feature else DECODED.removesuffix(", feature string"))
     kind = T._parse_datatype_string("tensor struct<height: int, width: int, channels: int, data: binary>")
+    added = [*decoded.fields, *(kind.fields if tensor else [])]
+    keep = [c for c in rows.columns if c != media and c not in {f.name for f in added}]
+    arrow = {"tensor": pa.struct([("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("data", pa.binary())])}
+
+    def decoded_rows(files: list[bytes]) -> Iterator[dict]:
+        images, coefs = jpeg.decode(files)
+        ours = [k for k, image in enumerate(images) if is_ours(image)]
+        mine: dict[int, tuple] = {}
+        if ours:
+            counts, blocks, found, lengths = from_images([images[k] for k in ours], coefs)
+            samples = samples_of([images[k] for k in ours], counts, blocks)
+            ends = np.cumsum(counts)
+            mine = {k: (found[i], lengths[i], samples[ends[i] - counts[i] : ends[i]]) for i, k in enumerate(ours)}
+        for k, (image, raw) in enumerate(zip(images, files, strict=True)):
+            row = {"media_bytes": len(raw), "media_sha256": hashlib.sha256(raw).hexdigest()}
+            if k in mine:
+                payload, n, own = mine[k]
+                row |= {"n_bytes": n, "payload_bytes": len(payload), "payload_sha256": hashlib.sha256(payload).hexdigest(), "tail_crc32": zlib.crc32(payload[-16:])}
+            else:
+                own = jpeg.rgb(image, coefs)
+            if feature:
+                flat = own.reshape(-1, 3)
+                row["feature"] = _feature(image.height, image.width, flat.sum(axis=0, dtype=np.int64), np.einsum("pc,pc->c", flat, flat, dtype=np.int64))
+            if tensor:
+                if k in mine:
+                    own = own.reshape(image.mcu_rows, image.mcu_cols, 16, 16, 3).swapaxes(1, 2)
+                row["tensor"] = {"height": image.height, "width": image.width, "channels": 3, "data": own.tobytes()}
+            yield row
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = np.array([len(x.as_py() or b"") if x.is_valid else 0 for x in batch.column(len(keep))])
-            offsets = np.concatenate([[0], np.cumsum(sizes)])
-            for first, last in slices(offsets, STEP // 2):
-                files = batch.column(len(keep)).slice(first, last - first).to_pylist()
-                images, counts, blocks, found, lengths = from_files(files)
-                samples = jpeg.mcu_rgb(blocks, images[0].quants[0])
-                ends = np.cumsum(counts)
-                if feature:
-                    flat = samples.reshape(len(samples), 256, 3)
-                    sums = np.add.reduceat(flat.sum(axis=1, dtype=np.int64), ends - counts)
-                    squares = np.add.reduceat(np.einsum("mpc,mpc->mc", flat, flat, dtype=np.int64), ends - counts)
-                out: list[list] = [[] for _ in decoded.fields]
-                tensors = []
-                for i, (image, raw, payload, n) in enumerate(zip(images, files, found, lengths, strict=True)):
-                    values = (n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(raw), hashlib.sha256(raw).hexdigest())
-                    if feature:
-                        values += (_feature(image.height, image.width, sums[i], squares[i]),)
-                    for column, value in zip(out, values, strict=True):
-                        column.append(value)
-                    if tensor:
-                        own = samples[ends[i] - counts[i] : ends[i]].reshape(image.mcu_rows, image.mcu_cols, 16, 16, 3).swapaxes(1, 2)
-                        tensors.append({"height": image.height, "width": image.width, "channels": 3, "data": own.tobytes()})
-                arrays = [batch.column(i).slice(first, last - first) for i in range(len(keep))] + [pa.array(c, pa.string() if isinstance(f.dataType, T.StringType) else pa.int64()) for c, f in zip(out, decoded.fields, strict=True)]
-                names = [*keep, *decoded.names]
-                if tensor:
-                    arrays.append(pa.array(tensors, pa.struct([("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("data", pa.binary())])))
-                    names.append("tensor")
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    schema = T.StructType([*(rows.schema[c] for c in keep), *decoded.fields, *(kind.fields if tensor else [])])
+            column = batch.column(len(keep))
+            sizes = np.array([len(x.as_py() or b"") if x.is_valid else 0 for x in column])
+            for first, last in slices(np.concatenate([[0], np.cumsum(sizes)]), STEP // 2):
+                files = column.slice(first, last - first).to_pylist()
+                found = decoded_rows([f for f in files if f is not None])
+                out = [{} if f is None else next(found) for f in files]
+                arrays = [pa.array([r.get(f.name) for r in out], arrow.get(f.name, pa.string() if isinstance(f.dataType, T.StringType) else pa.int64())) for f in added]
+                yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(first, last - first) for i in range(len(keep))), *arrays], names=[*keep, *(f.name for f in added)])
+
+    schema = T.StructType([*(rows.schema[c] for c in keep), *added])
     return rows.select(*keep, F.col(media)).mapInArrow(run, schema)
 
 
@@ -163,14 +187,15 @@ def tensor_features(rows: DataFrame, tensor: str = "tensor") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             height, width, _, data = batch.column(len(keep)).flatten()
-            sizes = height.to_numpy().astype(np.int64) * width.to_numpy()
-            features = []
+            sizes = (height.fill_null(0).to_numpy().astype(np.int64)) * width.fill_null(0).to_numpy()
+            features: list[str | None] = []
             for a, b in slices(np.concatenate([[0], np.cumsum(3 * sizes)]), STEP):
-                flat = np.frombuffer(b"".join(data.slice(a, b - a).to_pylist()), dtype=np.uint8).reshape(-1, 3)
-                first = np.cumsum(sizes[a:b]) - sizes[a:b]
-                sums = np.add.reduceat(flat, first, axis=0, dtype=np.int64)
-                squares = np.add.reduceat(np.square(flat, dtype=np.int64), first, axis=0)
-                features += [_feature(height[i].as_py(), width[i].as_py(), sums[i - a], squares[i - a]) for i in range(a, b)]
+                for i in range(a, b):
+                    if not sizes[i]:  # no tensor
+                        features.append(None)
+                        continue
+                    flat = np.frombuffer(data[i].as_buffer(), dtype=np.uint8).reshape(-1, 3)
+                    features.append(_feature(height[i].as_py(), width[i].as_py(), flat.sum(axis=0, dtype=np.int64), np.einsum("pc,pc->c", flat, flat, dtype=np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(features, pa.string())], names=[*keep, "feature"])
 
     schema = T.StructType([*(rows.schema[c] for c in keep), T.StructField("feature", T.StringType())])

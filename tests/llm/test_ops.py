@@ -194,6 +194,70 @@ def test_op2_file_is_a_jpeg_that_others_read(spark, tmp_path):
     assert np.abs(plane - luma).max() <= 2
 
 
+def jvm_progressive(spark, path, width, height, seed):
+    """A progressive JPEG of colours, written by the JVM: two tables, 4:2:0, sides that are no multiples of 16."""
+    jvm = spark._jvm
+    rng = random.Random(seed)
+    image = jvm.java.awt.image.BufferedImage(width, height, 1)
+    for x in range(width):
+        for y in range(height):
+            image.setRGB(x, y, (x * 255 // width) << 16 | (y * 255 // height) << 8 | (rng.randrange(60) + 90))
+    writer = jvm.javax.imageio.ImageIO.getImageWritersByFormatName("jpeg").next()
+    how = writer.getDefaultWriteParam()
+    how.setProgressiveMode(1)
+    out = jvm.javax.imageio.ImageIO.createImageOutputStream(jvm.java.io.File(str(path)))
+    writer.setOutput(out)
+    writer.write(None, jvm.javax.imageio.IIOImage(image, None, None), how)
+    out.close()
+    return Path(path).read_bytes()
+
+
+def plain_rgb(image, coefs):
+    """The inverse transform by its formula, chroma replicated, sample by sample."""
+    zigzag = sorted(range(64), key=lambda k: (k // 8 + k % 8, k // 8 if (k // 8 + k % 8) % 2 else k % 8))
+    basis = np.array([[np.cos((2 * x + 1) * u * np.pi / 16) * (np.sqrt(0.5) if u == 0 else 1) / 2 for x in range(8)] for u in range(8)])
+    planes = []
+    for c in image.components:
+        plane = np.zeros((8 * image.mcu_rows * c.v, 8 * image.mcu_cols * c.h))
+        for r in range(image.mcu_rows * c.v):
+            for k in range(image.mcu_cols * c.h):
+                block = np.zeros(64)
+                block[zigzag] = coefs[c.base + r * c.stride + k] * image.quants[c.quant]
+                plane[8 * r : 8 * r + 8, 8 * k : 8 * k + 8] = basis.T @ block.reshape(8, 8) @ basis + 128
+        planes.append((np.clip(np.rint(plane), 0, 255), image.vmax // c.v, image.hmax // c.h))
+    out = np.zeros((image.height, image.width, 3))
+    for y in range(image.height):
+        for x in range(image.width):
+            l, cb, cr = (p[y // v, x // h] for p, v, h in planes)
+            out[y, x] = l + 1.402 * (cr - 128), l - 0.344136 * (cb - 128) - 0.714136 * (cr - 128), l + 1.772 * (cb - 128)
+    return np.clip(np.rint(out), 0, 255)
+
+
+def test_op2_rgb_against_a_plain_loop(spark, tmp_path):
+    """Ours and another writer's files, each component with its own table; a null is a null."""
+    other = jvm_progressive(spark, tmp_path / "o.jpg", 37, 29, 1)
+    mine = media.to_files(*textnum.buffers(pa.array(["some text to draw " * 40])))[0]
+    (a, b), coefs = jpeg.decode([other, mine])
+    assert len({q.tobytes() for q in a.quants.values()}) == 2
+    df = spark.createDataFrame([(1, bytearray(other), "x"), (2, None, "y"), (3, bytearray(mine), "z")], "doc_id long, media binary, feature string")
+    got = {r.doc_id: r for r in media.decode_media(df).collect()}
+    for image, r in ((a, got[1]), (b, got[3])):
+        tensor = np.frombuffer(r.tensor.data, dtype=np.uint8).reshape(r.tensor.height, r.tensor.width, 3)
+        assert (r.tensor.height, r.tensor.width) == (image.height, image.width)
+        assert np.abs(tensor - plain_rgb(image, coefs)).max() <= 2 and (np.abs(tensor - plain_rgb(image, coefs)) > 0).mean() < 0.01
+    assert got[1].n_bytes is None and got[3].n_bytes == 720 and got[3].payload_bytes == 768
+    assert got[2].asDict() == dict.fromkeys(got[2].asDict()) | {"doc_id": 2}
+    features = {r.doc_id: r.feature for r in media.tensor_features(media.decode_media(df, feature=False)).collect()}
+    assert features == {k: r.feature for k, r in got.items()} and features[2] is None
+    # images of one batch with tables of their own
+    two, coefs = jpeg.decode([mine, mine])
+    two[1].quants = {k: q * (k + 2) for k, q in two[1].quants.items()}
+    counts, blocks, *_ = media.from_images(two, coefs)
+    samples = media.samples_of(two, counts, blocks)
+    for image, own in zip(two, np.split(samples, np.cumsum(counts)[:-1]), strict=True):
+        assert (own.reshape(image.mcu_rows, image.mcu_cols, 16, 16, 3).swapaxes(1, 2).reshape(image.height, image.width, 3) == jpeg.rgb(image, coefs)).all()
+
+
 def test_op2_general_coefficients():
     """Zeros, long runs and large values through the other tables."""
     rng = np.random.default_rng(5)
