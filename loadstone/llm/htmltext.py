@@ -18,7 +18,9 @@ block becomes one space, and blocks are joined by one space.
 
 Defined results: a null or empty page, and one without words, has the empty
 text; of regions with equal sums the first wins; markup that never closes is
-read as far as it goes; nothing is cut; repeated rows are each extracted.
+read as far as it goes, and an element of :data:`RAW` that closes itself or never
+closes is left out alone, not what follows it; nothing is cut; repeated rows are
+each extracted.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE = 400  # pages with one article element that train, at most
+MOST = 50  # words of one text that count for a rate: long texts are no better examples than short ones
 TAG, BORDER, LINK, FLOOR = 0.02, 12.0, 2.0, 0.002  # LINK stands for BORDER on inline tags
 
 #: Elements whose content is not markup, inline elements, containers without an end tag.
@@ -41,7 +44,9 @@ RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = frozenset("article aside body button details dialog div fieldset figure footer form head header html main menu nav ol section select table title ul".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea)\b[^>]*+>.*?(?:</\1\s*+>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>", re.S | re.I)
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+# what an element of RAW holds is skipped if it ends; one that closes itself, or never, is a tag like others
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea)\b{_ATTRIBUTES}>(?<!/>).*?</\1\s*+>|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<[!?][^>]*+>", re.S | re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -56,6 +61,17 @@ LABELLED = [
     _page(before='<div id="header" class="masthead top">name</div><div class="nav navigation navbar menu breadcrumb"><a href="#">one</a> <a href="#">two</a></div><div class="cookie notice consent banner">we use cookies <button>accept</button></div>', content='<div class="content main post entry body text story"><h2>heading</h2><p>first words of the story.</p><blockquote>quoted words</blockquote><p>last words.</p></div>', after='<div class="comments comment" id="comments"><div class="comment reply">a reader writes</div><form><label>name</label><input><button>send</button></form></div><div class="footer" id="footer">contact terms</div>'),
     _page(before='<div class="sponsored promo advertisement">offer of the day</div><form class="search"><input><button>search</button></form>', content='<main><section><h1>words</h1><p>a text of words<br>on two lines.</p><ul><li>point one</li><li>point two</li></ul><table><tr><td>cell</td></tr></table></section></main>', after='<section class="related recommended share social"><h3>related</h3><ul><li><a href="#">more</a></li></ul></section><div class="newsletter subscribe popup modal">sign up <form><input></form></div>'),
     _page(before='<nav><a href="#">a</a></nav><aside><p>side words</p></aside>', content='<div><p>plain words in a plain page.</p><p>and then some.</p><pre>code words</pre></div>', after='<div class="widget copyright disclaimer legal">words of law</div><footer><p>end</p></footer>'),
+    # bare containers: a menu of links, text, a list of links
+    _page(before='<div><div><a href="#">one</a> <a href="#">two</a> <a href="#">three</a></div></div>', content='<div><h1>a heading of words</h1><div>first words of a text that goes on for a while.</div><div>more words, with <i>some</i> <em>stress</em> in them.</div></div>', after='<div><ul><li><a href="#">one thing</a></li><li><a href="#">another thing</a></li></ul></div><div>all rights</div>'),
+    # nested sections with a figure, a quotation and a definition list
+    _page(before='<header role="banner"><a href="#">home</a></header><nav role="navigation"><ol><li><a href="#">up</a></li></ol></nav>', content='<section><section><h2>part one</h2><p>words of part one.</p><figure><img><figcaption>what it shows</figcaption></figure></section><section><h2>part two</h2><blockquote><p>quoted words.</p></blockquote><dl><dt>term</dt><dd>what it means</dd></dl><hr><p>last words.</p></section></section>', after='<aside role="complementary"><h3>see also</h3><ul><li><a href="#">x</a></li></ul></aside><footer role="contentinfo">imprint</footer>'),
+    # a page laid out as a table
+    _page(before='<table><tr><td><a href="#">home</a><br><a href="#">about</a><br><a href="#">links</a></td><td>', content='<h3>words</h3><p>text in a cell of a table, as it was done once.</p><p>a second paragraph of it.</p><table><tr><th>year</th><th>how many</th></tr><tr><td>one</td><td>two</td></tr></table>', after='</td></tr></table><center><font>best viewed so</font></center>'),
+    # a board: the first post is the text, replies are the readers'
+    _page(before='<div class="topbar login"><form><input><button>log in</button></form></div><div class="forum breadcrumbs"><a href="#">board</a> <a href="#">topic</a></div>', content='<div class="thread post"><h1>a question</h1><p>what somebody asks, in some words.</p><ol><li>first this</li><li>then that</li></ol></div>', after='<ul class="replies comments"><li class="reply comment">a short answer <a href="#">like</a></li><li class="reply comment">another <a href="#">like</a></li></ul><div class="pagination pager"><a href="#">next</a></div>'),
+    # a shop and a manual
+    _page(before='<div class="cart basket toolbar"><a href="#">basket</a></div><div class="notice alert warning">we are closed today</div>', content='<div class="description product"><h1>a thing</h1><p>what the thing is good for.</p><ul><li>it is small</li><li>it is blue</li></ul></div>', after='<div class="reviews ratings"><p>a buyer writes</p></div><div class="upsell recommendations"><a href="#">another thing</a></div>'),
+    _page(before='<div class="toc sidebar"><ul><li><a href="#">one</a></li><li><a href="#">two</a></li></ul></div>', content='<div class="section documentation"><h1>how to</h1><p>do <code>this</code> first.</p><pre>and this</pre><p>then <kbd>that</kbd>.</p><h2>notes</h2><p>a note.</p></div>', after='<div class="feedback survey"><form><label>was it good</label><button>yes</button></form></div><div class="tags meta byline"><a href="#">tag</a></div>'),
 ]
 
 
@@ -94,7 +110,7 @@ class Rates:
         for part, text in enumerate(page):
             for kind, name, keys in tokens(text):
                 if kind == "text":
-                    n = min(len(name.split()), 50)
+                    n = min(len(name.split()), MOST)
                     for key in {k for _, ks in open_keys for k in ks}:
                         self._count(f"words {key}", n, part == 1)
                     continue

@@ -648,6 +648,47 @@ def test_op9_edges(spark):
     assert got[1] == got[2] == "" and got[4] == "Fish & chips <now> abc d" and got[5] == "deep"
 
 
+def test_op9_raw_elements_that_close_themselves_or_never(spark, sf):
+    """An svg that closes itself, and raw elements without an end, take nothing with them."""
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    rates = htmltext.fit(pages)
+    for r in pages.select("html").limit(60).collect():
+        whole = htmltext.main_text(r.html, rates)
+        for odd in ('<svg width="1" viewBox="0 0 1>1"/>', "<iframe src=x>", "<noscript>", "<template />", "<textarea>", '<script src="a.js"/>'):
+            assert htmltext.main_text(r.html.replace("<article>", "<article>" + odd), rates) == whole
+        assert htmltext.main_text(r.html.replace("<article>", "<article><svg><text>no</text></svg><style>p{}</style>"), rates) == whole
+
+
+def token_f1(got, expected):
+    both = sum((collections.Counter(got.split()) & collections.Counter(expected.split())).values())
+    return 2 * both / max(1, len(got.split()) + len(expected.split()))
+
+
+@pytest.mark.parametrize(("change", "exact", "f1"), [
+    ({"article": "div"}, 0.95, 0.99),
+    ({"article": "section"}, 0.95, 0.99),
+    ({"article": "div class='entry-content'"}, 0.95, 0.99),
+    ({"article": "main"}, 0.95, 0.99),
+    ({"article": "div", "nav": "div", "footer": "div class='bottom'"}, 0.0, 0.95),
+])
+def test_op9_held_out_pages_without_article(spark, sf, change, exact, f1):
+    """Pages that train nothing, with other elements for theirs: exact results and token F1."""
+    pages = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/pages.parquet").select("page_id", "html")
+    rates = htmltext.fit(pages.where("page_id % 2 = 0"))
+    right, scores = [], []
+    for r in pages.where("page_id % 2 = 1").collect():
+        inside = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        text = " ".join(html.unescape(re.sub(r"</?(?:p|h1|br)>", " ", re.sub(r"</?b>", "", inside))).split())
+        page = r.html
+        for old, new in change.items():
+            page = page.replace(f"<{old}>", f"<{new}>").replace(f"</{old}>", f"</{new.split()[0]}>")
+        got = htmltext.main_text(page, rates)
+        right.append(got == text)
+        scores.append(token_f1(got, text))
+    print(f"{change}: exact {np.mean(right):.3f}, token F1 {np.mean(scores):.4f}")
+    assert np.mean(right) >= exact and np.mean(scores) >= f1
+
+
 def test_op10_targets(spark):
     rng = random.Random(2)
     rows = [(i, " ".join("w" * rng.randrange(1, 4) for _ in range(rng.randrange(0, 60))), s) for i, s in enumerate(rng.choices(["a", "b", "c", "d", None], [60, 10, 10, 18, 2], k=3000))]
