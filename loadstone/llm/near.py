@@ -569,3 +569,24 @@ def _l_column(n, heavy):
     for tier in TIERS[-2::-1]:
         out = F.when(share * length(l_of(tier)) < l_of(tier) / 2, l_of(tier)).otherwise(out)
     return out
+
+
+#: The rows of op1 as DuckDB SQL, by comparing all pairs that share a shingle: for small tables.
+ORACLE = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s FROM cut),
+sized AS (SELECT doc_id, s, len(s)::BIGINT AS n, md5(array_to_string(s, chr(10))) AS k FROM sets),
+one AS (SELECT doc_id, n, unnest(s) AS x FROM sized),
+linked AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM one a JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT doc_id, doc_id AS root FROM sized
+  UNION
+  SELECT l.b, r.root FROM reached r JOIN linked l ON l.a = r.doc_id)
+SELECT s.doc_id, s.n AS n_shingles, r.component_id, CASE WHEN s.n = 0 THEN s.doc_id ELSE min(s.doc_id) OVER (PARTITION BY s.k) END AS class_id
+FROM sized s JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id) r USING (doc_id)
+"""

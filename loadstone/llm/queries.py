@@ -94,6 +94,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from loadstone.llm import mixing
+    from loadstone.llm import mixing, near, warc
 
-    return {"op10_mixing": mixing.ORACLE}
+    return {"op1_jaccard_join": near.ORACLE, "op7_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}

@@ -15,7 +15,9 @@ few hundred MB by ``archives``.
 Defined results: a null html is an empty payload; of records with equal
 payloads of at least ``min_bytes`` bytes the largest page_id is the response;
 rows with equal page_id and payload are separate captures; null page_ids are
-kept; an empty table gives no captures.
+kept; an empty table gives no captures.  Rows are told apart by their place in
+the plan, so pages must be a table of files, or be stored as one first: what is
+dealt anew on each reading has no fixed places.
 """
 
 from __future__ import annotations
@@ -210,3 +212,16 @@ def round_trip(pages: DataFrame, path: str, min_bytes: int = 0) -> DataFrame:
     write_archives(pages, path, min_bytes)
     return captured_pages(read_records(pages.sparkSession, path))
 
+
+#: The rows of op7 as DuckDB SQL.
+ORACLE = r"""
+WITH held AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digested AS (SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, sha1(payload) AS h FROM held),
+parts AS (SELECT *, list_transform(range(0, 8), lambda k: ('0x' || substr(h, (5 * k + 1)::INT, 5))::BIGINT) AS words FROM digested),
+told AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(words, lambda n:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 32768 + 1)::INT, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 1024 % 32 + 1)::INT, 1) ||
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n // 32 % 32 + 1)::INT, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (n % 32 + 1)::INT, 1)), '') AS payload_digest FROM parts),
+topped AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS top FROM told)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to FROM topped
+"""
