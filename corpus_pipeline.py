@@ -15,7 +15,11 @@ from loadstone.llm._io import stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score is under the threshold; learned from the labels of these documents."""
+    """Documents whose score is under the threshold; learned from the labels of these documents.
+
+    Null and empty texts have the score of a text without known words; rows
+    without doc_id are scored and have no label; without labels all have one score.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     machine = toxicity.fit(docs, labels)
     return toxicity.score_toxicity(docs, machine).where("predicted = 0").select(docs.columns)
@@ -24,7 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The least doc_id of each component of the Jaccard join, one row of it.
 
-    Rows without doc_id cannot be told apart and stay.
+    Null and empty texts are groups of their own and stay; rows without doc_id
+    are linked with nothing and stay.
     """
     found = near.jaccard_components(docs)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
@@ -33,7 +38,10 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that an earlier document holds."""
+    """Documents without the passages that an earlier place holds; n_chars follows.
+
+    All rows stay; null and empty texts and rows without doc_id are unchanged.
+    """
     out = substrings.dedup_substrings(docs)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("removed_bytes") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -41,13 +49,24 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage near a benchmark item."""
-    leaks = decontam.find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.where(F.col("doc_id").isNotNull()).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents without a passage near a benchmark item.
+
+    Rows without doc_id are told apart by their text, so a leak goes with or
+    without an id; null and empty texts stay; of rows that repeat a doc_id all go
+    if one has a leak.  Without benchmark items all stay.
+    """
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
+    keyed = docs.withColumn("_key", key)
+    leaks = decontam.find_leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return keyed.join(leaks.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mix takes of each document, and when."""
+    """What the mix takes of each document, and when: one row per row of docs.
+
+    Null texts have size 0, a null source is a source, rows without doc_id and
+    repeated rows each count; empty documents give an empty frame.
+    """
     return mixing.mix_sources(docs)
 
 
