@@ -1,7 +1,10 @@
 """Chunks and files: size-bounded packing of channel flushes, and their contents.
 
 Packing is greedy and in order, so it is done over the metadata of flushes (one
-short row each), grouped by table; rows only meet their chunk in a join.
+short row each), grouped by table; rows only meet their chunk in a join.  A
+flush is up to 64 MiB, so the group of a table with 100 TB to pack has two
+million rows of metadata, and one with a third of it fewer: that is what one
+task holds.
 """
 
 from __future__ import annotations
@@ -42,9 +45,11 @@ def pack_chunks(flushes: DataFrame, max_chunk: int = MAX_CHUNK_BYTES, max_blob:
     return flushes.join(packed, ["table", order])
 
 
-def blobs_of_chunks(chunks: DataFrame, order: str = "chunk_no", by: list[str] | None = None, most: int = MAX_CHUNKS_IN_BLOB) -> DataFrame:
-    """WIN6: adds blob_no: at most ``most`` chunks to a file, in order."""
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(order)
+def blobs_of_chunks(chunks: DataFrame, order: str, by: list[str], most: int = MAX_CHUNKS_IN_BLOB) -> DataFrame:
+    """WIN6: adds blob_no: at most ``most`` chunks to a file, in order, in each group of ``by`` (tables, or days of one)."""
+    if not by:
+        raise ValueError("name the columns that keep files apart")
+    w = Window.partitionBy(*by).orderBy(order)
     return chunks.withColumn("blob_no", F.floor((F.row_number().over(w) - 1) / most))
 
 

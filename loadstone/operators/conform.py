@@ -260,17 +260,17 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
 
 def conform(
     raw: DataFrame, schema: T.StructType, on_error: str | DataFrame = CONTINUE, zone: str = C.DEFAULT_ZONE, max_row_bytes: int = MAX_ROW_BYTES,
-    row: str = "row_json", raise_on_abort: bool = False,
+    row: str = "row_json", raise_on_abort: bool = False, batch_warning: int = BATCH_WARNING,
 ) -> Conformed:
     """(good, errors, report) of raw (table, channel, batch_id, row_index, row_json).
 
     ``on_error`` is one policy, or a frame (table, channel, on_error) of one
     per channel (POL4), joined to the batch counts and to the rows.
     """
-    return by_policy(checked_rows(raw, schema, zone, max_row_bytes, row), schema, on_error, row, raise_on_abort)
+    return by_policy(checked_rows(raw, schema, zone, max_row_bytes, row), schema, on_error, row, raise_on_abort, batch_warning)
 
 
-def by_policy(rows: DataFrame, schema: T.StructType, on_error: str | DataFrame = CONTINUE, row: str = "row_json", raise_on_abort: bool = False) -> Conformed:
+def by_policy(rows: DataFrame, schema: T.StructType, on_error: str | DataFrame = CONTINUE, row: str = "row_json", raise_on_abort: bool = False, batch_warning: int = BATCH_WARNING) -> Conformed:
     """POL1-4: :func:`conform` from the checked rows on; all three frames read ``rows``, which a caller may store."""
     names = [f.name for f in schema.fields]
     keep = [*KEYS, "row_index"]
@@ -288,7 +288,7 @@ def by_policy(rows: DataFrame, schema: T.StructType, on_error: str | DataFrame =
     status = F.when((F.col("error_rows") == 0) | (F.col("_policy") == CONTINUE), "loaded").when(F.col("_policy") == ABORT, "aborted").otherwise("skipped")
     report = report.withColumn("status", status).withColumns({
         "loaded_rows": F.when(F.col("status") == "loaded", F.col("row_count") - F.col("error_rows")).otherwise(0),
-        "warnings": F.when(F.col("batch_bytes") > BATCH_WARNING, F.array(F.lit(f"batch over {BATCH_WARNING} bytes"))).otherwise(F.array().cast(_NO_NAMES)),
+        "warnings": F.when(F.col("batch_bytes") > batch_warning, F.array(F.lit(f"batch over {batch_warning} bytes"))).otherwise(F.array().cast(_NO_NAMES)),
     })
     report = report.withColumnRenamed("_policy", "on_error")
 

@@ -36,10 +36,18 @@ def verify_offsets(batches: DataFrame, verify: Verification = default_verificati
     return batches.withColumn("offset_ok", ok)
 
 
-def channel_latest(batches: DataFrame, channel: str = "channel", order: str = "batch_seq") -> DataFrame:
-    """WIN3: last end token, first start token and row sequencer of each channel."""
+def channel_latest(batches: DataFrame, channel: str = "channel", order: str = "batch_seq", flushed: DataFrame | None = None) -> DataFrame:
+    """WIN3: last end token, row sequencer, and start token of the first batch since the last flush.
+
+    ``flushed`` (channel, ``order``) tells the last batch of each channel that was
+    flushed; without it nothing was.  The start token is null if no batch followed.
+    """
+    batches = batches.withColumn("_mark", F.lit(None).cast(batches.schema[order].dataType))
+    if flushed is not None:
+        batches = batches.drop("_mark").join(flushed.select(channel, F.col(order).alias("_mark")), channel, "left")
+    new = F.col("_mark").isNull() | (F.col(order) > F.col("_mark"))
     return batches.groupBy(channel).agg(
-        F.min_by("start_token", order).alias("start_token"), F.max_by("end_token", order).alias("end_token"), F.max(order).alias("last_batch"),
+        F.min_by(F.when(new, F.col("start_token")), F.when(new, F.col(order))).alias("start_token"), F.max_by("end_token", order).alias("end_token"), F.max(order).alias("last_batch"),
         F.count("*").alias("row_sequencer"), F.sum("row_count").alias("rows_inserted"),
     )
 

@@ -19,8 +19,6 @@ from loadstone.functions.coerce import scaled_timestamp, zoned_timestamp
 from loadstone.plans.schema import Leaf, dot_path, leaves
 
 WIDE = "decimal(38,0)"
-MEASURES = ("row_count", "null_count", "min_int", "max_int", "min_real", "max_real", "min_bytes", "max_bytes", "max_length", "distinct_count", "value_count")
-_TYPES = {"row_count": "bigint", "null_count": "bigint", "min_int": WIDE, "max_int": WIDE, "min_real": "double", "max_real": "double", "min_bytes": "binary", "max_bytes": "binary", "max_length": "bigint", "distinct_count": "bigint", "value_count": "bigint"}
 
 
 def kind_of(kind: T.DataType, metadata: dict | None = None) -> str:
@@ -56,23 +54,41 @@ def as_integer(c: Column, kind: T.DataType, metadata: dict | None = None) -> Col
     return c.cast(WIDE)
 
 
+def is_negative_zero(c: Column) -> Column:
+    return (c == 0) & (F.atan2(c, F.lit(-1.0)) < 0)
+
+
+def least_real(c: Column) -> Column:
+    """AGG4: the minimum by which -0.0 is under 0.0 and NaN is over all (Spark takes the zeros for equal)."""
+    return F.when(F.min(c) == 0, F.when(F.max(is_negative_zero(c)), F.lit(-0.0)).otherwise(F.lit(0.0))).otherwise(F.min(c))
+
+
+def greatest_real(c: Column) -> Column:
+    """AGG4: the maximum of the same order."""
+    return F.when(F.max(c) == 0, F.when(F.max((c == 0) & ~is_negative_zero(c)), F.lit(0.0)).otherwise(F.lit(-0.0))).otherwise(F.max(c))
+
+
 def _measures(c: Column, kind: T.DataType, metadata: dict, distinct: str | None, nested: bool) -> Column:
     """One struct of all measures of a column: a single pass of partial aggregates."""
     what = kind_of(kind, metadata)
     null = lambda t: F.lit(None).cast(t)
     number, real, raw = as_integer(c, kind, metadata) if what == "int" else null(WIDE), null("double"), null("binary")
     if what == "real":
-        # NaN is greatest in Spark's order too; -0.0 counts as 0.0
-        real = F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double"))
+        real = c.cast("double")
     if what == "bytes":
         raw = c if isinstance(kind, T.BinaryType) else F.encode(c, "utf-8")
-    count = F.lit(-1).cast("bigint") if distinct is None or what == "none" else (F.count_distinct(c) if distinct == "exact" else F.approx_count_distinct(c))
+    count, sketch = F.lit(-1).cast("bigint"), null("binary")
+    if what != "none" and distinct in ("exact", "approx"):
+        count = F.count_distinct(c) if distinct == "exact" else F.approx_count_distinct(c)
+    elif what != "none" and distinct == "sketch":
+        sketch = F.hll_sketch_agg(c if isinstance(kind, (T.StringType, T.BinaryType, T.IntegerType, T.LongType)) else c.cast("string"))
+        count = F.hll_sketch_estimate(sketch)
     return F.struct(
         F.count("*").alias("row_count"), F.count_if(c.isNull()).alias("null_count"),
         (F.min(number) if what == "int" else number).alias("min_int"), (F.max(number) if what == "int" else number).alias("max_int"),
-        (F.min(real) if what == "real" else real).alias("min_real"), (F.max(real) if what == "real" else real).alias("max_real"),
+        (least_real(real) if what == "real" else real).alias("min_real"), (greatest_real(real) if what == "real" else real).alias("max_real"),
         (F.min(raw) if what == "bytes" else raw).alias("min_bytes"), (F.max(raw) if what == "bytes" else raw).alias("max_bytes"),
-        (F.max(F.octet_length(c)) if what == "bytes" else F.lit(0)).cast("bigint").alias("max_length"), count.cast("bigint").alias("distinct_count"),
+        (F.max(F.octet_length(c)) if what == "bytes" else F.lit(0)).cast("bigint").alias("max_length"), count.cast("bigint").alias("distinct_count"), sketch.alias("sketch"),
         (F.count("*") if nested else F.lit(-1).cast("bigint")).alias("value_count"),
     )
 
@@ -102,7 +118,8 @@ def _leaf_groups(schema: T.StructType) -> tuple[list[tuple[str, tuple[str, ...],
 def column_stats(df: DataFrame, by: list[str] | None = None, distinct: str | None = None, columns: list[str] | None = None) -> DataFrame:
     """AGG1-9: statistics of the columns (all but ``by``) of each group.
 
-    ``distinct`` is None (count -1), ``exact`` or ``approx``.
+    ``distinct`` is None (count -1), ``exact``, ``approx`` or ``sketch``: the
+    last keeps HLL sketches, whose counts can be merged.
     """
     by = by or []
     schema = T.StructType([f for f in df.schema.fields if f.name not in by and (columns is None or f.name in columns)])
@@ -136,14 +153,15 @@ def _exploded(df: DataFrame, by: list[str], names: tuple[str, ...], kind: T.Data
 
 
 def merge_stats(stats: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """AGG10: partial statistics to larger groups.  Distinct counts do not add
-    up and become -1; recount or use ``approx`` on the larger group."""
+    """AGG10, SET4: partial statistics to larger groups.  Distinct counts do not add
+    up: they come from the union of the sketches, and are -1 without sketches."""
     by = by or []
     total = lambda c: F.when(F.min(c) < 0, F.lit(-1)).otherwise(F.sum(c)).cast("bigint").alias(c)
     return stats.groupBy(*by, "column", "kind").agg(
         F.sum("row_count").alias("row_count"), F.sum("null_count").alias("null_count"), F.min("min_int").alias("min_int"), F.max("max_int").alias("max_int"),
-        F.min("min_real").alias("min_real"), F.max("max_real").alias("max_real"), F.min("min_bytes").alias("min_bytes"), F.max("max_bytes").alias("max_bytes"),
-        F.max("max_length").alias("max_length"), F.lit(-1).cast("bigint").alias("distinct_count"), total("value_count"),
+        least_real(F.col("min_real")).alias("min_real"), greatest_real(F.col("max_real")).alias("max_real"), F.min("min_bytes").alias("min_bytes"), F.max("max_bytes").alias("max_bytes"),
+        F.max("max_length").alias("max_length"), F.when(F.count("sketch") > 0, F.hll_sketch_estimate(F.hll_union_agg("sketch"))).otherwise(-1).cast("bigint").alias("distinct_count"),
+        F.when(F.count("sketch") > 0, F.hll_union_agg("sketch")).alias("sketch"), total("value_count"),
     )
 
 
@@ -176,15 +194,10 @@ def file_properties(stats: DataFrame, iceberg: bool = False) -> DataFrame:
         "min_int": empty(F.col("min_int"), "int", 0).cast(WIDE), "max_int": empty(F.col("max_int"), "int", 0).cast(WIDE),
         "min_real": empty(F.col("min_real"), "real", 0.0), "max_real": empty(F.col("max_real"), "real", 0.0),
         "min_string": text(truncated_low(F.col("min_bytes"))), "max_string": text(truncated_high(F.col("max_bytes"))),
-    }).drop("min_bytes", "max_bytes")
+    }).drop("min_bytes", "max_bytes", "sketch")
 
 
 def violations(stats: DataFrame, distinct: bool = False) -> DataFrame:
     """AGG15: statistics that cannot be right (must be empty)."""
     repeated = F.col("column").rlike(r"\.(list\.element|key_value\.(key|value))")
     return stats.where((~repeated & (F.col("null_count") > F.col("row_count"))) | (F.lit(not distinct) & (F.col("distinct_count") != -1)))
-
-
-def prune_files(stats: DataFrame, column: str, low: Column, high: Column, kind: str = "int") -> DataFrame:
-    """Groups of ``stats`` that may hold a value of ``column`` in [low, high]."""
-    return stats.where((F.col("column") == column) & (F.col(f"max_{kind}") >= low) & (F.col(f"min_{kind}") <= high))

@@ -24,6 +24,12 @@ def wrapped_paths(spark: SparkSession, paths: list[tuple[str, int | None]]) -> D
     return spark.createDataFrame(paths, "path string, size long")
 
 
+def listed(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+    """SRC2: (path, size) of the files below a folder."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
+    return found.select("path", F.col("length").alias("size"))
+
+
 def by_pattern(files: DataFrame, pattern: str | None) -> tuple[DataFrame, DataFrame]:
     """SRC3: (files that match the regular expression, files that do not)."""
     if pattern is None:
@@ -62,14 +68,26 @@ def file_status(history: DataFrame) -> DataFrame:
     return history.withColumn("status", status).withColumn("success", F.col("status").isin(LOADED, PARTIALLY_LOADED))
 
 
-def history_rows(rows: DataFrame, errors: DataFrame, pipe: str, at: Column) -> DataFrame:
-    """SNK13: one history row per file from its rows (path) and errors (path, line, character, column, message)."""
+def error_places(rows: DataFrame, errors: DataFrame) -> DataFrame:
+    """Errors of ``csv_as_rows`` rows (channel, row_index, message) as (path, line, character, column, message):
+    only the first of each file, as its line is told by counting the rows up to it."""
+    first = errors.groupBy(F.col("channel").alias("path")).agg(F.min_by(F.struct("row_index", "message"), "row_index").alias("_e"), F.count("*").alias("errors"))
+    counted = rows.select("path", "row_index").join(first, "path").where(F.col("row_index") <= F.col("_e.row_index"))
+    line = counted.groupBy("path").agg(F.count("*").alias("line"))
+    return first.join(line, "path").select("path", "line", F.lit(1).cast("long").alias("character"), F.regexp_extract("_e.message", r"^([^:]*):", 1).alias("column"), F.col("_e.message").alias("message"), "errors")
+
+
+def history_rows(rows: DataFrame, errors: DataFrame, pipe: str, at: Column, error_limit: int = 1) -> DataFrame:
+    """SNK13: one history row per file from its rows (path) and errors (path, line, character, column, message
+    [, errors: how many they stand for])."""
+    if "errors" not in errors.columns:
+        errors = errors.withColumn("errors", F.lit(1))
     parsed = rows.groupBy("path").agg(F.count("*").alias("rows_parsed"))
-    first = errors.groupBy("path").agg(F.count("*").alias("errors_seen"), F.min_by(F.struct("message", "line", "character", "column"), "line").alias("first_error"))
+    first = errors.groupBy("path").agg(F.sum("errors").alias("errors_seen"), F.min_by(F.struct("message", "line", "character", "column"), "line").alias("first_error"))
     out = parsed.join(first, "path", "left").withColumn("errors_seen", F.coalesce("errors_seen", F.lit(0)))
     return out.select(
         "path", F.lit(pipe).alias("pipe"), at.alias("last_insert_time"), "rows_parsed", (F.col("rows_parsed") - F.col("errors_seen")).alias("rows_inserted"),
-        "errors_seen", F.lit(1).cast("long").alias("error_limit"), F.lit(True).alias("complete"), F.col("first_error.message").alias("first_error"),
+        "errors_seen", F.lit(error_limit).cast("long").alias("error_limit"), F.lit(True).alias("complete"), F.col("first_error.message").alias("first_error"),
         F.col("first_error.line").alias("first_error_line"), F.col("first_error.character").alias("first_error_character"), F.col("first_error.column").alias("first_error_column"),
     )
 
@@ -97,6 +115,8 @@ def new_folder(spark: SparkSession, name: str) -> str:
     for conf in (spark.conf, spark.sparkContext.getConf()):
         if shared := conf.get("spark.checkpoint.dir", None):
             return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     own = "file://" + tempfile.mkdtemp(prefix="loadstone-")
     spark.conf.set("spark.checkpoint.dir", own)
     return f"{own}/{name}-{uuid.uuid4().hex}"

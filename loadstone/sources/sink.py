@@ -5,11 +5,11 @@ The append to the manifest is the commit: readers take files from it.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from loadstone.operators import stats
+
 VERSION = 1
 TRIES = 3
 
@@ -23,11 +23,22 @@ def time_path(at: Column) -> list[Column]:
     return [F.date_format(at, p).alias(n) for n, p in (("y", "yyyy"), ("m", "MM"), ("d", "dd"), ("h", "HH"), ("mi", "mm"))]
 
 
+def blob_path(at: Column, prefix: Column, writer: Column, counter: Column) -> Column:
+    """SNK2: ``y/m/d/h/min/<base36 second>_<prefix>_<writer>_<counter>`` of a UTC time."""
+    second = F.lower(F.conv(F.unix_seconds(at).cast("string"), 10, 36))
+    return F.concat_ws("/", *time_path(at), F.concat_ws("_", second, prefix, writer.cast("string"), counter.cast("string")))
+
+
 def spread_prefix(chunk_id: Column) -> Column:
     """SNK3: two hex characters that spread the files of a table."""
     return F.substring(F.md5(chunk_id.cast("string")), 1, 2)
 
 
+def table_path(table: Column, chunk_id: Column) -> Column:
+    """SNK3: ``<table>/<two hex characters>/<chunk>``."""
+    return F.concat_ws("/", table, spread_prefix(chunk_id), chunk_id.cast("string"))
+
+
 def write_chunks(df: DataFrame, path: str, partition_by: list[str] | None = None, iceberg: bool = False, order: list[str] | None = None, files: int | None = None, dictionary: bool = True) -> None:
     """SNK1, ORD1: Parquet, gzip (zstd for Iceberg tables), rows of a channel in arrival order."""
     by = partition_by or []
@@ -44,39 +55,47 @@ def row_digest(columns: list[str]) -> Column:
     return F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("decimal(38,0)"))
 
 
-def manifest(spark: SparkSession, path: str, table: str = "") -> DataFrame:
-    """SNK4, SNK5: one row per written file: path, length, md5, row_count, version."""
+def manifest(spark: SparkSession, path: str, table: str = "", iceberg: bool = False) -> DataFrame:
+    """SNK4, SNK5: one row per written file: table, path, length, md5, row_count, version and the
+    statistics of its columns as registered.
+
+    MD5 takes a file as one value; files are chunks, of 256 MiB at most (WIN5).
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length", F.md5("content").alias("md5"))
-    rows = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("path")).agg(F.count("*").alias("row_count"))
     name = F.element_at(F.split("path", "/"), -1)
-    files, rows = files.withColumn("file", name), rows.withColumn("file", name).drop("path")
-    return files.join(rows, "file", "left").select(F.lit(table).alias("table"), "path", "length", "md5", F.coalesce("row_count", F.lit(0)).alias("row_count"), F.lit(VERSION).alias("version"))
+    rows = spark.read.parquet(path)
+    measured = stats.file_properties(stats.column_stats(rows.withColumn("file", F.col("_metadata.file_name")), ["file"]), iceberg)
+    each = F.struct(*[c for c in measured.columns if c not in ("file", "row_count")])
+    told = measured.groupBy("file").agg(F.max("row_count").alias("row_count"), F.array_sort(F.collect_list(each)).alias("columns"))
+    return files.withColumn("file", name).join(told, "file", "left").select(F.lit(table).alias("table"), "path", "length", "md5", F.coalesce("row_count", F.lit(0)).alias("row_count"), F.lit(VERSION).alias("version"), "columns")
 
 
 def blob_manifest(chunks: DataFrame) -> DataFrame:
-    """SNK4: chunks (blob, table, chunk_id, row_count, bytes, md5) nested into one row per file, with the mixed-table flag."""
+    """SNK4: chunks (blob, table, chunk_id, row_count, bytes, md5[, columns]) nested into one row per file, with the mixed-table flag."""
+    fields = [c for c in ("chunk_id", "table", "row_count", "bytes", "md5", "columns") if c in chunks.columns]
     return chunks.groupBy("blob").agg(
-        F.array_sort(F.collect_list(F.struct("chunk_id", "table", "row_count", "bytes", "md5"))).alias("chunks"), F.sum("row_count").alias("row_count"),
-        (F.count_distinct("table") > 1).alias("mixed_tables"), F.lit(VERSION).alias("version"),
+        F.array_sort(F.collect_list(F.struct(*fields))).alias("chunks"), F.sum("row_count").alias("row_count"), F.sum("bytes").alias("bytes"),
+        (F.min("table") != F.max("table")).alias("mixed_tables"), F.lit(VERSION).alias("version"),
     )
 
 
 def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = None, iceberg: bool = False) -> dict[str, int]:
-    """SNK6, SNK7: write, then hold count and digest of a full re-read against those of the rows written; up to three tries.
+    """SNK6, SNK7: write, then hold count and digest of a full re-read against those of the rows as they were written; up to three tries.
 
-    Each try has a path of its own; the path of the good one is returned with
-    its counts.
+    The source is read once a try: its rows are counted on their way to the
+    files.  Each try has a path of its own; the number of the good one is
+    returned with its counts.
     """
     spark = df.sparkSession
-    expected = df.agg(F.count("*"), row_digest(df.columns)).first()
+    measures = (F.count("*").alias("rows"), row_digest(df.columns).alias("digest"))
     for attempt in range(TRIES):
-        to = f"{path}/try={attempt}"
-        write_chunks(df, to, partition_by, iceberg)
-        back = spark.read.schema(df.schema).parquet(to)
-        counted, found = back.count(), back.agg(F.count("*"), row_digest(df.columns)).first()
-        if counted == expected[0] and tuple(found) == tuple(expected):
-            return {"attempt": attempt, "rows": counted}
-    raise VerificationFailed(f"{path}: {expected[0]} rows were to be written, {found[0]} are there")
+        to, seen = f"{path}/try={attempt}", Observation()
+        write_chunks(df.observe(seen, *measures), to, partition_by, iceberg)
+        written = (seen.get["rows"], seen.get["digest"])
+        found = spark.read.schema(df.schema).parquet(to).agg(*measures).first()
+        if tuple(found) == written:
+            return {"attempt": attempt, "rows": written[0]}
+    raise VerificationFailed(f"{path}: {written[0]} rows were written, {found[0]} are there, or others")
 
 
 def merge_files(spark: SparkSession, paths: list[str], to: str, files: int = 1, iceberg: bool = False) -> None:
@@ -104,7 +123,3 @@ def ingest_metrics(blobs: DataFrame, by: list[str] | None = None) -> DataFrame:
     if "upload_ms" in stages:
         measures.append((F.sum("bytes") * 1000 / F.sum("upload_ms")).alias("bytes_per_second"))
     return blobs.groupBy(*(by or [])).agg(*measures)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

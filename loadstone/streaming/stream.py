@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from loadstone.operators.conform import CONTINUE, Conformed, by_policy, checked_rows
+from loadstone.operators.offsets import uncommitted_channels
 
 LAG_DEFAULT, LAG_DEFAULT_ICEBERG, LAG_LEAST, LAG_MOST = 1.0, 30.0, 1.0, 600.0
 CHANNEL_BYTES = 64 * 1024 * 1024
@@ -50,8 +51,8 @@ def row_stream(spark: SparkSession, path: str, schema, files_per_trigger: int |
 
 
 def csv_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    """STR14: CSV files of a pipe as they arrive; the source keeps the log of those it has seen."""
-    return spark.readStream.schema(schema).option("mode", "PERMISSIVE").csv(path)
+    """STR14: CSV files of a pipe as they arrive, in any folder below; the source keeps the log of those it has seen."""
+    return spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("recursiveFileLookup", "true").csv(path)
 
 
 def is_committed(spark: SparkSession, path: str, number: int) -> bool:
@@ -106,14 +107,6 @@ def open_channel(state: DataFrame, channel: str, token: str | None = None) -> Da
     return state.join(new, "channel", "left_anti").select(opened.columns).unionByName(opened)
 
 
-def accepted_batches(batches: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """STR7: (batches of valid channels, the others with code 0013 or 0014)."""
-    joined = batches.join(state.select("channel", "valid"), "channel", "left")
-    ok = F.coalesce("valid", F.lit(False))
-    code = F.when(F.col("valid").isNull(), "0014").otherwise("0013")
-    return joined.where(ok).drop("valid"), joined.where(~ok).withColumn("code", code).drop("valid")
-
-
 def drop_channel(state: DataFrame, channel: str, client_sequencer: int | None = None) -> DataFrame:
     """STR9: the state without the channel, if the sequencer is the current one."""
     hit = F.col("channel") == channel
@@ -123,16 +116,19 @@ def drop_channel(state: DataFrame, channel: str, client_sequencer: int | None =
 
 
 class NotCommitted(RuntimeError):
-    """STR8: channels that a close found uncommitted (code 0025)."""
+    """STR8: channels that a close found uncommitted (code 0025); ``channels`` is the frame of all of them."""
 
+    def __init__(self, message: str, channels: DataFrame):
+        super().__init__(message)
+        self.channels = channels
 
-def close_channels(local: DataFrame, state: DataFrame) -> None:
-    """STR8: fails, naming the channels whose rows are not all committed."""
-    from loadstone.operators.offsets import uncommitted_channels
 
-    behind = [r["channel"] for r in uncommitted_channels(local, state).orderBy("channel").limit(100).collect()]
-    if behind:
-        raise NotCommitted(f"0025: channels not committed: {', '.join(behind)}")
+def close_channels(local: DataFrame, state: DataFrame) -> None:
+    """STR8: fails if rows of channels are not all committed; names the first in the message, and all in ``channels``."""
+    behind = uncommitted_channels(local, state)
+    if n := behind.count():
+        first = [r["channel"] for r in behind.orderBy("channel").limit(20).collect()]
+        raise NotCommitted(f"0025: {n} channels not committed: {', '.join(first)}{', ...' if n > 20 else ''}", behind)
 
 
 class ChannelTracker(StatefulProcessor):
@@ -172,5 +168,6 @@ def _continues(previous, start, end, rows) -> bool:
 
 
 def track_channels(batches: DataFrame) -> DataFrame:
-    """STR13: the tracker over a stream (needs the RocksDB state store)."""
+    """STR13: the tracker over a stream; sets the state store that it needs."""
+    batches.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return batches.groupBy("channel").transformWithStateInPandas(statefulProcessor=ChannelTracker(), outputStructType=ChannelTracker.OUTPUT, outputMode="Update", timeMode="None")
