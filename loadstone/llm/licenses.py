@@ -11,7 +11,7 @@ least 0.68 / 1.52 = 0.44 with the template, so some band agrees with probability
 ``1 - (1 - 0.44**2)**48 > 0.9999``.  Retrieved pairs are verified by the exact
 share of the template's shingles in the window and its margins.
 
-Only windows with a shingle of a template are hashed: in any other, no minimum
+Only windows with a shingle of a template of their width are hashed: in any other, no minimum
 can be a template's.
 
 Defined results: null and empty texts and texts shorter than five words match
@@ -102,23 +102,26 @@ class Templates:
         self.all = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.sets]))
         self.low = np.zeros(1 << 16, dtype=bool)
         self.low[(self.all & np.uint64(0xFFFF)).astype(np.int64)] = True
-        # by width: the sorted band keys of its templates, and whose each is
-        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        # by width: the sorted band keys of its templates, whose each is, and the shingles of these templates
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         widths = np.array([width_class(at[i + 1] - at[i]) for i in chosen], dtype=np.int64)
         for width in np.unique(widths).tolist():
             own = np.flatnonzero(widths == width)
             keys = np.concatenate([_signature(values[at[chosen[t]] : at[chosen[t] + 1]][None, :])[0] for t in own])
             owner = np.repeat(own, BANDS)
             order = np.argsort(keys, kind="stable")
-            self.tables[width] = (keys[order], owner[order])
+            self.tables[width] = (keys[order], owner[order], np.unique(np.concatenate([self.sets[t] for t in own])))
 
     def retrieved(self, values: np.ndarray, hit: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
         """(template, start, width, step) of windows that share a band with a template."""
-        for width, (keys, owner) in self.tables.items():
+        for width, (keys, owner, known) in self.tables.items():
+            own = hit[np.isin(values[hit], known)]
+            if not len(own):
+                continue
             step = max(1, width // 8)
             size = min(width, len(values))
             # windows of the grid that touch a hit; the last window ends with the text
-            starts = np.unique((hit[:, None] // step - np.arange(-(-size // step) + 1)[None, :]) * step)
+            starts = np.unique((own[:, None] // step - np.arange(-(-size // step) + 1)[None, :]) * step)
             starts = np.unique(np.clip(starts, 0, len(values) - size))
             for k in range(0, len(starts), 4096):
                 some = starts[k : k + 4096]

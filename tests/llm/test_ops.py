@@ -509,7 +509,7 @@ def test_op6_bands_retrieve(spark):
     known = licenses.Templates()
     values, at, _ = licenses._words([licenses.TEMPLATES["MIT"][2]])
     assert [known.names[t] for t, *_ in known.scan(values)] == ["MIT"]
-    known.tables = {w: (k[:0], o[:0]) for w, (k, o) in known.tables.items()}
+    known.tables = {w: (k[:0], o[:0], s) for w, (k, o, s) in known.tables.items()}
     assert not list(known.scan(values))
     rng = random.Random(1)
     many = {f"L{k}": [" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randrange(5, 120)))] for k in range(1000)}
