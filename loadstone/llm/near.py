@@ -489,6 +489,16 @@ def _different(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return joined.where(~F.coalesce(F.col("_ra"), F.col("a")).eqNullSafe(F.coalesce(F.col("_rb"), F.col("b")))).drop("_ra", "_rb")
 
 
+def merged_parts(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """Components (node, root) with further links: only the roots that these join are worked on."""
+    ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    known = parts.union(ends.join(parts, "node", "left_anti").select("node", F.col("node").alias("root")))
+    left, right = (known.select(F.col("node").alias(c), F.col("root").alias(f"_r{c}")) for c in ("a", "b"))
+    tops = components(more.join(left, "a").join(right, "b").select(F.col("_ra").alias("a"), F.col("_rb").alias("b")))
+    tops = tops.select(F.col("node").alias("root"), F.col("root").alias("_top"))
+    return known.join(tops, "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
+
+
 def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, class_id per row of docs (doc_id, text).
 
@@ -529,8 +539,7 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     rest = _different(light.select("a", "b").union(pivots.select("a", "b")).distinct().join(first, ["a", "b"], "left_anti"), parts)
     more = stored(verified(rest, texts, width), "links")
     if not more.isEmpty():
-        links = links.union(more)
-        parts = stored(components(links), "parts")
+        parts = stored(merged_parts(parts, more), "parts")
 
     # 4: dense nodes, with the nodes that could be their partners: those with as
     # many heavy tokens as the fewest matches asked of any size near theirs
@@ -548,7 +557,7 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
         left = dealt_families(members).groupBy("block").applyInArrow(_link_family, "a long, b long").distinct()
         more = stored(verified(left, texts, width), "links")
         if not more.isEmpty():
-            parts = stored(components(links.union(more)), "parts")
+            parts = stored(merged_parts(parts, more), "parts")
 
     least = parts.join(classes.select("node", "class_id"), "node").groupBy("root").agg(F.min("class_id").alias("_least"))
     named = parts.join(least, "root").select("node", "_least")

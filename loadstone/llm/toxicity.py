@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,7 +36,7 @@ from loadstone.llm.textnum import buffers, slices, word_hashes, words
 
 SAMPLE = 12_000  # labelled rows that train, at most
 TERMS = 4096  # terms of the model, at most
-PAIR_TERMS, PAIRS = 1500, 256  # terms whose pairs are counted in the sample, and pairs whose terms are kept
+PAIR_TERMS, PAIRS = 1024, 256  # terms whose pairs are counted in the sample, and pairs whose terms are kept
 PAIR_SIGNAL = 18.0  # of a pair beyond its two terms, in nats: chance makes none of a million
 FACTORS = 4
 POSITIVE = 3.0  # weight of a row of label 1: missing one costs more
@@ -109,10 +110,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Machine:
     sample = labelled_sample(docs, labels, limit)
     rows = sample.mapInArrow(take, f"_id {sample.schema['_id'].dataType.simpleString()}, terms binary, toxic int")
     # one row for an id and a label, so no more than ``limit`` come here however often a document repeats
-    rows = rows.groupBy("_id", "toxic").agg(F.min("terms").alias("terms")).toArrow()
+    rows = rows.groupBy("_id", "toxic").agg(F.min("terms").alias("terms")).select("terms", "toxic").toArrow()
     # the order of collected rows is not fixed; that of their contents is
-    listed = sorted(zip(rows.column("terms").to_pylist(), rows.column("toxic").to_pylist(), strict=True))
-    return fit_machine([np.frombuffer(t, dtype=np.uint64) for t, _ in listed], np.array([y for _, y in listed], dtype=float))
+    rows = rows.sort_by([("terms", "ascending"), ("toxic", "ascending")])
+    sizes = pa.compute.binary_length(rows.column("terms")).to_numpy() // 8
+    flat = np.frombuffer(b"".join(rows.column("terms").to_pylist()), dtype=np.uint64)
+    labels = rows.column("toxic").to_numpy().astype(float)
+    del rows
+    return fit_machine(flat, sizes, labels)
 
 
 def strong_pairs(flat: np.ndarray, owner: np.ndarray, labels: np.ndarray, one: np.ndarray, total: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,37 +130,44 @@ def strong_pairs(flat: np.ndarray, owner: np.ndarray, labels: np.ndarray, one: n
     usable = np.minimum(total, n - total)
     chosen = np.flatnonzero(usable >= 8)
     chosen = np.sort(chosen[np.argsort(-usable[chosen], kind="stable")[:PAIR_TERMS]])
-    place = np.full(len(total), -1)
+    place = np.full(len(total), -1, dtype=np.int32)
     place[chosen] = np.arange(len(chosen))
     known = place[flat] >= 0
     at, row = place[flat[known]], owner[known]
-    both = np.zeros((2, len(chosen), len(chosen)), dtype=np.float32)
-    for first in range(0, n, 2000):
-        a, b = np.searchsorted(row, (first, first + 2000))
-        for label in (0, 1):
-            mine = labels[row[a:b]] == label
-            x = np.zeros((2000, len(chosen)), dtype=np.float32)
-            x[row[a:b][mine] - first, at[a:b][mine]] = 1
-            both[label] += x.T @ x
+    # the rows of a term as bits, those of label 1 first; joint counts are counts of common bits
+    order = np.argsort(-labels, kind="stable")
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)
+    ones = int(labels.sum())
+    bits = []
+    for first, last in ((0, ones), (ones, n)):
+        mine = (rank[row] >= first) & (rank[row] < last)
+        present = np.zeros((len(chosen), -(-max(last - first, 1) // 64) * 64), dtype=bool)
+        present[at[mine], rank[row[mine]] - first] = True
+        bits.append(np.packbits(present, axis=1).view(np.uint64))
     odds = np.log((one[chosen] + 0.5 * p + 1e-3) / (total[chosen] - one[chosen] + 0.5 * (1 - p) + 1e-3))
-    i, j = np.nonzero(np.triu(both[0] + both[1] >= 8, 1))
-    zero_ij, one_ij = both[0][i, j].astype(float), both[1][i, j].astype(float)
-    rate = 1 / (1 + np.exp(-np.clip(odds[i] + odds[j] - np.log(p / (1 - p)), -30, 30)))
-    count = zero_ij + one_ij
-    g = one_ij * np.log(np.maximum(one_ij, 1e-9) / (count * rate + 1e-9)) + zero_ij * np.log(np.maximum(zero_ij, 1e-9) / (count * (1 - rate) + 1e-9))
-    order = np.flatnonzero(g > PAIR_SIGNAL)
-    order = order[np.argsort(-g[order], kind="stable")[:PAIRS]]
-    return chosen[i[order]], chosen[j[order]], np.where(one_ij[order] > count[order] * rate[order], 1.0, -1.0)
-
-
-def fit_machine(texts: list[np.ndarray], labels: np.ndarray, seed: int = 7) -> Machine:
+    found: list[tuple[float, int, int, float]] = []
+    for k in range(len(chosen) - 1):
+        one_k, zero_k = (np.bitwise_count(x[k] & x[k + 1 :]).sum(axis=1, dtype=np.int64).astype(float) for x in bits)
+        count = one_k + zero_k
+        rate = 1 / (1 + np.exp(-np.clip(odds[k] + odds[k + 1 :] - np.log(p / (1 - p)), -30, 30)))
+        g = one_k * np.log(np.maximum(one_k, 1e-9) / (count * rate + 1e-9)) + zero_k * np.log(np.maximum(zero_k, 1e-9) / (count * (1 - rate) + 1e-9))
+        for j in np.flatnonzero((count >= 8) & (g > PAIR_SIGNAL)).tolist():
+            found.append((-float(g[j]), int(chosen[k]), int(chosen[k + 1 + j]), 1.0 if one_k[j] > count[j] * rate[j] else -1.0))
+    found = sorted(found)[:PAIRS]
+    return np.array([f[1] for f in found], dtype=np.int64), np.array([f[2] for f in found], dtype=np.int64), np.array([f[3] for f in found])
+
+
+def fit_machine(flat: np.ndarray, sizes: np.ndarray, labels: np.ndarray, seed: int = 7) -> Machine:
+    """The machine of texts whose distinct terms, so many each, are in ``flat`` one after the other."""
     n, positive = len(labels), float(labels.sum())
     if not 0 < positive < n:
         share = positive / n if n else 0.0
         return Machine(np.zeros(0, np.uint64), float(np.log((share + 1e-9) / (1 - share + 1e-9))), np.zeros(0), np.zeros((0, FACTORS)))
-    flat, owner = np.concatenate(texts), np.repeat(np.arange(n), [len(t) for t in texts])
-    terms, at = np.unique(flat, return_inverse=True)
-    one = np.bincount(at, weights=labels[owner], minlength=len(terms))
+    owner = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    terms = np.unique(flat)
+    at = np.searchsorted(terms, flat).astype(np.int32)
+    one = np.bincount(at[labels[owner] > 0], minlength=len(terms)).astype(float)
     zero = np.bincount(at, minlength=len(terms)) - one
     # signed G statistic of presence against the label
     total, p = one + zero, positive / n
