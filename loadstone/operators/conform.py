@@ -27,6 +27,7 @@ from loadstone.plans.schema import dot_path
 KEYS = ("table", "channel", "batch_id")
 MAX_ROW_BYTES = 64 * 1024 * 1024
 BATCH_WARNING = 16 * 1024 * 1024
+GROUP = 6  # columns that are coerced in one run of projections
 CONTINUE, ABORT, SKIP_BATCH = "continue", "abort", "skip_batch"
 
 ERROR_TYPE = "struct<code: string, message: string, extra_columns: array<string>, missing_not_null: array<string>, null_not_null: array<string>>"
@@ -103,7 +104,7 @@ def found_values(rows: DataFrame, schema: T.StructType, row: str = "row_json") -
     if isinstance(rows.schema[row].dataType, T.MapType):
         rows = rows.withColumns(texts)
         kinds = {f"_k{i}": F.when(F.col(f"_p{i}") < F.size("_names"), F.when(F.col(f"_t{i}").isNull(), "null").otherwise("string")) for i, _ in fields}
-        kinds |= {f"_v{i}": F.try_parse_json(F.col(f"_t{i}")) for i, f in fields if is_nested(f)}
+        kinds |= {f"_v{i}": F.coalesce(F.try_parse_json(F.col(f"_t{i}")), F.col(f"_t{i}").cast("variant")) for i, f in fields if is_nested(f)}
         return rows.withColumns(kinds).drop("_back", *[f"_p{i}" for i, _ in fields])
     rows = rows.withColumns(texts | {f"_v{i}": F.try_element_at("_fields", at("_keys", i)) for i, _ in fields})
     rows = rows.withColumns({f"_s{i}": F.schema_of_variant(f"_v{i}") for i, _ in fields})
@@ -132,46 +133,62 @@ def relaxed(kind: T.DataType) -> T.DataType:
     return kind
 
 
-def nested(v: Column, kind: T.DataType, path: Column, nullable: bool, zone: str, metadata: dict | None = None) -> tuple[Column, Column]:
-    """CONF8, COER25: (value, errors) of a variant for a nested type.  Extra,
-    missing and null fields of all levels are gathered, with their dot paths."""
+def _let(parts: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(parts), body)[0]
+
+
+def nested(v: Column, kind: T.DataType, path: Column, nullable: bool, zone: str, metadata: dict | None = None) -> Column:
+    """CONF8, COER25: struct (value, errors) of a variant for a nested type.  Extra,
+    missing and null fields of all levels are gathered, with their dot paths.
+    Each level is computed once, whatever lies below it."""
     none = F.array().cast(_NO_ERRORS)
     is_null = v.isNull() | F.is_variant_null(v)
     null_error = none if nullable else F.array(_named(C.BAD_TYPE, "null", path))
     join = lambda name: F.concat(path, F.lit("." + dot_path(name)))
+
+    def told(value: Column, has_shape: Column, shape: str, errors: Column) -> Column:
+        errors = F.when(is_null, null_error).when(~has_shape, F.array(_named(C.BAD_TYPE, shape, path))).otherwise(errors)
+        return F.struct(F.when(~is_null, value).cast(relaxed(kind)).alias("value"), errors.alias("errors"))
+
     if isinstance(kind, T.StructType) and not (metadata or {}).get("ts_scale"):
-        fields = F.try_variant_get(v, "$", "map<string,variant>")
-        keys, names = F.map_keys(fields), [f.name for f in kind.fields]
-        required = [f.name for f in kind.fields if not f.nullable]
+        names, required = [f.name for f in kind.fields], [f.name for f in kind.fields if not f.nullable]
         escaped = lambda k: F.replace(F.replace(k, F.lit("\\"), F.lit("\\\\")), F.lit("."), F.lit("\\."))
-        errors = [F.transform(F.array_except(keys, F.array(*map(F.lit, names))), lambda k: _named(C.BAD_TYPE, "extra", F.concat(path, F.lit("."), escaped(k))))]
-        if required:
-            errors.append(F.transform(F.array_except(F.array(*map(F.lit, required)), keys), lambda k: _named(C.BAD_TYPE, "missing", F.concat(path, F.lit("."), escaped(k)))))
-        values = []
-        for f in kind.fields:
-            value, below = nested(fields[f.name], f.dataType, join(f.name), f.nullable, zone, f.metadata)
-            values.append(value.alias(f.name))
-            errors.append(F.when(F.map_contains_key(fields, f.name), below).otherwise(none))
-        shape = F.array(_named(C.BAD_TYPE, "not a struct", path))
-        return F.when(fields.isNotNull(), F.struct(*values)).cast(relaxed(kind)), F.when(is_null, null_error).when(fields.isNull(), shape).otherwise(F.concat(*errors))
+
+        def with_fields(fields: Column) -> Column:
+            keys = F.map_keys(fields)
+            wrong = [F.transform(F.array_except(keys, F.array(*map(F.lit, names))), lambda k: _named(C.BAD_TYPE, "extra", F.concat(path, F.lit("."), escaped(k))))]
+            if required:
+                wrong.append(F.transform(F.array_except(F.array(*map(F.lit, required)), keys), lambda k: _named(C.BAD_TYPE, "missing", F.concat(path, F.lit("."), escaped(k)))))
+            below = F.struct(*[nested(fields[f.name], f.dataType, join(f.name), f.nullable, zone, f.metadata).alias(f"f{i}") for i, f in enumerate(kind.fields)])
+
+            def gathered(b: Column) -> Column:
+                value = F.struct(*[b[f"f{i}"]["value"].alias(f.name) for i, f in enumerate(kind.fields)])
+                errors = F.concat(*wrong, *[F.when(F.map_contains_key(fields, f.name), b[f"f{i}"]["errors"]).otherwise(none) for i, f in enumerate(kind.fields)])
+                return told(F.when(fields.isNotNull(), value), fields.isNotNull(), "not a struct", errors)
+
+            return _let(below, gathered)
+
+        return _let(F.try_variant_get(v, "$", "map<string,variant>"), with_fields)
     if isinstance(kind, T.ArrayType):
-        items = F.try_variant_get(v, "$", "array<variant>")
         below_path = F.concat(path, F.lit(".list.element"))
-        value = F.transform(items, lambda x: nested(x, kind.elementType, below_path, kind.containsNull, zone)[0])
-        errors = F.flatten(F.transform(items, lambda x: nested(x, kind.elementType, below_path, kind.containsNull, zone)[1]))
-        return value.cast(relaxed(kind)), F.when(is_null, null_error).when(items.isNull(), F.array(_named(C.BAD_TYPE, "not a list", path))).otherwise(errors)
+        pairs = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: nested(x, kind.elementType, below_path, kind.containsNull, zone))
+        return _let(pairs, lambda ps: told(F.transform(ps, lambda p: p["value"]), ps.isNotNull(), "not a list", F.flatten(F.transform(ps, lambda p: p["errors"]))))
     if isinstance(kind, T.MapType):
-        fields = F.try_variant_get(v, "$", "map<string,variant>")
         value_path, key_path = F.concat(path, F.lit(".key_value.value")), F.concat(path, F.lit(".key_value.key"))
-        entries = F.map_entries(fields)
-        key = lambda e: C.coerce(T.StructField("key", kind.keyType), e["key"], F.lit("string"), zone)
-        value = F.map_from_entries(F.filter(F.transform(entries, lambda e: F.struct(key(e)["value"].alias("key"), nested(e["value"], kind.valueType, value_path, kind.valueContainsNull, zone)[0].alias("value"))), lambda e: e["key"].isNotNull()))
-        errors = F.flatten(F.transform(entries, lambda e: F.concat(nested(e["value"], kind.valueType, value_path, kind.valueContainsNull, zone)[1],
-                                                                   F.when(key(e)["code"].isNotNull(), F.array(F.struct(key(e)["code"].alias("code"), key(e)["reason"].alias("what"), key_path.alias("path")))).otherwise(none))))
-        return value.cast(relaxed(kind)), F.when(is_null, null_error).when(fields.isNull(), F.array(_named(C.BAD_TYPE, "not a map", path))).otherwise(errors)
+        entry = lambda e: F.struct(C.coerce(T.StructField("key", kind.keyType), e["key"], F.lit("string"), zone).alias("k"), nested(e["value"], kind.valueType, value_path, kind.valueContainsNull, zone).alias("v"))
+        pairs = F.transform(F.map_entries(F.try_variant_get(v, "$", "map<string,variant>")), entry)
+        of_key = lambda k: F.when(k["code"].isNotNull(), F.array(F.struct(k["code"].alias("code"), k["reason"].alias("what"), key_path.alias("path")))).otherwise(none)
+
+        def with_entries(ps: Column) -> Column:
+            held = F.filter(ps, lambda p: p["k"]["value"].isNotNull())
+            value = F.map_from_arrays(F.transform(held, lambda p: p["k"]["value"]), F.transform(held, lambda p: p["v"]["value"]))
+            return told(value, ps.isNotNull(), "not a map", F.flatten(F.transform(ps, lambda p: F.concat(p["v"]["errors"], of_key(p["k"])))))
+
+        return _let(pairs, with_entries)
     one = C.coerce(T.StructField("x", kind, True, metadata or {}), F.try_variant_get(v, "$", "string"), kind_of(v), zone)
-    errors = F.when(one["code"].isNotNull(), F.array(F.struct(one["code"].alias("code"), one["reason"].alias("what"), path.alias("path")))).otherwise(none)
-    return one["value"].cast(kind), F.when(is_null, null_error).otherwise(errors)
+    wrong = lambda o: F.when(o["code"].isNotNull(), F.array(F.struct(o["code"].alias("code"), o["reason"].alias("what"), path.alias("path")))).otherwise(none)
+    return _let(one, lambda o: F.struct(o["value"].cast(kind).alias("value"), F.when(is_null, null_error).otherwise(wrong(o)).alias("errors")))
 
 
 def is_nested(field: T.StructField) -> bool:
@@ -215,29 +232,36 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
     def parts(i: int, f: T.StructField) -> C.Parts:
         if not is_nested(f):
             return (yield from C.coerce.parts(f, F.col(f"_t{i}"), F.col(f"_k{i}"), zone))
-        value, errors = nested(F.col(f"_v{i}"), f.dataType, F.lit(dot_path(f.name)), f.nullable, zone, f.metadata)
-        value, errors = (yield value), (yield errors)
+        pair = yield nested(F.col(f"_v{i}"), f.dataType, F.lit(dot_path(f.name)), f.nullable, zone, f.metadata)
+        value, errors = pair["value"], pair["errors"]
         first = yield F.when(F.col(f"_k{i}").isNotNull() & (F.size(errors) > 0), F.concat_ws("; ", F.transform(errors, lambda e: F.concat(e["path"], F.lit(": "), e["what"]))))
         code = F.when(first.isNotNull(), F.coalesce(F.get(errors, F.lit(0))["code"], F.lit(C.BAD_TYPE)))
         return F.struct(value.alias("value"), code.alias("code"), first.alias("reason"))
 
-    rows = C.coerced(rows, {f"_c{i}": parts(i, f) for i, f in fields})
-    value_errors = F.array_compact(F.array(*[
-        F.when(F.col(f"_c{i}.code").isNotNull(), F.struct(F.col(f"_c{i}.code").alias("code"), F.concat(F.lit(declared[f.name] + ": "), F.col(f"_c{i}.reason")).alias("message")))
-        # CONF6: what became null by parsing
-        .when(F.lit(not f.nullable) & F.col(f"_c{i}.value").isNull() & F.col(f"_k{i}").isNotNull(), F.struct(F.lit(C.BAD_VALUE).alias("code"), F.lit(f"{declared[f.name]}: null in a required column").alias("message")))
-        for i, f in fields
-    ]))
+    def bad_value(i: int, f: T.StructField) -> Column:
+        c = F.col(f"_c{i}")
+        became_null = F.lit(not f.nullable) & c["value"].isNull() & F.col(f"_k{i}").isNotNull()  # CONF6
+        return F.when(c["code"].isNotNull(), F.struct(c["code"].alias("code"), F.concat(F.lit(declared[f.name] + ": "), c["reason"]).alias("message"))).when(
+            became_null, F.struct(F.lit(C.BAD_VALUE).alias("code"), F.lit(f"{declared[f.name]}: null in a required column").alias("message"))
+        )
+
+    # a few columns at a time, so that the generated methods of wide tables stay small
+    for first in range(0, len(fields), GROUP):
+        some = fields[first : first + GROUP]
+        rows = C.coerced(rows, {f"_c{i}": parts(i, f) for i, f in some})
+        rows = once(rows, {f"_w{i}": F.col(f"_c{i}.value") for i, _ in some} | {f"_e{i}": bad_value(i, f) for i, f in some})
+        rows = rows.drop(*[f"{c}{i}" for i, _ in some for c in ("_c", "_t", "_v")])
+    values = {f.name: F.col(f"_w{i}") for i, f in fields}
     no_names = F.lit(None).cast(_NO_NAMES)
     strange = F.array_except("_names", F.array(*map(F.lit, names)))
     lacking = lambda wanted: F.array_compact(F.array(*[F.when(wanted(F.col(f"_k{i}")), F.lit(declared[f.name])) for i, f in fields if not f.nullable])) if required else F.array().cast(_NO_NAMES)
     rows = rows.withColumns({
-        "_row": F.struct(*[F.col(f"_c{i}.value").alias(f.name) for i, f in fields]),
+        "_row": F.struct(*[c.alias(name) for name, c in values.items()]),
         "_extra": F.when(F.size(strange) > 0, F.filter("_keys", lambda k: ~unquote_name(k).isin(*names))),
         "_missing": lacking(lambda k: k.isNull()),
         "_nulls": lacking(lambda k: k == "null"),
-        "_bad": value_errors,
-        "_bytes": row_bytes(schema, {f.name: F.col(f"_c{i}.value") for i, f in fields}),
+        "_bad": F.array_compact(F.array(*[F.col(f"_e{i}") for i, _ in fields])),
+        "_bytes": row_bytes(schema, values),
     })
 
     def error(code: Column | str, message: Column, extra=no_names, missing=no_names, nulls=no_names) -> Column:

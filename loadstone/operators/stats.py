@@ -55,17 +55,20 @@ def as_integer(c: Column, kind: T.DataType, metadata: dict | None = None) -> Col
 
 
 def is_negative_zero(c: Column) -> Column:
-    return (c == 0) & (F.atan2(c, F.lit(-1.0)) < 0)
+    return (c == 0) & (c.cast("string") == "-0.0")
 
 
 def least_real(c: Column) -> Column:
     """AGG4: the minimum by which -0.0 is under 0.0 and NaN is over all (Spark takes the zeros for equal)."""
-    return F.when(F.min(c) == 0, F.when(F.max(is_negative_zero(c)), F.lit(-0.0)).otherwise(F.lit(0.0))).otherwise(F.min(c))
+    sign = F.when(F.max(is_negative_zero(c)), F.lit(-1.0)).otherwise(F.lit(1.0))
+    # times the zero itself: the optimizer takes the literals 0.0 and -0.0 for one
+    return F.when(F.min(c) == 0, sign * F.abs(F.min(c))).otherwise(F.min(c))
 
 
 def greatest_real(c: Column) -> Column:
     """AGG4: the maximum of the same order."""
-    return F.when(F.max(c) == 0, F.when(F.max((c == 0) & ~is_negative_zero(c)), F.lit(0.0)).otherwise(F.lit(-0.0))).otherwise(F.max(c))
+    sign = F.when(F.max((c == 0) & ~is_negative_zero(c)), F.lit(1.0)).otherwise(F.lit(-1.0))
+    return F.when(F.max(c) == 0, sign * F.abs(F.max(c))).otherwise(F.max(c))
 
 
 def _measures(c: Column, kind: T.DataType, metadata: dict, distinct: str | None, nested: bool) -> Column:

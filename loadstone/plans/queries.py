@@ -6,46 +6,29 @@ can state too.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loadstone.functions import coerce as C
 from loadstone.operators import chunks, offsets, stats
 from loadstone.operators.conform import conform, unquote_name
-from loadstone.plans.schema import table_schema
+from loadstone.plans.registry import ORACLE, QUERIES, Query, query
+from loadstone.plans.registry import read as _read
+from loadstone.plans.schema import iceberg_type, schema_of, table_schema
 from loadstone.sources import files
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
-
 def queries() -> dict[str, Query]:
+    from loadstone.plans import file_queries, state_queries  # noqa: F401  # they register theirs
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLE)
 
 
-
-
 # --- coercion ------------------------------------------------------------------
 
 
@@ -197,7 +180,7 @@ def orders_rows(spark, sf_dir):
   CASE WHEN o_orderkey % 19 = 0 THEN 'extra' WHEN o_orderkey % 13 = 0 THEN 'missing' WHEN o_orderkey % 11 = 0 THEN 'null' ELSE 'value' END AS what
   FROM orders WHERE o_orderkey % 19 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 17 = 0""")
 def reject_extra_missing_null(spark, sf_dir):
-    """CONF2-7, CONF11"""
+    """CONF2-5, CONF7, CONF11, CONF13, SCH1, SCH9"""
     errors = conform(orders_rows(spark, sf_dir), _ORDERS).errors
     what = F.when(F.col("extra_columns").isNotNull(), "extra").when(F.col("missing_not_null").isNotNull(), "missing").when(F.col("null_not_null").isNotNull(), "null").otherwise("value")
     return errors.select("row_index", "code", F.array_join(F.coalesce("extra_columns", "missing_not_null", "null_not_null", F.array()), ",").alias("names"), what.alias("what"))
@@ -257,6 +240,76 @@ def on_error_by_channel(spark, sf_dir):
     return conform(rows, _EVENT, policies).good.select("row_index")
 
 
+_NESTED = T.StructType([T.StructField("V", iceberg_type({"type": "struct", "fields": [
+    {"id": 1, "name": "a", "required": True, "type": "long"}, {"id": 2, "name": "k.3", "type": "string"},
+    {"id": 3, "name": "l", "type": {"type": "list", "element": "int"}}, {"id": 4, "name": "m", "type": {"type": "map", "key": "string", "value": "double", "value-required": True}},
+]}))])
+
+
+def nested_rows(spark, sf_dir):
+    """events as nested values; by the id a field is missing, null, too many, or of the wrong shape."""
+    k, one = F.col("event_id"), lambda name, value: F.concat(F.lit(f'"{name}":'), value)
+    a = F.when(k % 7 == 0, None).when(k % 13 == 0, one("a", F.lit("null"))).otherwise(one("a", k.cast("string")))
+    extra = F.when(k % 11 == 0, one("z.z", F.lit("1")))
+    items = F.when(k % 17 == 0, one("l", F.lit("5"))).otherwise(one("l", F.concat(F.lit("["), F.col("user_id").cast("string"), F.lit(", 2, null]"))))
+    pairs = one("m", F.concat(F.lit('{"x": '), F.when(k % 19 == 0, F.lit("null")).otherwise(F.col("value").cast("decimal(20,2)").cast("string")), F.lit(', "y": 1}')))
+    row = F.concat(F.lit('{"V":{'), F.concat_ws(", ", a, extra, one("k.3", F.concat(F.lit('"'), "event_type", F.lit('"'))), items, pairs), F.lit("}}"))
+    return _read(spark, sf_dir, "events").select(F.lit("t").alias("table"), F.lit("c").alias("channel"), F.floor(k / 100).alias("batch_id"), k.alias("row_index"), row.alias("row_json"))
+
+
+_NESTED_BAD = "event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 13 = 0 OR event_id % 17 = 0 OR event_id % 19 = 0"
+
+
+@query(f"""SELECT event_id AS row_index, '0004' AS code, 'V: ' || concat_ws('; ', CASE WHEN event_id % 11 = 0 THEN 'V.z\\.z: extra' END, CASE WHEN event_id % 7 = 0 THEN 'V.a: missing' WHEN event_id % 13 = 0 THEN 'V.a: null' END,
+  CASE WHEN event_id % 17 = 0 THEN 'V.l: not a list' END, CASE WHEN event_id % 19 = 0 THEN 'V.m.key_value.value: null' END) AS message FROM events WHERE {_NESTED_BAD}""")
+def nested_errors(spark, sf_dir):
+    """CONF8, COER25, SCH2, SCH4: errors of all levels of a nested value, with their paths"""
+    return conform(nested_rows(spark, sf_dir), _NESTED).errors.select("row_index", "code", "message")
+
+
+@query(f"""SELECT event_id AS row_index, event_id AS a, event_type AS k, user_id + 2 AS items, round(value::DECIMAL(20,2)::DOUBLE + 1, 2) AS pairs FROM events WHERE NOT ({_NESTED_BAD})""")
+def nested_values(spark, sf_dir):
+    """COER25: structs, lists and maps of the rows without errors"""
+    good = conform(nested_rows(spark, sf_dir), _NESTED).good
+    total = lambda xs: F.aggregate(xs, F.lit(0.0), lambda x, y: x + F.coalesce(y, F.lit(0)).cast("double"))
+    return good.select("row_index", "V.a", F.col("V.`k.3`").alias("k"), total("V.l").cast("bigint").alias("items"), F.round(total(F.map_values("V.m")), 2).alias("pairs"))
+
+
+_TEXTS = table_schema([{"name": "T", "logicalType": "TEXT"}, {"name": "K", "logicalType": "FIXED", "physicalType": "SB8", "precision": 18, "scale": 0}])
+_SIZED = "WITH s AS (SELECT doc_id, source, ceil(octet_length(encode(text)) + 4.25 + 8.25)::BIGINT AS bytes FROM documents)"
+
+
+@query(f"""{_SIZED} SELECT source AS batch, count(*) AS row_count, count(*) FILTER (WHERE bytes > 4000) AS error_rows, coalesce(sum(bytes) FILTER (WHERE bytes <= 4000), 0)::BIGINT AS batch_bytes,
+  coalesce(sum(bytes) FILTER (WHERE bytes <= 4000), 0) > 20000 AS warned, 'row over 4000 bytes: ' || max(bytes) FILTER (WHERE bytes > 4000) AS largest FROM s GROUP BY source""")
+def row_and_batch_sizes(spark, sf_dir):
+    """CONF9, CONF10: rows over a limit are errors, batches over another a warning"""
+    row = F.to_json(F.create_map(F.lit("t"), F.col("text"), F.lit("k"), F.col("doc_id").cast("string")))
+    raw = _read(spark, sf_dir, "documents").select(F.lit("documents").alias("table"), F.col("source").alias("channel"), F.lit(0).cast("long").alias("batch_id"), F.col("doc_id").alias("row_index"), row.alias("row_json"))
+    got = conform(raw, _TEXTS, max_row_bytes=4000, batch_warning=20_000)
+    largest = got.errors.groupBy("channel").agg(F.max_by("message", F.regexp_extract("message", r"(\d+)$", 1).cast("int")).alias("largest"))
+    report = got.report.join(largest, "channel", "left")
+    return report.select(F.col("channel").alias("batch"), "row_count", "error_rows", F.col("batch_bytes").cast("bigint").alias("batch_bytes"), (F.size("warnings") > 0).alias("warned"), "largest")
+
+
+_REQUIRED_VARIANT = table_schema([{"name": "P", "logicalType": "VARIANT", "nullable": False}])
+
+
+@query("SELECT event_id AS row_index, '0030' AS code, 'P: null in a required column' AS message FROM events WHERE event_id % 6 = 0")
+def null_after_parsing(spark, sf_dir):
+    """CONF6: blank text becomes null in a column that must not be"""
+    text = F.when(F.col("event_id") % 6 == 0, "  ").otherwise(F.col("props"))
+    raw = _read(spark, sf_dir, "events").select(F.lit("t").alias("table"), F.lit("c").alias("channel"), F.floor(F.col("event_id") / 100).alias("batch_id"), F.col("event_id").alias("row_index"), F.to_json(F.create_map(F.lit("p"), text)).alias("row_json"))
+    return conform(raw, _REQUIRED_VARIANT).errors.select("row_index", "code", "message")
+
+
+@query("""SELECT p_partkey, '[' || array_to_string(list_transform(range(0, octet_length(encode(p_brand))), lambda i: ('0x' || substr(hex(encode(p_brand)), (2 * i + 1)::INT, 2))::INTEGER), ',') || ']' AS as_bytes,
+  '{"' || p_brand || '":' || p_size || '}' AS as_map, '["' || p_type || '",null]' AS as_list FROM part""")
+def typed_values_as_json(spark, sf_dir):
+    """COER24: bytes as numbers, maps and lists"""
+    rows = _read(spark, sf_dir, "part").select("p_partkey", F.encode("p_brand", "utf-8").alias("b"), F.create_map("p_brand", "p_size").alias("m"), F.array("p_type", F.lit(None).cast("string")).alias("l"))
+    return rows.select("p_partkey", *[C.typed_json(F.col(c), rows.schema[c].dataType).alias(n) for c, n in (("b", "as_bytes"), ("m", "as_map"), ("l", "as_list"))])
+
+
 # --- statistics --------------------------------------------------------------------
 
 
@@ -316,37 +369,118 @@ def stats_nested_leaf(spark, sf_dir):
     return out.select("label", "column", "value_count", "null_count", F.col("min_real").alias("low"), F.col("max_real").alias("high"))
 
 
+@query("""WITH x AS (SELECT l_linenumber AS n, l_returnflag, l_shipdate::DATE - DATE '1992-01-01' AS d, l_quantity FROM lineitem)
+  SELECT 'l_returnflag' AS "column", count(*) AS row_count, count(DISTINCT l_returnflag) AS distinct_count FROM x UNION ALL SELECT 'l_linenumber', count(*), count(DISTINCT n) FROM x UNION ALL SELECT 'l_quantity', count(*), count(DISTINCT l_quantity) FROM x""")
+def stats_merge_distinct(spark, sf_dir):
+    """SET4, AGG10: distinct counts of parts by date, merged by their sketches"""
+    rows = _read(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("y"), "l_returnflag", "l_linenumber", "l_quantity")
+    return stats.merge_stats(stats.column_stats(rows, ["y"], distinct="sketch")).select("column", "row_count", "distinct_count")
+
+
+@query("""SELECT l_linestatus, '-0.0' AS low, CASE WHEN l_linestatus = 'F' THEN '0.0' ELSE '-0.0' END AS high FROM lineitem GROUP BY l_linestatus""")
+def stats_zeros(spark, sf_dir):
+    """AGG4: -0.0 is under 0.0; one group has both, the other -0.0 alone"""
+    negative = (F.col("l_linenumber") % 2 == 0) | (F.col("l_linestatus") != "F")
+    rows = _read(spark, sf_dir, "lineitem").select("l_linestatus", "l_linenumber", (F.when(negative, -1.0).otherwise(1.0) * F.col("l_linenumber") * 0.0).alias("z"))
+    out = stats.merge_stats(stats.column_stats(rows, ["l_linestatus", "l_linenumber"]), ["l_linestatus"])
+    return out.select("l_linestatus", F.col("min_real").cast("string").alias("low"), F.col("max_real").cast("string").alias("high"))
+
+
+@query("""WITH x AS (SELECT l_linenumber AS part, l_orderkey % 3 AS chunk, l_partkey, l_tax FROM lineitem), p AS (SELECT part, chunk, count(*) AS n, min(l_partkey) AS a, max(l_partkey) AS b, min(l_tax) AS c, max(l_tax) AS d FROM x GROUP BY ALL)
+  SELECT chunk, 'l_partkey' AS "column", sum(n)::BIGINT AS row_count, min(a) AS low, max(b) AS high, NULL::DOUBLE AS low_real, NULL::DOUBLE AS high_real, count(*) AS parts FROM p GROUP BY chunk
+  UNION ALL SELECT chunk, 'l_tax', sum(n)::BIGINT, NULL, NULL, min(c), max(d), count(*) FROM p GROUP BY chunk""")
+def chunk_statistics(spark, sf_dir):
+    """AGG11: channels of a chunk merged column by column; all have one column set"""
+    rows = _read(spark, sf_dir, "lineitem").select((F.col("l_orderkey") % 3).alias("chunk"), F.col("l_linenumber").alias("part"), "l_partkey", "l_tax")
+    parts = stats.column_stats(rows, ["chunk", "part"])
+    wrong = stats.unequal_columns(parts, ["part"], ["chunk"])
+    merged = stats.merge_stats(parts, ["chunk"]).join(parts.groupBy("chunk", "column").agg(F.count("*").alias("parts")), ["chunk", "column"])
+    return merged.join(wrong, "chunk", "left_anti").select("chunk", "column", "row_count", F.col("min_int").cast("bigint").alias("low"), F.col("max_int").cast("bigint").alias("high"), F.col("min_real").alias("low_real"), F.col("max_real").alias("high_real"), "parts")
+
+
+@query("""WITH x AS (SELECT l_linenumber AS part, l_partkey FROM lineitem), c AS (SELECT part FROM x GROUP BY part)
+  SELECT 0 AS chunk, 2 AS column_sets FROM c HAVING count(*) > 1""")
+def chunk_column_sets(spark, sf_dir):
+    """AGG11, SET2: a chunk whose channels do not have the same columns"""
+    rows = _read(spark, sf_dir, "lineitem").select("l_linenumber", "l_partkey", "l_tax")
+    parts = stats.column_stats(rows, ["l_linenumber"]).where("l_linenumber <> 2 OR column <> 'l_tax'")
+    return stats.unequal_columns(parts.withColumn("chunk", F.lit(0)), ["l_linenumber"], ["chunk"]).select("chunk", F.col("column_sets").cast("int").alias("column_sets"))
+
+
+@query("""WITH g AS (SELECT p_brand, count(*) AS n, count(*) FILTER (WHERE p_brand = 'Brand#11') AS kept, min(p_size) AS a, min(p_retailprice) AS b, min(p_name) AS c FROM part GROUP BY ALL)
+  SELECT p_brand, k AS "column", dialect, n AS row_count, n - kept AS null_count,
+    CASE WHEN k = 'i' AND kept > 0 THEN a WHEN dialect = 'classic' OR k = 'i' THEN 0 END::BIGINT AS min_int, CASE WHEN k = 'r' AND kept > 0 THEN b WHEN dialect = 'classic' OR k = 'r' THEN 0.0 END::DOUBLE AS min_real,
+    CASE WHEN k = 's' AND kept > 0 THEN lower(left(hex(encode(c)), 64)) WHEN dialect = 'iceberg' AND k = 's' THEN '' END AS min_string
+  FROM g, (VALUES ('i'), ('r'), ('s')) k(k), (VALUES ('classic'), ('iceberg')) d(dialect)""")
+def stats_defaults(spark, sf_dir):
+    """AGG14: columns without values, as both dialects register them"""
+    given = F.col("p_brand") == "Brand#11"
+    rows = _read(spark, sf_dir, "part").select("p_brand", F.when(given, F.col("p_size")).alias("i"), F.when(given, F.col("p_retailprice")).alias("r"), F.when(given, F.col("p_name")).alias("s"))
+    measured = stats.column_stats(rows, ["p_brand"])
+    both = stats.file_properties(measured).withColumn("dialect", F.lit("classic")).unionByName(stats.file_properties(measured, iceberg=True).withColumn("dialect", F.lit("iceberg")))
+    return both.select("p_brand", "column", "dialect", "row_count", "null_count", F.col("min_int").cast("bigint").alias("min_int"), "min_real", "min_string")
+
+
+@query("""SELECT l_returnflag, 'l_tax' AS "column", count(*) AS row_count, 2 * count(*) AS null_count, -1::BIGINT AS distinct_count FROM lineitem WHERE l_returnflag = 'A' GROUP BY ALL
+  UNION ALL SELECT l_returnflag, 'l_partkey', count(*), 0, 7 FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL""")
+def stats_violations(spark, sf_dir):
+    """AGG15: more nulls than rows, and a distinct count where none was asked for"""
+    measured = stats.column_stats(_read(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_tax"), ["l_returnflag"])
+    spoilt = measured.withColumns({
+        "null_count": F.when((F.col("l_returnflag") == "A") & (F.col("column") == "l_tax"), 2 * F.col("row_count")).otherwise(F.col("null_count")),
+        "distinct_count": F.when((F.col("l_returnflag") == "R") & (F.col("column") == "l_partkey"), F.lit(7)).otherwise(F.col("distinct_count")),
+    })
+    return stats.violations(spoilt).select("l_returnflag", "column", "row_count", "null_count", "distinct_count")
+
+
+@query("""WITH v AS (SELECT unnest(embedding) AS x FROM embeddings)
+  SELECT 'vec_id' AS "column", 1 AS ordinal, 0 AS field_id, false AS repeated, 'bigint' AS type, count(*) AS n, min(vec_id)::DOUBLE AS low FROM embeddings
+  UNION ALL SELECT 'embedding.list.element', 2, 0, true, 'float', count(*), min(x)::DOUBLE FROM v UNION ALL SELECT 'label', 3, 0, false, 'int', count(*), min(label)::DOUBLE FROM embeddings""")
+def schema_leaves(spark, sf_dir):
+    """SCH3, SCH5, SCH7: the leaves of a table's schema, with what was measured of each"""
+    rows = _read(spark, sf_dir, "embeddings")
+    told = schema_of(spark, rows.schema).join(stats.column_stats(rows), "column")
+    n = F.when(F.col("value_count") < 0, F.col("row_count")).otherwise(F.col("value_count"))
+    return told.select("column", "ordinal", "field_id", "repeated", "type", n.alias("n"), F.coalesce(F.col("min_int").cast("double"), "min_real").alias("low"))
+
+
 # --- channels -----------------------------------------------------------------------
 
-_EVENTS_B = """WITH kept AS (SELECT event_id, event_id // 2500 AS channel, event_id // 100 AS batch_seq FROM events WHERE (event_id // 100) % 7 <> 3 AND NOT ((event_id // 100) % 11 = 5 AND event_id % 100 = 50)),
-  b AS (SELECT channel, batch_seq, count(*) AS row_count, (batch_seq * 100)::VARCHAR AS start_token, (batch_seq * 100 + 99)::VARCHAR AS end_token FROM kept GROUP BY ALL)"""
+_EVENTS_B = """WITH b AS (SELECT event_id // 2500 AS channel, event_id // 100 AS batch_seq, count(*) AS row_count,
+    ((event_id // 100) * 100 + CASE WHEN (event_id // 100) % 7 = 3 THEN 5 ELSE 0 END)::VARCHAR AS start_token, ((event_id // 100) * 100 + 99)::VARCHAR AS end_token FROM events GROUP BY ALL)"""
 
 
 def event_batches(spark, sf_dir):
+    """events as batches of a hundred; one in seven says that it begins five rows later than it does."""
     e = _read(spark, sf_dir, "events").select("event_id", F.floor(F.col("event_id") / 2500).alias("channel"), F.floor(F.col("event_id") / 100).alias("batch_seq"))
-    e = e.where((F.col("batch_seq") % 7 != 3) & ~((F.col("batch_seq") % 11 == 5) & (F.col("event_id") % 100 == 50)))
     b = e.groupBy("channel", "batch_seq").agg(F.count("*").alias("row_count"))
-    return b.withColumns({"start_token": (F.col("batch_seq") * 100).cast("string"), "end_token": (F.col("batch_seq") * 100 + 99).cast("string")})
+    late = F.when(F.col("batch_seq") % 7 == 3, 5).otherwise(0)
+    return b.withColumns({"start_token": (F.col("batch_seq") * 100 + late).cast("string"), "end_token": (F.col("batch_seq") * 100 + 99).cast("string")})
 
 
 @query(f"""{_EVENTS_B} SELECT channel, batch_seq, lag(end_token) OVER w AS previous_token,
-  row_count = 100 AND coalesce(batch_seq * 100 = lag(end_token) OVER w::BIGINT + 1, true) AS offset_ok FROM b WINDOW w AS (PARTITION BY channel ORDER BY batch_seq)""".replace("lag(end_token) OVER w::BIGINT", "(lag(end_token) OVER w)::BIGINT"))
+  end_token::BIGINT - start_token::BIGINT + 1 = row_count AND coalesce(start_token::BIGINT = lag(end_token) OVER w::BIGINT + 1, true) AS offset_ok FROM b WINDOW w AS (PARTITION BY channel ORDER BY batch_seq)""".replace("lag(end_token) OVER w::BIGINT", "(lag(end_token) OVER w)::BIGINT"))
 def offset_verify(spark, sf_dir):
     """WIN1, WIN2, UDF1"""
     return offsets.verify_offsets(event_batches(spark, sf_dir)).select("channel", "batch_seq", "previous_token", "offset_ok")
 
 
-@query(f"{_EVENTS_B} SELECT channel, arg_min(start_token, batch_seq) AS start_token, arg_max(end_token, batch_seq) AS end_token, max(batch_seq) AS last_batch, count(*) AS row_sequencer, sum(row_count)::BIGINT AS rows_inserted FROM b GROUP BY ALL")
+@query(f"""{_EVENTS_B} SELECT channel, arg_min(start_token, batch_seq) FILTER (WHERE batch_seq > channel * 25 + 9 OR channel % 2 = 1) AS start_token, arg_max(end_token, batch_seq) AS end_token, max(batch_seq) AS last_batch,
+  count(*) AS row_sequencer, sum(row_count)::BIGINT AS rows_inserted FROM b GROUP BY ALL""")
 def channel_latest(spark, sf_dir):
-    """WIN3, JOIN2"""
-    return offsets.channel_latest(event_batches(spark, sf_dir))
+    """WIN3: the tenth batch of every other channel was the last to be flushed"""
+    batches = event_batches(spark, sf_dir)
+    flushed = batches.where(F.col("channel") % 2 == 0).select("channel", (F.col("channel") * 25 + 9).alias("batch_seq")).distinct()
+    return offsets.channel_latest(batches, flushed=flushed)
 
 
-@query(f"""{_EVENTS_B}, s AS (SELECT *, coalesce(batch_seq = lag(batch_seq) OVER w + 1, true) AS in_sequence FROM b WINDOW w AS (PARTITION BY channel ORDER BY batch_seq))
-  SELECT channel, batch_seq, in_sequence, bool_and(in_sequence) OVER (PARTITION BY channel ORDER BY batch_seq) AS valid FROM s""")
+@query(f"""{_EVENTS_B}, n AS (SELECT channel, batch_seq, batch_seq + (batch_seq % 25) // 20 AS row_sequencer FROM b),
+  s AS (SELECT *, coalesce(row_sequencer = lag(row_sequencer) OVER w + 1, true) AS in_sequence FROM n WINDOW w AS (PARTITION BY channel ORDER BY row_sequencer))
+  SELECT channel, batch_seq, in_sequence, bool_and(in_sequence) OVER (PARTITION BY channel ORDER BY row_sequencer) AS valid FROM s""")
 def sequencer_gaps(spark, sf_dir):
-    """WIN4"""
-    return offsets.sequencer_gaps(event_batches(spark, sf_dir), sequencer="batch_seq").select("channel", "batch_seq", "in_sequence", "valid")
+    """WIN4: the numbers leap at the twentieth batch of each channel"""
+    flushes = event_batches(spark, sf_dir).withColumn("row_sequencer", F.col("batch_seq") + F.floor(F.col("batch_seq") % 25 / 20))
+    return offsets.sequencer_gaps(flushes).select("channel", "batch_seq", "in_sequence", "valid")
 
 
 @query("SELECT event_id, (user_id % 4)::INTEGER AS channel, event_id % 50 // 10 = max(event_id % 50 // 10) OVER (PARTITION BY user_id % 4 ORDER BY event_id) AS accepted FROM events")
@@ -420,7 +554,7 @@ def history_range(spark, sf_dir):
 
 @query(f"{_LEDGER}, r AS (SELECT DISTINCT source || '/' || lang AS path FROM documents) SELECT path, path IN (SELECT path FROM l WHERE complete) AS skipped, NOT regexp_matches(path, '^src1') AS unmatched FROM r")
 def skipped_files(spark, sf_dir):
-    """SRC3, SRC4, JOIN5, JOIN6"""
+    """SRC3, SRC4, JOIN6"""
     asked = _read(spark, sf_dir, "documents").select(F.concat_ws("/", "source", "lang").alias("path")).distinct()
     new, skipped = files.once_only(asked, file_ledger(spark, sf_dir).where("complete"))
     rows = new.withColumn("skipped", F.lit(False)).union(skipped.withColumn("skipped", F.lit(True)))
@@ -430,7 +564,7 @@ def skipped_files(spark, sf_dir):
 
 @query("SELECT l_returnflag, count(*) AS rows, sum(l_quantity)::DOUBLE AS quantity, true AS verified FROM lineitem GROUP BY ALL")
 def write_verify(spark, sf_dir):
-    """SNK1, SNK4-7: written, verified against the rows, read back"""
+    """SNK1, SNK6, SNK7: written, verified against the rows, read back"""
     from loadstone.sources import sink
 
     rows = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")

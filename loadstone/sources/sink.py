@@ -62,12 +62,14 @@ def manifest(spark: SparkSession, path: str, table: str = "", iceberg: bool = Fa
     MD5 takes a file as one value; files are chunks, of 256 MiB at most (WIN5).
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length", F.md5("content").alias("md5"))
-    name = F.element_at(F.split("path", "/"), -1)
+    # both give the path in a form of their own; what follows the folder is the same
+    below = lambda c: F.substring_index(c, path.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
     rows = spark.read.parquet(path)
-    measured = stats.file_properties(stats.column_stats(rows.withColumn("file", F.col("_metadata.file_name")), ["file"]), iceberg)
-    each = F.struct(*[c for c in measured.columns if c not in ("file", "row_count")])
-    told = measured.groupBy("file").agg(F.max("row_count").alias("row_count"), F.array_sort(F.collect_list(each)).alias("columns"))
-    return files.withColumn("file", name).join(told, "file", "left").select(F.lit(table).alias("table"), "path", "length", "md5", F.coalesce("row_count", F.lit(0)).alias("row_count"), F.lit(VERSION).alias("version"), "columns")
+    measured = stats.file_properties(stats.column_stats(rows.withColumn("_file", below(F.col("_metadata.file_path"))), ["_file"]), iceberg)
+    each = F.struct(*[c for c in measured.columns if c not in ("_file", "row_count")])
+    told = measured.groupBy("_file").agg(F.max("row_count").alias("row_count"), F.array_sort(F.collect_list(each)).alias("columns"))
+    joined = files.withColumn("_file", below(F.col("path"))).join(told, "_file", "left")
+    return joined.select(F.lit(table).alias("table"), "path", "length", "md5", F.coalesce("row_count", F.lit(0)).alias("row_count"), F.lit(VERSION).alias("version"), "columns")
 
 
 def blob_manifest(chunks: DataFrame) -> DataFrame:
@@ -104,8 +106,8 @@ def merge_files(spark: SparkSession, paths: list[str], to: str, files: int = 1,
 
 
 def with_row_identity(spark: SparkSession, path: str) -> DataFrame:
-    """SNK9: rows with file_id and row_number of their place."""
-    return spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file_id"), F.col("_metadata.row_index").alias("row_number"))
+    """SNK9: rows with file_id (its path: one task gives its files in several folders one name) and row_number of their place."""
+    return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file_id"), F.col("_metadata.row_index").alias("row_number"))
 
 
 def duplicate_rows(identified: DataFrame) -> DataFrame:

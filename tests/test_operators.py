@@ -81,6 +81,54 @@ def test_nested_errors_are_gathered(spark):
     assert got.good.where("row_index = 0").first().V.l == [{"q": 5}]
 
 
+def test_map_rows_with_nested_columns_and_last_spelling(spark):
+    """Of two spellings of a name the last wins; a row of maps gives nested columns as JSON text."""
+    got = conform(raw(spark, [(0, 0, {"c1": 1, "C1": 2}), (0, 1, {"C1": 3, '"C1"': "x"})]), table_schema(ONE))
+    assert values(got) == [2] and [r.row_index for r in got.errors.collect()] == [1]
+    schema = table_schema([*ONE, {"name": "l", "sourceIcebergDataType": json.dumps({"type": "list", "element": "int"})}])
+    rows = spark.createDataFrame([("t", "c", 0, 0, {"c1": " 5 ", "l": "[1, 2]"}), ("t", "c", 0, 1, {"c1": None}), ("t", "c", 0, 2, None), ("t", "c", 0, 3, {"l": "[1"})], "table string, channel string, batch_id long, row_index long, row_map map<string,string>")
+    got = conform(rows, schema, row="row_map")
+    assert {r.row_index: (r.C1, r.L) for r in got.good.collect()} == {0: (5, [1, 2]), 1: (None, None)}
+    assert {r.row_index for r in got.errors.collect()} == {2, 3}
+
+
+def test_all_is_generated_code(spark, sf):
+    """No query of the loading operators, nor a table of all types, falls back from generated code."""
+    from loadstone.plans import queries
+
+    types = [
+        {"name": "num", "logicalType": "FIXED", "physicalType": "SB16"}, {"name": "num_10_5", "logicalType": "FIXED", "physicalType": "SB8", "precision": 10, "scale": 5},
+        {"name": "num_2_0", "logicalType": "FIXED", "physicalType": "SB1", "precision": 2, "scale": 0}, {"name": "num_18_0", "logicalType": "FIXED", "physicalType": "SB8", "precision": 18, "scale": 0},
+        {"name": "num_float", "logicalType": "REAL"}, {"name": "str_varchar", "logicalType": "TEXT", "length": 256}, {"name": "bin", "logicalType": "BINARY", "byteLength": 256},
+        {"name": "bl", "logicalType": "BOOLEAN"}, {"name": "var", "logicalType": "VARIANT"}, {"name": "obj", "logicalType": "OBJECT"}, {"name": "arr", "logicalType": "ARRAY"},
+        {"name": "epochdays", "logicalType": "DATE"}, {"name": "timesec", "logicalType": "TIME", "physicalType": "SB4", "scale": 0}, {"name": "timenano", "logicalType": "TIME", "physicalType": "SB8", "scale": 9},
+        {"name": "epochsec", "logicalType": "TIMESTAMP_NTZ", "physicalType": "SB8", "scale": 0}, {"name": "epochnano", "logicalType": "TIMESTAMP_NTZ", "physicalType": "SB16", "scale": 9},
+        {"name": "zoned", "logicalType": "TIMESTAMP_TZ", "physicalType": "SB16", "scale": 9}, {"name": "local", "logicalType": "TIMESTAMP_LTZ", "physicalType": "SB8", "scale": 6},
+    ]
+    row = {"num": 1, "num_10_5": "1.5", "num_2_0": 9, "num_18_0": "1e3", "num_float": "inf", "str_varchar": "a", "bin": "00ff", "bl": "yes", "var": {"a": 1}, "obj": '{"b": 2}', "arr": [1], "epochdays": "2020-01-01", "timesec": "13:02", "timenano": "13:02:03.5", "epochsec": "2020-01-01T01:02", "epochnano": "2020-01-01T01:02:03.123456789", "zoned": "2020-01-01T01:02:03+01:00", "local": "1577840523"}
+    only = {"spark.sql.codegen.fallback": "false", "spark.sql.codegen.factoryMode": "CODEGEN_ONLY"}
+    for k, v in only.items():
+        spark.conf.set(k, v)
+    try:
+        good = conform(raw(spark, [(0, i, row) for i in range(5)]), table_schema(types)).good.collect()
+        assert len(good) == 5 and good[0].EPOCHNANO.nanos == 123456789 and good[0].NUM_18_0 == 1000
+        for name in ("load_orders_statistics", "reject_extra_missing_null", "on_error_continue", "on_error_abort", "coerce_timestamp_ntz", "coerce_timestamp_tz", "coerce_date_local", "coerce_time_of_day", "variant_minify"):
+            assert queries.queries()[name](spark, sf).count() > 0
+    finally:
+        for k in only:
+            spark.conf.unset(k)
+
+
+def test_every_query_has_sql_and_runs(spark, sf):
+    """Those of the file, state and statistics modules that the other tests do not call."""
+    from loadstone.plans import queries
+
+    found = queries.queries()
+    assert set(found) == set(queries.oracle_sql())
+    for name in ("csv_load_history", "history_pages", "files_waiting", "manifest_statistics", "merged_files", "stats_zeros", "committed_offsets", "mismatch_events", "evolved_files", "tracked_channels"):
+        assert found[name](spark, sf).count() > 0, name
+
+
 def test_unquote_expression(spark):
     names = ["abc", '"aBc"', '"a""b"', "c\\ 5", '"a"b"', '""']
     df = spark.createDataFrame([(n,) for n in names], "n string")
@@ -124,6 +172,8 @@ def test_offsets(spark):
     assert [r.offset_ok for r in offsets.verify_offsets(b).orderBy("batch_seq").collect()] == [False, False, True, True]
     skipped = b.withColumn("status", F.when(F.col("batch_seq") == 1, "skipped").otherwise("loaded"))
     assert [r.offset_ok for r in offsets.verify_offsets(skipped).orderBy("batch_seq").collect()] == [False, None, False, True]
+    mark = spark.createDataFrame([("c", 1)], "channel string, batch_seq long")
+    assert offsets.channel_latest(b, flushed=mark).first().start_token == "8"
     last = offsets.channel_latest(b).first()
     assert (last.start_token, last.end_token, last.row_sequencer) == ("1", "x", 4)
 
@@ -194,8 +244,9 @@ def test_channels(spark):
     assert (opened["a"].client_sequencer, opened["a"].end_token, opened["b"].client_sequencer, opened["b"].end_token) == (1, "9", 0, "T")
     assert stream.drop_channel(state, "a", 7).count() == 1 and stream.drop_channel(state, "a", 0).isEmpty()
     local = spark.createDataFrame([("a", 6)], "channel string, row_sequencer long")
-    with pytest.raises(stream.NotCommitted):
+    with pytest.raises(stream.NotCommitted) as told:
         stream.close_channels(local, state)
+    assert [r.channel for r in told.value.channels.collect()] == ["a"] and "a" in str(told.value)
     for text, seconds in ((None, 1), ("2 minutes", 120), ("90", 90)):
         assert stream.max_client_lag(text) == seconds
     for bad in ("0", "11 minutes", "soon"):
