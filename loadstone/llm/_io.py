@@ -41,6 +41,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Stored tables that are deleted together, once nothing that is still to be computed reads them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        path = new_path(self.spark, name)
+        self.paths.append(path)
+        df.write.option("compression", "zstd").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self.paths = []
+
+
 BUCKET_BYTES = 32 << 20  # of stored input to one packed bucket
 
 

@@ -50,7 +50,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadstone.llm._io import n_buckets, stored
+from loadstone.llm._io import Scratch, n_buckets, stored
 from loadstone.llm.components import components
 from loadstone.llm.textnum import mix, shingle_sets
 
@@ -489,12 +489,12 @@ def _different(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     return joined.where(~F.coalesce(F.col("_ra"), F.col("a")).eqNullSafe(F.coalesce(F.col("_rb"), F.col("b")))).drop("_ra", "_rb")
 
 
-def merged_parts(parts: DataFrame, more: DataFrame) -> DataFrame:
+def merged_parts(parts: DataFrame, more: DataFrame, scratch: Scratch) -> DataFrame:
     """Components (node, root) with further links: only the roots that these join are worked on."""
     ends = more.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     known = parts.union(ends.join(parts, "node", "left_anti").select("node", F.col("node").alias("root")))
     left, right = (known.select(F.col("node").alias(c), F.col("root").alias(f"_r{c}")) for c in ("a", "b"))
-    tops = components(more.join(left, "a").join(right, "b").select(F.col("_ra").alias("a"), F.col("_rb").alias("b")))
+    tops = components(more.join(left, "a").join(right, "b").select(F.col("_ra").alias("a"), F.col("_rb").alias("b")), scratch=scratch)
     tops = tops.select(F.col("node").alias("root"), F.col("root").alias("_top"))
     return known.join(tops, "root", "left").select("node", F.coalesce("_top", "root").alias("root"))
 
@@ -506,7 +506,7 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     doc_id of documents with the same set.
     """
     docs = docs.select("doc_id", "text")
-    buckets = n_buckets(docs)
+    buckets, scratch = n_buckets(docs), Scratch(docs.sparkSession)
     nodes = stored(document_nodes(docs, width), "nodes")
     classes = nodes.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("_least"), F.first("n_shingles").alias("n"))
     classes = classes.select("node", F.col("_least.doc_id").alias("class_id"), F.col("_least.text_hash").alias("text_hash"), "n")
@@ -518,13 +518,13 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     named = docs.where(F.col("doc_id").isNotNull())
     alive = shared_tokens(named, buckets, width).join(classes, "node").where(F.col("shared") >= fewest)
     texts = named.withColumn("text_hash", F.xxhash64("text")).join(alive.withColumnRenamed("class_id", "doc_id"), ["doc_id", "text_hash"])
-    texts = stored(texts.select("node", "text", "n", "heavy").dropDuplicates(["node"]), "texts")
+    texts = scratch.stored(texts.select("node", "text", "n", "heavy").dropDuplicates(["node"]), "texts")
 
     # 2: candidates
     plain = texts.select("node", "text", "n", "heavy", F.lit(0).cast("long").alias("part"), F.lit(0).alias("dense"))
     sent = plain.mapInArrow(_send_prefixes(buckets, width), "bucket int, entries binary, pairs binary")
     raw = sent.groupBy("bucket").applyInArrow(_candidates, _PAIRS).groupBy("a", "b", "kind").agg(F.sum("hits").alias("hits"), F.first("need").alias("need"))
-    raw = stored(raw, "candidates")
+    raw = scratch.stored(raw, "candidates")
     heavy = raw.where("kind = 2").select(F.col("a").alias("_node"), F.col("hits").alias("_heavy"))
     light = raw.where("kind = 0").drop("kind")
     for side in ("a", "b"):
@@ -534,12 +534,12 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
 
     # 3: verification, best partners first
     first = _best(light).union(_best(pivots)).distinct()
-    links = stored(verified(first, texts, width), "links")
-    parts = stored(components(links), "parts")
+    links = scratch.stored(verified(first, texts, width), "links")
+    parts = scratch.stored(components(links, scratch=scratch), "parts")
     rest = _different(light.select("a", "b").union(pivots.select("a", "b")).distinct().join(first, ["a", "b"], "left_anti"), parts)
-    more = stored(verified(rest, texts, width), "links")
+    more = scratch.stored(verified(rest, texts, width), "links")
     if not more.isEmpty():
-        parts = stored(merged_parts(parts, more), "parts")
+        parts = scratch.stored(merged_parts(parts, more, scratch), "parts")
 
     # 4: dense nodes, with the nodes that could be their partners: those with as
     # many heavy tokens as the fewest matches asked of any size near theirs
@@ -547,17 +547,20 @@ def jaccard_components(docs: DataFrame, width: int = 5) -> DataFrame:
     known = heavy.join(lengths, F.col("_node") == F.col("node"))
     fewest_any = F.least(first_l(F.col("n")), first_l(F.floor((3 * F.col("n") + 3) / 4)))
     dense = known.where(F.col("_heavy") >= fewest_any).select("node", (F.col("_heavy") >= _l_column(F.col("n"), F.col("_est"))).cast("int").alias("dense"))
-    dense = stored(dense, "dense")
+    dense = scratch.stored(dense, "dense")
     if not dense.where("dense = 1").isEmpty():
         near = texts.join(dense, "node").join(parts, "node", "left").select("node", "text", "n", F.coalesce("root", "node").alias("part"), "dense")
         owned = near.select("node", "text").mapInArrow(_send_all(max(16, buckets // 16), width), "bucket int, entries binary").groupBy("bucket").applyInArrow(_owners, "node long, owned binary")
         owned = owned.groupBy("node").agg(F.collect_list("owned").alias("owned"))
         members = near.drop("text").join(owned, "node").select("node", "n", "part", "dense", "owned").mapInArrow(_to_families, "family long, node long, n long, part long, dense int, tokens binary")
-        members = stored(members, "members")
+        members = scratch.stored(members, "members")
         left = dealt_families(members).groupBy("block").applyInArrow(_link_family, "a long, b long").distinct()
-        more = stored(verified(left, texts, width), "links")
+        more = scratch.stored(verified(left, texts, width), "links")
         if not more.isEmpty():
-            parts = stored(merged_parts(parts, more), "parts")
+            parts = scratch.stored(merged_parts(parts, more, scratch), "parts")
+
+    parts = stored(parts, "parts")
+    scratch.clear()  # what follows reads nodes and parts alone
 
     least = parts.join(classes.select("node", "class_id"), "node").groupBy("root").agg(F.min("class_id").alias("_least"))
     named = parts.join(least, "root").select("node", "_least")

@@ -6,6 +6,8 @@ import sys
 from pathlib import Path
 
 import corpus_pipeline
+from loadstone.llm import near
+from loadstone.llm._io import shared_dir
 from tests.llm.test_ops import brute_components
 
 ROOT = Path(__file__).resolve().parents[2]
@@ -44,11 +46,20 @@ def test_empty(spark, sf):
 
 
 def test_library_without_the_subpackage(tmp_path):
-    """Entry file and other queries work when the llm folders and the pipeline are gone."""
-    for p in ("loadstone", "__spark_entry__.py"):
+    """Entry file, other queries and other tests work when the llm folders and the pipeline are gone."""
+    for p in ("loadstone", "tests", "__spark_entry__.py", "bench.py"):
         subprocess.run(["cp", "-r", str(ROOT / p), str(tmp_path)], check=True)
-    subprocess.run(["rm", "-r", str(tmp_path / "loadstone/llm")], check=True)
+    subprocess.run(["rm", "-r", str(tmp_path / "loadstone/llm"), str(tmp_path / "tests/llm")], check=True)
     code = "import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op') or k == 'pipeline' for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
+    subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "--collect-only"], cwd=tmp_path, check=True)
+    subprocess.run([sys.executable, "-m", "pytest", "tests", "-q", "-x", "-k", "schemas or test_unquote or test_continue or test_history or test_packing"], cwd=tmp_path, check=True)
 
 
+def test_intermediate_tables_go(spark, sf):
+    """Of the tables that the Jaccard join stores only those that its result reads are left."""
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    rows = near.jaccard_components(spark.read.parquet(f"{sf}/documents.parquet"))
+    left = {p.name.split("-")[0] for p in set(folder.iterdir()) - before}
+    assert left == {"nodes", "parts"} and rows.count() > 0
