@@ -55,6 +55,22 @@ def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns).select(*keep, F.inline(F.array(F.struct(*columns))))
 
 
+SPLIT = 4 * 1024 * 1024  # bytes; files are not cut smaller for one task
+
+
+def spread(raw: DataFrame) -> DataFrame:
+    """Rows dealt out over all cores where the planner finds them too few bytes to be read by as many tasks.
+
+    Checking a row costs far more than moving it, and so little is soon moved;
+    larger inputs, and those of unknown size, are left as they are read.
+    """
+    if raw.isStreaming:
+        return raw
+    cores = raw.sparkSession.sparkContext.defaultParallelism
+    size = int(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return raw.repartition(cores) if size < cores * SPLIT else raw
+
+
 def unquote_name(name: Column) -> Column:
     """CONF1: outer quotes off and doubled ones single; otherwise ``\\ `` to a space, upper case."""
     inner = F.replace(F.substr(name, F.lit(2), F.length(name) - 2), F.lit('""'), F.lit('"'))
@@ -227,7 +243,7 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
     names = [f.name for f in schema.fields]
     declared = {f.name: f.metadata.get("declared", f.name) for f in schema.fields}
     required = [f.name for f in schema.fields if not f.nullable]
-    rows = found_values(parsed_rows(raw, row), schema, row)
+    rows = found_values(parsed_rows(spread(raw), row), schema, row)
 
     def parts(i: int, f: T.StructField) -> C.Parts:
         if not is_nested(f):

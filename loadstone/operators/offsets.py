@@ -80,6 +80,14 @@ def matching_writers(requests: DataFrame, state: DataFrame) -> tuple[DataFrame,
     return requests.join(state.select(*key), key, "left_semi"), requests.join(state.select(*key), key, "left_anti")
 
 
+def accepted_batches(batches: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """STR7: (batches of valid channels, the others with code 0013: invalid, or 0014: not open)."""
+    joined = batches.join(state.select("channel", F.col("valid").alias("_valid")), "channel", "left")
+    ok = F.coalesce("_valid", F.lit(False))
+    code = F.when(F.col("_valid").isNull(), "0014").otherwise("0013")
+    return joined.where(ok).drop("_valid"), joined.where(~ok).withColumn("code", code).drop("_valid")
+
+
 def retry_chunks(chunks: DataFrame, rejected: DataFrame) -> DataFrame:
     """JOIN1: chunks with any channel among the rejected (channel, client_sequencer)."""
     hit = chunks.select("chunk_id", F.explode("channels").alias("c")).select("chunk_id", "c.channel", "c.client_sequencer")

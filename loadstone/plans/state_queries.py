@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loadstone.operators import offsets
 from loadstone.plans.registry import query, read
+from loadstone.plans.schema import table_schema
 from loadstone.sources import files
 from loadstone.streaming import stream
 
@@ -31,6 +32,41 @@ def matching_writers(spark, sf_dir):
     return current.select("event_id", F.lit("current").alias("writer")).union(old.select("event_id", F.lit("superseded")))
 
 
+@query("""SELECT event_id // 100 AS batch_seq, user_id AS channel, CASE WHEN user_id % 9 = 0 THEN '0014' WHEN user_id % 4 = 0 THEN '0013' END AS code, count(*) AS row_count FROM events GROUP BY ALL""")
+def accepted_batches(spark, sf_dir):
+    """STR7: batches of channels that are invalid or not open are rejected, each with its code"""
+    e = read(spark, sf_dir, "events")
+    batches = e.groupBy(F.floor(F.col("event_id") / 100).alias("batch_seq"), F.col("user_id").alias("channel")).agg(F.count("*").alias("row_count"))
+    state = e.where("user_id % 9 <> 0").select(F.col("user_id").alias("channel"), (F.col("user_id") % 4 != 0).alias("valid")).distinct()
+    accepted, rejected = offsets.accepted_batches(batches, state)
+    return accepted.withColumn("code", F.lit(None).cast("string")).unionByName(rejected).select("batch_seq", "channel", "code", "row_count")
+
+
+@query("""WITH e AS (SELECT event_type, value > 300 AS bad FROM events)
+  SELECT event_type AS "table", count(*) FILTER (WHERE event_type IN ('click', 'view') AND NOT bad) AS good, count(*) FILTER (WHERE event_type = 'click' AND bad OR event_type = 'view' AND bad) AS errors, count(*) FILTER (WHERE event_type NOT IN ('click', 'view')) AS unknown FROM e GROUP BY ALL""")
+def stream_many_tables(spark, sf_dir):
+    """STR15: rows of many tables in one stream, two of them with a schema"""
+    path = files.new_folder(spark, "tables")
+    source = read(spark, sf_dir, "events")
+    source.write.parquet(f"{path}/in")
+    value = {"name": "VALUE", "logicalType": "FIXED", "physicalType": "SB16", "precision": 38, "scale": 2}
+    schemas = {"click": table_schema([value, {"name": "PROPS", "logicalType": "VARIANT"}]), "view": table_schema([value, {"name": "PROPS", "logicalType": "TEXT"}])}
+
+    def prepare(batch):
+        number = F.when(F.col("value") > 300, F.lit("much")).otherwise(F.col("value").cast("decimal(20,4)").cast("string"))
+        row = F.to_json(F.create_map(F.lit("value"), number, F.lit("props"), F.col("props")))
+        return batch.select(F.col("event_type").alias("table"), F.lit("c").alias("channel"), F.floor(F.col("event_id") / 100).alias("batch_id"), F.col("event_id").alias("row_index"), row.alias("row_json"))
+
+    writer = stream.row_stream(spark, f"{path}/in", source.schema).writeStream.foreachBatch(stream.load_tables(f"{path}/out", schemas, prepare=prepare))
+    writer.option("checkpointLocation", f"{path}/checkpoint").trigger(**stream.trigger(available_now=True)).start().awaitTermination()
+    count = lambda rows, kind: rows.groupBy("table").agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind))
+    told = count(spark.read.parquet(f"{path}/out/unknown"), "unknown")
+    for table in schemas:
+        told = told.union(count(stream.loaded(spark, f"{path}/out/{table}"), "good")).union(count(stream.loaded(spark, f"{path}/out/{table}", "errors"), "errors"))
+    sums = [F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in ("good", "errors", "unknown")]
+    return told.groupBy("table").agg(*sums)
+
+
 @query("""WITH v AS (SELECT event_id, user_id % 5 AS channel, epoch_us(ts) AS us, event_id % 4 = 0 AS bad FROM events),
   r AS (SELECT *, row_number() OVER (PARTITION BY channel, us // 1000000 ORDER BY us, event_id) AS n FROM v WHERE bad)
   SELECT channel, us // 1000000 AS second, min(us) AS us FROM r WHERE n = 1 GROUP BY ALL""")

@@ -84,6 +84,25 @@ def load_batch(path: str, schema, on_error: str | DataFrame = CONTINUE, prepare:
     return write
 
 
+def load_tables(path: str, schemas: dict, on_error: str | DataFrame = CONTINUE, prepare: Callable[[DataFrame], DataFrame] | None = None, zone: str = "America/Los_Angeles") -> Callable[[DataFrame, int], None]:
+    """STR15: a ``foreachBatch`` function for many tables in one stream: each has a folder and a schema of its own.
+
+    Rows of tables without a schema are kept as they came, under ``unknown``.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        rows = (prepare(batch) if prepare else batch).persist()
+        try:
+            for table, schema in schemas.items():
+                load_batch(f"{path}/{table}", schema, on_error, zone=zone)(rows.where(F.col("table") == table), number)
+            other = rows.where(~F.coalesce(F.col("table").isin(*schemas), F.lit(False)))
+            other.write.mode("overwrite").parquet(f"{path}/unknown/stream_batch_dir={number}")
+        finally:
+            rows.unpersist()
+
+    return write
+
+
 def loaded(spark: SparkSession, path: str, part: str = "data") -> DataFrame:
     """Rows of committed batches only."""
     done = spark.read.parquet(f"{path}/state").select("stream_batch").distinct()
