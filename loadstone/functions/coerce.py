@@ -74,7 +74,7 @@ def coerced(df: DataFrame, rules: dict[str, Parts], prefix: str = "_b") -> DataF
                 continue
             own = f"{prefix}{len(names) + len(level)}"
             level[own] = part
-            going.append((name, steps, F.col(own)))
+            going.append((name, steps, named(own)))
         if level:
             df = df.withColumns(level)
         names += level
@@ -87,8 +87,23 @@ def trimmed(text: Column) -> Column:
     return F.btrim(text, F.lit(_BLANKS))
 
 
+def named(name: str) -> Column:
+    """A column whose name rules can see, so that they can be written as one text."""
+    column = F.col(name)
+    column.__dict__["_name_of"] = f"`{name}`"
+    return column
+
+
 def result(value: Column, kind: Column, kinds: tuple[str, ...], what: str, reason: Column | None = None) -> Column:
     """(value, code, reason): an error where a value of a fitting kind came to nothing."""
+    v, k, r = (c.__dict__.get("_name_of") if c is not None else "" for c in (value, kind, reason))
+    if v and k and r is not None:  # one call to the JVM
+        given, fits = f"({k} IS NOT NULL AND {k} <> 'null')", f"{k} IN ({', '.join(repr(x) for x in kinds)})"
+        wrong = f"({r or v} IS {'NOT ' if r else ''}NULL)"
+        return F.expr(
+            f"struct(CASE WHEN {given} AND {fits} AND NOT {wrong} THEN {v} END AS value, CASE WHEN {given} AND NOT {fits} THEN '{BAD_TYPE}' WHEN {given} AND {wrong} THEN '{BAD_VALUE}' END AS code, "
+            f"CASE WHEN {given} AND NOT {fits} THEN concat('{what} cannot be made from ', {k}) WHEN {given} AND {wrong} THEN {r or repr(f'not a valid {what}')} END AS reason)"
+        )
     given = kind.isNotNull() & (kind != "null")
     unfit = given & ~kind.isin(*kinds)
     wrong = given & (value.isNull() if reason is None else reason.isNotNull())
@@ -149,7 +164,7 @@ def string(text: Column, kind: Column, max_chars: int | None = None, max_bytes:
     reason = F.when(~F.is_valid_utf8(value), F.lit("not valid UTF-8")).when(F.octet_length(value) > max_bytes, F.lit(f"longer than {max_bytes} bytes"))
     if max_chars is not None:
         reason = reason.when(F.length(value) > max_chars, F.lit(f"longer than {max_chars} characters"))
-    return result(value, kind, ("string", "number", "boolean"), "string", reason)
+    return result(value, kind, ("string", "number", "boolean"), "string", (yield reason))
 
 
 @rule
@@ -160,7 +175,7 @@ def binary(text: Column, kind: Column, max_bytes: int = 8 * 1024 * 1024, exact_b
     reason = F.when(value.isNull(), F.lit("not hexadecimal")).when(F.octet_length(value) > max_bytes, F.lit(f"longer than {max_bytes} bytes"))
     if exact_bytes is not None:
         reason = reason.when(F.octet_length(value) != exact_bytes, F.lit(f"not {exact_bytes} bytes long"))
-    return result(value, kind, ("string",), "binary", reason)
+    return result(value, kind, ("string",), "binary", (yield reason))
 
 
 # --- dates and times ----------------------------------------------------------

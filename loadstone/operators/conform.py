@@ -79,17 +79,16 @@ def unquote_name(name: Column) -> Column:
 
 def kind_of(v: Column) -> Column:
     """JSON kind of a variant value."""
-    return kind_of_schema(F.when(v.isNotNull(), F.schema_of_variant(v)))
-
-
-def kind_of_schema(s: Column) -> Column:
-    """JSON kind by the text of a variant's schema."""
+    s = F.when(v.isNotNull(), F.schema_of_variant(v))
     return (
         F.when(s == "STRING", "string").when(s.isNull() | (s == "VOID"), "null").when(s == "BOOLEAN", "boolean")
         .when(F.startswith(s, F.lit("OBJECT")), "object").when(F.startswith(s, F.lit("ARRAY")), "array").otherwise("number")
     )
 
 
+_KIND = "CASE WHEN {s} = 'STRING' THEN 'string' WHEN {s} IS NULL OR {s} = 'VOID' THEN 'null' WHEN {s} = 'BOOLEAN' THEN 'boolean' WHEN startswith({s}, 'OBJECT') THEN 'object' WHEN startswith({s}, 'ARRAY') THEN 'array' ELSE 'number' END"
+
+
 def parsed_rows(raw: DataFrame, row: str = "row_json") -> DataFrame:
     """SRC5: adds ``_keys`` (names as written), ``_names`` (normalised), ``_values`` (texts), all in
     one order, and ``_fields`` (variants by name as written; null for rows of maps).
@@ -114,17 +113,17 @@ def found_values(rows: DataFrame, schema: T.StructType, row: str = "row_json") -
     Of two spellings of one name the last wins."""
     fields = list(enumerate(schema.fields))
     rows = rows.withColumn("_back", F.reverse("_names"))
-    rows = rows.withColumns({f"_p{i}": F.size("_back") - F.array_position("_back", f.name).cast("int") for i, f in fields})
-    at = lambda column, i: F.get(F.col(column), F.col(f"_p{i}"))  # noqa: E731  # null beyond the end
+    rows = rows.withColumns({f"_p{i}": F.expr(f"size(_back) - int(array_position(_back, {sql_text(f.name)}))") for i, f in fields})
+    at = lambda column, i: F.expr(f"get({column}, _p{i})")  # noqa: E731  # null beyond the end
     texts = {f"_t{i}": at("_values", i) for i, _ in fields}
     if isinstance(rows.schema[row].dataType, T.MapType):
         rows = rows.withColumns(texts)
         kinds = {f"_k{i}": F.when(F.col(f"_p{i}") < F.size("_names"), F.when(F.col(f"_t{i}").isNull(), "null").otherwise("string")) for i, _ in fields}
         kinds |= {f"_v{i}": F.coalesce(F.try_parse_json(F.col(f"_t{i}")), F.col(f"_t{i}").cast("variant")) for i, f in fields if is_nested(f)}
         return rows.withColumns(kinds).drop("_back", *[f"_p{i}" for i, _ in fields])
-    rows = rows.withColumns(texts | {f"_v{i}": F.try_element_at("_fields", at("_keys", i)) for i, _ in fields})
-    rows = rows.withColumns({f"_s{i}": F.schema_of_variant(f"_v{i}") for i, _ in fields})
-    rows = rows.withColumns({f"_k{i}": F.when(F.col(f"_p{i}") < F.size("_names"), kind_of_schema(F.col(f"_s{i}"))) for i, _ in fields})
+    rows = rows.withColumns(texts | {f"_v{i}": F.expr(f"try_element_at(_fields, get(_keys, _p{i}))") for i, _ in fields})
+    rows = rows.withColumns({f"_s{i}": F.expr(f"schema_of_variant(_v{i})") for i, _ in fields})
+    rows = rows.withColumns({f"_k{i}": F.expr(f"CASE WHEN _p{i} < size(_names) THEN {_KIND.format(s=f'_s{i}')} END") for i, _ in fields})
     return rows.drop("_back", *[f"{c}{i}" for i, _ in fields for c in ("_p", "_s")])
 
 
@@ -214,27 +213,35 @@ def is_nested(field: T.StructField) -> bool:
 # --- rows --------------------------------------------------------------------------
 
 
-def row_bytes(schema: T.StructType, columns: dict[str, Column]) -> Column:
-    """CONF9: estimated size: a quarter byte a value, fixed sizes by type, 4 + length for text and bytes."""
-    total = F.lit(0.0)
+def sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def row_bytes(schema: T.StructType, columns: dict[str, str]) -> Column:
+    """CONF9: estimated size: a quarter byte a value, fixed sizes by type, 4 + length for text and bytes.
+
+    ``columns`` are the names of the columns that hold each field; written as
+    SQL, which is one call to the JVM however wide the table is.
+    """
+    sizes = []
     for f in schema.fields:
-        c, t = columns[f.name], f.dataType
+        c, t = f"`{columns[f.name]}`", f.dataType
         if isinstance(t, (T.StringType, T.BinaryType)):
-            size = F.octet_length(c) + 4.0
+            size = f"octet_length({c}) + 4.0D"
         elif isinstance(t, T.BooleanType):
-            size = F.lit(0.125)
+            size = "0.125D"
         elif isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            size = F.lit(4.0)
+            size = "4.0D"
         elif isinstance(t, T.DecimalType):
-            size = F.lit(16.0 if t.scale or t.precision > 18 else 8.0 if t.precision > 9 else 4.0)
+            size = "16.0D" if t.scale or t.precision > 18 else "8.0D" if t.precision > 9 else "4.0D"
         elif is_nested(f):
-            size = F.octet_length(F.to_json(F.struct(c.alias("v")))) * 1.0
+            size = f"octet_length(to_json(struct({c} AS v))) * 1.0D"
         elif isinstance(t, T.StructType):
-            size = F.lit(16.0)
+            size = "16.0D"
         else:
-            size = F.lit(8.0)
-        total = total + 0.25 + F.when(c.isNotNull(), size).otherwise(0.0)
-    return F.ceil(total)
+            size = "8.0D"
+        sizes.append(f"if({c} IS NULL, 0.25D, 0.25D + {size})")
+    return F.ceil(F.expr(" + ".join(sizes))) if sizes else F.lit(0).cast("long")
 
 
 def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZONE, max_row_bytes: int = MAX_ROW_BYTES, row: str = "row_json") -> DataFrame:
@@ -247,7 +254,7 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
 
     def parts(i: int, f: T.StructField) -> C.Parts:
         if not is_nested(f):
-            return (yield from C.coerce.parts(f, F.col(f"_t{i}"), F.col(f"_k{i}"), zone))
+            return (yield from C.coerce.parts(f, C.named(f"_t{i}"), C.named(f"_k{i}"), zone))
         pair = yield nested(F.col(f"_v{i}"), f.dataType, F.lit(dot_path(f.name)), f.nullable, zone, f.metadata)
         value, errors = pair["value"], pair["errors"]
         first = yield F.when(F.col(f"_k{i}").isNotNull() & (F.size(errors) > 0), F.concat_ws("; ", F.transform(errors, lambda e: F.concat(e["path"], F.lit(": "), e["what"]))))
@@ -255,11 +262,9 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
         return F.struct(value.alias("value"), code.alias("code"), first.alias("reason"))
 
     def bad_value(i: int, f: T.StructField) -> Column:
-        c = F.col(f"_c{i}")
-        became_null = F.lit(not f.nullable) & c["value"].isNull() & F.col(f"_k{i}").isNotNull()  # CONF6
-        return F.when(c["code"].isNotNull(), F.struct(c["code"].alias("code"), F.concat(F.lit(declared[f.name] + ": "), c["reason"]).alias("message"))).when(
-            became_null, F.struct(F.lit(C.BAD_VALUE).alias("code"), F.lit(f"{declared[f.name]}: null in a required column").alias("message"))
-        )
+        c, name = f"_c{i}", declared[f.name]
+        became_null = f"WHEN {c}.value IS NULL AND _k{i} IS NOT NULL THEN struct('{C.BAD_VALUE}' AS code, {sql_text(f'{name}: null in a required column')} AS message)"  # CONF6
+        return F.expr(f"CASE WHEN {c}.code IS NOT NULL THEN struct({c}.code AS code, concat({sql_text(name + ': ')}, {c}.reason) AS message) {'' if f.nullable else became_null} END")
 
     # a few columns at a time, so that the generated methods of wide tables stay small
     for first in range(0, len(fields), GROUP):
@@ -267,15 +272,15 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
         rows = C.coerced(rows, {f"_c{i}": parts(i, f) for i, f in some})
         rows = once(rows, {f"_w{i}": F.col(f"_c{i}.value") for i, _ in some} | {f"_e{i}": bad_value(i, f) for i, f in some})
         rows = rows.drop(*[f"{c}{i}" for i, _ in some for c in ("_c", "_t", "_v")])
-    values = {f.name: F.col(f"_w{i}") for i, f in fields}
+    values = {f.name: f"_w{i}" for i, f in fields}
     no_names = F.lit(None).cast(_NO_NAMES)
     strange = F.array_except("_names", F.array(*map(F.lit, names)))
-    lacking = lambda wanted: F.array_compact(F.array(*[F.when(wanted(F.col(f"_k{i}")), F.lit(declared[f.name])) for i, f in fields if not f.nullable])) if required else F.array().cast(_NO_NAMES)
+    lacking = lambda wanted: F.expr("array_compact(array(" + ", ".join(f"CASE WHEN _k{i} {wanted} THEN {sql_text(declared[f.name])} END" for i, f in fields if not f.nullable) + "))") if required else F.array().cast(_NO_NAMES)
     rows = rows.withColumns({
-        "_row": F.struct(*[c.alias(name) for name, c in values.items()]),
+        "_row": F.struct(*[F.col(c).alias(name) for name, c in values.items()]),
         "_extra": F.when(F.size(strange) > 0, F.filter("_keys", lambda k: ~unquote_name(k).isin(*names))),
-        "_missing": lacking(lambda k: k.isNull()),
-        "_nulls": lacking(lambda k: k == "null"),
+        "_missing": lacking("IS NULL"),
+        "_nulls": lacking("= 'null'"),
         "_bad": F.array_compact(F.array(*[F.col(f"_e{i}") for i, _ in fields])),
         "_bytes": row_bytes(schema, values),
     })
