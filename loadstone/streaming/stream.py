@@ -8,9 +8,11 @@ that is already in the state is a replay and is left out.
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -187,6 +189,7 @@ def _continues(previous, start, end, rows) -> bool:
 
 
 def track_channels(batches: DataFrame) -> DataFrame:
-    """STR13: the tracker over a stream; sets the state store that it needs."""
+    """STR13: the tracker over a stream; sets the state store that it needs, and sends the tracker to its workers by value."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     batches.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return batches.groupBy("channel").transformWithStateInPandas(statefulProcessor=ChannelTracker(), outputStructType=ChannelTracker.OUTPUT, outputMode="Update", timeMode="None")
