@@ -89,8 +89,34 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tokenizers' tokens aligned; the digest is of the groups, the counts are corpus-wide."""
+    import public_tokenizers
+
+    from loadstone.llm.align import align_tokens, vocabulary_sizes, with_link_counts
+
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = align_tokens(_read(spark, sf_dir, "documents"), *paths)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    table = stored(aligned.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    found = with_link_counts(table, vocabulary_sizes(*paths)[1])
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text encoded, and its ids decoded."""
+    import public_tokenizers
+
+    from loadstone.llm.bpe import decode, encode
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    decoded = decode(encode(_read(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    listed = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op6_license_scan, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op6_license_scan, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing, op11_align, op13_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
