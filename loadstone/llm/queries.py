@@ -103,6 +103,12 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loadstone.llm.divergence import audit
+
+    return audit(_read(spark, sf_dir, "documents"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded, and its ids decoded."""
     import public_tokenizers
@@ -116,10 +122,10 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op6_license_scan, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing, op11_align, op13_bpe)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_media, op3_decontamination, op4_toxicity, op5_token_counts, op6_license_scan, op7_warc, op8_substring_dedup, op9_main_text, op10_mixing, op11_align, op12_divergence, op13_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    from loadstone.llm import mixing, near, warc
+    from loadstone.llm import divergence, mixing, near, warc
 
-    return {"op1_jaccard_join": near.ORACLE, "op7_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}
+    return {"op12_divergence": divergence.ORACLE, "op1_jaccard_join": near.ORACLE, "op7_warc": warc.ORACLE, "op10_mixing": mixing.ORACLE}

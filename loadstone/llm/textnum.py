@@ -63,9 +63,9 @@ def slices(offsets: np.ndarray, limit: int = SLICE) -> Iterator[tuple[int, int]]
         first = min(last, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first): byte spans of words; text i has first[i]:first[i + 1]."""
-    solid = ~_WS[data]
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = _WS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first): byte spans of words; text i has first[i]:first[i + 1].  ``between`` tells the bytes that are in no word."""
+    solid = ~between[data]
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     edge = offsets[:-1][offsets[:-1] < offsets[1:]]
