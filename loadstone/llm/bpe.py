@@ -41,10 +41,10 @@ from pyspark.sql import DataFrame
 from loadstone.llm.textnum import slices
 from loadstone.llm.tokens import PATTERN, byte_letters
 
-REMEMBERED = 400_000  # pre-tokens after which a worker starts a new dictionary; it keeps two
+REMEMBERED = 250_000  # pre-tokens after which a worker starts a new dictionary; it keeps two
 LONGEST = 128  # characters of a pre-token that is kept
-BLOCK = 8 << 20  # bytes of text that are encoded at a time
-SYMBOLS = 1 << 21  # letters of one index, unless one pre-token has more
+BLOCK = 3 << 20  # bytes of text that are encoded at a time
+SYMBOLS = 1 << 20  # letters of one index, unless one pre-token has more
 MANY = 40  # places of a pair that are merged at once
 MARK = "\ud800"  # stands before the strings of added tokens; no text has it
 _SHIFT = 20  # bits of an id in a packed pair
