@@ -2,11 +2,11 @@
 
 Both tokenizers cut ``blank + text`` into tokens; a token ends at a byte offset.
 The shorter of the two ascending lists of ends drives: each of its ends is looked
-for in the longer list from where the last one was found, in steps that double,
-and then by binary search inside the last step.  That gives the rank of every
-end of the shorter list in the longer one.  Ends in both lists cut the tokens into
-groups; the difference of the ranks of a token's two ends is the range of the
-other side's tokens that share bytes with it, its links.
+for in the longer list by leaps that double, and then by binary search inside the
+last leap (:func:`gallop`).  That gives the rank of every end of the shorter list
+in the longer one.  Ends in both lists cut the tokens into groups; the
+difference of the ranks of a token's two ends is the range of the other side's
+tokens that share bytes with it, its links.
 
 A blank between two characters that are no white space starts a token on both
 sides (:class:`Aligner` proves it of the piece vocabulary, the byte-level pattern
@@ -27,9 +27,8 @@ empty table gives an empty frame; columns other than doc_id and text are not rea
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,39 +46,26 @@ LONGEST = 128  # characters of a segment that is kept
 BLANK = "▁"
 
 
-def gallop(short: list[int], long: list[int]) -> tuple[list[int], list[bool]]:
-    """For each of the ascending ``short``: how many of ``long`` are less, and whether one is equal."""
-    ranks, equal = [], []
-    at, n = 0, len(long)
-    for end in short:
-        step, low = 1, at
-        high = at
-        while high < n and long[high] < end:
-            low = high + 1
-            high += step
-            step += step
-        at = bisect_left(long, end, low, min(high, n))
-        ranks.append(at)
-        equal.append(at < n and long[at] == end)
-    return ranks, equal
-
-
-def intersect(ends_a: list[int], ends_b: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """(common, links) of two lists of ends that both close with the same one.
-
-    ``common`` has the places (in a, in b) of the ends in both; ``links`` the
-    places of the tokens that share bytes, by the order of the shorter list.
+def gallop(ends: np.ndarray, longer: np.ndarray, low: np.ndarray, top: np.ndarray) -> np.ndarray:
+    """The first place of ``longer`` that is not less than each of ``ends``, from ``low`` on; that of ``top`` is not.
+
+    All ends gallop at once: those not there yet leap on, twice as far each
+    time, and then halve their last leap.
     """
-    swap = len(ends_b) < len(ends_a)
-    ranks, equal = gallop(ends_b, ends_a) if swap else gallop(ends_a, ends_b)
-    common = [(k, r) for k, (r, e) in enumerate(zip(ranks, equal, strict=True)) if e]
-    links, first = [], 0
-    for k, (rank, same) in enumerate(zip(ranks, equal, strict=True)):
-        links += [(k, j) for j in range(first, rank + 1)]
-        first = rank + same
-    if swap:
-        return [(j, k) for k, j in common], [(j, k) for k, j in links]
-    return common, links
+    low, high, step = low.copy(), low.copy(), 1
+    behind = np.flatnonzero(longer[high] < ends)
+    while len(behind):
+        low[behind] = high[behind] + 1
+        high[behind] = np.minimum(high[behind] + step, top[behind])
+        step += step
+        behind = behind[longer[high[behind]] < ends[behind]]
+    between = np.flatnonzero(low < high)
+    while len(between):
+        middle = (low[between] + high[between]) // 2
+        less = longer[middle] < ends[between]
+        low[between], high[between] = np.where(less, middle + 1, low[between]), np.where(less, high[between], middle)
+        between = between[low[between] < high[between]]
+    return low
 
 
 class Aligner:
@@ -96,25 +82,65 @@ class Aligner:
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(BLANK, " ").encode() for i, p in enumerate(pieces)]
         if any(regex.search(f"[^{BLANK}]{BLANK}", p) for p in pieces):
             raise ValueError("a piece goes on over a blank: texts cannot be cut at blanks")
-        self.ends_a = {i: len(b) for i, b in self.bytes_a.items()}
-        self.ends_b = list(map(len, self.bytes_b))
+        self.length_a = np.array([len(self.bytes_a.get(i, b"")) for i in range(self.size_a)])
+        self.length_b = np.array(list(map(len, self.bytes_b)))
         self.kind = pair_type(self.size_a, self.size_b)[1]
-        self.known: dict[str, tuple] = {}
-        self.before: dict[str, tuple] = {}
-
-    def align(self, text: str, a: list[int], b: list[int]) -> tuple:
-        """(n_a, n_b, n_groups, n_links, groups, pairs) of the ids of ``blank + text``; None if its bytes are changed."""
-        raw = b" " + text.encode()
-        if b"".join([self.bytes_b[i] for i in b]) != raw or b"".join([self.bytes_a[i] for i in a]) != raw:
-            return None
-        common, links = intersect(list(accumulate([self.ends_a[i] for i in a])), list(accumulate([self.ends_b[i] for i in b])))
-        groups, i, j = [], 0, 0
-        for k, m in common:
-            groups.append(",".join(map(str, a[i : k + 1])) + "|" + ",".join(map(str, b[j : m + 1])))
-            i, j = k + 1, m + 1
-        size = self.size_b
-        pairs = np.array([a[x] * size + b[y] for x, y in links], dtype=self.kind).tobytes()
-        return len(a), len(b), len(groups), len(links), ";".join(groups), pairs
+        # the text of a token inside a group, and of the last of its side
+        self.text_a = np.array([[f"{i},", f"{i}|"] for i in range(self.size_a)], dtype=object)
+        self.text_b = np.array([[f"{i},", f"{i};"] for i in range(self.size_b)], dtype=object)
+        self.digits = np.array([len(str(i)) + 1 for i in range(max(self.size_a, self.size_b))])
+        self.known: dict[str, tuple | None] = {}
+        self.before: dict[str, tuple | None] = {}
+
+    def same_bytes(self, segment: str, a: bytes, b: list[int]) -> bool:
+        raw = b" " + segment.encode()
+        return b"".join([self.bytes_b[i] for i in b]) == raw == b"".join([self.bytes_a[i] for i in np.frombuffer(a, dtype="<i4").tolist()])
+
+    def align(self, segments: list[str], ids_a: list[bytes], ids_b: list[list[int]]) -> list[tuple | None]:
+        """(n_a, n_b, n_groups, n_links, groups, pairs) of each segment; None if a tokenizer changes its bytes."""
+        a, b = np.frombuffer(b"".join(ids_a), dtype="<i4"), np.fromiter(chain.from_iterable(ids_b), dtype=np.int32)
+        n_a, n_b = np.array([len(x) // 4 for x in ids_a]), np.array(list(map(len, ids_b)))
+        first_a, first_b = (np.concatenate([[0], np.cumsum(n)]) for n in (n_a, n_b))
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        raw = " " + " ".join(segments)
+        ok = len(n_a) > 0 and n_a.all() and n_b.all() and np.array_equal(ends_a[first_a[1:] - 1], ends_b[first_b[1:] - 1])
+        ok = ok and b"".join([self.bytes_b[i] for i in b.tolist()]) == raw.encode() == b"".join([self.bytes_a[i] for i in a.tolist()])
+        if not ok:
+            same = [self.same_bytes(*x) for x in zip(segments, ids_a, ids_b, strict=True)]
+            if all(same):
+                return []
+            rest = iter(self.align(*([x for x, s in zip(y, same, strict=True) if s] for y in (segments, ids_a, ids_b))))
+            return [next(rest) if s else None for s in same]
+
+        # the shorter list drives; each of its ends starts where its segment starts in the longer
+        swap = len(b) < len(a)
+        ends, longer, n, first, first_longer = (ends_b, ends_a, n_b, first_b, first_a) if swap else (ends_a, ends_b, n_a, first_a, first_b)
+        rank = gallop(ends, longer, np.repeat(first_longer[:-1], n), np.repeat(first_longer[1:] - 1, n))
+        common = longer[rank] == ends
+        start = np.concatenate([[0], (rank + common)[:-1]])  # where the bytes of the token start, as a rank
+        shared = rank - start + 1
+        one = np.repeat(np.arange(len(ends)), shared)
+        two = np.arange(len(one)) - np.repeat(np.cumsum(shared) - shared - start, shared)
+        pairs = (a[two].astype(self.kind) * self.size_b + b[one] if swap else a[one].astype(self.kind) * self.size_b + b[two]).astype(self.kind)
+        n_links = np.add.reduceat(shared, first[:-1])
+        n_groups = np.add.reduceat(common.astype(np.int64), first[:-1])
+
+        # tokens in the order of groups, A's before B's
+        common_longer = np.zeros(len(longer), dtype=bool)
+        common_longer[rank[common]] = True
+        last_a, last_b = (common_longer, common) if swap else (common, common_longer)
+        group_a, group_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        upto_a, upto_b = np.flatnonzero(last_a) + 1, np.flatnonzero(last_b) + 1
+        at_a, at_b = np.arange(len(a)) + np.concatenate([[0], upto_b])[group_a], np.arange(len(b)) + upto_a[group_b]
+        listed, width = np.empty(len(a) + len(b), dtype=object), np.empty(len(a) + len(b), dtype=np.int64)
+        listed[at_a], listed[at_b] = self.text_a[a, last_a.astype(np.int8)], self.text_b[b, last_b.astype(np.int8)]
+        width[at_a], width[at_b] = self.digits[a], self.digits[b]
+        text = "".join(listed.tolist())
+        edge = np.concatenate([[0], np.cumsum(width)])[first_a + first_b].tolist()
+        raw_pairs, step = pairs.tobytes(), pairs.itemsize
+        links = (np.concatenate([[0], np.cumsum(n_links)]) * step).tolist()
+        numbers = zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), n_links.tolist(), strict=True)
+        return [(*x, text[edge[k] : edge[k + 1] - 1], raw_pairs[links[k] : links[k + 1]]) for k, x in enumerate(numbers)]
 
     def segments(self, text: str) -> list[str]:
         """The text cut at, and without, the blanks that start tokens on both sides."""
@@ -130,9 +156,8 @@ class Aligner:
                 known[s] = before[s]
             else:
                 fresh.append(s)
-        ids = [np.frombuffer(x, dtype="<i4").tolist() for x in self.a([" " + s for s in fresh])]
-        for s, a, b in zip(fresh, ids, self.b.encode(fresh, num_threads=1) if fresh else [], strict=True):
-            known[s] = self.align(s, a, b)
+        if fresh:
+            known.update(zip(fresh, self.align(fresh, self.a([" " + s for s in fresh]), self.b.encode(fresh, num_threads=1)), strict=True))
         out = []
         for segments in cut:
             found = [known[s] for s in segments]
