@@ -1,7 +1,9 @@
 """Channels: offset continuity, state, commit checks, fencing and replay.
 
 Batches are rows (channel, batch_seq, start_token, end_token, row_count);
-tokens are opaque strings, null where none was given.
+tokens are opaque strings, null where none was given.  What depends on the order
+inside a channel is scanned by ranges (``scans``), so a channel with a
+third of all rows is read by many tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from loadstone.operators.scans import scan
+
 Verification = Callable[[Column, Column, Column, Column], Column]
 
 
@@ -30,8 +34,7 @@ def verify_offsets(batches: DataFrame, verify: Verification = default_verificati
     if "status" in batches.columns:
         out = verify_offsets(batches.where("status = 'loaded'").drop("status"), verify, channel, order).withColumn("status", F.lit("loaded"))
         return out.unionByName(batches.where("status <> 'loaded'"), allowMissingColumns=True)
-    w = Window.partitionBy(channel).orderBy(order)
-    batches = batches.withColumn("previous_token", F.lag("end_token").over(w))
+    batches = scan(batches, [channel], [order], {"previous_token": ("before", F.col("end_token"))})
     ok = verify(F.col("previous_token"), F.col("start_token"), F.col("end_token"), F.col("row_count"))
     return batches.withColumn("offset_ok", ok)
 
@@ -55,10 +58,11 @@ def channel_latest(batches: DataFrame, channel: str = "channel", order: str = "b
 def sequencer_gaps(flushes: DataFrame, channel: str = "channel", sequencer: str = "row_sequencer", order: str | None = None) -> DataFrame:
     """WIN4: adds ``in_sequence`` and ``valid``; the first flush that is not its
     predecessor's successor invalidates the channel from there on."""
-    w = Window.partitionBy(channel).orderBy(order or sequencer)
-    before = F.lag(sequencer).over(w)
-    flushes = flushes.withColumn("in_sequence", F.coalesce(F.col(sequencer) == before + 1, F.lit(True)))
-    return flushes.withColumn("valid", F.min(F.col("in_sequence").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) == 1)
+    order = order or sequencer
+    out = scan(flushes, [channel], [order], {"_before": ("before", F.col(sequencer))})
+    out = out.withColumn("in_sequence", F.coalesce(F.col(sequencer) == F.col("_before") + 1, F.lit(True))).drop("_before")
+    out = scan(out, [channel], [order], {"_unbroken": ("min", F.col("in_sequence").cast("int"))}, peers=True)
+    return out.withColumn("valid", F.col("_unbroken") == 1).drop("_unbroken")
 
 
 def committed_offsets(channels: DataFrame, state: DataFrame) -> DataFrame:
@@ -102,8 +106,8 @@ def pending_files(requested: DataFrame, history: DataFrame) -> DataFrame:
 
 def fenced(rows: DataFrame, channel: str = "channel", order: str = "batch_seq", sequencer: str = "client_sequencer") -> DataFrame:
     """STR6: adds ``accepted``: the writer is the newest seen so far in the log of its channel."""
-    w = Window.partitionBy(channel).orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("accepted", F.col(sequencer) == F.max(sequencer).over(w))
+    out = scan(rows, [channel], [order], {"_newest": ("max", F.col(sequencer))}, peers=True)
+    return out.withColumn("accepted", F.col(sequencer) == F.col("_newest")).drop("_newest")
 
 
 def mismatch_events(verified: DataFrame, channel: str = "channel", at: str = "ts") -> DataFrame:

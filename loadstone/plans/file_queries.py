@@ -132,17 +132,25 @@ def manifest_of_blobs(spark, sf_dir):
     return told.select(F.col("blob").alias("apart"), count.alias("chunks"), "row_count", "mixed_tables", "version", held.alias("held"))
 
 
-@query("""SELECT l_returnflag AS flag, count(*) AS rows, count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_rows, 1::BIGINT AS files, 0::BIGINT AS duplicates, true AS in_order FROM lineitem GROUP BY ALL""")
+@query("""WITH l AS (SELECT l_returnflag AS flag, l_orderkey AS k, l_linenumber AS n FROM lineitem)
+  SELECT flag, count(*) AS rows, count(DISTINCT (k, n)) AS distinct_rows, 0::BIGINT AS duplicates, count(*) AS after_a_second_merge, true AS in_order, true AS fewer_files FROM l GROUP BY ALL""")
 def merged_files(spark, sf_dir):
-    """SNK8, SNK9, AGG17, ORD1: chunks rewritten into one file, rows known by file and place, in the order they had"""
-    path, to = flag_chunks(spark, sf_dir), files.new_folder(spark, "merged")
-    sink.merge_files(spark, [path], to)
-    placed = sink.with_row_identity(spark, to)
-    twice = sink.duplicate_rows(placed).agg(F.count("*").alias("duplicates"))
-    before = F.lag(F.struct("l_orderkey", "l_linenumber")).over(Window.partitionBy("file_id", "l_returnflag").orderBy("row_number"))
-    ordered = placed.withColumn("_ok", F.coalesce(before <= F.struct("l_orderkey", "l_linenumber"), F.lit(True)))
-    told = ordered.groupBy(F.col("l_returnflag").alias("flag")).agg(F.count("*").alias("rows"), F.count_distinct("l_orderkey", "l_linenumber").alias("distinct_rows"), F.count_distinct("file_id").alias("files"), F.every("_ok").alias("in_order"))
-    return told.crossJoin(twice).select("flag", "rows", "distinct_rows", "files", "duplicates", "in_order")
+    """SNK8, SNK9, AGG17, ORD1: small files packed into fewer, rows in the order they had and known by
+    the identity stored with them; what a second merge of the same files would double"""
+    path, to = files.new_folder(spark, "chunks"), files.new_folder(spark, "merged")
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("flag"))
+    sink.write_chunks(sink.identified(rows.repartition(16, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")), path)
+    sink.merge_files(spark, [path], f"{to}/a", target_bytes=1 << 20)
+    merged = spark.read.parquet(f"{to}/a").withColumns({"_file": F.col("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
+    fewer = files.listed(spark, f"{to}/a", "*.parquet").count() < files.listed(spark, path, "*.parquet").count()
+    before = F.lag("row_number").over(Window.partitionBy("_file", "file_id").orderBy("_place"))
+    told = merged.withColumn("_ok", F.coalesce(before < F.col("row_number"), F.lit(True))).groupBy("flag").agg(
+        F.count("*").alias("rows"), F.count_distinct("l_orderkey", "l_linenumber").alias("distinct_rows"), F.every("_ok").alias("in_order"))
+    twice = spark.read.parquet(f"{to}/a").union(spark.read.parquet(f"{to}/a"))
+    counts = [sink.duplicate_rows(d).groupBy("flag").agg(F.count("*").alias(n)) for d, n in ((merged, "duplicates"), (twice, "after_a_second_merge"))]
+    for c in counts:
+        told = told.join(c, "flag", "left")
+    return told.fillna(0, ["duplicates", "after_a_second_merge"]).withColumn("fewer_files", F.lit(fewer))
 
 
 @query("""WITH e AS (SELECT event_id, epoch_us(ts) // 1000000 AS s, md5((event_id // 100)::VARCHAR) AS h FROM events),

@@ -1,10 +1,17 @@
-"""Writing chunks: Parquet files, manifest, verification, row identity.
+"""Writing chunks: Parquet files of bounded size, manifest, verification, row identity, compaction.
 
 The append to the manifest is the commit: readers take files from it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +19,10 @@ from loadstone.operators import stats
 
 VERSION = 1
 TRIES = 3
+MAX_FILE_BYTES = 256 * 1024 * 1024
+MEASURED_ROWS = 10_000  # rows that tell how wide rows are
+PIECE = 8 << 20  # bytes of a file that are read at a time
+STREAMED = ("file", "hdfs", "s3", "s3a", "gs", "abfs", "abfss")  # schemes that workers read by themselves
 
 
 class VerificationFailed(RuntimeError):
@@ -39,17 +50,56 @@ def table_path(table: Column, chunk_id: Column) -> Column:
     return F.concat_ws("/", table, spread_prefix(chunk_id), chunk_id.cast("string"))
 
 
-def write_chunks(df: DataFrame, path: str, partition_by: list[str] | None = None, iceberg: bool = False, order: list[str] | None = None, files: int | None = None, dictionary: bool = True) -> None:
-    """SNK1, ORD1: Parquet, gzip (zstd for Iceberg tables), rows of a channel in arrival order."""
+def row_bytes(df: DataFrame) -> float:
+    """Mean bytes of a row as JSON text, which is wider than it is in a file, of the first rows."""
+    told = df.limit(MEASURED_ROWS).agg(F.avg(F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))).first()[0]
+    return max(told or 1.0, 1.0)
+
+
+def write_chunks(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, iceberg: bool = False, order: list[str] | None = None, files: int | None = None, dictionary: bool = True, max_file_bytes: int = MAX_FILE_BYTES,
+) -> None:
+    """SNK1, ORD1: Parquet, gzip (zstd for Iceberg tables), rows of a channel in arrival order.
+
+    With ``partition_by`` rows are rebalanced by these columns: values of few rows share
+    a task, one with very many is dealt over many, and no file takes more
+    rows than fill ``max_file_bytes`` at their measured width.
+    """
     by = partition_by or []
-    if by or files:
-        df = df.repartition(*([files] if files else []), *[F.col(c) for c in by]) if by else df.repartition(files)
+    most = max(1, int(max_file_bytes / row_bytes(df))) if by else 0
+    if by:
+        df = df.repartition(files, *[F.col(c) for c in by]) if files else df.hint("rebalance", *[F.col(c) for c in by])
+    elif files:
+        df = df.repartition(files)
     if order:
         df = df.sortWithinPartitions(*by, *order)
-    writer = df.write.mode("append").option("compression", "zstd" if iceberg else "gzip").option("parquet.enable.dictionary", str(dictionary).lower())
+    writer = df.write.mode("append").option("compression", "zstd" if iceberg else "gzip").option("parquet.enable.dictionary", str(dictionary).lower()).option("maxRecordsPerFile", most)
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
+def file_digests(files: DataFrame) -> DataFrame:
+    """SNK5: adds md5 to files (path, length), which are read in pieces of :data:`PIECE` bytes, whatever their size.
+
+    Each path is a row; rows are dealt over tasks by path.  The scheme must be one of
+    :data:`STREAMED`; ``manifest`` takes other files as one value, up to 2 GB.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = []
+            for path in batch.column(0).to_pylist():
+                # Spark writes file:/folder for file:///folder
+                system, inside = pyarrow.fs.FileSystem.from_uri(path.removeprefix("file:") if path.startswith("file:/") else path.replace("s3a://", "s3://", 1))
+                seen = hashlib.md5(usedforsecurity=False)
+                with system.open_input_stream(inside, buffer_size=0) as stream:
+                    while piece := stream.read(PIECE):
+                        seen.update(piece)
+                told.append(seen.hexdigest())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(told, pa.string())], names=["path", "length", "md5"])
+
+    return files.select("path", "length").repartition("path").mapInArrow(run, "path string, length long, md5 string")
+
+
 def row_digest(columns: list[str]) -> Column:
     """A sum over rows that any change of a value changes, whatever their order."""
     return F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("decimal(38,0)"))
@@ -59,9 +109,11 @@ def manifest(spark: SparkSession, path: str, table: str = "", iceberg: bool = Fa
     """SNK4, SNK5: one row per written file: table, path, length, md5, row_count, version and the
     statistics of its columns as registered.
 
-    MD5 takes a file as one value; files are chunks, of 256 MiB at most (WIN5).
+    MD5 is taken in pieces, so a file may have any size.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length", F.md5("content").alias("md5"))
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    streamed = path.split(":/", 1)[0] in STREAMED or ":/" not in path
+    files = file_digests(listed) if streamed else listed.select("path", "length", F.md5("content").alias("md5"))
     # both give the path in a form of their own; what follows the folder is the same
     below = lambda c: F.substring_index(c, path.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
     rows = spark.read.parquet(path)
@@ -100,9 +152,33 @@ def write_verified(df: DataFrame, path: str, partition_by: list[str] | None = No
     raise VerificationFailed(f"{path}: {written[0]} rows were written, {found[0]} are there, or others")
 
 
-def merge_files(spark: SparkSession, paths: list[str], to: str, files: int = 1, iceberg: bool = False) -> None:
-    """SNK8: existing files rewritten into fewer."""
-    spark.read.parquet(*paths).coalesce(files).write.option("compression", "zstd" if iceberg else "gzip").parquet(to)
+@contextmanager
+def _files_packed(spark: SparkSession, target: int) -> Iterator[None]:
+    """Whole files are packed into tasks of ``target`` bytes, however few tasks that makes."""
+    own = {"spark.sql.files.maxPartitionBytes": str(target), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def merge_files(spark: SparkSession, paths: list[str], to: str, target_bytes: int = MAX_FILE_BYTES, iceberg: bool = False) -> None:
+    """SNK8: existing files rewritten into files of about ``target_bytes``, one a task.
+
+    Small files are packed into the reading tasks, so nothing is shuffled and
+    rows keep the order they have in their file; a larger file is cut at its row groups.
+    """
+    with _files_packed(spark, target_bytes):
+        spark.read.option("recursiveFileLookup", "true").parquet(*paths).write.option("compression", "zstd" if iceberg else "gzip").parquet(to)
+
+
+def identified(df: DataFrame) -> DataFrame:
+    """SNK9: rows with file_id and row_number, stored with them: they stay when files are merged."""
+    return df.withColumn("file_id", F.concat_ws("-", F.lit(uuid.uuid4().hex), F.spark_partition_id())).withColumn("row_number", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
 
 
 def with_row_identity(spark: SparkSession, path: str) -> DataFrame:
@@ -110,9 +186,10 @@ def with_row_identity(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file_id"), F.col("_metadata.row_index").alias("row_number"))
 
 
-def duplicate_rows(identified: DataFrame) -> DataFrame:
-    """AGG17: places that occur more than once (must be empty)."""
-    return identified.groupBy("file_id", "row_number").count().where("count > 1")
+def duplicate_rows(rows: DataFrame) -> DataFrame:
+    """AGG17: stored identities (:func:`identified`) that occur more than once: rows that were written or merged twice."""
+    others = [F.first(F.col(f"`{c}`")).alias(c) for c in rows.columns if c not in ("file_id", "row_number")]
+    return rows.groupBy("file_id", "row_number").agg(F.count("*").alias("count"), *others).where("count > 1")
 
 
 def ingest_metrics(blobs: DataFrame, by: list[str] | None = None) -> DataFrame:

@@ -1,11 +1,14 @@
 """Rows, policies, statistics, channels, chunks, sinks, files and streams."""
 
+import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from loadstone.operators import chunks, offsets, stats
+from loadstone.operators import chunks, offsets, scans, stats
 from loadstone.operators.conform import BatchAborted, conform, unquote_name
 from loadstone.plans.schema import iceberg_type, missing_required, table_schema
 from loadstone.sources import files, sink
@@ -193,6 +196,75 @@ def test_packing(spark):
         chunks.concatenate(f, f.withColumn("table", F.lit("u")))
 
 
+def packed(rows, limit, with_sets):
+    """Chunk numbers by a loop over the flushes of each table."""
+    out, by_table = {}, {}
+    for row in rows:
+        by_table.setdefault(row[0], []).append(row)
+    for table, flushes in by_table.items():
+        chunk, size, last = 0, 0, None
+        for k, (_, seq, n, columns) in enumerate(sorted(flushes, key=lambda r: r[1])):
+            own = columns if with_sets else None
+            if k and (size + n > limit or own != last):
+                chunk, size = chunk + 1, 0
+            size, last = size + n, own
+            out[table, seq] = chunk
+    return out
+
+
+@pytest.mark.parametrize(("limit", "block", "with_sets"), [(100, 16, True), (37, 64, False), (10**6, 7, False)])
+def test_packing_by_jumps(spark, limit, block, with_sets):
+    rng = random.Random(limit)
+    rows = [(rng.choice(["hot", "hot", "b", None]), i, rng.choice([0, 1, 5, 30, 80, 120, rng.randrange(60)]), rng.choice("aaaab")) for i in range(800)]
+    flushes = spark.createDataFrame(rows, "table string, flush_seq long, bytes long, column_set string")
+    flushes = flushes.withColumn("row_count", F.lit(1)) if with_sets else flushes.drop("column_set")
+    got = chunks.pack_chunks(flushes, max_chunk=limit, block=block)
+    assert got.columns == [*flushes.columns, "chunk_no", "blob_no"]
+    assert {(r.table, r.flush_seq): r.chunk_no for r in got.collect()} == packed(rows, limit, with_sets)
+    assert chunks.pack_chunks(flushes.limit(0), max_chunk=limit).isEmpty()
+
+
+def test_scans_equal_plain_windows(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot", "hot", "a", None, f"c{rng.randrange(30)}"]), rng.choice([None, *range(300)]), i, rng.choice([None, *range(-9, 9)])) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, o long, i long, v long")
+    got = scans.scan(df, ["k"], ["o", "i"], {"b": ("before", F.col("v")), "s": ("sum", F.col("v")), "x": ("max", F.col("v")), "n": ("min", F.col("v"))}, ranges=16)
+    w = Window.partitionBy("k").orderBy("o", "i")
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    plain = df.select("*", F.lag("v").over(w).alias("b"), F.sum("v").over(upto).alias("s"), F.max("v").over(upto).alias("x"), F.min("v").over(upto).alias("n"))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, plain.collect()))
+    peers = scans.scan(df, ["k"], ["o"], {"x": ("max", F.col("v"))}, peers=True, ranges=16)
+    plain = df.withColumn("x", F.max("v").over(Window.partitionBy("k").orderBy("o")))
+    assert sorted(map(repr, peers.collect())) == sorted(map(repr, plain.collect()))
+    with pytest.raises(ValueError, match="measure"):
+        scans.scan(df, ["k"], ["o"], {"x": ("median", F.col("v"))})
+
+
+def test_a_hot_channel_is_read_by_many_tasks(spark, tmp_path):
+    rows = spark.range(12000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 500)).alias("channel"), F.col("id").alias("batch_seq"))
+    batches = rows.select("*", F.col("batch_seq").cast("string").alias("start_token"), F.col("batch_seq").cast("string").alias("end_token"), F.lit(1).alias("row_count"))
+    marked = batches.repartitionByRange(16, "channel", "batch_seq").withColumn("r", F.spark_partition_id())
+    sizes = [r["count"] for r in marked.groupBy("r", "channel").count().groupBy("r").agg(F.sum("count").alias("count")).collect()]
+    assert max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+    assert offsets.verify_offsets(batches).where("channel = 'hot'").where("not offset_ok").count() == 3999
+
+
+def test_files_of_bounded_size_and_compaction(spark, tmp_path):
+    rows = spark.range(30000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 7).cast("string")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), "id")
+    sink.write_chunks(sink.identified(rows), f"file://{tmp_path}/by", ["k"], max_file_bytes=200_000)
+    made = files.listed(spark, f"file://{tmp_path}/by", "*.parquet").collect()
+    assert max(r["size"] for r in made) <= 200_000 and sum("k=hot" in r["path"] for r in made) >= 8
+    sink.merge_files(spark, [f"file://{tmp_path}/by"], f"file://{tmp_path}/few", target_bytes=500_000)
+    few = files.listed(spark, f"file://{tmp_path}/few", "*.parquet").collect()
+    total = sum(r["size"] for r in made)
+    assert total / 500_000 <= len(few) <= 2 * total / 500_000 + 1 < len(made) and max(r["size"] for r in few) <= 600_000
+    merged = spark.read.parquet(f"file://{tmp_path}/few")
+    assert merged.count() == 30000 and sink.duplicate_rows(merged).isEmpty()
+    assert sink.duplicate_rows(merged.union(merged.where("id < 5"))).count() == 5
+    told = {r.path: r.md5 for r in sink.file_digests(files.listed(spark, f"file://{tmp_path}/few", "*.parquet").withColumnRenamed("size", "length")).collect()}
+    assert told and all(md5 == hashlib.md5(open(path.removeprefix("file:"), "rb").read()).hexdigest() for path, md5 in told.items())
+
+
 def test_sink(spark, sf, tmp_path):
     rows = spark.read.parquet(f"{sf}/orders.parquet")
     told = sink.write_verified(rows, f"file://{tmp_path}/v", iceberg=True)
@@ -200,7 +272,7 @@ def test_sink(spark, sf, tmp_path):
     path = f"file://{tmp_path}/v/try={told['attempt']}"
     listed = sink.manifest(spark, path, "orders")
     assert listed.agg(F.sum("row_count")).first()[0] == rows.count() and listed.where("length(md5) <> 32").isEmpty()
-    assert sink.duplicate_rows(sink.with_row_identity(spark, path)).isEmpty()
+    assert sink.with_row_identity(spark, path).select("file_id", "row_number").distinct().count() == rows.count()
     sink.merge_files(spark, [path], f"file://{tmp_path}/one")
     assert spark.read.parquet(f"file://{tmp_path}/one").count() == rows.count()
     assert missing_required(["A"], table_schema([{"name": "b", "logicalType": "REAL", "nullable": False}])) == ["b"]
