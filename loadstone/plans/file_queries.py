@@ -13,7 +13,7 @@ from loadstone.operators import chunks, offsets
 from loadstone.operators.conform import conform
 from loadstone.plans.registry import query, read
 from loadstone.plans.schema import missing_required, table_schema
-from loadstone.sources import files, sink
+from loadstone.sources import csv_lines, files, sink
 from loadstone.streaming import stream
 
 _SIZES = table_schema([{"name": "K", "logicalType": "FIXED", "physicalType": "SB8", "precision": 18, "scale": 0, "nullable": False}, {"name": "S", "logicalType": "FIXED", "physicalType": "SB4", "precision": 9, "scale": 0}])
@@ -38,19 +38,20 @@ def brand_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = [(r["path"], r["size"]) for r in files.listed(spark, brand_files(spark, sf_dir), "*.csv").collect()]
     asked = files.wrapped_paths(spark, found)
     new, _ = files.once_only(asked, asked.limit(0))
-    rows = files.csv_as_rows(spark, sorted(r["path"] for r in new.collect()), _SIZES, "part")
-    errors = files.error_places(rows, conform(rows, _SIZES, row="row_map").errors)
+    rows = csv_lines.csv_as_rows(spark, sorted(r["path"] for r in new.collect()), _SIZES, "part")
+    errors = csv_lines.error_places(rows, conform(csv_lines.records(rows), _SIZES, row="row_map").errors, _SIZES.names)
     at = F.timestamp_seconds(F.lit(1_700_000_000) + brand("path").cast("long") * 60)
     return files.history_rows(rows, errors, "pipe", at, error_limit=5)
 
 
-@query(f"""{_PART} SELECT brand, count(*) AS rows_parsed, count(*) FILTER (WHERE NOT bad) AS rows_inserted, count(*) FILTER (WHERE bad) AS errors_seen, 5::BIGINT AS error_limit,
-  CASE WHEN NOT bool_or(bad) THEN 2 WHEN bool_and(bad) THEN 3 ELSE 4 END AS status, NOT bool_and(bad) AS success, min(n) FILTER (WHERE bad) AS line, CASE WHEN bool_or(bad) THEN 'S' END AS col,
-  CASE WHEN bool_or(bad) THEN 'S: not a valid number(9,0)' END AS first_error FROM p GROUP BY brand""")
+@query(f"""{_PART} SELECT brand, count(*) AS rows_parsed, CASE WHEN count(*) FILTER (WHERE bad) >= 5 THEN 0 ELSE count(*) FILTER (WHERE NOT bad) END AS rows_inserted, count(*) FILTER (WHERE bad) AS errors_seen, 5::BIGINT AS error_limit,
+  CASE WHEN NOT bool_or(bad) THEN 2 WHEN bool_and(bad) OR count(*) FILTER (WHERE bad) >= 5 THEN 3 ELSE 4 END AS status, NOT bool_and(bad) AND count(*) FILTER (WHERE bad) < 5 AS success, min(n) FILTER (WHERE bad) AS line,
+  min(length(k::VARCHAR) + 2) FILTER (WHERE bad AND n = first_bad) AS "character", CASE WHEN bool_or(bad) THEN 'S' END AS col,
+  CASE WHEN bool_or(bad) THEN 'S: not a valid number(9,0)' END AS first_error FROM (SELECT *, min(CASE WHEN bad THEN n END) OVER (PARTITION BY brand) AS first_bad FROM p) x GROUP BY brand""")
 def csv_load_history(spark, sf_dir):
-    """SRC1, SRC2, SNK12, SNK13: files loaded, with the first error of each"""
+    """SRC1, SRC2, SNK12, SNK13: files loaded, with the first error of each; five errors are too many"""
     told = files.file_status(brand_history(spark, sf_dir))
-    return told.select(brand("path").alias("brand"), "rows_parsed", "rows_inserted", "errors_seen", "error_limit", "status", "success", F.col("first_error_line").alias("line"), F.col("first_error_column").alias("col"), "first_error")
+    return told.select(brand("path").alias("brand"), "rows_parsed", "rows_inserted", "errors_seen", "error_limit", "status", "success", F.col("first_error_line").alias("line"), F.col("first_error_character").alias("character"), F.col("first_error_column").alias("col"), "first_error")
 
 
 @query(f"""{_PART} SELECT k, s FROM p WHERE NOT bad AND brand LIKE '1%' AND brand::INTEGER % 5 <> 0""")
@@ -59,8 +60,60 @@ def csv_load_once(spark, sf_dir):
     asked = files.listed(spark, brand_files(spark, sf_dir), "*.csv")
     matched, _ = files.by_pattern(asked, r"brand=1\d?/")
     new, _ = files.once_only(matched, asked.where(brand("path").cast("int") % 5 == 0))
-    rows = files.csv_as_rows(spark, sorted(r["path"] for r in new.collect()), _SIZES, "part")
-    return conform(rows, _SIZES, row="row_map").good.select(F.col("K").cast("bigint").alias("k"), F.col("S").cast("int").alias("s"))
+    rows = csv_lines.csv_as_rows(spark, sorted(r["path"] for r in new.collect()), _SIZES, "part")
+    return conform(csv_lines.records(rows), _SIZES, row="row_map").good.select(F.col("K").cast("bigint").alias("k"), F.col("S").cast("int").alias("s"))
+
+
+_LINES = """WITH l AS (SELECT regexp_replace(p_brand, '\\D', '', 'g') AS brand, p_partkey AS k, p_size AS s, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n,
+    CASE WHEN p_partkey % 11 = 0 THEN 'few' WHEN p_partkey % 13 = 0 THEN 'many' WHEN p_partkey % 17 = 0 THEN 'open' WHEN p_partkey % 19 = 0 THEN 'after' WHEN p_partkey % 23 = 0 THEN 'value' WHEN p_partkey % 5 = 0 THEN 'quoted' ELSE 'plain' END AS kind FROM part)"""
+
+
+def broken_files(spark: SparkSession, sf_dir: str) -> str:
+    """part as text files, one a brand, in order of keys: key and size; some lines lack a field, have
+    one too many, do not close a quote, go on after it, or hold no number."""
+    path = files.new_folder(spark, "broken")
+    k, s = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    line = F.when(F.col("p_partkey") % 11 == 0, k)
+    for by, made in ((13, F.concat_ws(",", k, s, s)), (17, F.concat(k, F.lit(',"'), s)), (19, F.concat(F.lit('"'), k, F.lit('"x,'), s)), (23, F.concat_ws(",", k, F.lit("honk"))), (5, F.concat(F.lit('"'), k, F.lit('","'), s, F.lit('"')))):
+        line = line.when(F.col("p_partkey") % by == 0, made)
+    rows = read(spark, sf_dir, "part").select(F.regexp_replace("p_brand", r"\D", "").alias("brand"), "p_partkey", line.otherwise(F.concat_ws(",", k, s)).alias("value"))
+    rows.repartition("brand").sortWithinPartitions("brand", "p_partkey").drop("p_partkey").write.partitionBy("brand").text(path)
+    return path
+
+
+@query(f"""{_LINES} SELECT brand, n AS line, CASE kind WHEN 'few' THEN length(k::VARCHAR) + 1 WHEN 'many' THEN length(k::VARCHAR) + length(s::VARCHAR) + 3 WHEN 'after' THEN length(k::VARCHAR) + 3 ELSE length(k::VARCHAR) + 2 END AS "character",
+  CASE kind WHEN 'many' THEN NULL WHEN 'after' THEN 'K' ELSE 'S' END AS col, CASE kind WHEN 'value' THEN '0030' ELSE '0004' END AS code,
+  CASE kind WHEN 'few' THEN '1 of 2 columns' WHEN 'many' THEN '3 columns instead of 2' WHEN 'open' THEN 'a quote is not closed' WHEN 'after' THEN 'text after a closing quote' ELSE 'S: not a valid number(9,0)' END AS message
+  FROM l WHERE kind NOT IN ('plain', 'quoted')""")
+def csv_bad_lines(spark, sf_dir):
+    """SRC1, SNK13: the line, character and column of every line that is no record or holds a bad value"""
+    rows = csv_lines.csv_as_rows(spark, broken_files(spark, sf_dir), _SIZES, "part")
+    told = csv_lines.error_places(rows, conform(csv_lines.records(rows), _SIZES, row="row_map").errors, _SIZES.names)
+    return told.select(brand("path").alias("brand"), "line", "character", F.col("column").alias("col"), "code", "message")
+
+
+@query(f"""{_LINES}, c AS (SELECT brand, count(*) FILTER (WHERE kind NOT IN ('plain', 'quoted')) AS bad FROM l GROUP BY brand)
+  SELECT k, s FROM l JOIN c ON l.brand = c.brand WHERE kind IN ('plain', 'quoted') AND bad < 22""")
+def csv_error_limit(spark, sf_dir):
+    """SRC1, SNK13: the rows of the files with fewer errors than the limit"""
+    rows = csv_lines.csv_as_rows(spark, broken_files(spark, sf_dir), _SIZES, "part")
+    checked = conform(csv_lines.records(rows), _SIZES, row="row_map")
+    history = files.history_rows(rows, csv_lines.error_places(rows, checked.errors, _SIZES.names), "pipe", F.current_timestamp(), error_limit=22)
+    return csv_lines.within_limit(checked.good, history).select(F.col("K").cast("bigint").alias("k"), F.col("S").cast("int").alias("s"))
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 7 AS extra, c_nationkey AS f FROM customer)
+  SELECT k, f AS file, 1 + coalesce(sum(1 + extra) OVER (PARTITION BY f ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line, extra::INTEGER AS breaks FROM c""")
+def csv_quoted_breaks(spark, sf_dir):
+    """SRC1: records whose quoted field holds line breaks, and the line where each starts"""
+    path = files.new_folder(spark, "breaks")
+    note = F.concat(F.lit('"'), F.repeat(F.lit('a ""b"",\n'), (F.col("c_custkey") % 7).cast("int")), F.lit('"'))
+    rows = read(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("file"), "c_custkey", F.concat(F.col("c_custkey").cast("string"), F.lit(","), note).alias("value"))
+    rows.repartition("file").sortWithinPartitions("file", "c_custkey").drop("c_custkey").write.partitionBy("file").text(path)
+    notes = table_schema([{"name": "K", "logicalType": "FIXED", "physicalType": "SB8", "precision": 18, "scale": 0}, {"name": "NOTE", "logicalType": "TEXT", "length": 1000}])
+    told = csv_lines.csv_as_rows(spark, path, notes, "customer", multi_line=True).where(F.col("problem").isNull())
+    count = F.length(F.col("row_map")['"NOTE"']) - F.length(F.replace(F.col("row_map")['"NOTE"'], F.lit("\n"), F.lit("")))
+    return told.select(F.col("row_map")['"K"'].cast("bigint").alias("k"), F.regexp_extract("path", r"file=(\d+)/", 1).cast("bigint").alias("file"), F.col("row_index").alias("line"), count.alias("breaks"))
 
 
 @query("""WITH h AS (SELECT DISTINCT regexp_replace(p_brand, '\\D', '', 'g') AS brand FROM part), r AS (SELECT brand, row_number() OVER (ORDER BY brand::INTEGER) AS n FROM h WHERE brand::INTEGER >= 20)

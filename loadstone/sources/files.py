@@ -1,4 +1,4 @@
-"""File loads: file lists, patterns, the load-once ledger, CSV reading, history.
+"""File loads: file lists, patterns, the load-once ledger, history.
 
 ``load_history`` has one row per file: path, pipe, first/last insert time,
 rows_parsed, rows_inserted, errors_seen, error_limit, complete, first error.
@@ -11,7 +11,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 IN_PROGRESS, LOADED, FAILED, PARTIALLY_LOADED = 1, 2, 3, 4
 
@@ -44,50 +43,29 @@ def once_only(files: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame
     return files.join(done, "path", "left_anti"), files.join(done, "path", "left_semi")
 
 
-def read_csv(spark: SparkSession, paths: list[str] | str, schema: T.StructType, **options) -> DataFrame:
-    """SRC1: rows of CSV files with path and, for lines that do not parse, the line as ``_corrupt_record``."""
-    with_bad = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
-    rows = spark.read.schema(with_bad).options(mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", **options).csv(paths)
-    return rows.withColumn("path", F.col("_metadata.file_path"))
-
-
-def csv_as_rows(spark: SparkSession, paths: list[str] | str, schema: T.StructType, table: str, **options) -> DataFrame:
-    """CSV lines as raw rows for ``conform``: the file is the batch; all values are strings."""
-    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    rows = read_csv(spark, paths, text, **options)
-    values = F.create_map(*[x for f in schema.fields for x in (F.lit(f'"{f.name}"'), F.col(f"`{f.name}`"))])
-    return rows.select(F.lit(table).alias("table"), F.col("path").alias("channel"), F.lit(0).cast("long").alias("batch_id"), F.monotonically_increasing_id().alias("row_index"), values.alias("row_map"), "_corrupt_record", "path")
-
-
 def file_status(history: DataFrame) -> DataFrame:
     """SNK12: adds status (1 in progress, 2 loaded, 3 failed, 4 partially loaded) and success."""
     status = (
         F.when(~F.col("complete"), IN_PROGRESS).when(F.col("errors_seen") == 0, LOADED)
-        .when(F.col("errors_seen") >= F.col("rows_parsed"), FAILED).otherwise(PARTIALLY_LOADED)
+        .when((F.col("errors_seen") >= F.col("rows_parsed")) | (F.col("rows_inserted") == 0), FAILED).otherwise(PARTIALLY_LOADED)
     )
     return history.withColumn("status", status).withColumn("success", F.col("status").isin(LOADED, PARTIALLY_LOADED))
 
 
-def error_places(rows: DataFrame, errors: DataFrame) -> DataFrame:
-    """Errors of ``csv_as_rows`` rows (channel, row_index, message) as (path, line, character, column, message):
-    only the first of each file, as its line is told by counting the rows up to it."""
-    first = errors.groupBy(F.col("channel").alias("path")).agg(F.min_by(F.struct("row_index", "message"), "row_index").alias("_e"), F.count("*").alias("errors"))
-    counted = rows.select("path", "row_index").join(first, "path").where(F.col("row_index") <= F.col("_e.row_index"))
-    line = counted.groupBy("path").agg(F.count("*").alias("line"))
-    return first.join(line, "path").select("path", "line", F.lit(1).cast("long").alias("character"), F.regexp_extract("_e.message", r"^([^:]*):", 1).alias("column"), F.col("_e.message").alias("message"), "errors")
-
+def history_rows(rows: DataFrame, errors: DataFrame, pipe: str, at: Column, error_limit: int | None = None) -> DataFrame:
+    """SNK13: one history row per file from its rows (path) and errors (path, line, character, column, message).
 
-def history_rows(rows: DataFrame, errors: DataFrame, pipe: str, at: Column, error_limit: int = 1) -> DataFrame:
-    """SNK13: one history row per file from its rows (path) and errors (path, line, character, column, message
-    [, errors: how many they stand for])."""
-    if "errors" not in errors.columns:
-        errors = errors.withColumn("errors", F.lit(1))
+    A file with ``error_limit`` errors or more is not loaded: it inserts no
+    rows.  Without a limit its good rows are.
+    """
     parsed = rows.groupBy("path").agg(F.count("*").alias("rows_parsed"))
-    first = errors.groupBy("path").agg(F.sum("errors").alias("errors_seen"), F.min_by(F.struct("message", "line", "character", "column"), "line").alias("first_error"))
+    first = errors.groupBy("path").agg(F.count("*").alias("errors_seen"), F.min(F.struct("line", "character", "column", "message")).alias("first_error"))
     out = parsed.join(first, "path", "left").withColumn("errors_seen", F.coalesce("errors_seen", F.lit(0)))
+    limit = F.lit(error_limit).cast("long")
+    inserted = F.when(F.coalesce(F.col("errors_seen") >= limit, F.lit(False)), 0).otherwise(F.col("rows_parsed") - F.col("errors_seen"))
     return out.select(
-        "path", F.lit(pipe).alias("pipe"), at.alias("last_insert_time"), "rows_parsed", (F.col("rows_parsed") - F.col("errors_seen")).alias("rows_inserted"),
-        "errors_seen", F.lit(error_limit).cast("long").alias("error_limit"), F.lit(True).alias("complete"), F.col("first_error.message").alias("first_error"),
+        "path", F.lit(pipe).alias("pipe"), at.alias("last_insert_time"), "rows_parsed", inserted.alias("rows_inserted"),
+        "errors_seen", limit.alias("error_limit"), F.lit(True).alias("complete"), F.col("first_error.message").alias("first_error"),
         F.col("first_error.line").alias("first_error_line"), F.col("first_error.character").alias("first_error_character"), F.col("first_error.column").alias("first_error_column"),
     )
 

@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from loadstone.operators import chunks, offsets, scans, stats
 from loadstone.operators.conform import BatchAborted, conform, unquote_name
 from loadstone.plans.schema import iceberg_type, missing_required, table_schema
-from loadstone.sources import files, sink
+from loadstone.sources import csv_lines, files, sink
 from loadstone.streaming import stream
 
 RAW = "table string, channel string, batch_id long, row_index long, row_json string"
@@ -287,7 +287,7 @@ def test_csv_files_load_once(spark, tmp_path):
     new, skipped = files.once_only(matched, spark.createDataFrame([], "path string"))
     assert new.count() == 1 and skipped.isEmpty()
     schema = table_schema([{"name": "STR", "logicalType": "TEXT"}, {"name": "NUM", "logicalType": "FIXED", "physicalType": "SB4", "precision": 9, "scale": 0}])
-    got = conform(files.csv_as_rows(spark, [r.path for r in new.collect()], schema, "t"), schema, row="row_map")
+    got = conform(csv_lines.records(csv_lines.csv_as_rows(spark, [r.path for r in new.collect()], schema, "t")), schema, row="row_map")
     assert sorted(int(r.NUM) for r in got.good.collect()) == [4, 6] and got.errors.count() == 1
     with pytest.raises(ValueError):
         files.wrapped_paths(spark, [("x", -1)])
