@@ -49,6 +49,7 @@ ONE = 1_000_000_000
 FILTER_BITS = 1 << 27
 SLICE = 4 << 20  # bytes of text handled at a time
 HELD = 4_000_000  # prefix counts that a task merges at a time
+ADDED = 1_000_000  # term counts that a task holds to add others to
 BLOCK = 100_000  # counted terms of sources in one block of the pairwise sums
 _PIECE = 1 << 20  # bits of the filter that one group makes
 _U = np.uint64
@@ -161,21 +162,37 @@ def prefix_filter(counts: DataFrame, least: int) -> Broadcast:
 
 
 def term_counts(rows: DataFrame, before: int, left: Broadcast) -> DataFrame:
-    """lang, source, term, docs, n: complete terms whose prefix of ``before`` bytes is left."""
+    """lang, source, term, docs, n: complete terms whose prefix of ``before`` bytes is left.
+
+    Tasks add up what they found, as far as it fits; rows are dealt by (lang,
+    term), so that what is told of a term over its sources needs no further shuffle.
+    """
+    names = ["lang", "source", "term", "docs", "n"]
+
+    def added(parts: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(parts).group_by(names[:3]).aggregate([("docs", "sum"), ("n", "sum")]).rename_columns(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             sources = _salts(batch.column(1))
             for a, terms in _read(batch, before, left.value):
                 h = mix(terms.hashes(None) + sources[a + terms.text] * _U(0x9E3779B97F4A7C15))
                 one, docs, n, _ = _runs(h, terms.text)
                 at = pa.array(a + terms.text[one])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), _strings(terms, one), pa.array(docs), pa.array(n)], names=["lang", "source", "term", "docs", "n"]
-                )
+                held.append(pa.table([batch.column(0).take(at), batch.column(1).take(at), _strings(terms, one), pa.array(docs), pa.array(n)], names=names))
+                size += len(one)
+                if size > 2 * ADDED:
+                    held = [added(held)]
+                    size = len(held[0])
+                    if size > ADDED:
+                        yield from held.pop().to_batches()
+                        size = 0
+        if held:
+            yield from added(held).to_batches()
 
     found = rows.mapInArrow(run, "lang string, source string, term string, docs long, n long")
-    return found.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    return found.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
 
 
 def _strings(terms: _Terms, at: np.ndarray) -> pa.Array:
