@@ -49,7 +49,7 @@ ONE = 1_000_000_000
 FILTER_BITS = 1 << 27
 SLICE = 4 << 20  # bytes of text handled at a time
 HELD = 4_000_000  # prefix counts that a task merges at a time
-ADDED = 1_000_000  # term counts that a task holds to add others to
+ADDED = 200_000  # term counts that a task holds to add others to
 BLOCK = 100_000  # counted terms of sources in one block of the pairwise sums
 _PIECE = 1 << 20  # bits of the filter that one group makes
 _U = np.uint64
