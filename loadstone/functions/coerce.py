@@ -17,9 +17,9 @@ is generated code.
 from __future__ import annotations
 
 from collections.abc import Callable, Generator
-from functools import wraps
+from functools import cache, wraps
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,8 +32,11 @@ FALSE_WORDS = ("0", "no", "n", "f", "false", "off")
 YEARS_1000 = 31_536_000_000
 
 _BLANKS = "".join(map(chr, range(33)))
-_DATE_TIME = r"^\d{4}-\d{2}-\d{2}(?:[Tt]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|z|[+-]\d{2}:\d{2})?(?:\[[^\]]+\])?)?$"
-_OFFSET = r"(?:Z|z|[+-]\d{2}:\d{2})?(?:\[[^\]]+\])?$"
+_SHIFT = r"(?:[Zz]|[+-]\d{2}:\d{2}(?::\d{2})?)"
+_DATE_TIME = rf"^(?:-(?!0000))?\d{{4}}-\d{{2}}-\d{{2}}(?:[Tt]\d{{2}}:\d{{2}}(?::\d{{2}}(?:\.\d{{0,9}})?)?(?:{_SHIFT}(?:\[[^\]]+\])?)?)?$"
+_OFFSET = rf"(?:{_SHIFT}(?:\[[^\]]+\])?)?$"
+_CYCLE = 146_097 * 86_400  # seconds of 400 years, after which the calendar repeats
+_MOST_BYTES = 16 * 1024 * 1024
 _TIME = r"^\d{2}:\d{2}(?::\d{2}(?:\.\d{1,9})?)?(?:Z|z|[+-]\d{2}:\d{2})?$"
 _INTEGER = r"^[+-]?\d+$"
 
@@ -150,17 +153,33 @@ def integer(text: Column, kind: Column, to: str = "int") -> Parts:
 # --- text and bytes ----------------------------------------------------------
 
 
-def plain_number(text: Column) -> Column:
-    """A number's text without exponent and trailing zeros."""
-    wide = trimmed(text).try_cast("decimal(38,18)").cast("string")
-    plain = F.regexp_replace(F.regexp_replace(wide, r"(\.\d*?)0+$", "$1"), r"\.$", "")
-    return F.coalesce(F.when(text.rlike(r"[eE.]"), F.coalesce(plain, F.when(text.rlike("[eE]"), trimmed(text).try_cast("decimal(38,0)").cast("string")))), text)
+@rule
+def plain_number(text: Column) -> Parts:
+    """A number's text without exponent and needless zeros, of any length: the point is moved in the string of its digits."""
+    form = r"^[\x00-\x20]*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d{1,9}))?[\x00-\x20]*$"
+    written = yield F.when(text.rlike(form) & text.rlike(r"[eE.]|^[+-]?0"), text)
+    whole, part = F.regexp_extract(written, form, 2), F.regexp_extract(written, form, 3)
+    scale = yield F.length(part) - F.coalesce(F.regexp_extract(written, form, 4).try_cast("int"), F.lit(0))
+    all_digits = yield F.ltrim(F.concat(whole, part), F.lit("0"))
+    digits = yield F.rtrim(all_digits, F.lit("0"))
+    # digits behind the point, once zeros at the end are gone; more zeros than any string may have need not be written
+    behind = yield F.greatest(F.least(scale - (F.length(all_digits) - F.length(digits)), F.lit(_MOST_BYTES + 1)), F.lit(-_MOST_BYTES - 1))
+    zeros = lambda n: F.repeat(F.lit("0"), n)
+    point = F.length(digits) - behind
+    plain = (
+        F.when(digits == "", F.lit("0")).when(behind <= 0, F.concat(digits, zeros(-behind)))
+        .when(point > 0, F.concat_ws(".", F.substr(digits, F.lit(1), point), F.substr(digits, point + 1)))
+        .otherwise(F.concat(F.lit("0."), zeros(-point), digits))
+    )
+    sign = F.when((F.regexp_extract(written, form, 1) == "-") & (digits != ""), F.lit("-")).otherwise(F.lit(""))
+    return F.coalesce((yield F.when(written.isNotNull(), F.concat(sign, plain))), text)
 
 
 @rule
 def string(text: Column, kind: Column, max_chars: int | None = None, max_bytes: int = 16 * 1024 * 1024) -> Parts:
     """COER8, COER9, COER10: not trimmed; numbers plain; limits in code points and UTF-8 bytes."""
-    value = yield F.when(kind == "number", plain_number(text)).when(kind == "boolean", F.lower(text)).otherwise(text)
+    plain = yield from plain_number.parts(F.when(kind == "number", text))
+    value = yield F.when(kind == "number", plain).when(kind == "boolean", F.lower(text)).otherwise(text)
     reason = F.when(~F.is_valid_utf8(value), F.lit("not valid UTF-8")).when(F.octet_length(value) > max_bytes, F.lit(f"longer than {max_bytes} bytes"))
     if max_chars is not None:
         reason = reason.when(F.length(value) > max_chars, F.lit(f"longer than {max_chars} characters"))
@@ -195,35 +214,64 @@ def epoch_guess(text: Column) -> Parts:
     return (yield F.when(v.isNotNull(), F.struct(seconds.alias("epoch_s"), nanos.alias("nanos"))))
 
 
+@cache
+def zone_names() -> str:
+    """Names of the regions that the JVM has rules for, as a list of SQL."""
+    found = SparkSession.active()._jvm.java.time.ZoneId.getAvailableZoneIds()
+    return ", ".join(f"'{name}'" for name in sorted({*found, "Z", "UT"}))
+
+
 @rule
 def instant(text: Column, zone: str = DEFAULT_ZONE) -> Parts:
     """COER16: struct (epoch_s, nanos, offset_min, local_s) of an ISO form or an integer; null if neither.
 
-    Text with an offset is an instant; text without one is read in ``zone``.
+    Text with an offset is an instant; text without one is read in ``zone``.  A
+    region in brackets follows an offset: the offset tells the instant, the region
+    its wall clock.  Offsets go to 18:00, years from -9999.
     Wall clocks are kept as seconds of UTC, so the session's zone has no part
     in it, nor has a change of clocks.
     """
     s = yield trimmed(text)
-    # without offset and zone; null for other forms
-    head = yield F.when(s.rlike(_DATE_TIME), F.upper(F.regexp_replace(s, _OFFSET, "")))
-    wall = yield F.concat(head, F.when(F.length(head) == 10, "T00:00:00Z").when(F.length(head) == 16, ":00Z").otherwise("Z")).try_cast("timestamp")
-    mark = yield F.when(F.length(head) > 10, F.upper(F.substr(s, F.length(head) + 1, F.lit(6))))
-    local = yield F.unix_seconds(wall)
+    # without offset and region; null for other forms
+    body = yield F.when(s.rlike(_DATE_TIME), F.regexp_replace(s, _OFFSET, ""))
+    minus = F.startswith(body, F.lit("-"))
+    head = yield F.upper(F.when(minus, F.substr(body, F.lit(2))).otherwise(body))
+    tail = yield F.when(F.length(head) > 10, F.upper(F.substr(s, F.length(body) + 1, F.lit(9))))
+    region = yield F.when(F.endswith(s, F.lit("]")) & body.isNotNull(), F.regexp_extract(s, r"\[([^\]]+)\]$", 1))
+    written = F.substr(head, F.lit(1), F.lit(4)).cast("int")
+    year = yield F.when(minus, -written).otherwise(written)
+    # the same day of a year that casts can read
+    like = (F.pmod(year, F.lit(400)) + 2000).cast("int")
+    clock_text = F.when(F.length(head) == 10, "T00:00:00Z").when(F.length(head) == 16, F.concat(F.substr(head, F.lit(11)), F.lit(":00Z"))).otherwise(F.concat(F.substr(head, F.lit(11), F.lit(9)), F.lit("Z")))
+    read = yield F.concat(like.cast("string"), F.substr(head, F.lit(5), F.lit(6)), clock_text).try_cast("timestamp")
+    wall = yield F.unix_seconds(read) + F.floor((year - 2000) / 400) * _CYCLE
     nanos = F.when(F.length(head) > 20, F.rpad(F.substr(head, F.lit(21)), 9, "0").cast("int")).otherwise(0)
-    clock = (F.substr(mark, F.lit(2), F.lit(2)).cast("int") * 60 + F.substr(mark, F.lit(5), F.lit(2)).cast("int")) * 60
-    sign = F.substr(mark, F.lit(1), F.lit(1))
-    epoch = yield F.when(sign == "Z", local).when(sign == "+", local - clock).when(sign == "-", local + clock).otherwise(F.unix_seconds(F.to_utc_timestamp(wall, zone)))
-    stored = yield from epoch_guess.parts(F.when(head.isNull(), s))
-    written = F.struct(epoch.alias("epoch_s"), nanos.alias("nanos"), F.floor((local - epoch) / 60).cast("int").alias("offset_min"), local.alias("local_s"))
+    part = lambda k: F.coalesce(F.substr(tail, F.lit(k), F.lit(2)).try_cast("int"), F.lit(0))
+    seconds = yield F.when(F.substr(tail, F.lit(7), F.lit(1)) == ":", part(8)).otherwise(0)
+    shift = yield F.when((part(5) < 60) & (seconds < 60), part(2) * 3600 + part(5) * 60 + seconds)
+    sign, fits = F.substr(tail, F.lit(1), F.lit(1)), shift <= 18 * 3600
+    without = F.unix_seconds(F.to_utc_timestamp(F.timestamp_seconds(wall), zone))
+    epoch = yield F.when(sign == "Z", wall).when(sign == "+", F.when(fits, wall - shift)).when(sign == "-", F.when(fits, wall + shift)).otherwise(without)
+    known = yield F.when(_in_zones(region), region)
+    local = yield F.when(region.isNull(), F.when(epoch.isNotNull(), wall)).when(known.isNotNull(), F.unix_seconds(F.from_utc_timestamp(F.timestamp_seconds(epoch), known)))
+    stored = yield from epoch_guess.parts(F.when(body.isNull(), s))
+    offset = ((local - epoch) / 60).cast("int")
+    told = F.struct(epoch.alias("epoch_s"), nanos.alias("nanos"), offset.alias("offset_min"), local.alias("local_s"))
     counted = F.struct(stored["epoch_s"].alias("epoch_s"), stored["nanos"].alias("nanos"), F.lit(0).alias("offset_min"), stored["epoch_s"].alias("local_s"))
-    return (yield F.when(local.isNotNull(), written).when(head.isNull() & stored.isNotNull(), counted))
+    return (yield F.when(local.isNotNull(), told).when(body.isNull() & stored.isNotNull(), counted))
+
+
+def _in_zones(region: Column) -> Column:
+    name = region.__dict__.get("_name_of")
+    return F.expr(f"{name} IN ({zone_names()})") if name else F.array_contains(F.expr(f"array({zone_names()})"), region)
 
 
 @rule
 def date(text: Column, kind: Column) -> Parts:
-    """COER13: the local date as written; integers in UTC."""
+    """COER13: the local date as written, in the region if one is named; integers in UTC; years -9999 to 9999."""
     found = yield from instant.parts(text, "UTC")
-    return result((yield F.date_from_unix_date(F.floor(found["local_s"] / 86400).cast("int"))), kind, ("string",), "date")
+    day = yield F.floor(found["local_s"] / 86400)
+    return result((yield F.when(day.between(-4371587, 2932896), F.date_from_unix_date(day.cast("int")))), kind, ("string",), "date")
 
 
 @rule

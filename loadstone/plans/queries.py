@@ -64,9 +64,14 @@ def _utc(spark, sf_dir, table, column):
     return _read(spark, sf_dir, table).withColumn(column, F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column)))
 
 
-@query("SELECT o_orderkey, o_orderdate::DATE + TIME '13:45:10.25' AS at FROM orders")
+#: The instant and the wall clock of the texts of _iso(): odd keys have an offset of -7 hours and a region, whose clock it is.
+_ZONED = """WITH w AS (SELECT o_orderkey, o_orderdate::DATE + TIME '13:45:10.25' AS w, o_orderkey % 2 = 0 AS plain FROM orders),
+  z AS (SELECT o_orderkey, w + CASE WHEN plain THEN INTERVAL (-9) HOUR ELSE INTERVAL 7 HOUR END AS utc, CASE WHEN plain THEN w ELSE timezone('America/Los_Angeles', timezone('UTC', w + INTERVAL 7 HOUR)) END AS own FROM w)"""
+
+
+@query(f"{_ZONED} SELECT o_orderkey, own AS at FROM z")
 def coerce_timestamp_ntz(spark, sf_dir):
-    """COER15, COER16"""
+    """COER15, COER16: with a region the wall clock is the region's"""
     rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.timestamp.parts(_iso(), F.lit("string"), "TIMESTAMP_NTZ", 6)})
     return rows.select("o_orderkey", F.col("r.value").alias("at"))
 
@@ -75,9 +80,8 @@ def _iso():
     return F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T13:45:10.25"), F.when(F.col("o_orderkey") % 2 == 0, "+09:00").otherwise("-07:00[America/Los_Angeles]"))
 
 
-@query("""WITH x AS (SELECT o_orderkey, (epoch_us(o_orderdate::DATE::TIMESTAMP) // 1000000 + 49510 + CASE WHEN o_orderkey % 2 = 0 THEN -32400 ELSE 25200 END)::BIGINT AS epoch_s,
-    CASE WHEN o_orderkey % 2 = 0 THEN 540 ELSE -420 END AS offset_min FROM orders)
-  SELECT o_orderkey, epoch_s, 250000000 AS nanos, offset_min, (epoch_s::HUGEINT * 1000 + 250)::VARCHAR AS scaled, ((epoch_s::HUGEINT * 1000 + 250) * 16384 + offset_min + 1440)::VARCHAR AS zoned FROM x""")
+@query(f"""{_ZONED}, x AS (SELECT o_orderkey, epoch_us(utc) // 1000000 AS epoch_s, (epoch_us(own) - epoch_us(utc)) // 60000000 AS offset_min FROM z)
+  SELECT o_orderkey, epoch_s::BIGINT AS epoch_s, 250000000 AS nanos, offset_min::INTEGER AS offset_min, (epoch_s::HUGEINT * 1000 + 250)::VARCHAR AS scaled, ((epoch_s::HUGEINT * 1000 + 250) * 16384 + offset_min + 1440)::VARCHAR AS zoned FROM x""")
 def coerce_timestamp_tz(spark, sf_dir):
     """COER15, COER18, COER19: the zoned timestamp, and the integers it is kept as at scale 3."""
     rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.timestamp.parts(_iso(), F.lit("string"), "TIMESTAMP_TZ", 9)}).select("o_orderkey", "r.value.*")
@@ -85,14 +89,27 @@ def coerce_timestamp_tz(spark, sf_dir):
     return rows.select("o_orderkey", "epoch_s", "nanos", "offset_min", C.scaled_timestamp(*at, 3).cast("string").alias("scaled"), C.zoned_timestamp(*at, F.col("offset_min"), 3).cast("string").alias("zoned"))
 
 
-@query("SELECT o_orderkey, o_orderdate::DATE::VARCHAR AS day, NULL::VARCHAR AS code FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT o_orderkey, NULL, '0030' FROM orders WHERE o_orderkey % 5 = 0")
+@query("""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN '-' || strftime(o_orderdate, '%Y-%m-%d') ELSE o_orderdate::DATE::VARCHAR END AS day,
+  CASE WHEN o_orderkey % 5 = 0 THEN '0030' END AS code FROM orders WHERE o_orderkey % 5 <> 1 OR strftime(o_orderdate, '%m-%d') <> '02-29'""")
 def coerce_date_local(spark, sf_dir):
-    """COER13"""
-    text = F.when(F.col("o_orderkey") % 5 == 0, F.lit("2023-02-30")).otherwise(_iso())
-    rows = C.coerced(_read(spark, sf_dir, "orders"), {"r": C.date.parts(text, F.lit("string"))})
+    """COER13: the local date; years before 0; days that are none, offsets and regions that are none"""
+    iso, day = _iso(), F.date_format("o_orderdate", "yyyy-MM-dd")
+    wrong = F.element_at(F.array(*map(F.lit, ("2023-02-30", "2020-01-01T10:00:00+19:00", "2020-01-01T10:00:00[Europe/Paris]", "2020-01-01T10:00:00+01:00[nowhere]"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
+    text = F.when(F.col("o_orderkey") % 5 == 0, wrong).when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("-"), day)).otherwise(iso)
+    rows = _read(spark, sf_dir, "orders").where((F.col("o_orderkey") % 5 != 1) | (F.date_format("o_orderdate", "MM-dd") != "02-29"))
+    rows = C.coerced(rows, {"r": C.date.parts(text, F.lit("string"))})
     return rows.select("o_orderkey", F.col("r.value").cast("string").alias("day"), "r.code")
 
 
+@query("""WITH n AS (SELECT l_orderkey, l_linenumber, l_partkey::VARCHAR AS d, l_linenumber * 5 - 20 AS e FROM lineitem), t AS (SELECT *, rtrim(d, '0') AS s, length(d) - length(rtrim(d, '0')) + e AS z FROM n)
+  SELECT l_orderkey, l_linenumber, CASE WHEN s = '' THEN '0' WHEN z >= 0 THEN s || repeat('0', z) WHEN length(s) > -z THEN substr(s, 1, length(s) + z) || '.' || substr(s, length(s) + z + 1) ELSE '0.' || repeat('0', -z - length(s)) || s END AS plain FROM t""")
+def coerce_plain_numbers(spark, sf_dir):
+    """COER8: numbers with exponents from -15 to 15 as plain text"""
+    text = F.concat(F.col("l_partkey").cast("string"), F.lit("e"), (F.col("l_linenumber") * 5 - 20).cast("string"))
+    rows = C.coerced(_read(spark, sf_dir, "lineitem"), {"r": C.string.parts(text, F.lit("number"))})
+    return rows.select("l_orderkey", "l_linenumber", F.col("r.value").alias("plain"))
+
+
 @query("SELECT event_id, (epoch_us(ts) // 1000 % 86400000)::BIGINT AS ms FROM events")
 def coerce_time_of_day(spark, sf_dir):
     """COER14"""

@@ -2,7 +2,8 @@
 
 import datetime as dt
 import json
-from decimal import Decimal
+from decimal import Decimal, localcontext
+from zoneinfo import ZoneInfo
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +95,49 @@ def test_kinds(spark):
     assert run(spark, C.integer, [None], "null") == [(None, None)]
 
 
+def test_plain_numbers_of_any_length(spark):
+    texts = ["1e-20", "1e40", "1." + "0" * 22 + "1", "-0.5e-3", "123.4500e2", "0.000", "-0", "1.10E+5", "0e9", "7", "-12.", "1e-30", "9" * 45 + ".50", "0012.0"]
+    got = run(spark, C.string, texts, "number")
+    with localcontext() as ctx:
+        ctx.prec = 100
+        plain = [format(Decimal(t).normalize(), "f") if Decimal(t) else "0" for t in texts]
+    assert got == [(p, None) for p in plain]
+    assert run(spark, C.string, ["1e99999999", "1e-99999999"], "number") == [(None, BAD)] * 2
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles", "Australia/Lord_Howe"])
+def test_regions_offsets_and_years(spark, zone):
+    """An offset tells the instant, a region its wall clock; at both changes of clocks too."""
+    regions = ["Europe/Paris", "America/Los_Angeles", "Asia/Tokyo", "Australia/Lord_Howe", "UTC", "Asia/Kathmandu"]
+    walls = ["2020-01-01T13:45:10", "2021-07-01T00:00", "2023-03-26T02:30:00", "2023-10-29T02:30:00.5", "2023-11-05T01:30:00", "1969-12-31T23:59:59"]
+    offsets = ["+01:00", "-07:00", "Z", "+09:30", "-08:00", "+18:00", "-00:30"]
+    texts = [f"{w}{o}[{r}]" for w in walls for o in offsets for r in regions]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+        rules = {"ntz": C.timestamp.parts(F.col("t"), F.lit("string"), "TIMESTAMP_NTZ", 6), "tz": C.timestamp.parts(F.col("t"), F.lit("string"), "TIMESTAMP_TZ", 9), "day": C.date.parts(F.col("t"), F.lit("string"))}
+        got = C.coerced(df, rules).select("t", F.col("ntz.value").cast("string").alias("ntz"), "tz.value", F.col("day.value").cast("string").alias("day")).orderBy("i").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    for r in got:
+        text, region = r.t[:-1].split("[")
+        at = dt.datetime.fromisoformat(text.replace("Z", "+00:00")).astimezone(ZoneInfo(region))
+        assert r.ntz == at.strftime("%Y-%m-%d %H:%M:%S") + (".5" if at.microsecond else ""), r.t
+        assert (r.value.epoch_s, r.value.nanos) == (int((at.replace(microsecond=0) - dt.datetime(1970, 1, 1, tzinfo=dt.UTC)).total_seconds()), at.microsecond * 1000), r.t
+        assert r.value.offset_min == at.utcoffset().total_seconds() // 60 and r.day == at.strftime("%Y-%m-%d"), r.t
+
+
+def test_date_time_forms(spark):
+    bad = ["2020-01-01T13:45:10[Europe/Paris]", "2020-01-01T13:45:10+01:00[no zone]", "2020-01-01T13:45:10+01:00[nonsense]", "2020-01-01T13:45:10+01:00[europe/paris]", "2020-01-01T13:45:10+19:00", "2020-01-01T13:45:10+18:01",
+           "2020-01-01T13:45:10+01:60", "2020-01-01[Europe/Paris]", "2020-01-01Z", "+2020-01-01", "-0000-01-01", "12020-01-01", "2023-02-29", "-0001-02-29", "2020-01-01T24:00", "2020-01-01T13:45:60", "2020-01-01T13"]
+    assert run(spark, C.date, bad) == [(None, BAD)] * len(bad)
+    good = {"-0001-01-01": -719893, "-9999-12-31": -4371223, "0000-02-29": -719469, "0001-01-01": -719162, "9999-12-31": 2932896, "-0004-02-29": -720930, "2020-02-29T23:59:59-18:00": 18321, "2020-01-01T10:00:00.+01:00:30": 18262}
+    df = C.coerced(spark.createDataFrame([(i, t) for i, t in enumerate(good)], "i int, t string"), {"r": C.date.parts(F.col("t"), F.lit("string"))})
+    assert [r[0] for r in df.orderBy("i").select(F.unix_date("r.value")).collect()] == list(good.values())
+    assert run(spark, C.timestamp, ["-0001-01-01", "0000-06-01T00:00", "0001-01-01"], "string", "TIMESTAMP_NTZ", 6)[:2] == [(None, BAD)] * 2
+
+
 def test_scaled_timestamps(spark):
     row = spark.range(1).select(C.scaled_timestamp(F.lit(1609459200), F.lit(123456789), 4).alias("a"), C.zoned_timestamp(F.lit(1609459200), F.lit(123000000), F.lit(60), 4).alias("b")).first()
     assert int(row.a) == 16094592001234
