@@ -289,13 +289,30 @@ def _spans(ids: pa.Array, texts: pa.Array, packed: pa.Array, min_words: int) ->
             yield held_spans(part[edge[i] : edge[i + 1]], starts[chunk] - edge[i], ends[chunk] - edge[i], (head[mine][hit] - first[i], tail[mine][hit] - first[i], held["owner"], held["place"].astype(np.int64)))
 
 
+def _with_numbers(docs: DataFrame, min_words: int) -> DataFrame:
+    """:func:`dedup_substrings` for ids that are no integers: hashes stand for them, so which of two
+    documents is the earlier one is told by hash, and ``held_by`` is turned back."""
+    numbered = docs.select(F.xxhash64("doc_id").alias("doc_id"), "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    numbered = numbered.withColumn("doc_id", F.when(F.col("row.doc_id").isNotNull(), F.col("doc_id")))
+    out = stored(dedup_substrings(numbered, min_words).withColumn("place", F.monotonically_increasing_id()), "numbered")
+    names = docs.where(F.col("doc_id").isNotNull()).select(F.xxhash64("doc_id").alias("number"), F.col("doc_id").alias("name")).distinct()
+    held = out.select("place", F.explode("held_by").alias("number")).join(names, "number").groupBy("place").agg(F.array_sort(F.collect_set("name")).alias("names"))
+    kind = f"array<{docs.schema['doc_id'].dataType.simpleString()}>"
+    columns = [F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("removed_spans", "removed_bytes", "held_by")]
+    return out.join(held, "place", "left").select(*columns, "removed_spans", "removed_bytes", F.coalesce("names", F.array().cast(kind)).alias("held_by"))
+
+
 def dedup_substrings(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs with text cut, and removed_spans (byte offsets in the old text, each
     span held whole by one document of held_by), removed_bytes and held_by
     (doc_ids of the earlier documents, or the document itself) appended."""
+    if not isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        return _with_numbers(docs, min_words)
     columns = [c for c in docs.columns if c not in ("removed_spans", "removed_bytes", "held_by")]
-    found = repeated_groups(docs, min_words).select(F.col("doc_id").alias("_found_id"), F.col("packed").alias("_found"))
-    joined = docs.select(*columns).join(found, F.col("doc_id") == F.col("_found_id"), "left").drop("_found_id")
+    free = max(map(len, columns)) * "_"  # longer than any name of docs once a name is added
+    key, packed_as = f"{free}id", f"{free}packed"
+    found = repeated_groups(docs, min_words).select(F.col("doc_id").alias(key), F.col("packed").alias(packed_as))
+    joined = docs.select(*(F.col(f"`{c}`") for c in columns)).join(found, F.col("doc_id") == F.col(key), "left").drop(key)
     place, named = columns.index("text"), columns.index("doc_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

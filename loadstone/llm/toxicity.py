@@ -91,7 +91,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) ->
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = usable.orderBy(F.xxhash64("_id"), "_id", "toxic").limit(limit)
-    return docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_id", "text", "toxic")
+    texts = docs.select(F.col("doc_id").alias("_doc"), "text")
+    return texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("_id", "text", "toxic")
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE) -> Machine:
