@@ -14,6 +14,16 @@ from loadstone.llm import decontam, mixing, near, substrings, toxicity
 from loadstone.llm._io import stored
 
 
+def _rest(docs: DataFrame) -> F.Column:
+    """All columns but text as one, so that no name of theirs can clash with one of an operator."""
+    return F.struct(F.lit(0).alias(""), *[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")
+
+
+def _as_before(docs: DataFrame, **new: F.Column) -> list[F.Column]:
+    """The columns of docs from text and :func:`_rest`."""
+    return [new[c].alias(c) if c in new else F.col("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is under the threshold; learned from the labels of these documents.
 
@@ -22,19 +32,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     machine = toxicity.fit(docs, labels)
-    return toxicity.score_toxicity(docs, machine).where("predicted = 0").select(docs.columns)
+    return toxicity.score_toxicity(docs.select("text", _rest(docs)), machine).where("predicted = 0").select(*_as_before(docs))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each component of the Jaccard join, one row of it.
+    """Of each component of the Jaccard join the text with the least doc_id, in one row.
 
-    Null and empty texts are groups of their own and stay; rows without doc_id
-    are linked with nothing and stay.
+    A document is a doc_id with a text: where a doc_id has several texts, each is
+    linked and kept by itself, and of equal ids the one with the least hash of its text.
+    Of rows with equal id and text the one that is least as JSON stays.  Null and
+    empty texts are groups of their own; rows without doc_id are linked with nothing and stay.
     """
-    found = near.jaccard_components(docs)
+    key = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", F.xxhash64("text").alias("hash")))
+    keyed = docs.select(key.alias("doc_id"), "text", _rest(docs))
+    found = near.jaccard_components(keyed.select("doc_id", "text"))
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    named = keyed.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.first("text").alias("text"), F.min_by("rest", F.to_json("rest")).alias("rest"))
+    return named.select(*_as_before(docs)).union(docs.where(F.col("doc_id").isNull()))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +56,11 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     All rows stay; null and empty texts and rows without doc_id are unchanged.
     """
-    out = substrings.dedup_substrings(docs)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("removed_bytes") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(docs.columns)
+    out = substrings.dedup_substrings(docs.select("doc_id", "text", _rest(docs)))
+    if "n_chars" not in docs.columns:
+        return out.select(*_as_before(docs))
+    n_chars = F.when(F.col("removed_bytes") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("rest.n_chars"))
+    return out.select(*_as_before(docs, n_chars=n_chars))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +71,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if one has a leak.  Without benchmark items all stay.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(F.coalesce("text", F.lit("")))))
-    keyed = docs.withColumn("_key", key)
-    leaks = decontam.find_leaks(keyed.select(F.col("_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return keyed.join(leaks.select(F.col("doc_id").alias("_key")).distinct(), "_key", "left_anti").select(docs.columns)
+    keyed = docs.select(key.alias("doc_id"), "text", _rest(docs))
+    leaks = decontam.find_leaks(keyed.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return keyed.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*_as_before(docs))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
