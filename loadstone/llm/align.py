@@ -27,6 +27,7 @@ empty table gives an empty frame; columns other than doc_id and text are not rea
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import chain
 
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadstone.llm.bpe import Encoder, text_blocks
-from loadstone.llm.tokens import UNSAFE, byte_letters
+from loadstone.llm.tokens import byte_letters
 
 PART = 32 << 20  # bytes of text in a part
 REMEMBERED = 200_000  # segments after which a worker starts a new dictionary; it keeps two
@@ -144,7 +145,7 @@ class Aligner:
 
     def segments(self, text: str) -> list[str]:
         """The text cut at, and without, the blanks that start tokens on both sides."""
-        return _CUT(text) if UNSAFE.search(text) else text.split(" ")
+        return _CUT(text) if _MORE_WHITE.search(text) else text.split(" ")
 
     def __call__(self, texts: list[str]) -> list[tuple | None]:
         cut = [self.segments(t) if t and BLANK not in t else [] for t in texts]
@@ -169,6 +170,7 @@ class Aligner:
 
 
 _CUT = regex.compile(r"(?<=\S) (?=\S)").split
+_MORE_WHITE = re.compile(r"\s | \s|^ | \Z")  # a blank beside white space or at an end of the text
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
 

@@ -122,14 +122,11 @@ class Encoder:
         self.inner, self.last = ([vocab[c + tail] for c in sorted(letters, key=letters.get)] for tail in ("", end))  # by byte
         pairs = [(vocab[a], vocab[b], vocab[a + b.removeprefix(model["continuing_subword_prefix"] or "")]) for a, b in model["merges"]]
         self.left, self.right, self.made = map(list, zip(*pairs, strict=True))
-        made_by: dict[int, int] = {}
+        there = {*self.inner, *self.last}
         for rank, (a, b, c) in enumerate(pairs):
-            if c in made_by or made_by.get(a, -1) >= rank or made_by.get(b, -1) >= rank:
+            if c in there or a not in there or b not in there:
                 raise ValueError(f"merge {rank} does not follow the merges of its parts")
-            made_by[c] = rank
-        used = {x for a, b, _ in pairs for x in (a, b)} - made_by.keys()
-        if not used <= {*self.inner, *self.last}:
-            raise ValueError("a merge has a part that nothing makes")
+            there.add(c)
         self.rank = {a << _SHIFT | b: rank for rank, (a, b, _) in enumerate(pairs)}
         keys = np.fromiter(self.rank, dtype=np.int64, count=len(self.rank))
         self._order = np.argsort(keys)
