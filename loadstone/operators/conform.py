@@ -28,6 +28,8 @@ KEYS = ("table", "channel", "batch_id")
 MAX_ROW_BYTES = 64 * 1024 * 1024
 BATCH_WARNING = 16 * 1024 * 1024
 GROUP = 6  # columns that are coerced in one run of projections
+MANY = 48  # columns of a table up to which they are coerced by such groups, beyond all in one run: plans must not grow deep
+WIDE = 160  # columns of a table up to which each is coerced by expressions of its own
 CONTINUE, ABORT, SKIP_BATCH = "continue", "abort", "skip_batch"
 
 ERROR_TYPE = "struct<code: string, message: string, extra_columns: array<string>, missing_not_null: array<string>, null_not_null: array<string>>"
@@ -223,29 +225,38 @@ def row_bytes(schema: T.StructType, columns: dict[str, str]) -> Column:
     ``columns`` are the names of the columns that hold each field; written as
     SQL, which is one call to the JVM however wide the table is.
     """
-    sizes = []
-    for f in schema.fields:
-        c, t = f"`{columns[f.name]}`", f.dataType
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            size = f"octet_length({c}) + 4.0D"
-        elif isinstance(t, T.BooleanType):
-            size = "0.125D"
-        elif isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            size = "4.0D"
-        elif isinstance(t, T.DecimalType):
-            size = "16.0D" if t.scale or t.precision > 18 else "8.0D" if t.precision > 9 else "4.0D"
-        elif is_nested(f):
-            size = f"octet_length(to_json(struct({c} AS v))) * 1.0D"
-        elif isinstance(t, T.StructType):
-            size = "16.0D"
-        else:
-            size = "8.0D"
-        sizes.append(f"if({c} IS NULL, 0.25D, 0.25D + {size})")
+    sizes = [sized(f, f"`{columns[f.name]}`") for f in schema.fields]
     return F.ceil(F.expr(" + ".join(sizes))) if sizes else F.lit(0).cast("long")
 
 
+def sized(f: T.StructField, c: str) -> str:
+    """CONF9 of one value, as SQL."""
+    t = f.dataType
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        size = f"octet_length({c}) + 4.0D"
+    elif isinstance(t, T.BooleanType):
+        size = "0.125D"
+    elif isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        size = "4.0D"
+    elif isinstance(t, T.DecimalType):
+        size = "16.0D" if t.scale or t.precision > 18 else "8.0D" if t.precision > 9 else "4.0D"
+    elif is_nested(f):
+        size = f"octet_length(to_json(struct({c} AS v))) * 1.0D"
+    elif isinstance(t, T.StructType):
+        size = "16.0D"
+    else:
+        size = "8.0D"
+    return f"if({c} IS NULL, 0.25D, 0.25D + {size})"
+
+
 def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZONE, max_row_bytes: int = MAX_ROW_BYTES, row: str = "row_json") -> DataFrame:
-    """CONF1-9: raw with ``_row`` (typed struct in table order), ``_bytes`` and ``_error``."""
+    """CONF1-9: raw with ``_row`` (typed struct in table order), ``_bytes`` and ``_error``.
+
+    Up to :data:`WIDE` columns each has expressions of its own, in generated
+    code; beyond, columns of one type share a program, see ``_by_type``.
+    """
+    if len(schema.fields) > WIDE:
+        return with_errors(_by_type(parsed_rows(spread(raw), row), schema, zone, row), raw.columns, schema, max_row_bytes)
     fields = list(enumerate(schema.fields))
     names = [f.name for f in schema.fields]
     declared = {f.name: f.metadata.get("declared", f.name) for f in schema.fields}
@@ -266,24 +277,32 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
         became_null = f"WHEN {c}.value IS NULL AND _k{i} IS NOT NULL THEN struct('{C.BAD_VALUE}' AS code, {sql_text(f'{name}: null in a required column')} AS message)"  # CONF6
         return F.expr(f"CASE WHEN {c}.code IS NOT NULL THEN struct({c}.code AS code, concat({sql_text(name + ': ')}, {c}.reason) AS message) {'' if f.nullable else became_null} END")
 
-    # a few columns at a time, so that the generated methods of wide tables stay small
-    for first in range(0, len(fields), GROUP):
-        some = fields[first : first + GROUP]
+    # a few columns at a time, so that generated methods stay small
+    group = GROUP if len(fields) <= MANY else len(fields)
+    for first in range(0, len(fields), group):
+        some = fields[first : first + group]
         rows = C.coerced(rows, {f"_c{i}": parts(i, f) for i, f in some})
         rows = once(rows, {f"_w{i}": F.col(f"_c{i}.value") for i, _ in some} | {f"_e{i}": bad_value(i, f) for i, f in some})
         rows = rows.drop(*[f"{c}{i}" for i, _ in some for c in ("_c", "_t", "_v")])
     values = {f.name: f"_w{i}" for i, f in fields}
-    no_names = F.lit(None).cast(_NO_NAMES)
-    strange = F.array_except("_names", F.array(*map(F.lit, names)))
     lacking = lambda wanted: F.expr("array_compact(array(" + ", ".join(f"CASE WHEN _k{i} {wanted} THEN {sql_text(declared[f.name])} END" for i, f in fields if not f.nullable) + "))") if required else F.array().cast(_NO_NAMES)
     rows = rows.withColumns({
         "_row": F.struct(*[F.col(c).alias(name) for name, c in values.items()]),
-        "_extra": F.when(F.size(strange) > 0, F.filter("_keys", lambda k: ~unquote_name(k).isin(*names))),
         "_missing": lacking("IS NULL"),
         "_nulls": lacking("= 'null'"),
         "_bad": F.array_compact(F.array(*[F.col(f"_e{i}") for i, _ in fields])),
         "_bytes": row_bytes(schema, values),
     })
+    return with_errors(rows, raw.columns, schema, max_row_bytes)
+
+
+def with_errors(rows: DataFrame, columns: list[str], schema: T.StructType, max_row_bytes: int) -> DataFrame:
+    """CONF7: ``columns`` with ``_row``, ``_bytes`` and ``_error``, from what was found
+    (``_keys``, ``_names``, ``_row``, ``_missing``, ``_nulls``, ``_bad``, ``_bytes``)."""
+    no_names = F.lit(None).cast(_NO_NAMES)
+    known = F.expr("array(" + ", ".join(sql_text(f.name) for f in schema.fields) + ")") if len(schema.fields) else F.array().cast(_NO_NAMES)
+    strange = F.array_except("_names", known)
+    rows = rows.withColumn("_extra", F.when(F.size(strange) > 0, F.filter("_keys", lambda k: ~F.array_contains(known, unquote_name(k)))))
 
     def error(code: Column | str, message: Column, extra=no_names, missing=no_names, nulls=no_names) -> Column:
         code = F.lit(code) if isinstance(code, str) else code
@@ -299,10 +318,83 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
         .when(F.col("_bytes") > max_row_bytes, error("0031", F.concat(F.lit(f"row over {max_row_bytes} bytes: "), F.col("_bytes").cast("string"))))
         .otherwise(F.lit(None).cast(ERROR_TYPE))
     )
-    kept = [*raw.columns, "_row", "_bytes"]
+    kept = [*columns, "_row", "_bytes"]
     return once(rows.select(*kept, "_names", "_extra", "_missing", "_nulls", "_bad"), {"_error": found}).select(*kept, "_error")
 
 
+def _alike(fields: list[T.StructField]) -> dict[tuple, list[int]]:
+    """The places of the columns that one program coerces, by what it depends on; a nested column has its own."""
+    out: dict[tuple, list[int]] = {}
+    for i, f in enumerate(fields):
+        told = tuple(sorted((k, str(v)) for k, v in f.metadata.items() if k not in ("declared", "ordinal")))
+        out.setdefault((f.dataType.json(), told, i if is_nested(f) else -1), []).append(i)
+    return out
+
+
+def _by_type(rows: DataFrame, schema: T.StructType, zone: str, row: str) -> DataFrame:
+    """What :func:`with_errors` needs of ``parsed_rows``, by one program a type.
+
+    The cells of all columns of a type are one array; the program runs over
+    it as a lambda.  So the plan grows with the number of types, and what is
+    left to write for each column is a name and a place.
+    """
+    fields = schema.fields
+    groups = list(_alike(fields).values())
+    texts = lambda values: "array(" + ", ".join(values) + ")"
+    names, declared = [sql_text(f.name) for f in fields], [sql_text(f.metadata.get("declared", f.name)) for f in fields]
+    is_map = isinstance(rows.schema[row].dataType, T.MapType)
+
+    rows = rows.withColumn("_back", F.reverse("_names"))
+    rows = rows.withColumns({f"_at{g}": F.expr(f"transform({texts(names[i] for i in some)}, n -> size(_back) - int(array_position(_back, n)))") for g, some in enumerate(groups)})
+    if is_map:
+        kind, variant = "CASE WHEN p < size(_back) THEN CASE WHEN get(_values, p) IS NULL THEN 'null' ELSE 'string' END END", "coalesce(try_parse_json(get(_values, p)), CAST(get(_values, p) AS VARIANT))"
+    else:
+        variant = "try_element_at(_fields, get(_keys, p))"
+        kind = f"CASE WHEN p < size(_back) THEN transform(array(schema_of_variant({variant})), s -> {_KIND.format(s='s')})[0] END"
+    cells = {f"_cells{g}": F.expr(f"transform(_at{g}, p -> named_struct('t', get(_values, p), 'k', {kind}))") for g, _ in enumerate(groups)}
+    variants = {f"_variant{g}": F.expr(f"transform(_at{g}, p -> {variant})[0]") for g, some in enumerate(groups) if is_nested(fields[some[0]])}
+    rows = rows.withColumns(cells | variants)
+
+    def results(g: int, f: T.StructField) -> Column:
+        if not is_nested(f):
+            return F.transform(f"_cells{g}", lambda c: C.coerce(f, c["t"], c["k"], zone))
+        pair = nested(F.col(f"_variant{g}"), f.dataType, F.lit(dot_path(f.name)), f.nullable, zone, f.metadata)
+
+        def told(p: Column) -> Column:
+            errors, given = p["errors"], F.col(f"_cells{g}")[0]["k"].isNotNull() & (F.size(p["errors"]) > 0)
+            reason = F.when(given, F.concat_ws("; ", F.transform(errors, lambda e: F.concat(e["path"], F.lit(": "), e["what"]))))
+            code = F.when(given, F.coalesce(F.get(errors, F.lit(0))["code"], F.lit(C.BAD_TYPE)))
+            return F.array(F.struct(p["value"].alias("value"), code.alias("code"), reason.alias("reason")))
+
+        return _let(pair, told)
+
+    rows = once(rows, {f"_r{g}": results(g, fields[some[0]]) for g, some in enumerate(groups)})
+
+    def listed(g: int, some: list[int], over: str, wanted: str, what: str) -> str:
+        told = f"named_struct('i', get({texts(map(str, some))}, j), {what.format(name=f'get({texts(declared[i] for i in some)}, j)')})"
+        return f"filter(transform({over}{g}, (c, j) -> CASE WHEN {wanted} THEN {told} END), e -> e IS NOT NULL)"
+
+    errors, missing, nulls, sizes = [], [], [], []
+    for g, some in enumerate(groups):
+        errors.append(listed(g, some, "_r", "c.code IS NOT NULL", "'code', c.code, 'message', concat({name}, ': ', c.reason)"))
+        sizes.append(f"aggregate(_r{g}, 0.0D, (a, c) -> a + {sized(fields[some[0]], 'c.value')})")
+        if needed := [str(not fields[i].nullable).lower() for i in some if not fields[i].nullable]:
+            needed = f"get({texts(str(not fields[i].nullable).lower() for i in some)}, j)"
+            became = f"{needed} AND c.code IS NULL AND c.value IS NULL AND get(_cells{g}, j).k IS NOT NULL"  # CONF6
+            errors.append(listed(g, some, "_r", became, f"'code', '{C.BAD_VALUE}', 'message', concat({{name}}, ': null in a required column')"))
+            missing.append(listed(g, some, "_cells", f"{needed} AND c.k IS NULL", "'name', {name}"))
+            nulls.append(listed(g, some, "_cells", f"{needed} AND c.k = 'null'", "'name', {name}"))
+    place = {i: (g, k) for g, some in enumerate(groups) for k, i in enumerate(some)}
+    in_order = lambda found, value: F.expr(f"transform(array_sort(concat({', '.join(found)})), e -> {value})") if found else F.array().cast(_NO_NAMES)
+    return rows.withColumns({
+        "_row": F.expr("named_struct(" + ", ".join(f"{names[i]}, get(_r{g}, {k}).value" for i, (g, k) in sorted(place.items())) + ")"),
+        "_missing": in_order(missing, "e.name"),
+        "_nulls": in_order(nulls, "e.name"),
+        "_bad": in_order(errors, "named_struct('code', e.code, 'message', e.message)"),
+        "_bytes": F.ceil(F.expr(" + ".join(sizes))),
+    })
+
+
 def conform(
     raw: DataFrame, schema: T.StructType, on_error: str | DataFrame = CONTINUE, zone: str = C.DEFAULT_ZONE, max_row_bytes: int = MAX_ROW_BYTES,
     row: str = "row_json", raise_on_abort: bool = False, batch_warning: int = BATCH_WARNING,

@@ -170,6 +170,27 @@ def test_defaults(spark):
     assert iceberg["s"].min_string == "" and iceberg["s"].min_int is None and int(iceberg["i"].min_int) == 0
 
 
+def test_programs_by_type_give_the_same(spark, monkeypatch):
+    """Wide tables are coerced by one program a type; here a narrow one is, and compared."""
+    from loadstone.operators import conform as module
+
+    number, text = {"logicalType": "FIXED", "physicalType": "SB8", "precision": 9, "scale": 1}, {"logicalType": "TEXT", "length": 4}
+    nested = json.dumps({"type": "struct", "fields": [{"id": 1, "name": "a", "required": True, "type": "int"}]})
+    columns = [{"name": "n1", **number}, {"name": "t1", **text}, {"name": "n2", **number, "nullable": False}, {"name": '"t2"', **text, "nullable": False}, {"name": "v", "logicalType": "VARIANT", "nullable": False}, {"name": "s", "sourceIcebergDataType": nested}, {"name": "b", "logicalType": "BOOLEAN"}]
+    good = {"n1": 1.25, "t1": "abc", "N2": "7", '"t2"': "x", "v": {"k": [1]}, "s": {"a": 1}, "b": "yes"}
+    rows = [good, {**good, "n1": "bad", "t1": "too long", "b": 3}, {**good, "n2": None}, {k: v for k, v in good.items() if k not in ("N2", '"t2"')}, {**good, "extra": 1, "more": 2}, {**good, "v": ""}, {**good, "s": {"b": 2}}, {"n2": 5, '"t2"': 12, "v": 1, "N1": None}, [1], {**good, "N2": 8, "n2": 9}]
+    raw_rows = raw(spark, [(0, i, r) for i, r in enumerate(rows)])
+    schema = table_schema(columns)
+    maps = spark.createDataFrame([("t", "c", 0, i, m) for i, m in enumerate([{"n1": "1", "n2": "2", '"t2"': "abc", "v": "{}", "s": '{"a":1}'}, {"n2": None, '"t2"': "abcde"}, None, {"n2": "x", '"t2"': "y", "v": "1"}])], "table string, channel string, batch_id long, row_index long, row_map map<string,string>")
+    for df, column in ((raw_rows, "row_json"), (maps, "row_map")):
+        told = []
+        for wide in (160, 0):
+            monkeypatch.setattr(module, "WIDE", wide)
+            checked = module.checked_rows(df, schema, row=column)
+            told.append((checked.schema.simpleString(), sorted(map(repr, checked.select("row_index", "_row", "_bytes", "_error").collect()))))
+        assert told[0] == told[1]
+
+
 def test_offsets(spark):
     b = spark.createDataFrame([("c", 0, "1", "4", 2), ("c", 1, "7", "7", 1), ("c", 2, "8", "9", 2), ("c", 3, None, "x", 9)], "channel string, batch_seq long, start_token string, end_token string, row_count long")
     assert [r.offset_ok for r in offsets.verify_offsets(b).orderBy("batch_seq").collect()] == [False, False, True, True]
