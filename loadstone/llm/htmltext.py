@@ -20,14 +20,17 @@ Defined results: a null or empty page, and one without words, has the empty
 text; of regions with equal sums the first wins; markup that never closes is
 read as far as it goes, and an element of :data:`RAW` that closes itself or never
 closes is left out alone, not what follows it; nothing is cut; repeated rows are
-each extracted.
+each extracted; columns other than page_id, url and html are not read.  Time grows
+with the length of a page, whatever its markup.  When rates are learned, the first
+:data:`MOST` words of a labelled text count.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from bisect import bisect_left
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,9 +47,10 @@ RAW = ("script", "style", "noscript", "template", "svg", "iframe", "textarea")
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CONTAINERS = frozenset("article aside body button details dialog div fieldset figure footer form head header html main menu nav ol section select table title ul".split())
 
-_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-# what an element of RAW holds is skipped if it ends; one that closes itself, or never, is a tag like others
-_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea)\b{_ATTRIBUTES}>(?<!/>).*?</\1\s*+>|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>|<[!?][^>]*+>", re.S | re.I)
+# a tag ends at its > or, if it has none, before the next <; so no part of a page is scanned for more than one tag
+_ATTRIBUTES = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
+_TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/<>]*+)({_ATTRIBUTES})(?:>|(?=<))|<[!?][^<>]*+(?:>|(?=<))", re.S)
+_RAW_NAME = re.compile(rf"(?:{'|'.join(RAW)})\b", re.I)
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _LETTERS = re.compile(r"[a-z]+")
 
@@ -75,29 +79,70 @@ LABELLED = [
 ]
 
 
+def tags(page: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, kind, name, attributes) of what is no text: kind is open, close, raw or empty (comments and declarations).
+
+    What an element of RAW holds is skipped if it ends; one that closes itself, or
+    never, is a tag like others.  Ends of such elements are found by one scan for each name.
+    """
+    at, ends = 0, {}
+    while m := _TOKEN.search(page, at):
+        start, at = m.span()
+        if not m[2]:
+            yield start, at, "empty", "", ""
+            continue
+        raw = None if m[1] else _RAW_NAME.match(m[2])
+        if raw and not page.endswith("/>", start, at):
+            name = raw[0].lower()
+            if name not in ends:
+                ends[name] = [e.span() for e in re.finditer(rf"</{name}\s*+>", page, re.I)]
+            k = bisect_left(ends[name], (at, 0))
+            if k < len(ends[name]):
+                at = ends[name][k][1]
+                yield start, at, "raw", name, ""
+                continue
+        yield start, at, "close" if m[1] else "open", m[2].lower(), m[3]
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, tuple[str, ...] | None]]:
     """("text", words, None), ("open", name, keys), ("close", name, None), ("raw", name, None)."""
     at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            yield "text", page[at : m.start()], None
-        at = m.end()
-        if m[3]:
-            name = m[3].lower()
-            if m[2]:
-                yield "close", name, None
-            else:
-                keys = (name,)
-                if m[4] and name in CONTAINERS:
-                    for found in _NAMES.findall(m[4]):
-                        keys += tuple(f".{w}" for w in _LETTERS.findall("".join(found).lower()))
-                yield "open", name, keys
-        elif m[1]:
-            yield "raw", m[1].lower(), None
+    for start, end, kind, name, attributes in tags(page):
+        if start > at:
+            yield "text", page[at:start], None
+        at = end
+        if kind == "open":
+            keys = (name,)
+            if attributes and name in CONTAINERS:
+                for found in _NAMES.findall(attributes):
+                    keys += tuple(f".{w}" for w in _LETTERS.findall("".join(found).lower()))
+            yield "open", name, keys
+        elif kind != "empty":
+            yield kind, name, None
     if at < len(page):
         yield "text", page[at:], None
 
 
+class Open:
+    """Open containers: which names there are is known without looking through them."""
+
+    def __init__(self):
+        self.stack, self.names = [], Counter()
+
+    def push(self, name: str, value) -> None:
+        self.stack.append((name, value))
+        self.names[name] += 1
+
+    def close(self, name: str) -> Iterator:
+        """The values of what the end of ``name`` closes, innermost first; nothing if it is not open."""
+        while self.names[name]:
+            top, value = self.stack.pop()
+            self.names[top] -= 1
+            yield value
+            if top == name:
+                break
+
+
 class Rates:
     """How often each tag, and the words in each container, lie in content."""
 
@@ -106,20 +151,21 @@ class Rates:
         self.total = defaultdict(float)
 
     def add(self, page: tuple[str, str, str]) -> None:
-        open_keys: list[tuple[str, tuple[str, ...]]] = []
+        held, active = Open(), Counter()
         for part, text in enumerate(page):
             for kind, name, keys in tokens(text):
                 if kind == "text":
                     n = min(len(name.split()), MOST)
-                    for key in {k for _, ks in open_keys for k in ks}:
+                    for key in [k for k, times in active.items() if times] if n else ():
                         self._count(f"words {key}", n, part == 1)
                     continue
                 self._count(f"{kind} {name}", 1, part == 1)
                 if kind == "open" and name in CONTAINERS:
-                    open_keys.append((name, keys))
-                elif kind == "close" and any(name == x for x, _ in open_keys):
-                    while open_keys.pop()[0] != name:
-                        pass
+                    held.push(name, keys)
+                    active.update(keys)
+                elif kind == "close":
+                    for gone in held.close(name):
+                        active.subtract(gone)
 
     def _count(self, key: str, n: float, inside: bool) -> None:
         if n:
@@ -138,8 +184,8 @@ class Rates:
 
 def labelled_by_article(page: str) -> tuple[str, str, str] | None:
     """The page cut at its article element, if it has exactly one."""
-    spans = [(m.start(), m.end(), m[2]) for m in _TOKEN.finditer(page) if m[3] and m[3].lower() == "article"]
-    if len(spans) != 2 or spans[0][2] or not spans[1][2]:
+    spans = [(start, end, kind) for start, end, kind, name, _ in tags(page) if name == "article"]
+    if len(spans) != 2 or [kind for *_, kind in spans] != ["open", "close"]:
         return None
     return page[: spans[0][1]], page[spans[0][1] : spans[1][0]], page[spans[1][0] :]
 
@@ -165,7 +211,7 @@ def main_text(page: str | None, rates: dict[str, float]) -> str:
     pieces: list[tuple[str, bool]] = []  # (text or space, counted)
     best, best_from, best_to = 0.0, 0, 0
     total, start = 0.0, 0
-    stack: list[tuple[str, float]] = []
+    held = Open()
     rate = 1.0
     for kind, name, keys in tokens(page):
         if kind == "text":
@@ -183,13 +229,11 @@ def main_text(page: str | None, rates: dict[str, float]) -> str:
         if total <= 0:
             total, start = 0.0, len(pieces)
         if kind == "open" and name in CONTAINERS:
-            stack.append((name, rate))
+            held.push(name, rate)
             rate = min([rate, *(rates.get(f"words {k}", 1.0) for k in keys)])
-        elif kind == "close" and any(name == x for x, _ in stack):
-            while True:
-                top, rate = stack.pop()
-                if top == name:
-                    break
+        elif kind == "close":
+            for rate in held.close(name):
+                pass
     # the text outside counted containers, each text decoded by itself
     return " ".join("".join(html.unescape(t) if "&" in t else t for t, counted in pieces[best_from:best_to] if counted).split())
 

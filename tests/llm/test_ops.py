@@ -6,6 +6,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 from pathlib import Path
 
@@ -750,3 +751,16 @@ def test_op10_query_gives_positions(spark, sf):
         slope, reads = mixing.SLOPES[rank[source[r.doc_id]] % 3], r.taken // r["size"]
         assert abs(r.position - time_of(start[r.doc_id] / r.target, slope)) < 1e-6
         assert abs(r.last_position - time_of(((reads - 1) * r.source_size + start[r.doc_id]) / r.target, slope)) < 1e-6
+
+
+def test_op9_takes_time_in_proportion_to_the_page():
+    """Raw elements that never end, open quotes, depth, stray ends, tags without an end: 2 MB of each."""
+    rates = htmltext.Rates()
+    for page in htmltext.LABELLED:
+        rates.add(page)
+    rates = rates.table()
+    for part in ("<style>", "<svg>x ", '<a "', "<a '\"", "<div>", "<div></p></ul>", "<a ", "<!", "<?x ", "<aaaa", "<!--", '<script src="', "&amp;<b>", "<p>word "):
+        page = part * ((2 << 20) // len(part))
+        began = time.process_time()
+        htmltext.main_text(page, rates)
+        assert time.process_time() - began < 8, part  # about 2 s where nothing else runs; it was minutes
