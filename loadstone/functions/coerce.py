@@ -43,6 +43,16 @@ _INTEGER = r"^[+-]?\d+$"
 Parts = Generator[Column, Column, Column]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once.
+
+    The fold of an empty list is its start, given to ``body`` at the end.  (The
+    only item of a transformed list would do as well, but its type is worked out
+    anew for each row, twice for each level of nesting.)
+    """
+    return F.aggregate(F.array().cast("array<int>"), value, lambda start, _: start, body)
+
+
 def rule(parts: Callable[..., Parts]) -> Callable[..., Column]:
     """A rule as a function of columns; its generator of parts is ``.parts``."""
 
@@ -55,7 +65,7 @@ def rule(parts: Callable[..., Parts]) -> Callable[..., Column]:
                 part = steps.send(value)
             except StopIteration as end:
                 return end.value
-            return F.transform(F.array(part), go_on)[0]
+            return let(part, go_on)
 
         return go_on(None)
 

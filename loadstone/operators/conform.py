@@ -150,11 +150,6 @@ def relaxed(kind: T.DataType) -> T.DataType:
     return kind
 
 
-def _let(parts: Column, body) -> Column:
-    """``body`` of a value that is computed once."""
-    return F.transform(F.array(parts), body)[0]
-
-
 def nested(v: Column, kind: T.DataType, path: Column, nullable: bool, zone: str, metadata: dict | None = None) -> Column:
     """CONF8, COER25: struct (value, errors) of a variant for a nested type.  Extra,
     missing and null fields of all levels are gathered, with their dot paths.
@@ -184,13 +179,13 @@ def nested(v: Column, kind: T.DataType, path: Column, nullable: bool, zone: str,
                 errors = F.concat(*wrong, *[F.when(F.map_contains_key(fields, f.name), b[f"f{i}"]["errors"]).otherwise(none) for i, f in enumerate(kind.fields)])
                 return told(F.when(fields.isNotNull(), value), fields.isNotNull(), "not a struct", errors)
 
-            return _let(below, gathered)
+            return C.let(below, gathered)
 
-        return _let(F.try_variant_get(v, "$", "map<string,variant>"), with_fields)
+        return C.let(F.try_variant_get(v, "$", "map<string,variant>"), with_fields)
     if isinstance(kind, T.ArrayType):
         below_path = F.concat(path, F.lit(".list.element"))
         pairs = F.transform(F.try_variant_get(v, "$", "array<variant>"), lambda x: nested(x, kind.elementType, below_path, kind.containsNull, zone))
-        return _let(pairs, lambda ps: told(F.transform(ps, lambda p: p["value"]), ps.isNotNull(), "not a list", F.flatten(F.transform(ps, lambda p: p["errors"]))))
+        return C.let(pairs, lambda ps: told(F.transform(ps, lambda p: p["value"]), ps.isNotNull(), "not a list", F.flatten(F.transform(ps, lambda p: p["errors"]))))
     if isinstance(kind, T.MapType):
         value_path, key_path = F.concat(path, F.lit(".key_value.value")), F.concat(path, F.lit(".key_value.key"))
         entry = lambda e: F.struct(C.coerce(T.StructField("key", kind.keyType), e["key"], F.lit("string"), zone).alias("k"), nested(e["value"], kind.valueType, value_path, kind.valueContainsNull, zone).alias("v"))
@@ -202,10 +197,10 @@ def nested(v: Column, kind: T.DataType, path: Column, nullable: bool, zone: str,
             value = F.map_from_arrays(F.transform(held, lambda p: p["k"]["value"]), F.transform(held, lambda p: p["v"]["value"]))
             return told(value, ps.isNotNull(), "not a map", F.flatten(F.transform(ps, lambda p: F.concat(p["v"]["errors"], of_key(p["k"])))))
 
-        return _let(pairs, with_entries)
+        return C.let(pairs, with_entries)
     one = C.coerce(T.StructField("x", kind, True, metadata or {}), F.try_variant_get(v, "$", "string"), kind_of(v), zone)
     wrong = lambda o: F.when(o["code"].isNotNull(), F.array(F.struct(o["code"].alias("code"), o["reason"].alias("what"), path.alias("path")))).otherwise(none)
-    return _let(one, lambda o: F.struct(o["value"].cast(kind).alias("value"), F.when(is_null, null_error).otherwise(wrong(o)).alias("errors")))
+    return C.let(one, lambda o: F.struct(o["value"].cast(kind).alias("value"), F.when(is_null, null_error).otherwise(wrong(o)).alias("errors")))
 
 
 def is_nested(field: T.StructField) -> bool:
@@ -350,7 +345,7 @@ def _by_type(rows: DataFrame, schema: T.StructType, zone: str, row: str) -> Data
         kind, variant = "CASE WHEN p < size(_back) THEN CASE WHEN get(_values, p) IS NULL THEN 'null' ELSE 'string' END END", "coalesce(try_parse_json(get(_values, p)), CAST(get(_values, p) AS VARIANT))"
     else:
         variant = "try_element_at(_fields, get(_keys, p))"
-        kind = f"CASE WHEN p < size(_back) THEN transform(array(schema_of_variant({variant})), s -> {_KIND.format(s='s')})[0] END"
+        kind = f"CASE WHEN p < size(_back) THEN aggregate(CAST(array() AS array<int>), schema_of_variant({variant}), (s, x) -> s, s -> {_KIND.format(s='s')}) END"
     cells = {f"_cells{g}": F.expr(f"transform(_at{g}, p -> named_struct('t', get(_values, p), 'k', {kind}))") for g, _ in enumerate(groups)}
     variants = {f"_variant{g}": F.expr(f"transform(_at{g}, p -> {variant})[0]") for g, some in enumerate(groups) if is_nested(fields[some[0]])}
     rows = rows.withColumns(cells | variants)
@@ -366,7 +361,7 @@ def _by_type(rows: DataFrame, schema: T.StructType, zone: str, row: str) -> Data
             code = F.when(given, F.coalesce(F.get(errors, F.lit(0))["code"], F.lit(C.BAD_TYPE)))
             return F.array(F.struct(p["value"].alias("value"), code.alias("code"), reason.alias("reason")))
 
-        return _let(pair, told)
+        return C.let(pair, told)
 
     rows = once(rows, {f"_r{g}": results(g, fields[some[0]]) for g, some in enumerate(groups)})
 

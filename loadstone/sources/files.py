@@ -44,10 +44,12 @@ def once_only(files: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def file_status(history: DataFrame) -> DataFrame:
-    """SNK12: adds status (1 in progress, 2 loaded, 3 failed, 4 partially loaded) and success."""
+    """SNK12: adds status (1 in progress, 2 loaded, 3 failed, 4 partially loaded) and success; a file
+    with errors that inserted no rows (``rows_inserted``, if there) failed."""
+    none = (F.col("rows_inserted") == 0) if "rows_inserted" in history.columns else F.lit(False)
     status = (
         F.when(~F.col("complete"), IN_PROGRESS).when(F.col("errors_seen") == 0, LOADED)
-        .when((F.col("errors_seen") >= F.col("rows_parsed")) | (F.col("rows_inserted") == 0), FAILED).otherwise(PARTIALLY_LOADED)
+        .when((F.col("errors_seen") >= F.col("rows_parsed")) | none, FAILED).otherwise(PARTIALLY_LOADED)
     )
     return history.withColumn("status", status).withColumn("success", F.col("status").isin(LOADED, PARTIALLY_LOADED))
 

@@ -191,6 +191,18 @@ def test_programs_by_type_give_the_same(spark, monkeypatch):
         assert told[0] == told[1]
 
 
+@pytest.mark.parametrize("n", [100, 1151])
+def test_wide_tables(spark, n):
+    """All kinds of columns, many of each; a row with one bad value and one without a required column."""
+    kinds = [{"logicalType": "FIXED", "physicalType": "SB8", "precision": 18, "scale": 2}, {"logicalType": "REAL"}, {"logicalType": "TEXT", "length": 40}, {"logicalType": "TIMESTAMP_TZ", "physicalType": "SB16", "scale": 9}]
+    columns = [{"name": f"c{i}", **kinds[i % 4], "nullable": i % 10 != 0} for i in range(n)]
+    full = {f"c{i}": [i / 4, i / 8, f"text {i}", "2023-01-11T10:11:12.5+01:00"][i % 4] for i in range(n)}
+    got = conform(raw(spark, [(0, 0, full), (0, 1, {**full, "c5": "bad"}), (0, 2, {k: v for k, v in full.items() if k != "c10"})]), table_schema(columns))
+    row = got.good.collect()
+    assert len(row) == 1 and row[0].C4 == 1 and row[0][f"C{n - 1}"] is not None and row[0].C3.epoch_s == 1673428272 and row[0].C6 == "text 6"
+    assert {r.row_index: (r.code, r.message) for r in got.errors.collect()} == {1: ("0030", "c5: not a valid double"), 2: ("0004", "missing required columns: c10")}
+
+
 def test_offsets(spark):
     b = spark.createDataFrame([("c", 0, "1", "4", 2), ("c", 1, "7", "7", 1), ("c", 2, "8", "9", 2), ("c", 3, None, "x", 9)], "channel string, batch_seq long, start_token string, end_token string, row_count long")
     assert [r.offset_ok for r in offsets.verify_offsets(b).orderBy("batch_seq").collect()] == [False, False, True, True]
