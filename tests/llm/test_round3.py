@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loadstone.llm import align, bpe, divergence, queries
+from loadstone.llm import align, bpe, divergence, queries, substrings
 from loadstone.llm.tokens import byte_letters
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -202,3 +202,19 @@ def test_prefixes_under_the_threshold_are_discarded(spark):
     assert int(np.unpackbits(left.value).sum()) == 1
     assert sorted(r.docs for r in divergence.prefix_counts(rows, 4, 2, left).collect()) == [1, 3]
     assert {r.term for r in divergence.term_counts(rows, 2, left).collect()} == {"apple", "apply", "apricot"}
+
+
+def test_recall_by_length(spark):
+    """Documents that share a passage of so many words: in how many pairs one of the two loses most of it."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randrange(2, 10)))
+    text = lambda n: [word() for _ in range(n)]
+    rows, lengths = [], [40, 45, 50, 55, 60]
+    for k, n in enumerate(lengths * 60):
+        passage = text(n)
+        for side in range(2):
+            rows.append((2 * k + side, " ".join([*text(rng.randrange(5, 60)), *passage, *text(rng.randrange(5, 60))]), " ".join(passage)))
+    out = {r.doc_id: r for r in substrings.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string, passage string")).collect()}
+    found = collections.Counter(lengths[k % len(lengths)] for k in range(len(rows) // 2) if out[2 * k + 1].removed_bytes >= 0.5 * len(out[2 * k + 1].passage))
+    assert all(found[n] >= 54 for n in lengths) and all(found[n] == 60 for n in (50, 55, 60)), found
+    assert all(not out[2 * k].removed_bytes for k in range(len(rows) // 2))
