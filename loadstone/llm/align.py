@@ -42,7 +42,8 @@ from loadstone.llm.bpe import Encoder, text_blocks
 from loadstone.llm.tokens import byte_letters
 
 PART = 32 << 20  # bytes of text in a part
-REMEMBERED = 200_000  # segments after which a worker starts a new dictionary; it keeps two
+BLOCK = 1 << 20  # bytes of text that are aligned at a time
+REMEMBERED = 120_000  # segments after which a worker starts a new dictionary; it keeps two
 LONGEST = 128  # characters of a segment that is kept
 BLANK = "▁"
 
@@ -75,7 +76,7 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         import sentencepiece
 
-        self.a, self.b = Encoder(a_path, special=False), sentencepiece.SentencePieceProcessor(model_file=b_path)
+        self.a, self.b = Encoder(a_path, special=False, remembered=50_000), sentencepiece.SentencePieceProcessor(model_file=b_path)
         letters = byte_letters()
         self.size_a, self.size_b = vocabulary_sizes(a_path, b_path)
         self.bytes_a = {i: bytes(letters[c] for c in w) for w, i in self.a.vocab.items() if all(c in letters for c in w)}
@@ -204,7 +205,7 @@ def align_tokens(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         aligner = _ALIGNERS[a_path, b_path]
         part, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for at, texts in text_blocks(batch.column(1), PART // 8):
+            for at, texts in text_blocks(batch.column(1), BLOCK):
                 found = aligner(texts)
                 numbers = np.array([[sum(c) for c in f[:4]] if f else [0, 0, 0, 0] for f in found], dtype=np.int64).reshape(-1, 4)
                 distinct = [np.unique(np.frombuffer(b"".join(f[5]), dtype=numpy_kind), return_counts=True) if f else None for f in found]

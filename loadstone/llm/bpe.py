@@ -99,9 +99,11 @@ class _Folded(dict):
 class Encoder:
     """Ids of texts for one ``.json`` BPE vocabulary."""
 
-    def __init__(self, path: str, special: bool = True):
+    def __init__(self, path: str, special: bool = True, remembered: int = REMEMBERED):
         from tokenizers import Tokenizer
 
+        self.remembered = remembered
+
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, added = spec["model"], spec["added_tokens"]
@@ -268,7 +270,7 @@ class Encoder:
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         cut = [self.pre_tokens(t) for t in texts]
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.before, self.known = self.known, {}
         known, before = self.known, self.before
         fresh = []
