@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 from loadstone.llm.bpe import Encoder, text_blocks
 from loadstone.llm.tokens import byte_letters
 
-PART = 32 << 20  # bytes of text in a part
-BLOCK = 1 << 20  # bytes of text that are aligned at a time
+PART = 16 << 20  # bytes of text in a part
+BLOCK = 2 << 20  # bytes of text that are aligned at a time
 REMEMBERED = 120_000  # segments after which a worker starts a new dictionary; it keeps two
 LONGEST = 128  # characters of a segment that is kept
 BLANK = "▁"
