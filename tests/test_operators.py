@@ -366,3 +366,12 @@ def test_tracker(spark, tmp_path):
     q.option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
     got = {r.batch_seq: (r.accepted, r.offset_ok) for r in spark.table("tracked").collect()}
     assert got == {0: (True, True), 1: (True, True), 2: (True, False), 3: (False, None)}
+
+
+def test_percentiles_of_many_files_are_exact(spark):
+    """A sketch is off by some ranks once a group has more files than its accuracy."""
+    blobs = spark.range(200_000).select(F.lit("t").alias("table"), (F.col("id") * 7919 % 200_000).alias("build_ms"), F.lit(1).alias("bytes"), F.lit(1).alias("row_count"))
+    got = sink.ingest_metrics(blobs.repartition(7), ["table"]).first()
+    assert (got.build_ms_p50, got.build_ms_p95, got.build_ms_p99) == (99_999, 189_999, 197_999)
+    wide = blobs.select("table", F.lit(1 << 40).alias("bytes"), "row_count", F.lit(1).alias("upload_ms"))
+    assert sink.ingest_metrics(wide).first().bytes_per_second == 1000.0 * (1 << 40)
