@@ -150,7 +150,7 @@ def csv_arrival(spark, sf_dir):
 
 
 def flag_chunks(spark: SparkSession, sf_dir: str) -> str:
-    """lineitem as one Parquet chunk a return flag."""
+    """lineitem as Parquet chunks of a return flag each: one, or several where a flag has more rows than a file takes."""
     path = files.new_folder(spark, "chunks")
     rows = read(spark, sf_dir, "lineitem").select("l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_tax", "l_linestatus")
     sink.write_chunks(rows.withColumn("flag", F.col("l_returnflag")), path, ["flag"], order=["l_orderkey", "l_linenumber"])
@@ -163,14 +163,17 @@ def flag_chunks(spark: SparkSession, sf_dir: str) -> str:
   UNION ALL SELECT flag, 'l_tax', n, 0, 0, d, NULL, true FROM g UNION ALL SELECT flag, 'l_linestatus', n, 0, 0, 0.0, lower(hex(encode(f))), true FROM g
   UNION ALL SELECT flag, 'l_returnflag', n, 0, 0, 0.0, lower(hex(encode(flag))), true FROM g""")
 def manifest_statistics(spark, sf_dir):
-    """SNK1, SNK4, SNK5: the manifest of written files, with the statistics of each column"""
+    """SNK1, SNK4, SNK5: the manifest of written files, with the statistics of each column; those of the files of a flag are put together"""
     path = flag_chunks(spark, sf_dir)
     told = sink.manifest(spark, path, "lineitem")
     again = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path).select(F.col("path").alias("_p"), F.md5("content").alias("_md5"), F.octet_length("content").alias("_n"))
     told = told.join(again, F.col("path") == F.col("_p")).withColumn("sound", (F.col("md5") == F.col("_md5")) & (F.col("length") == F.col("_n")) & (F.col("version") == sink.VERSION))
     flag = F.regexp_extract("path", r"flag=(\w)/", 1).alias("flag")
     rows = told.select(flag, "row_count", "sound", F.explode("columns").alias("c")).where("c.column <> 'flag'")
-    return rows.select("flag", "c.column", "row_count", F.col("c.min_int").cast("bigint").alias("low"), F.col("c.max_int").cast("bigint").alias("high"), F.col("c.max_real").alias("high_real"), F.col("c.max_string").alias("high_string"), "sound")
+    return rows.groupBy("flag", "c.column").agg(
+        F.sum("row_count").alias("row_count"), F.min("c.min_int").cast("bigint").alias("low"), F.max("c.max_int").cast("bigint").alias("high"),
+        F.max("c.max_real").alias("high_real"), F.max("c.max_string").alias("high_string"), F.every("sound").alias("sound"),
+    )
 
 
 @query("""SELECT l_returnflag = 'N' AS apart, count(DISTINCT l_returnflag) AS chunks, count(*)::BIGINT AS row_count, count(DISTINCT CASE WHEN l_linestatus = 'F' THEN 'done' ELSE 'open' END) > 1 AS mixed_tables, 1 AS version,

@@ -375,3 +375,15 @@ def test_percentiles_of_many_files_are_exact(spark):
     assert (got.build_ms_p50, got.build_ms_p95, got.build_ms_p99) == (99_999, 189_999, 197_999)
     wide = blobs.select("table", F.lit(1 << 40).alias("bytes"), "row_count", F.lit(1).alias("upload_ms"))
     assert sink.ingest_metrics(wide).first().bytes_per_second == 1000.0 * (1 << 40)
+
+
+def test_manifest_of_flags_with_several_files(spark, sf, monkeypatch):
+    """A flag with more rows than a file takes still has one row a column, with the statistics of all its files."""
+    from loadstone.plans import file_queries
+
+    write = sink.write_chunks
+    monkeypatch.setattr(file_queries.sink, "write_chunks", lambda *args, **more: write(*args, **more, max_file_bytes=40_000))
+    got = file_queries.manifest_statistics(spark, sf).collect()
+    rows = {r[0]: r[1:] for r in spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_returnflag").agg(F.count("*"), F.min("l_partkey"), F.max("l_partkey")).collect()}
+    assert len(got) == 6 * len(rows) and all(r.sound and r.row_count == rows[r.flag][0] for r in got)
+    assert {r.flag: (r.row_count, r.low, r.high) for r in got if r.column == "l_partkey"} == rows
