@@ -17,6 +17,7 @@ from loadstone.sources import csv_lines, files, sink
 from loadstone.streaming import stream
 
 _SIZES = table_schema([{"name": "K", "logicalType": "FIXED", "physicalType": "SB8", "precision": 18, "scale": 0, "nullable": False}, {"name": "S", "logicalType": "FIXED", "physicalType": "SB4", "precision": 9, "scale": 0}])
+SMALL_FILE_ROWS = 40_000  # of the files that are merged
 _PART = "WITH p AS (SELECT regexp_replace(p_brand, '\\D', '', 'g') AS brand, p_partkey AS k, p_size AS s, p_partkey % 17 = 0 OR (p_brand = 'Brand#13') AS bad, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS n FROM part)"
 
 
@@ -192,10 +193,14 @@ def manifest_of_blobs(spark, sf_dir):
   SELECT flag, count(*) AS rows, count(DISTINCT (k, n)) AS distinct_rows, 0::BIGINT AS duplicates, count(*) AS after_a_second_merge, true AS in_order, true AS fewer_files FROM l GROUP BY ALL""")
 def merged_files(spark, sf_dir):
     """SNK8, SNK9, AGG17, ORD1: small files packed into fewer, rows in the order they had and known by
-    the identity stored with them; what a second merge of the same files would double"""
+    the identity stored with them; what a second merge of the same files would double.
+
+    Small files have a bounded number of rows, so a larger table has more of them, not larger ones.
+    """
     path, to = files.new_folder(spark, "chunks"), files.new_folder(spark, "merged")
     rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_returnflag").alias("flag"))
-    sink.write_chunks(sink.identified(rows.repartition(16, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")), path)
+    small = max(16, -(-rows.count() // SMALL_FILE_ROWS))
+    sink.write_chunks(sink.identified(rows.repartition(small, "l_orderkey").sortWithinPartitions("l_orderkey", "l_linenumber")), path)
     sink.merge_files(spark, [path], f"{to}/a", target_bytes=1 << 20)
     merged = spark.read.parquet(f"{to}/a").withColumns({"_file": F.col("_metadata.file_path"), "_place": F.col("_metadata.row_index")})
     fewer = files.listed(spark, f"{to}/a", "*.parquet").count() < files.listed(spark, path, "*.parquet").count()

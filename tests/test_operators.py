@@ -387,3 +387,17 @@ def test_manifest_of_flags_with_several_files(spark, sf, monkeypatch):
     rows = {r[0]: r[1:] for r in spark.read.parquet(f"{sf}/lineitem.parquet").groupBy("l_returnflag").agg(F.count("*"), F.min("l_partkey"), F.max("l_partkey")).collect()}
     assert len(got) == 6 * len(rows) and all(r.sound and r.row_count == rows[r.flag][0] for r in got)
     assert {r.flag: (r.row_count, r.low, r.high) for r in got if r.column == "l_partkey"} == rows
+
+
+def test_merging_makes_fewer_files_of_larger_tables(spark, sf, tmp_path, monkeypatch):
+    """A larger table has more small files: their number does not stay while each outgrows the target."""
+    from loadstone.plans import file_queries
+
+    merge = sink.merge_files
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").crossJoin(spark.range(10).withColumnRenamed("id", "i"))
+    lines.withColumn("l_orderkey", F.col("l_orderkey") + F.col("i") * 1_000_000).drop("i").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(file_queries.sink, "merge_files", lambda *args, target_bytes: merge(*args, target_bytes=24_000))
+    monkeypatch.setattr(file_queries, "SMALL_FILE_ROWS", 500, raising=False)
+    got = file_queries.merged_files(spark, str(tmp_path)).collect()
+    assert len(got) == 3 and all(r.fewer_files and r.in_order and r.duplicates == 0 for r in got)
+    assert sum(r.rows for r in got) == lines.count()
