@@ -81,8 +81,8 @@ def _measures(c: Column, kind: T.DataType, metadata: dict, distinct: str | None,
     if what == "bytes":
         raw = c if isinstance(kind, T.BinaryType) else F.encode(c, "utf-8")
     count, sketch = F.lit(-1).cast("bigint"), null("binary")
-    if what != "none" and distinct in ("exact", "approx"):
-        count = F.count_distinct(c) if distinct == "exact" else F.approx_count_distinct(c)
+    if what != "none" and distinct == "approx":
+        count = F.approx_count_distinct(c)
     elif what != "none" and distinct == "sketch":
         sketch = F.hll_sketch_agg(c if isinstance(kind, (T.StringType, T.BinaryType, T.IntegerType, T.LongType)) else c.cast("string"))
         count = F.hll_sketch_estimate(sketch)
@@ -97,6 +97,32 @@ def _measures(c: Column, kind: T.DataType, metadata: dict, distinct: str | None,
 
 
 def _plain(df: DataFrame, by: list[str], columns: list[tuple[str, Column, T.DataType, dict]], distinct: str | None, nested: bool = False) -> DataFrame:
+    long = _measured(df, by, columns, distinct, nested)
+    counted = [(name, c) for name, c, t, m in columns if kind_of(t, m) != "none"]
+    if distinct != "exact" or not counted:
+        return long
+    counts = _distinct_counts(df, by, counted).select(*[F.col(f"`{b}`").alias(f"_b{i}") for i, b in enumerate(by)], F.col("column").alias("_column"), "_distinct")
+    same = reduce(lambda a, b: a & b, [F.col(f"`{b}`").eqNullSafe(F.col(f"_b{i}")) for i, b in enumerate(by)], F.col("column") == F.col("_column"))
+    known = F.col("column").isin(*[name for name, _ in counted])
+    found = F.when(known, F.coalesce("_distinct", F.lit(0))).otherwise(F.col("distinct_count")).cast("bigint")
+    return long.join(counts, same, "left").withColumn("distinct_count", found).select(*[F.col(f"`{c}`") for c in long.columns])
+
+
+def _distinct_counts(df: DataFrame, by: list[str], columns: list[tuple[str, Column]]) -> DataFrame:
+    """AGG7: (by, column, _distinct) of the values of each column, without nulls.
+
+    The values are brought together by hash, apart from the other measures: as one
+    of several aggregates each row would be sorted once for each column, since
+    bounds of bytes have no place in a hash table.
+    """
+    held = F.explode(F.array(*[F.struct(F.lit(name).alias("column"), *[(c if j == i else F.lit(None)).alias(f"v{j}") for j, (_, c) in enumerate(columns)]) for i, (name, _) in enumerate(columns)]))
+    values = [f"_v{j}" for j in range(len(columns))]
+    each = df.select(*[F.col(f"`{b}`") for b in by], held.alias("_e")).select(*[F.col(f"`{b}`") for b in by], F.col("_e.column").alias("column"), *[F.col(f"_e.v{j}").alias(v) for j, v in enumerate(values)])
+    keys = [*[F.col(f"`{b}`") for b in by], F.col("column")]
+    return each.where(reduce(lambda a, b: a | b, [F.col(v).isNotNull() for v in values])).distinct().groupBy(*keys).agg(F.count("*").alias("_distinct"))
+
+
+def _measured(df: DataFrame, by: list[str], columns: list[tuple[str, Column, T.DataType, dict]], distinct: str | None, nested: bool) -> DataFrame:
     wide = df.groupBy(*by).agg(*[_measures(c, t, m, distinct, nested).alias(f"_{i}") for i, (_, c, t, m) in enumerate(columns)])
     entries = F.array(*[F.struct(F.lit(name).alias("column"), F.lit(kind_of(t, m)).alias("kind"), F.col(f"_{i}").alias("s")) for i, (name, _, t, m) in enumerate(columns)])
     return wide.select(*by, F.explode(entries).alias("e")).select(*by, "e.column", "e.kind", "e.s.*")

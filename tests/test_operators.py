@@ -401,3 +401,18 @@ def test_merging_makes_fewer_files_of_larger_tables(spark, sf, tmp_path, monkeyp
     got = file_queries.merged_files(spark, str(tmp_path)).collect()
     assert len(got) == 3 and all(r.fewer_files and r.in_order and r.duplicates == 0 for r in got)
     assert sum(r.rows for r in got) == lines.count()
+
+
+def test_exact_distinct_counts_are_not_sorted_for(spark):
+    """Rows are not sorted once for each column; nulls, zeros, groups of null and columns without values count as count(DISTINCT) has them."""
+    rows = spark.range(1000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), (F.col("id") % 17).cast("string").alias("s"), F.when(F.col("id") % 2 == 0, -0.0).otherwise(0.0).alias("z"),
+        F.nullif(F.col("id") % 5, F.lit(0)).alias("n"), F.lit(None).cast("string").alias("e"), F.encode((F.col("id") % 7).cast("string"), "utf-8").alias("b"),
+    )
+    for by in ([], ["g"]):
+        want = {(r["g"] if by else None, c): r[c] for r in rows.groupBy(*by).agg(*[F.count_distinct(c).alias(c) for c in "szneb"]).collect() for c in "szneb"}
+        told = stats.column_stats(rows if by else rows.drop("g"), by, distinct="exact")
+        assert {(r["g"] if by else None, r.column): r.distinct_count for r in told.collect()} == want
+    plan = stats.column_stats(rows.drop("g"), distinct="exact").select("distinct_count")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "Sort [" not in plan
+    assert stats.column_stats(rows.drop("g").limit(0), distinct="exact").where("distinct_count <> 0").isEmpty()
