@@ -58,18 +58,25 @@ def once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 SPLIT = 4 * 1024 * 1024  # bytes; files are not cut smaller for one task
+NESTED_SPLIT = 1024 * 1024  # bytes that one task takes of rows with nested columns
+MOST_TASKS = 20_000  # to which rows are dealt
+UNKNOWN = 1 << 60  # bytes, from which the planner's size stands for none
 
 
-def spread(raw: DataFrame) -> DataFrame:
+def spread(raw: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows dealt out over all cores where the planner finds them too few bytes to be read by as many tasks.
 
     Checking a row costs far more than moving it, and so little is soon moved;
-    larger inputs, and those of unknown size, are left as they are read.
+    larger inputs, and those of unknown size, are left as they are read.  Rules of
+    nested columns are interpreted, some tenths of a millisecond a row, so such rows
+    are dealt out at any known size, to more tasks of a larger input.
     """
     if raw.isStreaming:
         return raw
     cores = raw.sparkSession.sparkContext.defaultParallelism
     size = int(raw._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if size < UNKNOWN and any(is_nested(f) for f in schema.fields):
+        return raw.repartition(max(cores, min(-(-size // NESTED_SPLIT), MOST_TASKS)))
     return raw.repartition(cores) if size < cores * SPLIT else raw
 
 
@@ -79,9 +86,8 @@ def unquote_name(name: Column) -> Column:
     return F.when(name.rlike(r'(?s)^"(?:""|[^"])*"$'), inner).otherwise(F.upper(F.replace(name, F.lit("\\ "), F.lit(" "))))
 
 
-def kind_of(v: Column) -> Column:
-    """JSON kind of a variant value."""
-    s = F.when(v.isNotNull(), F.schema_of_variant(v))
+def kind_named(s: Column) -> Column:
+    """JSON kind of a variant value by its schema, which is null for no value."""
     return (
         F.when(s == "STRING", "string").when(s.isNull() | (s == "VOID"), "null").when(s == "BOOLEAN", "boolean")
         .when(F.startswith(s, F.lit("OBJECT")), "object").when(F.startswith(s, F.lit("ARRAY")), "array").otherwise("number")
@@ -198,8 +204,10 @@ def nested(v: Column, kind: T.DataType, path: Column, nullable: bool, zone: str,
             return told(value, ps.isNotNull(), "not a map", F.flatten(F.transform(ps, lambda p: F.concat(p["v"]["errors"], of_key(p["k"])))))
 
         return C.let(pairs, with_entries)
-    one = C.coerce(T.StructField("x", kind, True, metadata or {}), F.try_variant_get(v, "$", "string"), kind_of(v), zone)
     wrong = lambda o: F.when(o["code"].isNotNull(), F.array(F.struct(o["code"].alias("code"), o["reason"].alias("what"), path.alias("path")))).otherwise(none)
+    rule = lambda text, k: C.coerce(T.StructField("x", kind, True, metadata or {}), text, k, zone)
+    # rules use the text and its kind many times over: both are bound
+    one = C.let(F.when(v.isNotNull(), F.schema_of_variant(v)), lambda s: C.let(kind_named(s), lambda k: C.let(F.try_variant_get(v, "$", "string"), lambda text: rule(text, k))))
     return C.let(one, lambda o: F.struct(o["value"].cast(kind).alias("value"), F.when(is_null, null_error).otherwise(wrong(o)).alias("errors")))
 
 
@@ -251,12 +259,12 @@ def checked_rows(raw: DataFrame, schema: T.StructType, zone: str = C.DEFAULT_ZON
     code; beyond, columns of one type share a program, see ``_by_type``.
     """
     if len(schema.fields) > WIDE:
-        return with_errors(_by_type(parsed_rows(spread(raw), row), schema, zone, row), raw.columns, schema, max_row_bytes)
+        return with_errors(_by_type(parsed_rows(spread(raw, schema), row), schema, zone, row), raw.columns, schema, max_row_bytes)
     fields = list(enumerate(schema.fields))
     names = [f.name for f in schema.fields]
     declared = {f.name: f.metadata.get("declared", f.name) for f in schema.fields}
     required = [f.name for f in schema.fields if not f.nullable]
-    rows = found_values(parsed_rows(spread(raw), row), schema, row)
+    rows = found_values(parsed_rows(spread(raw, schema), row), schema, row)
 
     def parts(i: int, f: T.StructField) -> C.Parts:
         if not is_nested(f):

@@ -3,6 +3,7 @@
 import hashlib
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -416,3 +417,18 @@ def test_exact_distinct_counts_are_not_sorted_for(spark):
     plan = stats.column_stats(rows.drop("g"), distinct="exact").select("distinct_count")._jdf.queryExecution().executedPlan().toString()
     assert "Expand" not in plan and "Sort [" not in plan
     assert stats.column_stats(rows.drop("g").limit(0), distinct="exact").where("distinct_count <> 0").isEmpty()
+
+
+def test_nested_rows_are_dealt_to_more_tasks_of_a_larger_input(spark, sf, monkeypatch):
+    """Tasks stay short however large the input is; the rows are those of the SQL."""
+    from loadstone.operators import conform as operator
+    from loadstone.plans import queries
+
+    size = sum(f.stat().st_size for f in [Path(sf) / "events.parquet"])
+    monkeypatch.setattr(operator, "NESTED_SPLIT", size // 40, raising=False)
+    good, errors = queries.queries()["nested_values"](spark, sf), queries.queries()["nested_errors"](spark, sf)
+    assert good.rdd.getNumPartitions() >= 30 and errors.rdd.getNumPartitions() >= 30
+    bad = " OR ".join(f"event_id % {k} = 0" for k in (7, 11, 13, 17, 19))
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    assert {tuple(r) for r in good.select("row_index", "a", "k", "items").collect()} == {tuple(r) for r in events.where(f"NOT ({bad})").selectExpr("event_id", "event_id", "event_type", "user_id + 2").collect()}
+    assert errors.count() == events.where(bad).count()
