@@ -122,6 +122,7 @@ class Encoder:
         if any(c not in vocab or c + end not in vocab for c in letters):
             raise ValueError("the vocabulary lacks a byte")
         self.inner, self.last = ([vocab[c + tail] for c in sorted(letters, key=letters.get)] for tail in ("", end))  # by byte
+        self._of_byte, self._of_last = (np.array([*ids[:255], -1], dtype=np.int64) for ids in (self.inner, self.last))
         pairs = [(vocab[a], vocab[b], vocab[a + b.removeprefix(model["continuing_subword_prefix"] or "")]) for a, b in model["merges"]]
         self.left, self.right, self.made = map(list, zip(*pairs, strict=True))
         there = {*self.inner, *self.last}
@@ -174,13 +175,12 @@ class Encoder:
 
     def merge(self, words: list[str]) -> list[bytes]:
         """The ids of each pre-token (of :data:`SYMBOLS` bytes together, or one)."""
-        sym, inner, last = array("i", [-1]), self.inner, self.last
-        for word in words:
-            raw = word.encode()
-            sym.extend([inner[c] for c in raw])
-            sym[-1] = last[raw[-1]]
-            sym.append(-1)
-        at = np.frombuffer(sym, dtype=np.int32).astype(np.int64)
+        # FF, which is in no UTF-8, stands for the borders
+        raw = np.frombuffer(b"\xff" + b"\xff".join([w.encode() for w in words]) + b"\xff", dtype=np.uint8)
+        at = self._of_byte[raw]
+        ends = np.flatnonzero(raw == 255)[1:] - 1
+        at[ends] = self._of_last[raw[ends]]
+        sym = array("i", at.astype(np.int32).tobytes())
         packed = at[:-1] << _SHIFT | at[1:]
         packed[(at[:-1] < 0) | (at[1:] < 0)] = -1
         near = np.minimum(np.searchsorted(self._keys, packed), len(self._keys) - 1)
@@ -191,7 +191,7 @@ class Encoder:
         index = {int(r): part.tolist() for r, part in zip(active, np.split(places[order], first[1:]), strict=True)} if len(active) else {}
         heap = list(index)
         heapq.heapify(heap)
-        del at, packed, near, places, ranks, order
+        del raw, at, ends, packed, near, places, ranks, order
 
         nxt, prv = array("i", range(1, len(sym) + 1)), array("i", range(-1, len(sym) - 1))
         views = [np.frombuffer(x, dtype=np.int32) for x in (sym, nxt, prv)]
@@ -208,7 +208,7 @@ class Encoder:
                         index[new] = found
                         heapq.heappush(heap, new)
                 continue
-            for p in sorted(places):
+            for p in places if a != b else sorted(places):  # two different symbols cannot overlap
                 if sym[p] != a or sym[q := nxt[p]] != b:
                     continue  # an earlier merge took one of the two
                 after, before = nxt[q], prv[p]
