@@ -22,7 +22,7 @@ import numpy as np
 
 RESTART = 16  # MCUs (blocks, in scans of one component) between restart markers
 BANDS = ((1, 57, 0), (58, 63, 1))
-QUANT = 2
+QUANT = 1
 _U = np.uint64
 
 
