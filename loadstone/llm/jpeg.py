@@ -42,7 +42,10 @@ def _inverse_transform() -> np.ndarray:
     return np.einsum("ux,vy->uvxy", basis, basis).reshape(64, 64)[ZIGZAG].astype(np.float32)
 
 
-IDCT = _inverse_transform()
+BITS = 14
+#: In whole numbers, times 2^BITS: sums are exact in any order, so samples do not depend on what is decoded together.
+IDCT = np.rint(_inverse_transform() * 2.0**BITS)
+_MOST = 2**24 // int(np.abs(IDCT).sum(axis=0).max())  # up to such coefficients, sums are exact as 32-bit floats
 
 
 # --- Huffman tables -------------------------------------------------------
@@ -656,9 +659,12 @@ def _colours(y: np.ndarray, cb: np.ndarray, cr: np.ndarray) -> np.ndarray:
 
 
 def _samples(coefs: np.ndarray, quant: np.ndarray) -> np.ndarray:
-    out = (coefs.astype(np.float32) * quant).reshape(-1, 64) @ IDCT
-    out += np.float32(128)
-    return np.clip(np.rint(out, out=out), 0, 255, out=out)
+    whole = (coefs.astype(np.float32) * quant).reshape(-1, 64)
+    kind = np.float32 if max(whole.max(initial=0), -whole.min(initial=0)) <= _MOST else np.float64
+    out = whole.astype(kind, copy=False) @ IDCT.astype(kind)
+    out *= kind(2.0**-BITS)
+    out += kind(128)
+    return np.clip(np.rint(out, out=out), 0, 255, out=out).astype(np.float32, copy=False)
 
 
 def rgb(image: Image, coefs: np.ndarray) -> np.ndarray:

@@ -291,6 +291,18 @@ def test_op2_reads_files_of_earlier_versions(spark):
         assert np.abs(tensor - plain_rgb(image, coefs)).max() <= 2
 
 
+def test_op2_samples_do_not_depend_on_the_batch():
+    """Equal blocks have equal samples wherever they are decoded; this one's first is 4e-6 beside a half, less than sums of floats differ by."""
+    close = [2, 1, -2, 3, -3, -2, 1, -5, -2, -4, -1, -5, -2, 10, 1, -9, -7, -1, 1, -1, -4, -3, 2, 1, -2, 3, -9, -7, -1, -1, -3, 1, -3, 1, -1, -4, 5, 2, 1, 5, 2, 4, 2, 9, -8, -16, 33, 3, 5, -4, 5, 2, -3, -2, 1, 5, 2, 4, 2, -1, -3, 1, 3, -3]
+    one, rng, found = np.tile(np.array(close, dtype=np.int32), (1, 6, 1)), np.random.default_rng(9), set()
+    quants = np.ones((6, 64), dtype=np.float32)
+    for n in range(1, 60):
+        for most in (9, 3000):  # by narrow and by wide floats
+            rest = rng.integers(-most, most, (n, 6, 64)).astype(np.int32)
+            found |= {jpeg.mcu_rgb(np.concatenate(x), quants)[at].tobytes() for x, at in (([one, rest], 0), ([rest, one], n))}
+    assert len(found | {jpeg.mcu_rgb(one, quants)[0].tobytes()}) == 1
+
+
 def test_op2_general_coefficients():
     """Zeros, long runs and large values through the other tables."""
     rng = np.random.default_rng(5)
